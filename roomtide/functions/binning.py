@@ -32,12 +32,3 @@ def reliability_bin(p: ColumnLike, n_bins: int = 10) -> Column:
     p = as_column(p)
     return _count_edges([p > F.lit(edge) for edge in inner_edges(n_bins)])
 
-
-def equal_width_slot(value: ColumnLike, low: float, high: float, slots: int) -> Column:
-    """Slot 0..slots-1 of ``value``; grows with the value, ends are closed."""
-    value = as_column(value)
-    width = (high - low) / slots
-    if width <= 0:
-        return F.lit(0)
-    raw = F.floor((value - F.lit(low)) / F.lit(width))
-    return F.greatest(F.lit(0), F.least(F.lit(slots - 1), raw)).cast("int")

@@ -1,8 +1,8 @@
 """Exact quantiles (linear interpolation) without holding a group in one task.
 
-Equal values are first counted with map-side combining. A coarse histogram per group
-finds the slot every wanted rank falls into, and only the values of those slots are
-put in order.
+Equal values are first counted with map-side combining. The number of values per range
+tells which range every wanted rank falls into, and only the values of those ranges
+are put in order. Ranges hold about equal shares, so no range is large.
 """
 
 from __future__ import annotations
@@ -12,9 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomtide.functions.binning import equal_width_slot
-
-SLOTS = 4096
+from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, value_ranges, with_range
 
 
 def exact_quantiles(
@@ -22,19 +20,15 @@ def exact_quantiles(
     value: str,
     quantiles: Mapping[str, float],
     keys: Sequence[str] = (),
-    slots: int = SLOTS,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """One row per group with a column per entry of ``quantiles`` (output name to level)."""
     keys = list(keys)
     present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    ends = present.agg(F.min("_v").alias("low"), F.max("_v").alias("high")).first()
-    low, high = (ends.low, ends.high) if ends and ends.low is not None else (0.0, 0.0)
-    counted = (
-        present.withColumn("_slot", equal_width_slot("_v", low, high, slots))
-        .groupBy(*keys, "_slot", "_v")
-        .agg(F.count("*").alias("_n"))
-    )
-    # at most `slots` rows per group from here on
+    ranges = ranges_for(present.count(), rows_per_range)
+    limits = value_ranges(present, "_v", ranges)[0] if ranges > 1 else []
+    counted = with_range(present, "_v", limits, "_slot").groupBy(*keys, "_slot", "_v").agg(F.count("*").alias("_n"))
+    # at most one row per group and range
     per_slot = counted.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_in_slot"))
     along = Window.partitionBy(*keys).orderBy("_slot")
     whole = Window.partitionBy(*keys)

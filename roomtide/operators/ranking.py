@@ -8,6 +8,7 @@ of all earlier ranges. Only the counts, a bounded table, go through one place.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -20,18 +21,28 @@ ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 10_000
 
 
-def _splits(df: DataFrame, name: str, ranges: int) -> tuple[list[float], list[float]]:
-    """Range limits of a numeric column, and the values so frequent that they fill a range alone."""
+def value_ranges(df: DataFrame, name: str, ranges: int) -> tuple[list[float], dict[float, int]]:
+    """Limits that cut a numeric column into about equal ranges, at most ``ranges`` of them.
+
+    Also gives the values so frequent that they span several ranges, with that number.
+    Such a value gets a range of its own.
+    """
     shares = [i / ranges for i in range(1, ranges)]
     found = df.approxQuantile(name, shares, 1.0 / (4 * ranges)) if shares else []
-    frequent = sorted({a for a, b in zip(found, found[1:]) if a == b})
-    limits = set(found)
-    for value in frequent:
-        limits.add(math.nextafter(value, math.inf))
+    seen = Counter(found)
+    least = max(2, min(16, ranges // 4))
+    frequent = {value: times for value, times in seen.items() if times >= least}
+    limits = set(found) | {math.nextafter(value, math.inf) for value in frequent}
     return sorted(limits), frequent
 
 
-def _range_of(df: DataFrame, name: str, limits: Sequence[float], out: str) -> DataFrame:
+def ranges_for(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    return max(1, min(MAX_RANGES, math.ceil(rows / rows_per_range)))
+
+
+def with_range(df: DataFrame, name: str, limits: Sequence[float], out: str) -> DataFrame:
+    """Index of the range a value falls into; ranges are closed on the left."""
+    df = df.drop(out)
     if not limits:
         return df.withColumn(out, F.lit(0.0))
     edges = [-math.inf, *limits, math.inf]
@@ -56,28 +67,24 @@ def row_numbers(
     key1 = _numeric(df, first)
     key2 = _numeric(df, second)
     keyed = df.withColumns({"_k1": key1, "_k2": key2})
-    total = df.count()
-    ranges = max(1, min(MAX_RANGES, math.ceil(total / rows_per_range)))
+    ranges = ranges_for(df.count(), rows_per_range)
+    keyed = keyed.withColumns({"_b1": F.lit(0.0), "_b2": F.lit(0.0)})
     if ranges > 1:
-        limits, frequent = _splits(keyed.select("_k1"), "_k1", ranges)
-        keyed = _range_of(keyed, "_k1", limits, "_b1")
+        limits, frequent = value_ranges(keyed, "_k1", ranges)
+        keyed = with_range(keyed, "_k1", limits, "_b1")
         if frequent and tie_break is not None:
-            # the tie-break limits are shared by all dominant values; there are fewer than `ranges` of those
-            tied = keyed.filter(F.col("_k1").isin(frequent)).select("_k2")
-            inner, _ = _splits(tied, "_k2", ranges)
-            keyed = _range_of(keyed, "_k2", inner, "_b2")
-            keyed = keyed.withColumn("_b2", F.when(F.col("_k1").isin(frequent), F.col("_b2")).otherwise(0.0))
-        else:
-            keyed = keyed.withColumn("_b2", F.lit(0.0))
-    else:
-        keyed = keyed.withColumns({"_b1": F.lit(0.0), "_b2": F.lit(0.0)})
+            # one set of tie-break limits serves all frequent values: few of them, cut finely enough for the largest
+            is_frequent = F.col("_k1").isin(list(frequent))
+            inner, _ = value_ranges(keyed.filter(is_frequent), "_k2", max(frequent.values()))
+            keyed = with_range(keyed, "_k2", inner, "_b2")
+            keyed = keyed.withColumn("_b2", F.when(is_frequent, F.col("_b2")).otherwise(0.0))
 
     within = Window.partitionBy("_b1", "_b2").orderBy(first, second)
     numbered = keyed.withColumn("_local", F.row_number().over(within) - 1)
     if ranges > 1:
         counts = keyed.groupBy("_b1", "_b2").count()
         before = Window.orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
-        # one row per range: at most MAX_RANGES rows per dominant value
+        # one row per range, a bounded number however large the table is
         offsets = counts.select("_b1", "_b2", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
         numbered = numbered.join(offsets, ["_b1", "_b2"], "left")
     else:
