@@ -28,15 +28,13 @@ def flag_duplicates(df: DataFrame, columns: Sequence[str] | None = None, out: st
     back keeps the big side as it is; adaptive execution splits it at a hot key.
     """
     columns = list(columns or [c for c in schema.RAW_COLUMNS if c in df.columns])
-    row_hash = F.xxhash64(*columns)
-    repeated = df.groupBy(row_hash.alias("_h")).count().filter(F.col("count") > 1).select("_h")
-    hashed = df.withColumn("_h", row_hash)
-    groups = hashed.join(repeated, "_h", "left_semi").groupBy("_h", *columns).count().filter(F.col("count") > 1)
-    renamed = groups.select(F.col("_h").alias("_gh"), *[F.col(c).alias(f"_g_{c}") for c in columns])
-    same = F.col("_h") == F.col("_gh")
-    for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    joined = hashed.join(renamed, same, "left")
+    # a struct of the columns compares null with null as equal
+    keyed = df.withColumns({"_h": F.xxhash64(*columns), "_row": F.struct(*columns)})
+    repeated = df.groupBy(F.xxhash64(*columns).alias("_rh")).count().filter(F.col("count") > 1).select("_rh")
+    suspects = keyed.select("_h", "_row").join(repeated, F.col("_h") == F.col("_rh"), "left_semi")
+    copies = suspects.groupBy("_h", "_row").count().filter(F.col("count") > 1)
+    copies = copies.select(F.col("_h").alias("_gh"), F.col("_row").alias("_grow"))
+    joined = keyed.join(copies, (F.col("_h") == F.col("_gh")) & (F.col("_row") == F.col("_grow")), "left")
     return joined.select(*df.columns, F.col("_gh").isNotNull().alias(out))
 
 
