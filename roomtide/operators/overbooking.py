@@ -306,10 +306,13 @@ def recommend(
     capacities: DataFrame | None = None,
     method: str = "exact",
     with_curve: bool = False,
+    decimals: bool = True,
     **columns,
 ) -> DataFrame:
     """Level to overbook for every hotel and night at once, given the rooms already taken.
 
+    Amounts are rounded for display unless ``decimals`` is false.
+
     ``occupied`` has ``(hotel, stay_date, already_occupied)`` and optionally ``adr_ref``
     and ``k`` that replace the night's mean price and the default factor.
     """
@@ -329,6 +332,10 @@ def recommend(
         F.col("book.p"), F.col("effective_capacity"), F.col("adr_ref"), F.col("k"), config, method=method
     )
     solved = nights.withColumn("level", level)
+
+    def shown(name: str, digits: int) -> Column:
+        return F.round(name, digits) if decimals else F.col(name)
+
     out = [
         "hotel",
         "stay_date",
@@ -336,11 +343,11 @@ def recommend(
         "capacity",
         "already_occupied",
         "effective_capacity",
-        F.round("level.expected_cost", 2).alias("expected_cost"),
-        F.round("adr_ref", 2).alias("adr_ref"),
+        shown("level.expected_cost", 2).alias("expected_cost"),
+        shown("adr_ref", 2).alias("adr_ref"),
         F.col("n_bookings").alias("n_new_bookings"),
-        F.round("mean_p", 4).alias("mean_p_cancel"),
-        F.round("expected_shows", 1).alias("expected_show_ups"),
+        shown("mean_p", 4).alias("mean_p_cancel"),
+        shown("expected_shows", 1).alias("expected_show_ups"),
     ]
     if with_curve:
         out.append(cost_curve_map(F.col("level.cost_curve")).alias("cost_curve"))

@@ -271,8 +271,8 @@ eps AS (SELECT 2.220446049250313e-16::DOUBLE AS e),
 d AS (SELECT {key} AS g, {p} AS p, count(*) AS n, sum({y}) AS pos FROM {rows} GROUP BY 1, 2),
 cum AS (SELECT *, sum(n) OVER (PARTITION BY g ORDER BY p DESC) AS n_cum, sum(pos) OVER (PARTITION BY g ORDER BY p DESC) AS pos_cum,
                sum(n) OVER (PARTITION BY g) AS n_all, sum(pos) OVER (PARTITION BY g) AS pos_all FROM d),
-rk AS (SELECT g, sum(CAST(pos AS DOUBLE) * pos_cum / n_cum) / max(pos_all) AS pr_auc,
-              sum((n - pos) * (pos_cum - pos + pos / 2)) / (CAST(max(pos_all) AS DOUBLE) * (max(n_all) - max(pos_all))) AS roc_auc
+rk AS (SELECT g, coalesce(sum(CAST(pos AS DOUBLE) * pos_cum / n_cum) / nullif(max(pos_all), 0), 0.0) AS pr_auc,
+              sum((n - pos) * (pos_cum - pos + pos / 2)) / nullif(CAST(max(pos_all) AS DOUBLE) * (max(n_all) - max(pos_all)), 0) AS roc_auc
        FROM cum GROUP BY g),
 ls AS (SELECT {key} AS g, count(*) AS n_rows,
               avg(-({y} * ln(greatest(e, least(1 - e, {p}))) + (1 - {y}) * ln(1 - greatest(e, least(1 - e, {p}))))) AS log_loss,
@@ -726,3 +726,21 @@ SQL: dict[str, str] = {
         round(cost, 2) AS expected_cost, round(adr_ref, 2) AS adr_ref, n AS n_new_bookings, round(mp, 4) AS mean_p_cancel,
         round(shows, 1) AS expected_show_ups FROM best""",
 }
+
+
+def _off_ties(text: str) -> str:
+    """Shift what is rounded by a hair, so that exact ties round the same way on every engine."""
+    out, at = [], 0
+    while (start := text.find(" round(", at)) >= 0:
+        begin = start + len(" round(")
+        depth, end = 1, begin
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[end], 0)
+            end += 1
+        inner, digits = text[begin : end - 1].rsplit(",", 1)
+        out += [text[at:start], f" round(({inner}) + 1e-{int(digits) + 4}::DOUBLE, {int(digits)})"]
+        at = end
+    return "".join(out) + text[at:]
+
+
+SQL = {name: _off_ties(text) for name, text in SQL.items()}

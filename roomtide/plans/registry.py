@@ -53,8 +53,9 @@ def query(run: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    """Round for comparison; adding zero turns a negative zero into a plain one."""
-    return df.withColumns({name: F.round(name, digits) + F.lit(0.0) for name in names})
+    """Round for comparison, a hair off exact ties; adding zero turns a negative zero into a plain one."""
+    hair = F.lit(10.0 ** -(digits + 4))
+    return df.withColumns({name: F.round(F.col(name) + hair, digits) + F.lit(0.0) for name in names})
 
 
 def split_bookings(spark: SparkSession, sf_dir: str, stays: bool = False) -> DataFrame:
@@ -84,10 +85,13 @@ def daily_capacity(rows: DataFrame) -> DataFrame:
     return occupancy.estimate_capacity(occupancy.nightly_occupancy(rows))
 
 
+def stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw bookings written once, for operators that read them or their columns many times."""
+    return cut_lineage(raw_bookings(spark, sf_dir), "raw")
+
+
 def cleaned_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # cleaning reads the raw table several times: it works on a stored one
-    raw = cut_lineage(raw_bookings(spark, sf_dir), "raw")
-    return cleaning.clean(raw, order_by="row_key")
+    return cleaning.clean(stored_raw(spark, sf_dir), order_by="row_key")
 
 
 # --- Sources and sinks ------------------------------------------------------
@@ -341,7 +345,7 @@ def request_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = records.find_problems(raw_bookings(spark, sf_dir))
+    checked = records.find_problems(stored_raw(spark, sf_dir))
     return records.problem_rows(records.rejected_rows(checked), "row_key")
 
 
@@ -433,7 +437,7 @@ def backtest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def policy_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = backtest.summarize(_weekly_backtest(spark, sf_dir, THREE_POLICIES, [2.0]))
-    return rounded(summary, 0, "total_profit").withColumn("moved_per_1000_nights", F.round("moved_per_1000_nights", 6))
+    return rounded(rounded(summary, 0, "total_profit"), 6, "moved_per_1000_nights")
 
 
 @query
@@ -447,7 +451,7 @@ def k_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
         capacities=weekly_capacity(nights),
         nights=None,
     )
-    return rounded(found, 0, "total_profit").withColumn("moved_per_1000_nights", F.round("moved_per_1000_nights", 6))
+    return rounded(rounded(found, 0, "total_profit"), 6, "moved_per_1000_nights")
 
 
 @query
@@ -494,7 +498,8 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = occupancy.nightly_occupancy(staying, canceled=None).select(
         "hotel", F.col("date").alias("stay_date"), F.col("occupancy").cast("int").alias("already_occupied")
     )
-    return overbooking.recommend(rows, DAY_CONFIG, held, capacities)
+    found = overbooking.recommend(rows, DAY_CONFIG, held, capacities, decimals=False)
+    return rounded(rounded(rounded(found, 2, "expected_cost", "adr_ref"), 4, "mean_p_cancel"), 1, "expected_show_ups")
 
 
 def _sequential(spark: SparkSession, sf_dir: str, policies: list[str], ks: list[float]) -> DataFrame:
@@ -517,7 +522,7 @@ def sequential_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sequential_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = backtest.summarize(_sequential(spark, sf_dir, list(overbooking.POLICIES), [2.0]))
-    return rounded(found, 0, "total_profit").withColumn("moved_per_1000_nights", F.round("moved_per_1000_nights", 6))
+    return rounded(rounded(found, 0, "total_profit"), 6, "moved_per_1000_nights")
 
 
 # --- Metrics ----------------------------------------------------------------
