@@ -24,18 +24,23 @@ def latest_rows(
 
 
 def latency_by_path(
-    log: DataFrame, path: str = "path", ts: str = "ts", unique: str = "id", latency: str = "latency_ms", count: int = LATEST
+    log: DataFrame,
+    path: str = "path",
+    ts: str = "ts",
+    unique: str = "id",
+    latency: str = "latency_ms",
+    count: int = LATEST,
+    decimals: bool = True,
 ) -> DataFrame:
     """Requests per path, and count, median, 95th percentile and maximum of the latest ``count``."""
     served = log.filter(~F.col(path).isin(SKIPPED_PATHS))
     requests = served.groupBy(F.col(path).alias("path")).agg(F.count("*").alias("requests"))
     latest = latest_rows(served, [path], [F.col(ts).desc(), F.col(unique).desc()], unique, count)
     # exact percentiles: at most `count` values per path
+    found = {"p50_ms": F.percentile(latency, 0.5), "p95_ms": F.percentile(latency, 0.95), "max_ms": F.max(latency)}
     levels = latest.groupBy(F.col(path).alias("path")).agg(
         F.count("*").alias("count"),
-        F.round(F.percentile(latency, 0.5), 2).alias("p50_ms"),
-        F.round(F.percentile(latency, 0.95), 2).alias("p95_ms"),
-        F.round(F.max(latency), 2).alias("max_ms"),
+        *[(F.round(value, 2) if decimals else value).alias(name) for name, value in found.items()],
     )
     return requests.join(levels, "path")
 

@@ -472,7 +472,7 @@ base AS (SELECT pr_auc AS base_ap FROM m WHERE g = 0),
 wkst AS (SELECT week, count(*) AS n_rows, avg(is_canceled) AS rate, max(stay_date) + 1 AS cutoff FROM pw GROUP BY week),
 al AS (SELECT week, count(*) FILTER (WHERE js_distance > 0.35) AS n_alerts FROM js GROUP BY week),
 dec AS (
-  SELECT wkst.week, n_rows, rate, list_filter([
+  SELECT wkst.week, wkst.n_rows, rate, list_filter([
       CASE WHEN n_alerts > 0 THEN 'Data drift detected ' || n_alerts || ' drift alert(s)' END,
       CASE WHEN abs(rate - (SELECT avg(is_canceled) FROM tr)) > 0.05::DOUBLE THEN 'Cancellation-rate gap exceeded 5%' END,
       CASE WHEN base_ap - pr_auc > 0.03::DOUBLE THEN 'Concept/performance drift: PR-AUC dropped by ' || printf('%.4f', base_ap - pr_auc) || ' (>0.03)' END,

@@ -717,7 +717,8 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def slo_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = service_levels.latency_by_path(request_log(spark, sf_dir))
+    levels = service_levels.latency_by_path(request_log(spark, sf_dir), decimals=False)
+    levels = rounded(levels, 2, "p50_ms", "p95_ms", "max_ms")
     return service_levels.with_latency_target(levels, 60.0)
 
 
