@@ -727,6 +727,18 @@ SQL: dict[str, str] = {
         round(shows, 1) AS expected_show_ups FROM best""",
 }
 
+SQL["stream_quarantine"] = SQL["quarantine"]
+SQL["stream_cooldown"] = SQL["cooldown_actions"]
+SQL["stream_occupancy"] = f"SELECT * FROM ({SQL['nightly_occupancy']}) WHERE occupancy > 0"
+SQL["stream_weekly_stats"] = f"""WITH {EVENTS} SELECT week, count(*) AS n_rows,
+    round(avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 6) AS cancel_rate FROM ev GROUP BY week"""
+SQL["stream_service_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) AS day, count(*) AS requests,
+    count(*) FILTER (WHERE status >= 500) AS server_errors_5xx, max(ms) AS max_ms FROM log GROUP BY 1, 2"""
+SQL["stream_sliding_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) - back AS day, count(*) AS requests, max(ms) AS max_ms
+    FROM log, (VALUES (0), (1)) t(back) GROUP BY 1, 2"""
+SQL["stream_late_labels"] = f"""WITH {SCORED}{_metrics('sc', 'hotel', 'is_canceled', 'p_cancel')}
+    SELECT g AS hotel, n_rows, round(pr_auc, 6) AS pr_auc, round(ece, 6) AS ece FROM m"""
+
 
 def _off_ties(text: str) -> str:
     """Shift what is rounded by a hair, so that exact ties round the same way on every engine."""

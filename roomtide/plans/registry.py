@@ -21,6 +21,7 @@ from roomtide.operators import (
     drift,
     features,
     metrics,
+    models,
     monitoring,
     occupancy,
     overbooking,
@@ -35,6 +36,7 @@ from roomtide.operators import (
 from roomtide.session import cut_lineage, shared_path
 from roomtide.sources import hashes, readers, writers
 from roomtide.sources.star import bookings, raw_bookings, scored_lines, table
+from roomtide.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +47,7 @@ DAY_CONFIG = CostConfig(capacity={}, default_capacity=6, fixed_overbook_pct=0.20
 THREE_POLICIES = ["no_overbook", "fixed", "avg_rate"]
 CUTOFF = date(2000, 5, 31)
 DRIFT_COLUMNS = ["lead_time", "adr", "length_of_stay"]
+MODEL_TREES = 20
 
 
 def query(run: Query) -> Query:
@@ -725,3 +728,135 @@ def slo_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def slo_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return service_levels.service_totals(request_log(spark, sf_dir))
+
+
+# --- Streams: each equal to its batch form ----------------------------------
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return streams.read_table_stream(spark, sf_dir, events.schema, "events.parquet")
+
+
+@query
+def stream_weekly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = table(spark, sf_dir, "events").agg(F.min(F.col("ts").cast("date"))).first()[0]
+    stream = _event_stream(spark, sf_dir).withColumn("is_error", (F.col("event_type") == "error").cast("int"))
+    weekly = streams.weekly_stats_stream(stream, first, label="is_error")
+    return rounded(streams.run_available(weekly, "weekly", ["week"]), 6, "cancel_rate")
+
+
+@query
+def stream_service_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("event_type") == "error", 500).otherwise(200)
+    log = _event_stream(spark, sf_dir).select(
+        "ts", F.col("event_type").alias("path"), status.alias("status"), F.col("value").alias("latency_ms")
+    )
+    levels = streams.run_available(streams.service_levels_stream(log), "slo", ["path", "window_start"])
+    day = F.col("window_start").cast("date").alias("day")
+    return levels.select("path", day, "requests", "server_errors_5xx", "max_ms")
+
+
+@query
+def stream_sliding_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _event_stream(spark, sf_dir).select(
+        "ts", F.col("event_type").alias("path"), F.lit(200).alias("status"), F.col("value").alias("latency_ms")
+    )
+    sliding = streams.service_levels_stream(log, "2 days", "1 day")
+    levels = streams.run_available(sliding, "slo-sliding", ["path", "window_start"])
+    return levels.select("path", F.col("window_start").cast("date").alias("day"), "requests", "max_ms")
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "incoming")
+    raw = raw_bookings(spark, sf_dir)
+    raw.write.parquet(folder)
+    stream = streams.read_table_stream(spark, folder, raw.schema)
+    valid, rejected = shared_path(spark, "valid"), shared_path(spark, "rejected")
+    streams.quarantine_stream(stream, valid, rejected, shared_path(spark, "quarantine-state")).awaitTermination()
+    return records.problem_rows(spark.read.parquet(rejected), "row_key")
+
+
+@query
+def stream_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "stays")
+    rows = bookings(spark, sf_dir).select("hotel", "stay_date", "length_of_stay", "is_canceled")
+    rows.write.parquet(folder)
+    stream = streams.occupancy_stream(streams.read_table_stream(spark, folder, rows.schema))
+    found = streams.run_available(stream, "occupancy", ["hotel", "night"])
+    return found.select("hotel", F.col("night").cast("date").alias("date"), "occupancy")
+
+
+@query
+def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scored_bookings(spark, sf_dir, stays=True)
+    scores = rows.select("row_id", "hotel", "p_cancel", F.col("stay_date").cast("timestamp").alias("score_ts"))
+    known = F.date_add("stay_date", F.col("length_of_stay")).cast("timestamp")
+    outcomes = rows.select("row_id", "is_canceled", known.alias("outcome_ts"))
+    sides = []
+    for name, frame in (("scores", scores), ("outcomes", outcomes)):
+        folder = shared_path(spark, name)
+        frame.write.parquet(folder)
+        sides.append(streams.read_table_stream(spark, folder, frame.schema))
+    joined = streams.run_available(streams.late_labels_stream(*sides), "labelled")
+    found = metrics.compute_metrics(joined, "is_canceled", "p_cancel", ["hotel"])
+    return rounded(found.select("hotel", "n_rows", "pr_auc", "ece"), 6, "pr_auc", "ece")
+
+
+@query
+def stream_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, weeks = production_weeks(spark, sf_dir)
+    shift = drift.prior_shift(rows.filter(F.col("split") == "train"), weeks, keys=["hotel", "week"], limit=0.15)
+    signals = shift.select(F.col("hotel").alias("model"), "week", F.col("triggered").alias("signal"))
+    folder = shared_path(spark, "signals")
+    signals.write.parquet(folder)
+    stream = streams.read_table_stream(spark, folder, signals.schema)
+    found = streams.run_available(streams.cooldown_stream(stream), "cooldown")
+    return found.select(F.col("model").alias("hotel"), "week", "action")
+
+
+# --- Models (rows only: Spark ML has no SQL counterpart) --------------------
+
+
+def model_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned bookings with their split, written once: fitting reads them many times."""
+    rows = splitting.temporal_split(cleaned_bookings(spark, sf_dir))
+    return cut_lineage(rows.filter(F.col("split") != "production"), "model", ["split"])
+
+
+@query
+def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tuned forest on train, calibrated on validation: metrics on test before and after."""
+    splits = model_splits(spark, sf_dir)
+    _, effect = models.train_calibrated(splits, models.random_forest(MODEL_TREES, 8, 50))
+    return effect
+
+
+@query
+def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group-rate baseline and classifiers compared on the validation split."""
+    splits = model_splits(spark, sf_dir)
+    train, validation = (splits.filter(F.col("split") == name) for name in ("train", "validation"))
+    base = features.baseline_predict(train, validation)
+    baseline = metrics.compute_metrics(base, schema.TARGET, "p_cancel").withColumn("run", F.lit("baseline"))
+    parts = [features.build_features(part.drop("split"), keep=[schema.TARGET]) for part in (train, validation)]
+    chosen = models.standard_experiments(parts[0].count(), trees=MODEL_TREES, rounds=5)
+    table_, _ = models.run_experiments(*parts, chosen)
+    return table_.unionByName(baseline, allowMissingColumns=True)
+
+
+@query
+def scored_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated probabilities and labels of the test rows."""
+    splits = model_splits(spark, sf_dir)
+    train = splits.filter(F.col("split") == "train").drop("split")
+    fitted = models.fit_classifier(
+        features.build_features(features.drop_duplicates_from_train(train), keep=[schema.TARGET]),
+        models.logistic_regression(train.count(), max_iter=50),
+    )
+    validation = splits.filter(F.col("split") == "validation").drop("split")
+    model = models.calibrate(fitted, features.build_features(validation, keep=[schema.TARGET]))
+    test = splits.filter(F.col("split") == "test").drop("split")
+    scored = models.score_bookings(model, test, lambda rows: features.build_features(rows, keep=["row_id"]))
+    return scored.select("row_id", "p_cancel", "will_cancel")
