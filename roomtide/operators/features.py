@@ -103,7 +103,7 @@ def baseline_predict(
     Group rates are broadcast only after a check of their number.
     """
     keys = list(keys)
-    overall = train.agg(F.avg(label)).first()[0]
     rates = small_side(baseline_rates(train, keys, label))
+    overall = rates.agg(F.sum("_positives") / F.sum("_n")).first()[0]
     scored = rows.join(rates, keys, "left")
-    return scored.withColumn(out, F.coalesce("baseline_rate", F.lit(overall))).drop("baseline_rate")
+    return scored.withColumn(out, F.coalesce("baseline_rate", F.lit(overall))).drop("baseline_rate", "_positives", "_n")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from roomtide.functions.binning import calibration_error_bin, reliability_bin
 
-BANDS = 1 << 14
+EDGE_BANDS = 128
+EVEN_BANDS = 1 << 14
 EPSILON = 2.220446049250313e-16
 METRICS = ["pr_auc", "roc_auc", "log_loss", "brier", "ece"]
 
@@ -28,9 +29,16 @@ def score_table(df: DataFrame, label: str = "y", score: str = "p", keys: Sequenc
     )
 
 
-def _band(p: Column) -> Column:
-    """Band 0..BANDS of a probability; bands follow the order of the scores."""
-    return F.floor(p * BANDS).cast("int")
+def _bands(p: Column) -> dict[str, Column]:
+    """Two band numbers that both grow with the score; in this order they sort like the score.
+
+    The first is fine near 0 and near 1, where confident models put most scores, the
+    second is fine in between. Together they number some 30,000 at most.
+    """
+    tiny = F.lit(EPSILON)
+    low = F.floor(F.log2(F.greatest(p, tiny)) * EDGE_BANDS)
+    high = -F.floor(F.log2(F.greatest(1 - p, tiny)) * EDGE_BANDS)
+    return {"_edge": F.when(p < 0.5, low).otherwise(high), "_even": F.floor(p * EVEN_BANDS)}
 
 
 def cumulative(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -40,21 +48,23 @@ def cumulative(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     group and band carries the totals of all higher bands. No group runs in one task.
     """
     keys = list(keys)
-    banded = scores.withColumn("_band", _band(F.col("p")))
-    above = Window.partitionBy(*keys).orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    banded = scores.withColumns(_bands(F.col("p")))
+    band = ["_edge", "_even"]
+    downwards = [F.col(c).desc() for c in band]
+    above = Window.partitionBy(*keys).orderBy(*downwards).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    bands = banded.groupBy(*keys, "_band").agg(F.sum("n").alias("_n"), F.sum("pos").alias("_pos"))
+    bands = banded.groupBy(*keys, *band).agg(F.sum("n").alias("_n"), F.sum("pos").alias("_pos"))
     carried = bands.select(
         *keys,
-        "_band",
+        *band,
         F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"),
         F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_pos_above"),
         F.sum("_n").over(whole).alias("n_total"),
         F.sum("_pos").over(whole).alias("pos_total"),
     )
-    inside = Window.partitionBy(*keys, "_band").orderBy(F.col("p").desc())
+    inside = Window.partitionBy(*keys, *band).orderBy(F.col("p").desc())
     running = banded.withColumns({"_n_in": F.sum("n").over(inside), "_pos_in": F.sum("pos").over(inside)})
-    joined = running.join(carried, [*keys, "_band"])
+    joined = running.join(carried, [*keys, *band])
     return joined.select(
         *keys,
         "p",

@@ -157,26 +157,20 @@ def night_books(
 # --- Expected cost, exactly -------------------------------------------------
 
 
-def expected_gaps(p_cancel: np.ndarray, most_rooms: int) -> tuple[np.ndarray, np.ndarray]:
+def expected_gaps(p_cancel: np.ndarray, rooms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Expected empty rooms and displaced guests when the first ``m`` bookings are accepted.
 
-    Row ``m``, column ``c``: for a capacity of ``c`` rooms, 0..most_rooms. The number of
-    guests follows the Poisson-binomial law, built up one booking at a time.
+    Row ``m``, one column per capacity in ``rooms``. The number of guests follows the
+    Poisson-binomial law; row ``m`` of ``law`` adds one booking to row ``m - 1``.
     """
     n = len(p_cancel)
-    rooms = np.arange(most_rooms + 1)
-    empty = np.zeros((n + 1, most_rooms + 1))
-    over = np.zeros_like(empty)
-    empty[0] = rooms
-    law, mean = np.ones(1), 0.0
+    law = np.zeros((n + 1, n + 1))
+    law[0, 0] = 1.0
     for m, p in enumerate(p_cancel, start=1):
-        law = np.append(law * p, 0.0) + np.append(0.0, law * (1.0 - p))
-        mean += 1.0 - p
-        below = np.concatenate(([0.0], np.cumsum(np.cumsum(law))))
-        inside = np.minimum(rooms, m + 1)
-        empty[m] = below[inside] + (rooms - inside)
-        over[m] = np.where(rooms < m, np.maximum(0.0, mean - rooms + empty[m]), 0.0)
-    return empty, over
+        law[m, :m] = law[m - 1, :m] * p
+        law[m, 1 : m + 1] += law[m - 1, :m] * (1.0 - p)
+    gap = np.asarray(rooms, dtype=float)[None, :] - np.arange(n + 1.0)[:, None]
+    return law @ np.maximum(gap, 0.0), law @ np.maximum(-gap, 0.0)
 
 
 def simulated_gaps(p_cancel: np.ndarray, capacity: int, n_sims: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -226,8 +220,7 @@ def best_level(
         if method == "simulation":
             empty, over = simulated_gaps(p, rooms, n_sims, seed)
         else:
-            table = expected_gaps(p, rooms)
-            empty, over = table[0][:, rooms], table[1][:, rooms]
+            empty, over = (gap[:, 0] for gap in expected_gaps(p, np.array([rooms])))
         costs = level_costs(empty, over, rooms, unit, factor, top)
         best = int(np.argmin(costs))
         return best, float(costs[best]), costs.tolist()
@@ -252,15 +245,14 @@ def best_levels_by_room(p_cancel: Column, capacity: Column, ks: Sequence[float],
         if len(p) == 0:
             return [[0] * (rooms + 1) for _ in factors]
         p = p[: rooms + highest_level(rooms, share)]
-        empty, over = expected_gaps(p, rooms)
-        levels = []
-        for k in factors:
-            row = [0]
-            for free in range(1, rooms + 1):
-                top = highest_level(free, share)
-                row.append(int(np.argmin(level_costs(empty[:, free], over[:, free], free, 1.0, k, top))))
-            levels.append(row)
-        return levels
+        free = np.arange(1, rooms + 1)
+        empty, over = expected_gaps(p, free)
+        level = np.arange(highest_level(rooms, share) + 1)
+        accepted = np.minimum(len(p), free[:, None] + level)
+        allowed = level <= np.array([highest_level(int(c), share) for c in free])[:, None]
+        idle, excess = empty[accepted, free[:, None] - 1], over[accepted, free[:, None] - 1]
+        best = [np.argmin(np.where(allowed, idle + k * excess, np.inf), axis=1) for k in factors]
+        return [[0, *row.tolist()] for row in best]
 
     @F.pandas_udf("array<array<int>>")
     def run(p: pd.Series, rooms: pd.Series) -> pd.Series:

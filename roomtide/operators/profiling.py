@@ -82,4 +82,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def baseline_rates(df: DataFrame, keys: Sequence[str], label: str = schema.TARGET) -> DataFrame:
-    return df.groupBy(*keys).agg(F.avg(label).alias("baseline_rate"))
+    """Label rate of every group, with its sums so that the overall rate follows from the groups."""
+    return df.groupBy(*keys).agg(
+        F.avg(label).alias("baseline_rate"), F.sum(label).alias("_positives"), F.count(label).alias("_n")
+    )

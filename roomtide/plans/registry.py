@@ -72,9 +72,14 @@ def scored_bookings(spark: SparkSession, sf_dir: str, stays: bool = False) -> Da
     return features.baseline_predict(train, rows, ["hotel", "month_no"])
 
 
+def decision_table(spark: SparkSession, sf_dir: str, stays: bool = False) -> DataFrame:
+    """Scored bookings written once: the decision and monitoring steps each read them several times."""
+    return cut_lineage(scored_bookings(spark, sf_dir, stays), "scored")
+
+
 def weekly_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored bookings with the week's first day as the night."""
-    rows = scored_bookings(spark, sf_dir)
+    rows = decision_table(spark, sf_dir)
     return rows.withColumn("stay_date", F.date_trunc("week", "stay_date").cast("date"))
 
 
@@ -132,7 +137,7 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weeks = booking_decisions(spark, sf_dir)
+    weeks = booking_decisions(*production_weeks(spark, sf_dir))
     path = writers.write_documents(weeks.select("week", "retrain", "reasons"), shared_path(spark, "drift"))
     found = spark.read.schema("week int, retrain boolean, reasons array<string>").json(path)
     return found.groupBy("retrain").agg(F.count("*").alias("n_weeks"), F.sum(F.size("reasons")).alias("n_reasons"))
@@ -155,12 +160,12 @@ def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation.validation_report(raw_bookings(spark, sf_dir).drop("row_key"), errors_only=False)
+    return validation.validation_report(stored_raw(spark, sf_dir).drop("row_key"), errors_only=False)
 
 
 @query
 def bad_cells_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    broken = cleaning.break_cells(raw_bookings(spark, sf_dir), cleaning.BAD_CELLS, "row_key").drop("row_key")
+    broken = cleaning.break_cells(stored_raw(spark, sf_dir), cleaning.BAD_CELLS, "row_key").drop("row_key")
     years = range(1990, 2005)
     domains = {**schema.DOMAINS, "market_segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]}
     return validation.validation_report(broken, years=years, domains=domains)
@@ -491,7 +496,7 @@ def guest_law(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level to overbook per hotel and day, given the rooms held by guests of earlier days."""
-    rows = scored_bookings(spark, sf_dir, stays=True)
+    rows = decision_table(spark, sf_dir, stays=True)
     capacities = daily_capacity(rows)
     staying = rows.filter((F.col("is_canceled") == 0) & (F.col("length_of_stay") > 1)).select(
         "hotel",
@@ -506,7 +511,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sequential(spark: SparkSession, sf_dir: str, policies: list[str], ks: list[float]) -> DataFrame:
-    rows = scored_bookings(spark, sf_dir, stays=True)
+    rows = decision_table(spark, sf_dir, stays=True)
     return backtest.backtest_sequential(
         rows, DAY_CONFIG, ks, policies, overbooking.monthly_rates(rows), daily_capacity(rows)
     )
@@ -586,7 +591,7 @@ def threshold_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def production_weeks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Training rows, and production rows with their week."""
-    rows = scored_bookings(spark, sf_dir, stays=True)
+    rows = decision_table(spark, sf_dir, stays=True)
     production = rows.filter(F.col("split") == "production")
     return rows, splitting.with_week(production, "stay_date")
 
@@ -645,10 +650,7 @@ def performance_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, 6, "pr_auc", "ece", "baseline_pr_auc", "baseline_ece", "pr_auc_drop").drop("reasons")
 
 
-def booking_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, weeks = production_weeks(spark, sf_dir)
-    # every check below reads the scored weeks, so they are scored once
-    weeks = cut_lineage(weeks, "weeks")
+def booking_decisions(rows: DataFrame, weeks: DataFrame) -> DataFrame:
     train, test = (rows.filter(F.col("split") == name) for name in ("train", "test"))
     chunks = drift.with_chunks(weeks, "week", "stay_date", "row_id")
     alerts = drift.alert_count(drift.data_drift(train, chunks, DRIFT_COLUMNS, limit=0.35))
@@ -659,7 +661,7 @@ def booking_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def retrain_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = booking_decisions(spark, sf_dir)
+    found = booking_decisions(*production_weeks(spark, sf_dir))
     return found.select("week", "retrain", F.array_join("reasons", "; ").alias("reasons"))
 
 
@@ -673,15 +675,16 @@ def cooldown_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weekly_simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, weeks = production_weeks(spark, sf_dir)
-    stats = monitoring.weekly_stats(weeks, day="stay_date").withColumn("cancel_rate", F.col("cancel_rate") + F.lit(0.0))
-    return monitoring.simulation_summary(stats, booking_decisions(spark, sf_dir))
+    rows, weeks = production_weeks(spark, sf_dir)
+    stats = monitoring.weekly_stats(weeks, day="stay_date")
+    return monitoring.simulation_summary(stats, booking_decisions(rows, weeks))
 
 
 @query
 def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rate by hotel and month as candidate against the rate by hotel as champion."""
     rows = split_bookings(spark, sf_dir, stays=True).withColumn("month_no", F.month("stay_date"))
+    rows = cut_lineage(rows, "gate", ["split"])
     train, test = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "test")
     capacities = daily_capacity(train)
     sides = {
