@@ -57,6 +57,8 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": width,
+            # tables of a few megabytes still use every core
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
             "spark.ui.enabled": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         },

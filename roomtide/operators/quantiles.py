@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roomtide.functions.columns import no_nan
 from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, value_ranges, with_range
 
 
@@ -24,10 +25,43 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with a column per entry of ``quantiles`` (output name to level)."""
     keys = list(keys)
-    present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    present = df.select(*keys, no_nan(F.col(value).cast("double")).alias("_v")).filter(F.col("_v").isNotNull())
     ranges = ranges_for(present.count(), rows_per_range)
     limits = value_ranges(present, "_v", ranges)[0] if ranges > 1 else []
     counted = with_range(present, "_v", limits, "_slot").groupBy(*keys, "_slot", "_v").agg(F.count("*").alias("_n"))
+    ordered = _placed(counted, keys) if not limits else _placed_in_ranges(counted, keys, quantiles)
+    picks = []
+    for name, level in quantiles.items():
+        at = F.lit(float(level)) * (F.col("_total") - 1)
+        holds_low = (F.floor(at) >= F.col("_from")) & (F.floor(at) < F.col("_to"))
+        holds_high = (F.ceil(at) >= F.col("_from")) & (F.ceil(at) < F.col("_to"))
+        picks += [
+            F.max(F.when(holds_low, F.col("_v"))).alias(f"_lo_{name}"),
+            F.max(F.when(holds_high, F.col("_v"))).alias(f"_hi_{name}"),
+        ]
+    found = ordered.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
+    out = []
+    for name, level in quantiles.items():
+        at = F.lit(float(level)) * (F.col("_total") - 1)
+        lower, upper = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        out.append((lower + (upper - lower) * (at - F.floor(at))).alias(name))
+    return found.select(*keys, *out)
+
+
+def _placed(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Values with the ranks they cover, for a number of values that fits one range."""
+    inside = Window.partitionBy(*keys).orderBy("_v")
+    return counted.select(
+        *keys,
+        "_v",
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
+        (F.sum("_n").over(inside) - F.col("_n")).alias("_from"),
+        F.sum("_n").over(inside).alias("_to"),
+    )
+
+
+def _placed_in_ranges(counted: DataFrame, keys: list[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """Values of the ranges that hold a wanted rank, with the ranks they cover."""
     # at most one row per group and range
     per_slot = counted.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_in_slot"))
     along = Window.partitionBy(*keys).orderBy("_slot")
@@ -48,26 +82,10 @@ def exact_quantiles(
     needed = per_slot.join(wanted.filter(hit).select(*keys, "_slot").distinct(), [*keys, "_slot"], "left_semi")
 
     inside = Window.partitionBy(*keys, "_slot").orderBy("_v")
-    ordered = counted.join(needed, [*keys, "_slot"]).select(
+    return counted.join(needed, [*keys, "_slot"]).select(
         *keys,
         "_v",
         "_total",
         (F.col("_before") + F.sum("_n").over(inside) - F.col("_n")).alias("_from"),
         (F.col("_before") + F.sum("_n").over(inside)).alias("_to"),
     )
-    picks = []
-    for name, level in quantiles.items():
-        at = F.lit(float(level)) * (F.col("_total") - 1)
-        holds_low = (F.floor(at) >= F.col("_from")) & (F.floor(at) < F.col("_to"))
-        holds_high = (F.ceil(at) >= F.col("_from")) & (F.ceil(at) < F.col("_to"))
-        picks += [
-            F.max(F.when(holds_low, F.col("_v"))).alias(f"_lo_{name}"),
-            F.max(F.when(holds_high, F.col("_v"))).alias(f"_hi_{name}"),
-        ]
-    found = ordered.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
-    out = []
-    for name, level in quantiles.items():
-        at = F.lit(float(level)) * (F.col("_total") - 1)
-        lower, upper = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lower + (upper - lower) * (at - F.floor(at))).alias(name))
-    return found.select(*keys, *out)

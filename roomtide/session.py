@@ -21,6 +21,8 @@ def get_session(app: str = "roomtide", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # recording the call site of every column expression makes building large plans slow
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
