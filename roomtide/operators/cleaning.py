@@ -29,13 +29,15 @@ def flag_duplicates(df: DataFrame, columns: Sequence[str] | None = None, out: st
     """
     columns = list(columns or [c for c in schema.RAW_COLUMNS if c in df.columns])
     # a struct of the columns compares null with null as equal
-    keyed = df.withColumns({"_h": F.xxhash64(*columns), "_row": F.struct(*columns)})
-    repeated = df.groupBy(F.xxhash64(*columns).alias("_rh")).count().filter(F.col("count") > 1).select("_rh")
-    suspects = keyed.select("_h", "_row").join(repeated, F.col("_h") == F.col("_rh"), "left_semi")
-    copies = suspects.groupBy("_h", "_row").count().filter(F.col("count") > 1)
-    copies = copies.select(F.col("_h").alias("_gh"), F.col("_row").alias("_grow"))
-    joined = keyed.join(copies, (F.col("_h") == F.col("_gh")) & (F.col("_row") == F.col("_grow")), "left")
-    return joined.select(*df.columns, F.col("_gh").isNotNull().alias(out))
+    row_hash, row = F.xxhash64(*columns), F.struct(*columns)
+    repeated = df.groupBy(row_hash.alias("_rh")).count().filter(F.col("count") > 1).select("_rh")
+    suspects = df.select(row_hash.alias("_h"), row.alias("_row")).join(repeated, F.col("_h") == F.col("_rh"), "left_semi")
+    # grouping by the row alone lets the join above be split at a hot hash
+    copies = suspects.groupBy("_row").count().filter(F.col("count") > 1)
+    copies = copies.select("_row", F.xxhash64(*[F.col("_row")[c] for c in columns]).alias("_h"))
+    # the keys are expressions of the row, so the shuffle carries each row once
+    joined = df.join(copies, (row_hash == F.col("_h")) & (row == F.col("_row")), "left")
+    return joined.select(*df.columns, F.col("_h").isNotNull().alias(out))
 
 
 def duplicate_totals(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

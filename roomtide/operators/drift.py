@@ -226,7 +226,7 @@ def distribution_gaps(
             "_c_in": F.sum("c").over(inside),
             "_next": F.lead("value").over(inside),
         }
-    ).join(carried, ["feature", "_range"])
+    ).join(carried, ["feature", "_range"], "left")
     gap = F.abs(
         (F.col("_r_before") + F.col("_r_in")) / F.col("_r_all") - (F.col("_c_before") + F.col("_c_in")) / F.col("_c_all")
     )

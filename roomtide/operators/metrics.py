@@ -21,12 +21,11 @@ METRICS = ["pr_auc", "roc_auc", "log_loss", "brier", "ece"]
 
 
 def score_table(df: DataFrame, label: str = "y", score: str = "p", keys: Sequence[str] = ()) -> DataFrame:
-    """Rows and positives per group and distinct score."""
-    return (
-        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*keys, F.col(score).cast("double").alias("p"))
-        .agg(F.count("*").alias("n"), F.sum(label).cast("bigint").alias("pos"))
-    )
+    """Rows and positives per group and distinct score. Rows without a group, label or score are left out."""
+    for name in [*keys, label, score]:
+        df = df.filter(F.col(name).isNotNull())
+    grouped = df.groupBy(*keys, F.col(score).cast("double").alias("p"))
+    return grouped.agg(F.count("*").alias("n"), F.sum(label).cast("bigint").alias("pos"))
 
 
 def _bands(p: Column) -> dict[str, Column]:
@@ -64,7 +63,8 @@ def cumulative(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
     inside = Window.partitionBy(*keys, *band).orderBy(F.col("p").desc())
     running = banded.withColumns({"_n_in": F.sum("n").over(inside), "_pos_in": F.sum("pos").over(inside)})
-    joined = running.join(carried, [*keys, *band])
+    # a left join adds no null filter to one side only, so both sides share the shuffle of the score table
+    joined = running.join(carried, [*keys, *band], "left")
     return joined.select(
         *keys,
         "p",

@@ -23,9 +23,14 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """One row per group with a column per entry of ``quantiles`` (output name to level)."""
+    """One row per group with a column per entry of ``quantiles`` (output name to level).
+
+    Rows without a group or value are left out.
+    """
     keys = list(keys)
-    present = df.select(*keys, no_nan(F.col(value).cast("double")).alias("_v")).filter(F.col("_v").isNotNull())
+    present = df.select(*keys, no_nan(F.col(value).cast("double")).alias("_v"))
+    for name in [*keys, "_v"]:
+        present = present.filter(F.col(name).isNotNull())
     ranges = ranges_for(present.count(), rows_per_range)
     limits = value_ranges(present, "_v", ranges)[0] if ranges > 1 else []
     counted = with_range(present, "_v", limits, "_slot").groupBy(*keys, "_slot", "_v").agg(F.count("*").alias("_n"))

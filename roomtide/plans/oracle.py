@@ -555,7 +555,7 @@ SQL: dict[str, str] = {
     "csv_scan": f"""WITH {RAW} SELECT hotel, deposit_type, count(*) AS n, round(sum(adr), 1) AS adr,
         CAST(sum(lead_time) AS BIGINT) AS lead_time, count(agent) AS n_agent, min(reservation_status_date) AS first_day FROM raw GROUP BY 1, 2""",
     "csv_dates": "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, count(*) AS n FROM orders GROUP BY 1",
-    "partitioned_sink": f"WITH {SPLIT} SELECT split, count(*) AS n_rows, round(sum(adr), 1) AS adr FROM sp WHERE split IN ('test', 'production') GROUP BY 1",
+    "partitioned_sink": f"WITH {SPLIT} SELECT split, count(*) AS n_rows, round(sum(adr), 1) AS adr FROM sp GROUP BY 1",
     "json_documents": f"""WITH {DECISIONS} SELECT len(reasons) > 0 AS retrain, count(*) AS n_weeks, CAST(sum(len(reasons)) AS BIGINT) AS n_reasons
         FROM dec GROUP BY 1""",
     "validation_report": f"WITH {RAW} {_report('raw', schema.YEARS, schema.DOMAINS)}",
@@ -610,7 +610,7 @@ SQL: dict[str, str] = {
     "distinct_nights": f"WITH {BOOKINGS} SELECT count(DISTINCT hotel) AS n_hotel, count(DISTINCT stay_date) AS n_stay_date FROM bk",
     "exact_quantiles": f"""WITH {BOOKINGS} SELECT hotel, round(quantile_cont(adr, 0.25), 4) AS p25, round(quantile_cont(adr, 0.5), 4) AS p50,
         round(quantile_cont(adr, 0.95), 4) AS p95 FROM bk GROUP BY hotel""",
-    "baseline_predict": f"WITH {SCORED} SELECT row_id, round(p_cancel, 8) AS p_cancel FROM sc WHERE split = 'test'",
+    "baseline_predict": f"WITH {SCORED} SELECT row_id, round(p_cancel, 8) AS p_cancel FROM sc",
     "feature_build": f"WITH {CLEANED} SELECT row_id, hotel, days_in_waiting_list, round(adr, 4) AS adr, {FEATURE_COLUMNS} FROM clean",
     "features_without_team_columns": f"""WITH {CLEANED}, f AS (SELECT hotel, {FEATURE_COLUMNS} FROM clean WHERE NOT is_duplicate)
         SELECT hotel, agent, count(*) AS n, CAST(sum(company_missing) AS BIGINT) AS no_company FROM f GROUP BY 1, 2""",

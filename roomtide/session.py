@@ -56,10 +56,10 @@ def cut_lineage(df: DataFrame, label: str = "cut", partition_by: list[str] | Non
     The copy survives the loss of any executor, and two readers of it see the same rows.
     """
     path = shared_path(df.sparkSession, label)
-    writer = df.write.mode("errorifexists")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -17,18 +17,18 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
     return path
 
 
-def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], sort_by: Sequence[str] = (), rows_per_file: int = 5_000_000
-) -> str:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], sort_by: Sequence[str] = ()) -> str:
     """One folder per value of ``by``; folders of an earlier run are removed.
 
-    Rows stay where they are, so a split with a third of the table is written by many
-    tasks. ``sort_by`` orders rows within each file for tighter min/max statistics.
+    Rows are brought together by ``by`` with adaptive rebalancing: a value with a third of
+    the table is written by many tasks, and rare values do not leave a file per task.
+    ``sort_by`` orders rows within each file for tighter min/max statistics.
     """
+    df = df.hint("rebalance", *by)
     if sort_by:
         df = df.sortWithinPartitions(*by, *sort_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
+    writer.partitionBy(*by).parquet(path)
     return path
 
 
