@@ -460,26 +460,37 @@ def k_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(found, 0, "total_profit"), 6, "moved_per_1000_nights")
 
 
-@query
-def optimal_overbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best level and its expected cost per hotel and week, from the exact distribution of guests."""
+def _best_levels(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
     nights = weekly_nights(spark, sf_dir)
     capacities = weekly_capacity(nights)
     books = overbooking.night_books(nights, overbooking.book_length(WEEK_CONFIG, capacities), label=None, nights=None)
     sized = overbooking.with_capacity(books, WEEK_CONFIG, capacities)
-    level = overbooking.best_level(F.col("book.p"), F.col("capacity"), F.col("adr_ref"), F.lit(2.0), WEEK_CONFIG)
-    solved = sized.withColumn("level", level)
-    found = solved.select(
+    level = overbooking.best_level(
+        F.col("book.p"), F.col("capacity"), F.col("adr_ref"), F.lit(2.0), WEEK_CONFIG, method=method
+    )
+    found = sized.withColumn("level", level).select(
         "hotel",
         "stay_date",
         "capacity",
-        F.col("n_bookings"),
+        "n_bookings",
         F.col("level.o_star").alias("o_star"),
         F.col("level.expected_cost").alias("expected_cost"),
     )
     return rounded(found, 2, "expected_cost")
 
 
+@query
+def optimal_overbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best level and its expected cost per hotel and week, from the exact distribution of guests."""
+    return _best_levels(spark, sf_dir, "exact")
+
+
+@query
+def simulated_overbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same decision from seeded draws; a random method, so it has no SQL text."""
+    return _best_levels(spark, sf_dir, "simulation")
+
+
 @query
 def guest_law(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distribution of the number of guests among the first bookings of every week, as a native fold."""

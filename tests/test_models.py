@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import booking, three_bookings
 from roomtide import schema
 from roomtide.operators import cleaning, features, models
+from roomtide.streaming import streams
 
 
 @pytest.fixture(scope="module")
@@ -82,6 +83,11 @@ def test_calibrated_model(spark, cleaned, tmp_path):
     again = models.CalibratedModel.load(str(tmp_path / "m")).score(test).orderBy("row_id").toPandas()
     assert np.allclose(again["p_cancel"], model.score(test).orderBy("row_id").toPandas()["p_cancel"])
     assert models.CalibratedModel.load(str(tmp_path / "none")) is None
+    stored = str(tmp_path / "features")
+    test.write.parquet(stored)
+    stream = streams.score_stream(model, streams.read_table_stream(spark, stored, test.schema))
+    streamed = streams.run_available(stream, "scores").orderBy("row_id").toPandas()
+    assert np.allclose(streamed["p_cancel"], again["p_cancel"]) and (streamed["row_id"] == again["row_id"]).all()
     batch = models.score_bookings(model, cleaned, lambda d: features.build_features(d, keep=["row_id"])).toPandas()
     assert (batch["will_cancel"] == (again.set_index("row_id").loc[batch["row_id"], "p_cancel"].to_numpy() >= 0.5)).all()
 
