@@ -81,13 +81,9 @@ def main() -> int:
         start = time.time()
         try:
             if name in sqls:
-                frame = run(spark, sf_dir)
-                n = frame.count() if False else None
-                t1 = time.time()
-                difference = compare(frame, con, sqls[name])
+                difference = compare(run(spark, sf_dir), con, sqls[name])
             else:
                 difference = "" if run(spark, sf_dir).collect() else "no rows"
-                t1 = time.time()
         except Exception as error:
             difference = f"{type(error).__name__}: {str(error)[:600]}"
         status = "ok  " if not difference else "FAIL"
