@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomtide.llm import packing, quality, simhash, snapshots, spaced_seeds, token_files
+from roomtide.llm import html_text, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,3 +115,44 @@ def op7_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_index(spark, read(spark, sf_dir, "pages"))
+
+
+SQL["op2_capture_index"] = r"""
+WITH rows AS (
+  SELECT page_id, coalesce(url, '') AS url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), coded AS (
+  SELECT *, array_to_string([
+    substr('0000000100100011010001010110011110001001101010111100110111101111', 1 + 4 * (strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4)
+    for i in range(1, 41)], '') AS bin
+  FROM rows
+), named AS (
+  SELECT page_id, payload_bytes, url, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bin, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substr(bin, 5 * i + 2, 1) AS INTEGER)
+      + 4 * CAST(substr(bin, 5 * i + 3, 1) AS INTEGER) + 2 * CAST(substr(bin, 5 * i + 4, 1) AS INTEGER) + CAST(substr(bin, 5 * i + 5, 1) AS INTEGER), 1)
+    for i in range(0, 32)], '') AS payload_digest
+  FROM coded
+), last_of AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest,
+    regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^#]*)', 1) AS host,
+    regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^#]*)', 2) AS rest FROM named
+), keyed AS (
+  SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM newest THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id IS NOT DISTINCT FROM newest THEN NULL ELSE newest END AS refers_to,
+    CASE WHEN regexp_matches(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN
+      array_to_string(list_reverse(string_split(regexp_replace(lower(host), '^www\.', ''), '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END
+    ELSE url END AS url_key
+  FROM last_of
+)
+SELECT page_id, payload_bytes, payload_digest, record_type, refers_to, url_key,
+  row_number() OVER (ORDER BY url_key, page_id % 31622400, page_id) - 1 AS index_rank FROM keyed
+"""
+
+
+@query
+def op9_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
