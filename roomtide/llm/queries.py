@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomtide.llm import html_text, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
+from roomtide.llm import html_text, minhash, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,3 +156,8 @@ SELECT page_id, payload_bytes, payload_digest, record_type, refers_to, url_key,
 @query
 def op9_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(read(spark, sf_dir, "documents"))
