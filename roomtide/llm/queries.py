@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomtide.llm import html_text, minhash, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
+from roomtide.llm import context_tree, html_text, minhash, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,3 +161,8 @@ def op9_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_documents(read(spark, sf_dir, "documents"))
