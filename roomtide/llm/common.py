@@ -110,7 +110,7 @@ def new_folder(spark, label: str) -> str:
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label) for every node of an edge: the smallest node reachable.
+    """(node, label), label the smallest node reachable, for every node of an edge but the smallest ones themselves.
 
     Alternating large and small stars: every round joins edges with one minimum per node,
     written to the shared folder. Nodes may be of any ordered type; null ends are ignored.

@@ -182,8 +182,8 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     keys = spoken.select("node", F.explode(bands).alias("key"))
     bucket = Window.partitionBy("key").orderBy("node")
     near = [F.lag("node", k).over(bucket) for k in range(1, BEFORE + 1)]
-    met = keys.select(F.explode(F.array_distinct(F.array(F.first("node").over(bucket), *near))).alias("a"), F.col("node").alias("b"))
-    met = met.where("a < b").distinct()
+    met = keys.select(F.array_distinct(F.array(F.first("node").over(bucket), *near)).alias("before"), F.col("node").alias("b"))
+    met = met.select(F.explode("before").alias("a"), "b").where("a < b").distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
