@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomtide.llm.common import LOWER, components, map_batches, shared
+from roomtide.llm.common import LOWER, components, map_batches, shared, worker_store
 
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -153,8 +153,6 @@ def linked_fingerprints(prints: DataFrame, name: str = "fp") -> DataFrame:
 
 
 def golay_tables_once():
-    from roomtide.llm.common import worker_store
-
     store = worker_store()
     if not hasattr(store, "golay"):
         store.golay = golay_tables()
