@@ -38,7 +38,7 @@ def outside(value: ColumnLike, domain: Iterable) -> Column:
 
 def null_texts_to_null(value: ColumnLike, texts: Sequence[str] = tuple(schema.NA_TEXTS)) -> Column:
     value = as_column(value)
-    return F.when(~F.trim(value).isin(list(texts)), value)
+    return F.when(~value.isin(list(texts)), value)
 
 
 def to_integer(value: ColumnLike) -> Column:
@@ -111,10 +111,3 @@ def week_of_path(path: ColumnLike) -> Column:
     digits = F.regexp_extract(as_column(path), r"week_(\d+)[^/]*$", 1)
     return F.coalesce(digits.try_cast("int"), F.lit(0))
 
-
-def null_safe_equal(left, right, names: Sequence[str]) -> Column:
-    """All of ``names`` equal between two frames, with null equal to null."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition

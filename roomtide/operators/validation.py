@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from roomtide import schema
 from roomtide.functions.columns import arrival_date, month_number, no_nan, outside, truthy
 
+CORRUPT = schema.CORRUPT
 REPORT_SCHEMA = "position int, rule string, column string, n_bad bigint, message string"
 
 
@@ -60,7 +61,7 @@ TYPED_BOOKING = {
 
 def column_errors(columns: Sequence[str], allow_derived: bool = False) -> list[tuple[str, str]]:
     """Missing and unexpected column names, in the order of the schema and of the table."""
-    allowed = set(schema.RAW_COLUMNS) | (set(schema.DERIVED_COLUMNS) if allow_derived else set())
+    allowed = {*schema.RAW_COLUMNS, CORRUPT, *(schema.DERIVED_COLUMNS if allow_derived else ())}
     missing = [c for c in schema.RAW_COLUMNS if c not in set(columns)]
     unexpected = [c for c in columns if c not in allowed]
     found = []
@@ -72,22 +73,31 @@ def column_errors(columns: Sequence[str], allow_derived: bool = False) -> list[t
 
 
 def type_errors(df: DataFrame, columns: Sequence[str] = tuple(schema.NUMERIC_CHECKED_COLUMNS)) -> list[tuple[str, str]]:
-    """Columns that must be numeric but are not, by the table's schema."""
+    """Columns that must be numeric but have another type. Text is judged by its values, see :func:`text_rules`."""
     found = []
     for name in columns:
-        if name in df.columns and not isinstance(df.schema[name].dataType, T.NumericType):
+        if name in df.columns and not isinstance(df.schema[name].dataType, (T.NumericType, T.StringType)):
             kind = df.schema[name].dataType.simpleString()
             found.append((name, f"{name}: expected numeric type, got {kind}"))
     return found
 
 
-def unparsed_numbers(df: DataFrame, columns: Sequence[str] = tuple(schema.NUMERIC_CHECKED_COLUMNS)) -> list[Rule]:
-    """For a table read as text: rows whose value is present but is not a number."""
+def text_rules(df: DataFrame, columns: Sequence[str] | None = None, corrupt: str = CORRUPT) -> list[Rule]:
+    """For a table read as text: records with a wrong number of fields, and present values of the wrong type.
+
+    A good file breaks none of these, so the table can then be typed strictly.
+    """
     rules = []
-    for name in columns:
-        if name in df.columns:
-            bad = truthy(F.col(name).isNotNull() & F.col(name).try_cast("double").isNull())
-            rules.append(Rule("data_type", name, bad, f"{name}: {{n}} values are not numeric"))
+    if corrupt in df.columns:
+        rules.append(Rule("corrupt_record", corrupt, F.col(corrupt).isNotNull(), f"{corrupt}: {{n}} records with a wrong number of fields"))
+    numeric = [f.name for f in schema.CLEAN_SCHEMA.fields if isinstance(f.dataType, T.NumericType)]
+    whole = {f.name for f in schema.CLEAN_SCHEMA.fields if isinstance(f.dataType, T.IntegralType)}
+    for name in numeric if columns is None else columns:
+        if name in df.columns and isinstance(df.schema[name].dataType, T.StringType):
+            number = F.col(name).try_cast("double")
+            rules.append(Rule("data_type", name, truthy(F.col(name).isNotNull() & number.isNull()), f"{name}: expected numeric type, {{n}} values are not"))
+            if name in whole:
+                rules.append(Rule("data_type", name, truthy(number != F.floor(number)), f"{name}: {{n}} values are not whole numbers"))
     return rules
 
 
@@ -219,8 +229,7 @@ def validation_report(
     structural = [("columns", None, text) for _, text in column_errors(df.columns, allow_derived)]
     structural += [("data_type", name, text) for name, text in type_errors(df)]
     head = [(i, rule, name, None, text) for i, (rule, name, text) in enumerate(structural)]
-    text_numbers = unparsed_numbers(df, [n for n, _ in type_errors(df)])
-    report = count_rules(df, text_numbers + row_rules(df, years, domains), len(head))
+    report = count_rules(df, text_rules(df) + row_rules(df, years, domains), len(head))
     if errors_only:
         report = report.filter(F.col("n_bad") > 0)
     if head:
@@ -237,16 +246,18 @@ def missingness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return counts.select(F.inline(F.array(*lines))).filter(F.col("n_missing") > 0)
 
 
-def check(df: DataFrame, record_only: bool = False, **options) -> list[str]:
+def check(df: DataFrame, record_only: bool = False, stop_on: Sequence[str] = (), **options) -> list[str]:
     """Run the report. Raises on errors, or returns their messages when ``record_only``.
 
-    The report has one row per broken rule, a number fixed by the schema.
+    Broken rules named in ``stop_on`` raise in any case. The report has one row per broken
+    rule, a number fixed by the schema.
     """
-    report = validation_report(df, **options).orderBy("position").select("message")
-    errors = [row.message for row in report.toLocalIterator()]
-    if errors and not record_only:
-        raise ValidationFailed(errors)
-    return errors
+    report = validation_report(df, **options).orderBy("position").select("rule", "message")
+    errors = [(row.rule, row.message) for row in report.toLocalIterator()]
+    stops = [text for rule, text in errors if not record_only or rule in stop_on]
+    if stops:
+        raise ValidationFailed(stops)
+    return [text for _, text in errors]
 
 
 def check_typed(df: DataFrame, declared: Mapping[str, TypedColumn] = TYPED_BOOKING) -> None:

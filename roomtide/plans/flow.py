@@ -52,15 +52,18 @@ def prepare_data(
 ) -> Prepared:
     """Verify, validate, clean, validate again, split, check and store.
 
-    Errors of the raw file are recorded only; errors of the cleaned table stop the flow.
-    ``order_by`` declares the order behind ``row_id`` (an extra column of the raw file, or
+    Values out of range in the raw file are recorded only; records and values that cannot be
+    typed stop the flow, as do errors of the cleaned table. The file is judged as text, before
+    any value is typed, and then typed strictly. ``order_by`` declares the order behind ``row_id`` (an extra column of the raw file, or
     an expression over its columns).
     """
     if sha256:
         hashes.verify_checksum(spark, raw_path, sha256)
-    raw = cut_lineage(readers.read_bookings_csv(spark, raw_path), "raw")
-    bookings = raw.select(*[c for c in raw.columns if c in schema.RAW_COLUMNS])
-    found = Prepared(f"{out}/clean", f"{out}/splits", validation.check(bookings, record_only=True))
+    text = readers.read_csv_text(spark, raw_path, corrupt=readers.CORRUPT)
+    bookings = text.select(*[c for c in text.columns if c in schema.RAW_COLUMNS], readers.CORRUPT)
+    errors = validation.check(bookings, record_only=True, stop_on=["columns", "corrupt_record", "data_type", "date"])
+    found = Prepared(f"{out}/clean", f"{out}/splits", errors)
+    raw = readers.typed(text.drop(readers.CORRUPT), strict=True)
     writers.write_table(cleaning.clean(raw, order_by, tie_break), found.clean_path)
     clean = spark.read.parquet(found.clean_path)
     validation.check(clean, allow_derived=True)

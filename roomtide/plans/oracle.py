@@ -727,6 +727,34 @@ SQL: dict[str, str] = {
         round(shows, 1) AS expected_show_ups FROM best""",
 }
 
+SQL["csv_two_headers"] = f"""WITH {RAW} SELECT hotel, meal, count(*) AS n, CAST(sum(adults) AS BIGINT) AS adults, CAST(sum(babies) AS BIGINT) AS babies,
+    CAST(sum(lead_time) AS BIGINT) AS lead_time, count(company) FILTER (WHERE lead_time % 3 <> 2) AS n_company, max(reservation_status_date) AS last_day
+    FROM raw GROUP BY 1, 2"""
+SQL["csv_quoted_fields"] = """SELECT event_id, event_type, props, 'he said "' || event_type || ', y", and ""' || props || '"' AS said FROM events"""
+
+
+def _text_report() -> str:
+    """Counts of the unreadable cells that the query plants, and no others."""
+    planted = {"children": "row_key % 101 = 5", "agent": "row_key % 103 = 7"}
+    fractions = {"children": "row_key % 101 = 6"}
+    whole = {f.name for f in schema.CLEAN_SCHEMA.fields if f.dataType.simpleString() in ("int", "bigint")}
+    lines = [("corrupt_record", schema.CORRUPT, "row_key % 83 = 2", "{n} records with a wrong number of fields")]
+    numeric = [f.name for f in schema.RAW_SCHEMA.fields if f.dataType.simpleString() in ("int", "bigint", "double")]
+    for name in numeric:
+        lines.append(("data_type", name, planted.get(name, "false"), "expected numeric type, {n} values are not"))
+        if name in whole:
+            lines.append(("data_type", name, fractions.get(name, "false"), "{n} values are not whole numbers"))
+    lines.append(("date", "arrival_date", "false", "{n} invalid dates"))
+    lines.append(("date", "reservation_status_date", "row_key % 89 = 3", "{n} invalid date values"))
+    parts = [
+        f"SELECT '{rule}' AS rule, '{column}' AS \"column\", '{column}: ' || replace('{text}', '{{n}}', CAST(n_bad AS VARCHAR)) AS message, n_bad "
+        f"FROM (SELECT count(*) FILTER (WHERE {bad}) AS n_bad FROM raw)"
+        for rule, column, bad, text in lines
+    ]
+    return f"WITH {RAW} " + " UNION ALL ".join(parts)
+
+
+SQL["text_validation_report"] = _text_report()
 SQL["stream_quarantine"] = SQL["quarantine"]
 SQL["stream_cooldown"] = SQL["cooldown_actions"]
 SQL["stream_occupancy"] = f"SELECT * FROM ({SQL['nightly_occupancy']}) WHERE occupancy > 0"

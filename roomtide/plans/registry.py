@@ -138,7 +138,7 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     weeks = booking_decisions(*production_weeks(spark, sf_dir))
     path = writers.write_documents(weeks.select("week", "retrain", "reasons"), shared_path(spark, "drift"))
-    found = spark.read.schema("week int, retrain boolean, reasons array<string>").json(path)
+    found = readers.read_drift_results(spark, path)
     return found.groupBy("retrain").agg(F.count("*").alias("n_weeks"), F.sum(F.size("reasons")).alias("n_reasons"))
 
 
@@ -154,9 +154,67 @@ def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("path", F.element_at(F.split("path", "/"), -1))
 
 
+@query
+def csv_two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers that order their columns differently, in one folder, and one that leaves a column out."""
+    raw = raw_bookings(spark, sf_dir).drop("row_key")
+    names = raw.columns
+    path = shared_path(spark, "headers")
+    part = F.col("lead_time") % 3
+    for k, columns in enumerate([names, names[::-1], [c for c in names if c != "company"]]):
+        writers.write_table(raw.where(part == k).select(*columns), f"{path}/w{k}", "csv")
+    rows = readers.read_bookings_csv(spark, f"{path}/*").groupBy("hotel", "meal")
+    found = rows.agg(
+        F.count("*").alias("n"), F.sum("adults").alias("adults"), F.sum("babies").alias("babies"), F.sum("lead_time").alias("lead_time"),
+        F.count("company").alias("n_company"), F.max("reservation_status_date").alias("last_day"),
+    )
+    return found
+
+
+@query
+def csv_quoted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes and commas through a CSV file and back."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    said = F.concat(F.lit('he said "'), "event_type", F.lit(', y", and ""'), "props", F.lit('"'))
+    path = writers.write_table(events.withColumn("said", said), shared_path(spark, "quoted"), "csv")
+    rows = readers.read_csv_text(spark, path, corrupt=readers.CORRUPT).where(F.col(readers.CORRUPT).isNull())
+    return rows.select(F.col("event_id").cast("long").alias("event_id"), "event_type", "props", "said")
+
+
 # --- Validation -------------------------------------------------------------
 
 
+def with_header(lines: DataFrame, header: str) -> DataFrame:
+    """Lines of text with ``header`` before those of every partition, hence of every file."""
+    import pyarrow as pa
+
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    return lines.mapInArrow(run, "value string")
+
+
+@query
+def text_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table as a text file with unreadable cells and surplus fields; counts per rule and column."""
+    key, raw = F.col("row_key"), raw_bookings(spark, sf_dir)
+    text = raw.select("row_key", *[F.col(c).cast("string").alias(c) for c in schema.RAW_COLUMNS])
+    children = F.when(key % 101 == 5, "abc").when(key % 101 == 6, "7.5").otherwise(F.col("children"))
+    day = F.when(key % 89 == 3, "2020-13-45").otherwise(F.col("reservation_status_date"))
+    broken = text.withColumns({
+        "children": children, "agent": F.when(key % 103 == 7, "zzz").otherwise(F.col("agent")),
+        "reservation_status_date": F.concat(day, F.when(key % 83 == 2, ",surplus").otherwise("")),
+    }).select(*schema.RAW_COLUMNS)
+    path = shared_path(spark, "broken")
+    lines = broken.select(F.array_join(F.array(*broken.columns), ",", "").alias("value"))
+    with_header(lines, ",".join(broken.columns)).write.text(path)
+    rows = readers.read_csv_text(spark, path, corrupt=readers.CORRUPT)
+    report = validation.validation_report(rows, errors_only=False)
+    return report.where(F.col("rule").isin("corrupt_record", "data_type", "date")).select("rule", "column", "message", "n_bad")
+
+
 @query
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.validation_report(stored_raw(spark, sf_dir).drop("row_key"), errors_only=False)

@@ -205,6 +205,9 @@ DRIFT_FEATURES = [
 ]
 
 # Texts a delimited file may use for "no value" (the usual dataframe-reader set).
+# The column that keeps unreadable records of a text file; never part of the data.
+CORRUPT = "_corrupt_record"
+
 NA_TEXTS = [
     "",
     "#N/A",

@@ -14,22 +14,56 @@ from roomtide.functions.columns import null_texts_to_null, to_integer
 DRIFT_RESULT_KEYS = ["week", "retrain", "reasons"]
 
 
-def csv_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header only."""
-    return spark.read.option("header", True).csv(path).columns
+CORRUPT = schema.CORRUPT
+# Ordinary quoting: a quote inside a quoted field is doubled.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
 
 
-def table_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a Parquet table, from its footer."""
-    return spark.read.parquet(path).columns
+def csv_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names from the header only."""
+    return spark.read.options(**CSV_QUOTING).option("header", True).csv(path).columns
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, with the usual "no value" texts turned into null."""
-    names = csv_columns(spark, path)
-    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return rows.select([null_texts_to_null(F.col(f"`{name}`")).alias(name) for name in names])
+def csv_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """The files of ``path`` by header: (column names, files), most files first.
+
+    The first line of every file is found by Spark in one pass over the lines of the files'
+    first blocks; what comes back is a row per file, as in Spark's own file listing.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where("file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
+    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    files: dict[str, list[str]] = {}
+    for row in first.select("header", "file_path").orderBy("file_path").toLocalIterator():
+        files.setdefault(row.header, []).append(row.file_path)
+    groups = sorted(files.values(), key=len, reverse=True)
+    return [(csv_columns(spark, group[0]), group) for group in groups]
+
+
+def read_csv_text(spark: SparkSession, path: str, corrupt: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Every column as text, by the name in its own file's header, with the usual "no value" texts turned into null.
+
+    Files may order their columns differently; a column that a file lacks is null in its rows.
+    ``corrupt`` names a column that keeps the whole line of a record with too few or too many
+    fields, and is null elsewhere. Line breaks inside quotes need ``multi_line``.
+    """
+    found = csv_headers(spark, path)
+    order = found[0][0] if found else csv_columns(spark, path)
+    parts = []
+    for names, files in found or [(order, path)]:
+        order += [n for n in names if n not in order]
+        declared = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *([corrupt] if corrupt else [])]])
+        reader = spark.read.schema(declared).options(**CSV_QUOTING).option("header", True).option("enforceSchema", False)
+        reader = reader.option("mode", "PERMISSIVE").option("multiLine", multi_line)
+        if corrupt:
+            # fields are counted only where whole lines are parsed
+            reader = reader.option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False)
+        parts.append(reader.csv(files if len(found) > 1 else path))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    columns = [null_texts_to_null(F.col(f"`{n}`")).alias(n) for n in order]
+    return rows.select(*columns, *([corrupt] if corrupt else []))
 
 
 def typed(df: DataFrame, declared: T.StructType = schema.CLEAN_SCHEMA, strict: bool = False) -> DataFrame:
@@ -68,13 +102,8 @@ def read_csv_with_dates(
     return rows.withColumns({c: F.to_date(F.col(c), date_format) for c in date_columns})
 
 
-def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    rows = spark.read.parquet(path)
-    return rows.select(*columns) if columns else rows
-
-
 def read_drift_results(spark: SparkSession, path: str) -> DataFrame:
-    """Weekly drift documents; raises when one lacks a required key."""
+    """Weekly drift documents, one per line; raises when one lacks a required key."""
     declared = T.StructType(
         [
             T.StructField("week", T.IntegerType()),
@@ -82,7 +111,7 @@ def read_drift_results(spark: SparkSession, path: str) -> DataFrame:
             T.StructField("reasons", T.ArrayType(T.StringType())),
         ]
     )
-    rows = spark.read.schema(declared).option("multiLine", True).json(path)
+    rows = spark.read.schema(declared).json(path)
     lacking = F.array_compact(
         F.array(*[F.when(F.col(key).isNull(), F.lit(key)) for key in sorted(DRIFT_RESULT_KEYS)])
     )

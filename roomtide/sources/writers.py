@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from roomtide.sources.readers import CSV_QUOTING
 
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
     """Overwrite ``path`` with ``df`` as Parquet, or as CSV with a header on request."""
     writer = df.write.mode("overwrite")
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_QUOTING).option("header", True)
     writer.format(file_format).save(path)
     return path
 
@@ -37,7 +38,3 @@ def write_documents(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path
 
-
-def as_document(df: DataFrame, name: str = "document") -> DataFrame:
-    """Every row as one JSON text."""
-    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))

@@ -56,10 +56,11 @@ def test_partitioned_sink_replaces_old_folders(spark, tmp_path):
 
 
 def test_drift_documents_need_their_keys(spark, tmp_path):
-    (tmp_path / "good.json").write_text('{"week": 3, "retrain": true, "reasons": ["a"]}')
+    several = [f'{{"week": {week}, "retrain": true, "reasons": ["a"]}}' for week in range(3, 8)]
+    (tmp_path / "good.json").write_text("\n".join(several))
     (tmp_path / "bad.json").write_text('{"week": 3, "reasons": []}')
-    good = readers.read_drift_results(spark, str(tmp_path / "good.json")).first()
-    assert (good.week, good.retrain, good.reasons) == (3, True, ["a"])
+    good = readers.read_drift_results(spark, str(tmp_path / "good.json")).collect()
+    assert [(r.week, r.retrain, r.reasons) for r in good] == [(week, True, ["a"]) for week in range(3, 8)]
     with pytest.raises(Exception, match="lacks retrain"):
         readers.read_drift_results(spark, str(tmp_path / "bad.json")).collect()
 
@@ -79,3 +80,27 @@ def test_typed_round_trip(spark, make_raw, tmp_path):
     again = readers.read_bookings_csv(spark, path, strict=True)
     assert again.schema == raw.schema
     assert sorted(map(str, again.collect())) == sorted(map(str, raw.collect()))
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.csv").write_text("hotel,adults,babies\nX,2,0\nX,3,1\n")
+    (tmp_path / "f" / "b.csv").write_text('babies,adults,hotel\n1,4,"Y, ""old"""\n')
+    (tmp_path / "f" / "c.csv").write_text("hotel,meal\nZ,BB\n")
+    rows = readers.read_csv_text(spark, str(tmp_path / "f"))
+    assert set(rows.columns) == {"hotel", "adults", "babies", "meal"}
+    found = {(r.hotel, r.adults, r.babies, r.meal) for r in rows.collect()}
+    assert found == {("X", "2", "0", None), ("X", "3", "1", None), ('Y, "old"', "4", "1", None), ("Z", None, None, "BB")}
+
+
+def test_corrupt_records_are_kept(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('a,b\n1,2\n3,4,5\n6\n"7,7",8\n')
+    rows = readers.read_csv_text(spark, str(tmp_path / "c.csv"), corrupt=readers.CORRUPT).collect()
+    assert [r[readers.CORRUPT] for r in rows] == [None, "3,4,5", "6", None]
+    assert rows[3].a == "7,7"
+
+
+def test_blank_text_is_a_value(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("a,b\n   ,NA\n")
+    found = readers.read_csv_text(spark, str(tmp_path / "d.csv")).first()
+    assert (found.a, found.b) == ("   ", None)

@@ -57,9 +57,9 @@ def test_columns_and_types(make_raw):
     assert found[:3] == [
         "Missing columns: ['meal']",
         "Unexpected columns: ['extra']",
-        "adr: expected numeric type, got string",
+        "adr: expected numeric type, 3 values are not",
     ]
-    assert "adr: 3 values are not numeric" in found
+    assert "adr: expected numeric type, 3 values are not" in found
     clean = make_raw(three_bookings()).drop("seq").withColumn("row_id", F.lit(1))
     assert validation.check(clean, record_only=True) == ["Unexpected columns: ['row_id']"]
     assert validation.check(clean, allow_derived=True) == []
@@ -90,3 +90,18 @@ def test_typed_schema(spark, make_raw):
     ]
     with pytest.raises(validation.ValidationFailed, match="not of type float"):
         validation.check_typed(make_raw(three_bookings()).withColumn("adr", F.lit("1")))
+
+
+def test_text_tables_are_judged_by_their_values(spark, make_raw):
+    raw = make_raw(three_bookings() * 10).drop("seq")
+    text = raw.select([F.col(c).cast("string").alias(c) for c in raw.columns])
+    assert validation.check(text, record_only=True) == validation.check(raw, record_only=True) == []
+    broken = text.withColumn("children", F.when(F.col("lead_time") == "10", "abc").when(F.col("lead_time") == "20", "7.5").otherwise(F.col("children")))
+    broken = broken.withColumn("agent", F.lit("zzz")).withColumn("reservation_status_date", F.lit("2020-13-45"))
+    errors = validation.check(broken, record_only=True)
+    assert "children: expected numeric type, 10 values are not" in errors
+    assert "children: 10 values are not whole numbers" in errors
+    assert "agent: expected numeric type, 30 values are not" in errors
+    assert "reservation_status_date: 30 invalid date values" in errors
+    with pytest.raises(validation.ValidationFailed, match="agent"):
+        validation.check(broken, record_only=True, stop_on=["data_type"])
