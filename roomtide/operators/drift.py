@@ -16,7 +16,6 @@ from roomtide.functions.columns import no_nan
 from roomtide.operators.metrics import compute_metrics
 from roomtide.operators.quantiles import exact_quantiles
 from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, row_numbers, value_ranges, with_range
-from roomtide.session import small_side
 
 # Limits of the drift checks.
 PRIOR_SHIFT_LIMIT = 0.05
@@ -89,7 +88,7 @@ def with_chunks(
     numbered = row_numbers(df, order_by, tie_break, out="_position", rows_per_range=rows_per_range)
     starts = numbered.groupBy(group).agg(F.min("_position").alias("_start"), F.count("*").alias("_size"))
     # one row per period of the calendar
-    placed = numbered.join(small_side(starts), group)
+    placed = numbered.join(starts, group)
     size = F.greatest(F.lit(smallest), F.least(F.col("_size"), F.lit(largest)))
     chunk = F.floor((F.col("_position") - F.col("_start")) / size).cast("int")
     return placed.withColumn(out, chunk).drop("_position", "_start", "_size")

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from roomtide import schema
 from roomtide.functions.columns import code_or_unknown, missing_flag
 from roomtide.operators.profiling import baseline_rates
-from roomtide.session import small_side
 
 
 class LeakageError(ValueError):
@@ -100,10 +99,10 @@ def baseline_predict(
 ) -> DataFrame:
     """Score rows with the training rate of their group, or the overall rate for an unseen group.
 
-    Group rates are broadcast only after a check of their number.
+    The overall rate follows from the groups; nothing runs before the result is asked for.
     """
     keys = list(keys)
-    rates = small_side(baseline_rates(train, keys, label))
-    overall = rates.agg(F.sum("_positives") / F.sum("_n")).first()[0]
+    rates = baseline_rates(train, keys, label)
+    overall = rates.agg(F.sum("_positives") / F.sum("_n")).scalar()
     scored = rows.join(rates, keys, "left")
-    return scored.withColumn(out, F.coalesce("baseline_rate", F.lit(overall))).drop("baseline_rate", "_positives", "_n")
+    return scored.withColumn(out, F.coalesce("baseline_rate", overall)).drop("baseline_rate", "_positives", "_n")

@@ -30,7 +30,7 @@ def weekly_stats(df: DataFrame, week: str = "week", day: str = "arrival_date", l
 def first_weeks(df: DataFrame, count: int, week: str = "week") -> DataFrame:
     """Rows of the earliest ``count`` weeks that occur. One row per week is looked at."""
     earliest = df.select(week).distinct().orderBy(week).limit(count)
-    return df.join(F.broadcast(earliest), week, "left_semi") if count <= 10_000 else df.join(earliest, week, "left_semi")
+    return df.join(earliest, week, "left_semi")
 
 
 def retrain_decision(

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from roomtide.config import CostConfig
 from roomtide.functions.columns import clipped, half_even, month_key
 from roomtide.operators.ranking import top_rows
-from roomtide.session import small_side
 
 POLICIES = ["no_overbook", "fixed", "avg_rate", "model"]
 
@@ -39,12 +38,13 @@ def with_capacity(
 ) -> DataFrame:
     """Add the hotel's room count: from a ``(hotel, capacity)`` table, else from the settings."""
     if capacities is None:
-        rooms = F.lit(config.default_capacity)
-        for name, count in config.capacity.items():
-            rooms = F.when(F.col(hotel) == name, count).otherwise(rooms)
-        return df.withColumn("capacity", rooms)
+        if not config.capacity:
+            return df.withColumn("capacity", F.lit(config.default_capacity))
+        settings = [(name, int(count)) for name, count in config.capacity.items()]
+        # the settings of the caller, a table of fixed size
+        capacities = F.broadcast(df.sparkSession.createDataFrame(settings, "hotel string, capacity int"))
     known = capacities.select(F.col("hotel").alias(hotel), F.col("capacity").cast("int").alias("_capacity"))
-    joined = df.join(small_side(known), hotel, "left")
+    joined = df.join(known, hotel, "left")
     return joined.withColumn("capacity", F.coalesce("_capacity", F.lit(config.default_capacity))).drop("_capacity")
 
 
@@ -57,7 +57,7 @@ def with_rate(df: DataFrame, rates: DataFrame | None, config: CostConfig, day: s
     """Add the month's rate, or the default rate where the lookup has none."""
     if rates is None:
         return df.withColumn("rate", F.lit(config.default_rate))
-    months = small_side(rates.select("hotel", "month", F.col("rate").alias("_rate")))
+    months = rates.select("hotel", "month", F.col("rate").alias("_rate"))
     joined = df.withColumn("month", month_key(day)).join(months, ["hotel", "month"], "left")
     return joined.withColumn("rate", F.coalesce("_rate", F.lit(config.default_rate))).drop("_rate", "month")
 
@@ -160,26 +160,19 @@ def night_books(
 def expected_gaps(p_cancel: np.ndarray, rooms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Expected empty rooms and displaced guests when the first ``m`` bookings are accepted.
 
-    Row ``m``, one column per capacity in ``rooms``. The number of guests follows the
-    Poisson-binomial law; row ``m`` of ``law`` adds one booking to row ``m - 1``.
+    Row ``m``, one column per capacity in ``rooms``. One more booking leaves ``c`` rooms as they
+    are with its cancellation probability and takes one otherwise, so the expected number of
+    empty rooms follows from the row before for all capacities at once; the state is one array.
     """
-    n = len(p_cancel)
-    law = np.zeros((n + 1, n + 1))
-    law[0, 0] = 1.0
+    rooms = np.asarray(rooms, dtype=np.int64)
+    state = np.arange(rooms.max(initial=0) + 1.0)
+    empty = np.empty((len(p_cancel) + 1, len(rooms)))
+    empty[0] = rooms
     for m, p in enumerate(p_cancel, start=1):
-        law[m, :m] = law[m - 1, :m] * p
-        law[m, 1 : m + 1] += law[m - 1, :m] * (1.0 - p)
-    gap = np.asarray(rooms, dtype=float)[None, :] - np.arange(n + 1.0)[:, None]
-    return law @ np.maximum(gap, 0.0), law @ np.maximum(-gap, 0.0)
-
-
-def simulated_gaps(p_cancel: np.ndarray, capacity: int, n_sims: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same two quantities for one capacity by simulation with a fixed seed."""
-    draws = np.random.default_rng(seed).random((n_sims, len(p_cancel)))
-    guests = np.zeros((n_sims, len(p_cancel) + 1))
-    guests[:, 1:] = np.cumsum(draws < 1.0 - p_cancel, axis=1)
-    gap = capacity - guests
-    return np.maximum(gap, 0).mean(axis=0), np.maximum(-gap, 0).mean(axis=0)
+        state[1:] = p * state[1:] + (1.0 - p) * state[:-1]
+        empty[m] = state[rooms]
+    guests = np.concatenate(([0.0], np.cumsum(1.0 - np.asarray(p_cancel, dtype=float))))
+    return empty, np.maximum(guests[:, None] - rooms + empty, 0.0)
 
 
 def highest_level(capacity: int, o_max_pct: float) -> int:
@@ -202,14 +195,13 @@ def best_level(
     k: Column,
     config: CostConfig,
     o_max: int | None = None,
-    method: str = "exact",
 ) -> Column:
     """Struct ``(o_star, expected_cost, cost_curve)`` for an array of cancellation probabilities.
 
     The smallest of equally good levels wins; no bookings give level 0 at cost 0. A batch
-    holds many nights. ``method="simulation"`` draws with the configured seed instead.
+    holds many nights.
     """
-    share, n_sims, seed = config.o_max_pct, config.n_sims, config.seed
+    share = config.o_max_pct
 
     def solve(p, rooms, unit, factor):
         p = np.asarray(p if p is not None else [], dtype=float)
@@ -217,10 +209,7 @@ def best_level(
             return 0, 0.0, [0.0]
         top = highest_level(rooms, share) if o_max is None else o_max
         p = p[: rooms + top]
-        if method == "simulation":
-            empty, over = simulated_gaps(p, rooms, n_sims, seed)
-        else:
-            empty, over = (gap[:, 0] for gap in expected_gaps(p, np.array([rooms])))
+        empty, over = (gap[:, 0] for gap in expected_gaps(p, np.array([rooms])))
         costs = level_costs(empty, over, rooms, unit, factor, top)
         best = int(np.argmin(costs))
         return best, float(costs[best]), costs.tolist()
@@ -296,7 +285,6 @@ def recommend(
     config: CostConfig,
     occupied: DataFrame | None = None,
     capacities: DataFrame | None = None,
-    method: str = "exact",
     with_curve: bool = False,
     decimals: bool = True,
     **columns,
@@ -320,9 +308,7 @@ def recommend(
     k = F.coalesce(F.col("_k"), F.lit(config.default_k)) if "_k" in has else F.lit(config.default_k)
     nights = nights.withColumns({"already_occupied": taken, "adr_ref": price, "k": k.cast("double")})
     nights = nights.withColumn("effective_capacity", F.greatest(F.lit(0), F.col("capacity") - F.col("already_occupied")))
-    level = best_level(
-        F.col("book.p"), F.col("effective_capacity"), F.col("adr_ref"), F.col("k"), config, method=method
-    )
+    level = best_level(F.col("book.p"), F.col("effective_capacity"), F.col("adr_ref"), F.col("k"), config)
     solved = nights.withColumn("level", level)
 
     def shown(name: str, digits: int) -> Column:

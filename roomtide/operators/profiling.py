@@ -73,7 +73,7 @@ def profile_rate(
     aggregates = [F.count("*").alias("n"), F.avg(label).alias("rate")]
     for name in measures:
         aggregates += [F.avg(name).alias(f"{name}_mean"), F.stddev(name).alias(f"{name}_std")]
-    return df.groupBy(*keys).agg(*aggregates).withColumn("share", F.col("n") / F.lit(df.count()))
+    return df.groupBy(*keys).agg(*aggregates).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

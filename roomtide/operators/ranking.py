@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from roomtide.functions.columns import as_column
 
 ROWS_PER_RANGE = 1_000_000
+PIECES = 64
 MAX_RANGES = 10_000
 
 
@@ -102,12 +103,6 @@ def _numeric(df: DataFrame, key: Column) -> Column:
     return key.cast("double")
 
 
-def salt_count(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_RANGE) -> int:
-    """How many ways the largest group must be cut for a task to get ``rows_per_task`` rows."""
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    return max(1, math.ceil(largest / rows_per_task))
-
-
 def top_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -119,10 +114,11 @@ def top_rows(
 ) -> DataFrame:
     """The first ``limit`` rows of every group with their rank, for a bounded ``limit``.
 
-    Large groups are cut by a hash of ``unique`` and thinned to ``limit`` rows per piece
-    before the pieces meet. ``order`` must be total, so the result does not depend on it.
+    Spark thins every task's rows to a rank limit below 1,000 before they are shuffled. For a
+    larger limit groups are cut by a hash of ``unique`` and thinned piece by piece before the
+    pieces meet. ``order`` must be total, so the result does not depend on it.
     """
-    salts = salt_count(df, keys) if salts is None else salts
+    salts = (1 if limit < 1_000 else PIECES) if salts is None else salts
     if salts > 1:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(unique), F.lit(salts)))
         piece = Window.partitionBy(*keys, "_salt").orderBy(*order)

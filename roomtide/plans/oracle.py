@@ -643,10 +643,10 @@ SQL: dict[str, str] = {
     "k_sensitivity": _weekly(_simple_choice(["no_overbook", "fixed", "avg_rate"], [1.5, 2.0, 3.0])) + SUMMARY.format(keys="policy, k"),
     "optimal_overbook": f"""WITH RECURSIVE {WEEKS}{WEEK_LEVELS.format(ks='(2.0::DOUBLE)')}
         SELECT hotel, stay_date, capacity, n AS n_bookings, CAST(o AS INT) AS o_star, round(cost, 2) AS expected_cost FROM best""",
-    "guest_law": f"""WITH RECURSIVE {WEEKS}, longest AS (SELECT 2 * greatest(8, max(capacity)) AS k FROM wcap),
-        kept AS (SELECT ranked.* FROM ranked, longest WHERE rn <= k){LAW.format(nights='nt', ranked='kept')}
-        SELECT hotel, stay_date, s AS guests, round(prob, 8) AS probability
-        FROM law JOIN nt USING (hotel, stay_date), longest WHERE m = least(n, k)""",
+    "guest_law": f"""WITH RECURSIVE {WEEKS}, kept AS (SELECT ranked.* FROM ranked JOIN wcap USING (hotel) WHERE rn <= 2 * capacity){LAW.format(nights='nt', ranked='kept')}
+        SELECT DISTINCT hotel, stay_date, CAST(o AS INT) AS o, s AS guests, round(prob, 8) AS probability
+        FROM law JOIN nt USING (hotel, stay_date) JOIN wcap USING (hotel),
+          LATERAL (SELECT unnest([0, 1, capacity]) AS o) WHERE m = least(n, capacity + o)""",
     "sequential_backtest": _sequential(["no_overbook", "fixed", "avg_rate"], [2.0]) + SEQUENTIAL_ROWS,
     "sequential_model": _sequential(["model"], [1.5, 3.0]) + SEQUENTIAL_ROWS,
     "sequential_summary": _sequential(["no_overbook", "fixed", "avg_rate", "model"], [2.0]) + SUMMARY.format(keys="policy"),
@@ -761,7 +761,8 @@ SQL["stream_occupancy"] = f"SELECT * FROM ({SQL['nightly_occupancy']}) WHERE occ
 SQL["stream_weekly_stats"] = f"""WITH {EVENTS} SELECT week, count(*) AS n_rows,
     round(avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 6) AS cancel_rate FROM ev GROUP BY week"""
 SQL["stream_service_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) AS day, count(*) AS requests,
-    count(*) FILTER (WHERE status >= 500) AS server_errors_5xx, max(ms) AS max_ms FROM log GROUP BY 1, 2"""
+    count(*) FILTER (WHERE status >= 500) AS server_errors_5xx, quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms,
+    max(ms) AS max_ms FROM log GROUP BY 1, 2"""
 SQL["stream_sliding_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) - back AS day, count(*) AS requests, max(ms) AS max_ms
     FROM log, (VALUES (0), (1)) t(back) GROUP BY 1, 2"""
 SQL["stream_late_labels"] = f"""WITH {SCORED}{_metrics('sc', 'hotel', 'is_canceled', 'p_cancel')}

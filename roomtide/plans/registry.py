@@ -48,6 +48,8 @@ THREE_POLICIES = ["no_overbook", "fixed", "avg_rate"]
 CUTOFF = date(2000, 5, 31)
 DRIFT_COLUMNS = ["lead_time", "adr", "length_of_stay"]
 MODEL_TREES = 20
+# Stored tables come in no order of time: rows may be as late as the table is long.
+WHOLE_SPAN = "7300 days"
 
 
 def query(run: Query) -> Query:
@@ -280,7 +282,7 @@ def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row numbers by day, which many orders share, with the order key as tie-break; cut into ranges."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     ranges = 16
-    per_range = max(1, orders.count() // ranges)
+    per_range = min(ranking.ROWS_PER_RANGE, max(1, orders.count() // ranges))
     return ranking.row_numbers(orders, "o_orderdate", "o_orderkey", rows_per_range=per_range).select("row_id", "o_orderkey")
 
 
@@ -374,7 +376,7 @@ def distinct_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price quantiles per hotel: nearly every value is distinct, cut into ranges."""
     rows = bookings(spark, sf_dir, stays=False)
-    per_range = max(1, table(spark, sf_dir, "orders").count() // 16)
+    per_range = min(ranking.ROWS_PER_RANGE, max(1, table(spark, sf_dir, "orders").count() // 16))
     levels = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
     return rounded(quantiles.exact_quantiles(rows, "adr", levels, ["hotel"], per_range), 4, *levels)
 
@@ -518,13 +520,13 @@ def k_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(found, 0, "total_profit"), 6, "moved_per_1000_nights")
 
 
-def _best_levels(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+def _best_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     nights = weekly_nights(spark, sf_dir)
     capacities = weekly_capacity(nights)
     books = overbooking.night_books(nights, overbooking.book_length(WEEK_CONFIG, capacities), label=None, nights=None)
     sized = overbooking.with_capacity(books, WEEK_CONFIG, capacities)
     level = overbooking.best_level(
-        F.col("book.p"), F.col("capacity"), F.col("adr_ref"), F.lit(2.0), WEEK_CONFIG, method=method
+        F.col("book.p"), F.col("capacity"), F.col("adr_ref"), F.lit(2.0), WEEK_CONFIG
     )
     found = sized.withColumn("level", level).select(
         "hotel",
@@ -540,23 +542,20 @@ def _best_levels(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
 @query
 def optimal_overbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best level and its expected cost per hotel and week, from the exact distribution of guests."""
-    return _best_levels(spark, sf_dir, "exact")
-
-
-@query
-def simulated_overbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same decision from seeded draws; a random method, so it has no SQL text."""
-    return _best_levels(spark, sf_dir, "simulation")
+    return _best_levels(spark, sf_dir)
 
 
 @query
 def guest_law(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distribution of the number of guests among the first bookings of every week, as a native fold."""
+    """Distribution of the number of guests among the bookings that each level accepts, as a native fold."""
     nights = weekly_nights(spark, sf_dir)
-    length = overbooking.book_length(WEEK_CONFIG, weekly_capacity(nights))
-    books = overbooking.night_books(nights, length, label=None, nights=None)
-    law = overbooking.exact_guest_law(F.col("book.p"))
-    rows = books.select("hotel", "stay_date", F.posexplode(law).alias("guests", "probability"))
+    capacities = weekly_capacity(nights)
+    length = overbooking.book_length(WEEK_CONFIG, capacities)
+    books = overbooking.with_capacity(overbooking.night_books(nights, length, label=None, nights=None), WEEK_CONFIG, capacities)
+    levels = books.withColumn("o", F.explode(F.array(F.lit(0), F.lit(1), F.col("capacity"))))
+    accepted = F.slice("book.p", 1, F.least(F.size("book"), F.col("capacity") + F.col("o")))
+    law = overbooking.exact_guest_law(accepted)
+    rows = levels.select("hotel", "stay_date", "o", F.posexplode(law).alias("guests", "probability")).distinct()
     return rounded(rows, 8, "probability")
 
 
@@ -705,7 +704,7 @@ def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def psi_ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, weeks = production_weeks(spark, sf_dir)
-    per_range = max(1, table(spark, sf_dir, "orders").count() // 8)
+    per_range = min(ranking.ROWS_PER_RANGE, max(1, table(spark, sf_dir, "orders").count() // 8))
     found = drift.column_drift(rows.filter(F.col("split") == "train"), weeks, DRIFT_COLUMNS, rows_per_range=per_range)
     return rounded(found, 8, "psi", "ks", "wasserstein_normed")
 
@@ -812,7 +811,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_weekly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = table(spark, sf_dir, "events").agg(F.min(F.col("ts").cast("date"))).first()[0]
     stream = _event_stream(spark, sf_dir).withColumn("is_error", (F.col("event_type") == "error").cast("int"))
-    weekly = streams.weekly_stats_stream(stream, first, label="is_error")
+    weekly = streams.weekly_stats_stream(stream, first, WHOLE_SPAN, label="is_error")
     return rounded(streams.run_available(weekly, "weekly", ["week"]), 6, "cancel_rate")
 
 
@@ -822,9 +821,9 @@ def stream_service_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _event_stream(spark, sf_dir).select(
         "ts", F.col("event_type").alias("path"), status.alias("status"), F.col("value").alias("latency_ms")
     )
-    levels = streams.run_available(streams.service_levels_stream(log), "slo", ["path", "window_start"])
+    levels = streams.run_available(streams.service_levels_stream(log, WHOLE_SPAN), "slo", ["path", "window_start"])
     day = F.col("window_start").cast("date").alias("day")
-    return levels.select("path", day, "requests", "server_errors_5xx", "max_ms")
+    return levels.select("path", day, "requests", "server_errors_5xx", "p50_ms", "p95_ms", "max_ms")
 
 
 @query
@@ -832,7 +831,7 @@ def stream_sliding_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _event_stream(spark, sf_dir).select(
         "ts", F.col("event_type").alias("path"), F.lit(200).alias("status"), F.col("value").alias("latency_ms")
     )
-    sliding = streams.service_levels_stream(log, "2 days", "1 day")
+    sliding = streams.service_levels_stream(log, WHOLE_SPAN, "2 days", "1 day")
     levels = streams.run_available(sliding, "slo-sliding", ["path", "window_start"])
     return levels.select("path", F.col("window_start").cast("date").alias("day"), "requests", "max_ms")
 
@@ -853,7 +852,7 @@ def stream_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "stays")
     rows = bookings(spark, sf_dir).select("hotel", "stay_date", "length_of_stay", "is_canceled")
     rows.write.parquet(folder)
-    stream = streams.occupancy_stream(streams.read_table_stream(spark, folder, rows.schema))
+    stream = streams.occupancy_stream(streams.read_table_stream(spark, folder, rows.schema), WHOLE_SPAN)
     found = streams.run_available(stream, "occupancy", ["hotel", "night"])
     return found.select("hotel", F.col("night").cast("date").alias("date"), "occupancy")
 
@@ -869,7 +868,7 @@ def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_path(spark, name)
         frame.write.parquet(folder)
         sides.append(streams.read_table_stream(spark, folder, frame.schema))
-    joined = streams.run_available(streams.late_labels_stream(*sides), "labelled")
+    joined = streams.run_available(streams.late_labels_stream(*sides, WHOLE_SPAN), "labelled")
     found = metrics.compute_metrics(joined, "is_canceled", "p_cancel", ["hotel"])
     return rounded(found.select("hotel", "n_rows", "pr_auc", "ece"), 6, "pr_auc", "ece")
 

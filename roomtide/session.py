@@ -1,14 +1,10 @@
-"""Session helpers: the shared folder, lineage cuts and size-checked broadcasts."""
+"""Session helpers: the shared folder and lineage cuts."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 20_000
 
 
 def get_session(app: str = "roomtide", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,18 +27,11 @@ def get_session(app: str = "roomtide", master: str | None = None, **conf: str) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it then gets a scratch folder.
-    """
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="roomtide-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -61,16 +50,3 @@ def cut_lineage(df: DataFrame, label: str = "cut", partition_by: list[str] | Non
     else:
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if, and only if, it has at most ``max_rows`` rows.
-
-    The check reads ``max_rows + 1`` rows at most. A table within the bound is kept
-    as a local relation, so it is computed once. A larger one is returned as it was
-    and the join falls back to a shuffle, where adaptive execution splits hot keys.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))

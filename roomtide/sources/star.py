@@ -6,20 +6,24 @@ Both are plain joins over whole tables and grow with them.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-_SCHEMAS: dict[str, StructType] = {}
+# Schemas by session and path: a session reads each footer once, another one anew.
+_SCHEMAS: weakref.WeakKeyDictionary[SparkSession, dict[str, StructType]] = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the star schema. Its schema is read from the footer once per path."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    known = _SCHEMAS.setdefault(spark, {})
+    if path not in known:
+        known[path] = spark.read.parquet(path).schema
+    return spark.read.schema(known[path]).parquet(path)
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:

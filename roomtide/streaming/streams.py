@@ -41,9 +41,12 @@ def week_offset(first_day: date) -> str:
 
 
 def weekly_stats_stream(
-    stream: DataFrame, first_day: date, ts: str = "ts", label: str = "is_canceled", delay: str = "7 days"
+    stream: DataFrame, first_day: date, delay: str, ts: str = "ts", label: str = "is_canceled"
 ) -> DataFrame:
-    """Rows and label rate per week, numbered from the week of ``first_day``."""
+    """Rows and label rate per week, numbered from the week of ``first_day``.
+
+    ``delay`` is how late a row may come; see :func:`run_available` for what happens beyond it.
+    """
     timed = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
     weekly = timed.groupBy(F.window("_ts", "7 days", "7 days", week_offset(first_day)))
     found = weekly.agg(F.count("*").alias("n_rows"), F.avg(label).alias("cancel_rate"))
@@ -52,7 +55,7 @@ def weekly_stats_stream(
 
 
 def service_levels_stream(
-    log: DataFrame, width: str = "1 day", slide: str | None = None, delay: str = "1 hour", accuracy: int = 10_000
+    log: DataFrame, delay: str, width: str = "1 day", slide: str | None = None, accuracy: int = 10_000
 ) -> DataFrame:
     """Requests, server errors and latency per path and window; sliding when ``slide`` is given.
 
@@ -80,11 +83,11 @@ def service_levels_stream(
 
 def occupancy_stream(
     stream: DataFrame,
+    delay: str,
     hotel: str = "hotel",
     stay: str = "stay_date",
     nights: str = "length_of_stay",
     canceled: str = "is_canceled",
-    delay: str = "60 days",
 ) -> DataFrame:
     """Rooms taken per hotel and night, updated as bookings arrive."""
     kept = stream.filter(F.col(canceled) == 0)
@@ -124,11 +127,11 @@ def score_stream(
 def late_labels_stream(
     scores: DataFrame,
     outcomes: DataFrame,
+    delay: str,
     key: str = "row_id",
     score_ts: str = "score_ts",
     outcome_ts: str = "outcome_ts",
     within: str = "60 days",
-    delay: str = "7 days",
 ) -> DataFrame:
     """Scores joined to the outcomes that become known later, within a bounded time."""
     left = scores.withWatermark(score_ts, delay)
@@ -171,10 +174,15 @@ def cooldown_stream(signals: DataFrame, cooldown: int = COOLDOWN_WEEKS, acted: s
 # --- Running a stream to completion -----------------------------------------
 
 
+class RowsTooLate(RuntimeError):
+    """Rows came later than the watermark allows, so the result would lack them."""
+
+
 def run_available(stream: DataFrame, label: str, keys: Sequence[str] = (), mode: str | None = None) -> DataFrame:
     """Process what is there and return the resulting table from the shared folder.
 
-    With ``keys`` the stream emits updates and the newest row per key counts.
+    With ``keys`` the stream emits updates and the newest row per key counts. Raises
+    :class:`RowsTooLate` when a batch reports rows behind the watermark: nothing is lost silently.
     """
     spark = stream.sparkSession
     path, checkpoint = shared_path(spark, label), shared_path(spark, f"{label}-state")
@@ -183,7 +191,17 @@ def run_available(stream: DataFrame, label: str, keys: Sequence[str] = (), mode:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(store).outputMode(mode or ("update" if keys else "append"))
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "1000000")  # the report of every batch
+    try:
+        run = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        run.awaitTermination()
+        late = sum(state.numRowsDroppedByWatermark for report in run.recentProgress for state in report.stateOperators)
+    finally:
+        spark.conf.set(kept, before)
+    if late:
+        raise RowsTooLate(f"{late} rows or partial sums of {label} came behind the watermark; allow a longer delay")
     declared = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
     rows = spark.read.schema(declared).parquet(path)
     if not keys:

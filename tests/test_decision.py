@@ -1,5 +1,7 @@
 from datetime import date, timedelta
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,16 +81,24 @@ def test_law_against_enumeration(spark):
         assert over[3, c] == pytest.approx(np.dot(native, np.maximum(0, guests - c)))
 
 
-def test_exact_agrees_with_simulation(spark):
+def test_gaps_equal_the_full_law():
     rng = np.random.default_rng(1)
-    p = rng.random(60) * 0.6
-    exact = overbooking.expected_gaps(p, np.array([40]))
-    drawn = overbooking.simulated_gaps(p, 40, 20_000, 42)
-    for gap, mean in zip(exact, drawn):
-        assert np.abs(gap[:, 0] - mean).max() < 0.08
-    assert abs(best(spark, p, 40).o_star - best(spark, p, 40, method="simulation").o_star) <= 2
-    same = [best(spark, p, 40, method="simulation").expected_cost for _ in range(2)]
-    assert same[0] == same[1]
+    p, rooms = rng.random(60) * 0.6, np.array([0, 1, 17, 40, 75])
+    empty, over = overbooking.expected_gaps(p, rooms)
+    law = np.array([1.0])
+    for m in range(len(p) + 1):
+        if m:
+            law = np.convolve(law, [p[m - 1], 1 - p[m - 1]])
+        gap = rooms[None, :] - np.arange(m + 1)[:, None]
+        assert np.allclose(empty[m], law @ np.maximum(gap, 0), atol=1e-10)
+        assert np.allclose(over[m], law @ np.maximum(-gap, 0), atol=1e-10)
+
+
+def test_large_hotels_are_quick():
+    p = np.random.default_rng(1).random(2600) * 0.5
+    start = time.perf_counter()
+    overbooking.expected_gaps(p, np.array([2000]))
+    assert time.perf_counter() - start < 0.5  # 0.02 s on an idle core
 
 
 def test_levels_by_room_match_single_levels(spark):

@@ -1,4 +1,4 @@
-"""Registered queries against their SQL text. All of them run with ROOMTIDE_ALL=1."""
+"""All registered queries against their SQL text."""
 
 import os
 
@@ -6,19 +6,13 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle_check import compare, connect
+from roomtide.plans.oracle import SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-QUICK = [
-    "rate_by_month_hotel", "missingness", "duplicate_flags", "removal_rate", "row_numbers", "temporal_split_stats", "split_overlap",
-    "split_comparison", "baseline_predict", "request_groups", "nightly_occupancy", "capacity_p95", "backtest_fixed",
-    "optimal_overbook", "sequential_backtest", "model_quality", "ece", "reliability_curve", "prior_shift", "js_drift",
-    "cooldown_actions", "slo_by_path", "slo_totals",
-]
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()) if os.environ.get("ROOMTIDE_ALL") else QUICK)
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     assert compare(queries()[name](spark, SF_DIR), connect(SF_DIR), oracle_sql()[name]) == ""
 

@@ -1,5 +1,6 @@
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from roomtide.operators import monitoring, occupancy, splitting
@@ -19,7 +20,7 @@ def test_weekly_stats_match_batch(spark, tmp_path):
     start = date(2017, 4, 1)
     rows = spark.createDataFrame([(start + timedelta(i % 40), i % 3 % 2) for i in range(300)], "arrival_date date, is_canceled int")
     stream = stream_of(spark, rows, tmp_path / "in")
-    weekly = streams.weekly_stats_stream(stream, start, "arrival_date")
+    weekly = streams.weekly_stats_stream(stream, start, "60 days", "arrival_date")
     found = {r.week: (r.n_rows, round(r.cancel_rate, 4)) for r in streams.run_available(weekly, "w", ["week"]).collect()}
     batch = monitoring.weekly_stats(splitting.with_week(rows))
     assert found == {r.week: (r.n_rows, r.cancel_rate) for r in batch.collect()}
@@ -30,7 +31,7 @@ def test_occupancy_over_several_batches(spark, tmp_path):
         [("H", date(2020, 1, 1) + timedelta(i % 20), 1 + i % 4, int(i % 5 == 0)) for i in range(200)],
         "hotel string, stay_date date, length_of_stay int, is_canceled int",
     )
-    stream = streams.occupancy_stream(stream_of(spark, rows, tmp_path / "in", files=1))
+    stream = streams.occupancy_stream(stream_of(spark, rows, tmp_path / "in", files=1), "60 days")
     found = streams.run_available(stream, "o", ["hotel", "night"])
     batch = occupancy.nightly_occupancy(rows).filter("occupancy > 0")
     assert {(r.night.date(), r.occupancy) for r in found.collect()} == {(r.date, r.occupancy) for r in batch.collect()}
@@ -55,14 +56,14 @@ def test_late_labels_respect_the_time_bound(spark, tmp_path):
     outcomes = spark.createDataFrame(
         [(0, 1, t0 + timedelta(3)), (1, 0, t0 + timedelta(90)), (7, 0, t0)], "row_id long, is_canceled int, outcome_ts timestamp"
     )
-    joined = streams.late_labels_stream(stream_of(spark, scores, tmp_path / "s"), stream_of(spark, outcomes, tmp_path / "o"))
+    joined = streams.late_labels_stream(stream_of(spark, scores, tmp_path / "s"), stream_of(spark, outcomes, tmp_path / "o"), "7 days")
     assert [(r.row_id, r.is_canceled) for r in streams.run_available(joined, "l").collect()] == [(0, 1)]
 
 
 def test_sliding_levels(spark, tmp_path):
     t0 = datetime(2020, 1, 1)
     log = spark.createDataFrame([("/p", 200, 10.0 * i, t0 + timedelta(hours=6 * i)) for i in range(8)], "path string, status int, latency_ms double, ts timestamp")
-    sliding = streams.service_levels_stream(stream_of(spark, log, tmp_path / "in"), "2 days", "1 day")
+    sliding = streams.service_levels_stream(stream_of(spark, log, tmp_path / "in"), "1 hour", "2 days", "1 day")
     found = {r.window_start.day: (r.requests, r.max_ms) for r in streams.run_available(sliding, "s", ["path", "window_start"]).collect()}
     assert found == {31: (4, 30.0), 1: (8, 70.0), 2: (4, 70.0)}
 
@@ -76,3 +77,35 @@ def test_quarantine_routes_rows(spark, make_raw, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ok")).count() == 1
     bad = spark.read.parquet(str(tmp_path / "bad"))
     assert sorted(r.f for r in bad.select(F.explode("problems.field").alias("f")).collect()) == ["guests", "lead_time"]
+
+
+def shuffled_files(spark, path, rows=4000, files=8):
+    """Events of 200 days in random order, one file per part."""
+    t0 = datetime(2020, 1, 1)
+    events = spark.range(rows).select(
+        (F.lit(t0).cast("timestamp") + F.make_dt_interval(hours=(F.col("id") % 4800).cast("int"))).alias("ts"),
+        F.when(F.col("id") % 3 == 0, "/a").otherwise("/b").alias("path"),
+        F.when(F.col("id") % 7 == 0, 500).otherwise(200).alias("status"),
+        (F.col("id") % 101).cast("double").alias("latency_ms"),
+        (F.col("id") % 2).cast("int").alias("is_canceled"),
+    )
+    events.orderBy(F.xxhash64("ts", "path", "latency_ms")).repartition(files, F.xxhash64("latency_ms", "ts")).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_files_in_many_triggers_lose_nothing_or_raise(spark, tmp_path):
+    rows = shuffled_files(spark, tmp_path / "in")
+    stream = lambda: streams.read_table_stream(spark, str(tmp_path / "in"), rows.schema, files_per_trigger=1)
+    start = date(2020, 1, 1)
+    weekly = lambda delay: streams.run_available(streams.weekly_stats_stream(stream(), start, delay), "w", ["week"])
+    levels = lambda delay: streams.run_available(streams.service_levels_stream(stream(), delay), "s", ["path", "window_start"])
+    assert weekly("300 days").agg(F.sum("n_rows")).first()[0] == rows.count()
+    found = {(r.path, r.window_start): (r.requests, r.server_errors_5xx, r.p50_ms, r.max_ms) for r in levels("300 days").collect()}
+    batch = rows.groupBy("path", F.date_trunc("day", "ts").alias("d")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("status") >= 500).alias("e"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY latency_ms)").alias("m"), F.max("latency_ms").alias("x"),
+    )
+    assert found == {(r.path, r.d): (r.n, r.e, r.m, r.x) for r in batch.collect()}
+    for run in (weekly, levels):
+        with pytest.raises(streams.RowsTooLate):
+            run("1 hour")
