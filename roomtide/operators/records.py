@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from roomtide import schema
 from roomtide.config import CostConfig
-from roomtide.functions.columns import truthy
+from roomtide.functions.columns import to_integer, truthy
 from roomtide.operators.overbooking import with_capacity
 
 PROBLEMS = "problems"
@@ -72,7 +72,7 @@ def apply_defaults(df: DataFrame, fields: Mapping[str, Field] = BOOKING_FIELDS)
     out = []
     for name, field in fields.items():
         value = F.col(name) if name in df.columns else F.lit(None)
-        value = value.cast(field.kind)
+        value = to_integer(value) if isinstance(field.kind, T.IntegerType) else value.try_cast(field.kind)
         if not field.required and field.default is not None:
             value = F.coalesce(value, F.lit(field.default))
         out.append(value.alias(name))
@@ -100,6 +100,11 @@ def find_problems(df: DataFrame, fields: Mapping[str, Field] = BOOKING_FIELDS, c
         value = F.col(name)
         if field.required:
             problem(name, value.isNull(), "field required")
+        if isinstance(df.schema[name].dataType, T.StringType) and isinstance(field.kind, T.NumericType):
+            whole = isinstance(field.kind, T.IntegralType)
+            typed = to_integer(value) if whole else value.try_cast(field.kind)
+            problem(name, value.isNotNull() & typed.isNull(), "must be a whole number" if whole else "must be a number")
+            value = typed
         if field.at_least is not None:
             problem(name, value < field.at_least, f"must be at least {_number(field.at_least)}")
         if field.at_most is not None:
@@ -131,27 +136,33 @@ def check_requests(
     request: str = "request_id",
     capacities: DataFrame | None = None,
     max_batch: int = MAX_BATCH,
+    hotels: Sequence[str] = BOOKING_FIELDS["hotel"].allowed,
 ) -> DataFrame:
-    """Night requests as groups of booking rows: size, one hotel, and rooms already taken.
+    """Night requests as groups of booking rows: size, one known hotel, rooms taken, price and factor.
 
-    ``request_hotel`` and ``already_occupied`` repeat on every row of a request. A request
+    ``request_hotel``, ``already_occupied`` and, where given, ``adr_ref`` and ``k`` repeat on
+    every row of a request; without the last two the night's own values apply. A request
     without bookings has one row whose ``hotel`` is null. Counting combines map-side, so
     an oversized request is rejected without being gathered.
     """
+    given = [name for name in ("adr_ref", "k") if name in df.columns]
     groups = df.groupBy(F.col(request).alias("request_id")).agg(
         F.count("hotel").alias("n_bookings"),
         F.count_if(truthy(F.col("hotel") != F.col("request_hotel"))).alias("n_other_hotel"),
         F.max("request_hotel").alias("hotel"),
         F.max("already_occupied").alias("already_occupied"),
+        *[F.min(name).alias(name) for name in given],
     )
     rooms = with_capacity(groups, config, capacities)
     tests = [
         ("bookings", F.col("n_bookings") < 1, "at least one booking is required"),
         ("bookings", F.col("n_bookings") > max_batch, f"at most {max_batch} bookings are allowed"),
         ("hotel", F.col("n_other_hotel") > 0, "all bookings must be for the requested hotel"),
+        ("hotel", ~F.col("hotel").isin(list(hotels)), "not an allowed value"),
         ("already_occupied", F.col("already_occupied").isNull(), "field required"),
         ("already_occupied", F.col("already_occupied") < 0, "must be at least 0"),
         ("already_occupied", F.col("already_occupied") > F.col("capacity"), "more than the rooms of the hotel"),
+        *[(name, F.col(name) <= 0, "must be greater than 0") for name in given],
     ]
     entries = [
         F.when(truthy(bad), F.struct(F.lit(name).alias("field"), F.lit(text).alias("message"))) for name, bad, text in tests

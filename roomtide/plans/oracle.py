@@ -377,12 +377,16 @@ def _missing() -> str:
 
 def _problems() -> str:
     parts = []
+    wrong = {"lead_time": ("row_key % 67 IN (1, 2)", "must be a whole number"), "adr": ("row_key % 71 = 2", "must be a number")}
     for name, field in BOOKING_FIELDS.items():
-        tests = []
+        tests, typed = [], ""
+        if name in wrong:
+            tests.append(wrong[name])
+            typed = f" AND NOT {wrong[name][0]}".replace("NOT row_key % 67 IN (1, 2)", "row_key % 67 NOT IN (1, 2)").replace("NOT row_key % 71 = 2", "row_key % 71 <> 2")
         if field.required:
             tests.append((f"{name} IS NULL", "field required"))
         if field.at_least is not None:
-            tests.append((f"{name} < {field.at_least}", f"must be at least {field.at_least:g}"))
+            tests.append((f"{name} < {field.at_least}{typed}", f"must be at least {field.at_least:g}"))
         if field.at_most is not None:
             tests.append((f"{name} > {field.at_most}", f"must be at most {field.at_most:g}"))
         if field.allowed is not None:
@@ -501,10 +505,11 @@ SPLIT_STATS = "min(stay_date) AS start_date, max(stay_date) AS end_date"
 
 REQUESTS = """,
 asked AS (SELECT CASE WHEN lead_time % 50 = 0 THEN 'EUROPE' ELSE hotel END AS request_hotel, hotel, stay_date,
-                 CASE WHEN dayofmonth(stay_date) % 7 <> 0 THEN dayofyear(stay_date) % 9 END AS taken FROM bk),
+                 CASE WHEN dayofmonth(stay_date) % 7 <> 0 THEN dayofyear(stay_date) % 9 END AS taken,
+                 dayofmonth(stay_date) % 13 - 1 AS adr_ref, CASE WHEN dayofmonth(stay_date) % 11 <> 0 THEN dayofmonth(stay_date) % 5 END AS k FROM bk),
 groups AS (SELECT request_hotel || '/' || stay_date AS request_id, count(*) AS n_bookings,
-                  count(*) FILTER (WHERE hotel <> request_hotel) AS n_other_hotel, max(taken) AS already_occupied
-           FROM asked GROUP BY 1)"""
+                  count(*) FILTER (WHERE hotel <> request_hotel) AS n_other_hotel, max(taken) AS already_occupied,
+                  min(adr_ref) AS adr_ref, min(k) AS k, max(request_hotel) AS hotel FROM asked GROUP BY 1)"""
 
 LOG = """log AS (SELECT ts, event_id AS id, event_type AS path, value AS ms,
   CASE WHEN event_type = 'error' THEN 500 WHEN user_id % 10 = 0 THEN 404 ELSE 200 END AS status FROM events)"""
@@ -618,8 +623,9 @@ SQL: dict[str, str] = {
         0 AS previous_cancellations, country, lead_time FROM raw""",
     "quarantine": f"WITH {RAW} {_problems()}",
     "request_groups": f"""WITH {BOOKINGS}{REQUESTS} SELECT request_id, n_bookings, n_other_hotel, already_occupied, array_to_string(list_filter([
-          CASE WHEN n_bookings > 1000 THEN 'bookings' END, CASE WHEN n_other_hotel > 0 THEN 'hotel' END,
-          CASE WHEN already_occupied IS NULL OR already_occupied > 6 THEN 'already_occupied' END], lambda x: x IS NOT NULL), ',') AS fields FROM groups""",
+          CASE WHEN n_bookings > 1000 THEN 'bookings' END, CASE WHEN n_other_hotel > 0 THEN 'hotel' END, CASE WHEN hotel = 'ASIA' THEN 'hotel' END,
+          CASE WHEN already_occupied IS NULL OR already_occupied > 6 THEN 'already_occupied' END,
+          CASE WHEN adr_ref <= 0 THEN 'adr_ref' END, CASE WHEN k <= 0 THEN 'k' END], lambda x: x IS NOT NULL), ',') AS fields FROM groups""",
     "arrivals_departures": f"""WITH {BOOKINGS} SELECT hotel, date, CAST(sum(a) AS BIGINT) AS arrivals, CAST(sum(d) AS BIGINT) AS departures FROM (
         SELECT hotel, stay_date AS date, 1 AS a, 0 AS d FROM bk WHERE is_canceled = 0 UNION ALL
         SELECT hotel, stay_date + length_of_stay, 0, 1 FROM bk WHERE is_canceled = 0) GROUP BY 1, 2""",

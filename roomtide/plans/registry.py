@@ -409,9 +409,18 @@ def request_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("row_key", "children", "babies", "agent", "previous_cancellations", "country", "lead_time")
 
 
+def incoming_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw bookings with two number fields as text, some of which are no numbers."""
+    key = F.col("row_key")
+    lead = F.when(key % 67 == 1, "abc").when(key % 67 == 2, "7.5").otherwise(F.col("lead_time").cast("string"))
+    adr = F.when(key % 71 == 2, "12,5").otherwise(F.col("adr").cast("string"))
+    return raw_bookings(spark, sf_dir).withColumns({"lead_time": lead, "adr": adr})
+
+
 @query
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = records.find_problems(stored_raw(spark, sf_dir))
+    # written once: the checks name each column many times, and its expression would be repeated every time
+    checked = records.find_problems(cut_lineage(incoming_records(spark, sf_dir), "incoming"))
     return records.problem_rows(records.rejected_rows(checked), "row_key")
 
 
@@ -425,8 +434,10 @@ def request_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         asked.alias("request_hotel"),
         "hotel",
         taken.alias("already_occupied"),
+        (F.dayofmonth("stay_date") % 13 - 1).cast("double").alias("adr_ref"),
+        F.when(F.dayofmonth("stay_date") % 11 != 0, F.dayofmonth("stay_date") % 5).cast("double").alias("k"),
     )
-    checked = records.check_requests(requests, DAY_CONFIG)
+    checked = records.check_requests(requests, DAY_CONFIG, hotels=["AFRICA", "AMERICA", "EUROPE", "MIDDLE EAST"])
     fields = F.array_join(F.transform("problems", lambda x: x["field"]), ",").alias("fields")
     return checked.select("request_id", "n_bookings", "n_other_hotel", "already_occupied", fields)
 
@@ -839,7 +850,7 @@ def stream_sliding_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "incoming")
-    raw = raw_bookings(spark, sf_dir)
+    raw = incoming_records(spark, sf_dir)
     raw.write.parquet(folder)
     stream = streams.read_table_stream(spark, folder, raw.schema)
     valid, rejected = shared_path(spark, "valid"), shared_path(spark, "rejected")
