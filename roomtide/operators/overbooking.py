@@ -185,6 +185,12 @@ def level_costs(empty: np.ndarray, over: np.ndarray, capacity: int, price: float
     return price * empty[accepted] + k * price * over[accepted]
 
 
+def first_lowest(costs: np.ndarray) -> np.ndarray:
+    """Place of the lowest cost along the last axis; costs equal but for rounding are equal."""
+    lowest = costs.min(axis=-1, keepdims=True)
+    return np.argmax(costs <= lowest + 1e-9 * np.maximum(1.0, np.abs(lowest)), axis=-1)
+
+
 LEVEL_SCHEMA = "o_star int, expected_cost double, cost_curve array<double>"
 
 
@@ -211,7 +217,7 @@ def best_level(
         p = p[: rooms + top]
         empty, over = (gap[:, 0] for gap in expected_gaps(p, np.array([rooms])))
         costs = level_costs(empty, over, rooms, unit, factor, top)
-        best = int(np.argmin(costs))
+        best = int(first_lowest(costs))
         return best, float(costs[best]), costs.tolist()
 
     @F.pandas_udf(LEVEL_SCHEMA)
@@ -240,7 +246,7 @@ def best_levels_by_room(p_cancel: Column, capacity: Column, ks: Sequence[float],
         accepted = np.minimum(len(p), free[:, None] + level)
         allowed = level <= np.array([highest_level(int(c), share) for c in free])[:, None]
         idle, excess = empty[accepted, free[:, None] - 1], over[accepted, free[:, None] - 1]
-        best = [np.argmin(np.where(allowed, idle + k * excess, np.inf), axis=1) for k in factors]
+        best = [first_lowest(np.where(allowed, idle + k * excess, np.inf)) for k in factors]
         return [[0, *row.tolist()] for row in best]
 
     @F.pandas_udf("array<array<int>>")

@@ -19,7 +19,7 @@ PLACED = """placed AS (
 
 BOOKINGS = PLACED + """,
 bk AS (
-  SELECT o_orderkey AS row_id, r_name AS hotel, day AS stay_date,
+  SELECT o_orderkey AS row_id, r_name AS hotel, 'P' || CAST(o_custkey // 150 AS VARCHAR) AS property, day AS stay_date,
          CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_canceled,
          o_totalprice AS adr, CAST(o_orderkey % 300 AS INT) AS lead_time,
          o_orderpriority AS deposit_type, c_mktsegment AS segment,
@@ -88,6 +88,9 @@ sc AS (
              WHERE split = 'train' GROUP BY 1, 2) r ON r.h = sp.hotel AND r.m = month(sp.stay_date),
        (SELECT avg(is_canceled) AS overall FROM sp WHERE split = 'train'))"""
 
+# The same with the property as the hotel, for decisions by night.
+SCORED_BY_PROPERTY = SCORED.replace("SELECT sp.*, coalesce", "SELECT sp.* REPLACE (sp.property AS hotel), coalesce")
+
 OCCUPANCY = """
 span AS (SELECT hotel, min(stay_date) AS d0, max(stay_date + length_of_stay) - 1 AS d1 FROM {rows} GROUP BY hotel),
 nights AS (SELECT hotel, CAST(unnest(generate_series(d0::TIMESTAMP, d1::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS date FROM span),
@@ -104,7 +107,7 @@ dcap AS (SELECT hotel, CAST(round_even(quantile_cont(occupancy, 0.95), 0) AS INT
 )
 
 WEEKS = SCORED + """,
-wk AS (SELECT * REPLACE (CAST(date_trunc('week', stay_date) AS DATE) AS stay_date) FROM sc),
+wk AS (SELECT * REPLACE (property AS hotel, CAST(date_trunc('week', stay_date) AS DATE) AS stay_date) FROM sc),
 wcap AS (SELECT hotel, CAST(round_even(quantile_cont(n, 0.5), 0) AS INT) AS capacity
          FROM (SELECT hotel, stay_date, count(*) AS n FROM wk GROUP BY 1, 2) GROUP BY hotel),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY hotel, stay_date ORDER BY lead_time DESC, row_id) AS rn FROM wk),
@@ -177,11 +180,11 @@ tried AS (SELECT nt.hotel, nt.stay_date, nt.n, capacity, o, f.k, adr_ref * e + f
           FROM nt JOIN wcap USING (hotel), range(0, 1000) t(o), (VALUES {ks}) f(k), gap
           WHERE o <= greatest(1, floor(0.3::DOUBLE * capacity)) AND gap.hotel = nt.hotel AND gap.stay_date = nt.stay_date
             AND gap.m = least(nt.n, capacity + o)),
-best AS (SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY hotel, stay_date, k ORDER BY cost, o) = 1)"""
+best AS (SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY hotel, stay_date, k ORDER BY round(cost, 5), o) = 1)"""
 
 # --- Stays carried over -----------------------------------------------------
 
-SEQUENCE = SCORED + DAY_CAPACITY.format(source="sc") + """,
+SEQUENCE = SCORED_BY_PROPERTY + DAY_CAPACITY.format(source="sc") + """,
 drank AS (SELECT *, row_number() OVER (PARTITION BY hotel, stay_date ORDER BY lead_time DESC, row_id) AS rn FROM sc),
 nb AS (SELECT hotel, stay_date, count(*) AS n, avg(adr) AS adr_ref,
               list({{'until': stay_date + length_of_stay, 'show': 1 - is_canceled, 'adr': adr}} ORDER BY rn) AS book
@@ -233,7 +236,7 @@ dlev AS (SELECT nb.hotel, nb.stay_date, sp2.free, f.k, o, e + f.k * v AS cost
          WHERE o <= greatest(1, floor(0.3::DOUBLE * sp2.free)) AND dgap.hotel = nb.hotel AND dgap.stay_date = nb.stay_date
            AND dgap.free = sp2.free AND dgap.m = least(nb.n, sp2.free + o)),
 dbest AS (SELECT hotel, stay_date, free, k, o FROM dlev
-          QUALIFY row_number() OVER (PARTITION BY hotel, stay_date, free, k ORDER BY cost, o) = 1),"""
+          QUALIFY row_number() OVER (PARTITION BY hotel, stay_date, free, k ORDER BY round(cost, 8), o) = 1),"""
 
 
 def _sequential(policies: list[str], ks: list[float], scored: str | None = None) -> str:
@@ -480,7 +483,7 @@ dec AS (
       CASE WHEN n_alerts > 0 THEN 'Data drift detected ' || n_alerts || ' drift alert(s)' END,
       CASE WHEN abs(rate - (SELECT avg(is_canceled) FROM tr)) > 0.05::DOUBLE THEN 'Cancellation-rate gap exceeded 5%' END,
       CASE WHEN base_ap - pr_auc > 0.03::DOUBLE THEN 'Concept/performance drift: PR-AUC dropped by ' || printf('%.4f', base_ap - pr_auc) || ' (>0.03)' END,
-      CASE WHEN ece > 0.05::DOUBLE THEN 'Concept/performance drift: ECE ' || printf('%.4f', ece) || ' >0.05' END],
+      CASE WHEN ece > 0.05::DOUBLE THEN 'Concept/performance drift: ECE ' || printf('%.4f', ece + 1e-9) || ' >0.05' END],
     lambda x: x IS NOT NULL) AS reasons
   FROM wkst JOIN al USING (week) JOIN m ON m.g = wkst.week, base)"""
 )
@@ -521,20 +524,20 @@ def _gate() -> str:
     for alias, key in (("candidate", "AND r.m = month(sp.stay_date)"), ("champion", "")):
         rates = "hotel AS h, month(stay_date) AS m" if key else "hotel AS h"
         walked.append(
-            f"""SELECT '{alias}' AS alias, sp.*, coalesce(rate, overall) AS p_cancel FROM sp
+            f"""SELECT '{alias}' AS alias, sp.* REPLACE (sp.property AS hotel), coalesce(rate, overall) AS p_cancel FROM sp
   LEFT JOIN (SELECT {rates}, avg(is_canceled) AS rate FROM sp WHERE split = 'train' GROUP BY ALL) r ON r.h = sp.hotel {key},
   (SELECT avg(is_canceled) AS overall FROM sp WHERE split = 'train') WHERE sp.split = 'test'"""
         )
     both = (
         SPLIT
-        + ",\ntrained AS (SELECT * FROM sp WHERE split = 'train')"
+        + ",\ntrained AS (SELECT * REPLACE (property AS hotel) FROM sp WHERE split = 'train')"
         + DAY_CAPACITY.format(source="trained").replace("dcap AS (SELECT hotel,", "dcap0 AS (SELECT hotel,")
         + f",\nsides AS ({' UNION ALL '.join(walked)}),\n"
         # a hotel is walked once per model: its name carries the model
         + "sc AS (SELECT * REPLACE (alias || '/' || hotel AS hotel) FROM sides),\n"
         + "dcap AS (SELECT a || '/' || hotel AS hotel, capacity FROM dcap0, (VALUES ('candidate'), ('champion')) t(a))"
     )
-    body = both + SEQUENCE[len(SCORED + DAY_CAPACITY.format(source="sc")):].replace("coalesce(rate, 0.05::DOUBLE)", "0.05::DOUBLE")
+    body = both + SEQUENCE[len(SCORED_BY_PROPERTY + DAY_CAPACITY.format(source="sc")):].replace("coalesce(rate, 0.05::DOUBLE)", "0.05::DOUBLE")
     walk = _sequential(["model"], [2.0], body)
     return (
         walk
@@ -713,7 +716,7 @@ SQL: dict[str, str] = {
     "slo_totals": f"""WITH {LOG} SELECT count(*) AS total_requests, count(*) FILTER (WHERE status BETWEEN 400 AND 499) AS client_errors_4xx,
         count(*) FILTER (WHERE status >= 500) AS server_errors_5xx, round(count(*) FILTER (WHERE status >= 500) / count(*), 4) AS error_rate,
         count(*) FILTER (WHERE status >= 500) / count(*) <= 0.01 AS error_rate_ok FROM log""",
-    "recommendations": f"""WITH RECURSIVE {SCORED}{DAY_CAPACITY.format(source='sc')},
+    "recommendations": f"""WITH RECURSIVE {SCORED_BY_PROPERTY}{DAY_CAPACITY.format(source='sc')},
         hold AS (SELECT hotel, d AS stay_date, count(*) AS held FROM (
             SELECT hotel, CAST(unnest(generate_series((stay_date + 1)::TIMESTAMP, (stay_date + length_of_stay - 1)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS d
             FROM sc WHERE is_canceled = 0 AND length_of_stay > 1) GROUP BY 1, 2),
@@ -727,7 +730,7 @@ SQL: dict[str, str] = {
               FROM law JOIN nb USING (hotel, stay_date) GROUP BY 1, 2, 3),
         tried AS (SELECT nb.*, o, adr_ref * e + 2.0::DOUBLE * adr_ref * v AS cost FROM nb, range(0, 1000) t(o), g
                   WHERE o <= greatest(1, floor(0.3::DOUBLE * free)) AND g.hotel = nb.hotel AND g.stay_date = nb.stay_date AND g.m = least(n, free + o)),
-        best AS (SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY hotel, stay_date ORDER BY cost, o) = 1)
+        best AS (SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY hotel, stay_date ORDER BY round(cost, 5), o) = 1)
         SELECT hotel, stay_date, CAST(o AS INT) AS o_star, capacity, CAST(held AS INT) AS already_occupied, CAST(free AS INT) AS effective_capacity,
         round(cost, 2) AS expected_cost, round(adr_ref, 2) AS adr_ref, n AS n_new_bookings, round(mp, 4) AS mean_p_cancel,
         round(shows, 1) AS expected_show_ups FROM best""",

@@ -74,14 +74,18 @@ def scored_bookings(spark: SparkSession, sf_dir: str, stays: bool = False) -> Da
     return features.baseline_predict(train, rows, ["hotel", "month_no"])
 
 
-def decision_table(spark: SparkSession, sf_dir: str, stays: bool = False) -> DataFrame:
-    """Scored bookings written once: the decision and monitoring steps each read them several times."""
-    return cut_lineage(scored_bookings(spark, sf_dir, stays), "scored")
+def decision_table(spark: SparkSession, sf_dir: str, stays: bool = False, by_property: bool = False) -> DataFrame:
+    """Scored bookings written once: the decision and monitoring steps each read them several times.
+
+    Nights are decided per property, of which a larger table has more.
+    """
+    rows = scored_bookings(spark, sf_dir, stays)
+    return cut_lineage(rows.withColumn("hotel", F.col("property")) if by_property else rows, "scored")
 
 
 def weekly_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored bookings with the week's first day as the night."""
-    rows = decision_table(spark, sf_dir)
+    rows = decision_table(spark, sf_dir, by_property=True)
     return rows.withColumn("stay_date", F.date_trunc("week", "stay_date").cast("date"))
 
 
@@ -573,7 +577,7 @@ def guest_law(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level to overbook per hotel and day, given the rooms held by guests of earlier days."""
-    rows = decision_table(spark, sf_dir, stays=True)
+    rows = decision_table(spark, sf_dir, stays=True, by_property=True)
     capacities = daily_capacity(rows)
     staying = rows.filter((F.col("is_canceled") == 0) & (F.col("length_of_stay") > 1)).select(
         "hotel",
@@ -588,7 +592,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sequential(spark: SparkSession, sf_dir: str, policies: list[str], ks: list[float]) -> DataFrame:
-    rows = decision_table(spark, sf_dir, stays=True)
+    rows = decision_table(spark, sf_dir, stays=True, by_property=True)
     return backtest.backtest_sequential(
         rows, DAY_CONFIG, ks, policies, overbooking.monthly_rates(rows), daily_capacity(rows)
     )
@@ -763,14 +767,15 @@ def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = split_bookings(spark, sf_dir, stays=True).withColumn("month_no", F.month("stay_date"))
     rows = cut_lineage(rows, "gate", ["split"])
     train, test = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "test")
-    capacities = daily_capacity(train)
+    capacities = daily_capacity(train.withColumn("hotel", F.col("property")))
     sides = {
         "candidate": features.baseline_predict(train, test, ["hotel", "month_no"]),
         "champion": features.baseline_predict(train, test, ["hotel"]),
     }
     scored = profits = None
     for alias, side in sides.items():
-        walked = backtest.backtest_sequential(side, DAY_CONFIG, [2.0], ["model"], capacities=capacities)
+        nights = side.withColumn("hotel", F.col("property"))
+        walked = backtest.backtest_sequential(nights, DAY_CONFIG, [2.0], ["model"], capacities=capacities)
         profit = monitoring.total_profit(walked.withColumn("alias", F.lit(alias)))
         labelled = side.select(F.lit(alias).alias("alias"), F.col("is_canceled").alias("y"), F.col("p_cancel").alias("p"))
         scored = labelled if scored is None else scored.unionByName(labelled)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# Properties for the decision by night: their number grows with the table, their size does not.
+CUSTOMERS_OF_A_PROPERTY = 150
 # Schemas by session and path: a session reads each footer once, another one anew.
 _SCHEMAS: weakref.WeakKeyDictionary[SparkSession, dict[str, StructType]] = weakref.WeakKeyDictionary()
 
@@ -55,6 +57,7 @@ def bookings(spark: SparkSession, sf_dir: str, stays: bool = True) -> DataFrame:
     columns = [
         F.col("o_orderkey").alias("row_id"),
         F.col("r_name").alias("hotel"),
+        F.concat(F.lit("P"), F.floor(F.col("o_custkey") / CUSTOMERS_OF_A_PROPERTY).cast("string")).alias("property"),
         F.col("o_orderdate").cast("date").alias("stay_date"),
         (F.col("o_orderstatus") == "F").cast("int").alias("is_canceled"),
         F.col("o_totalprice").alias("adr"),
