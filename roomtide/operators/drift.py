@@ -86,8 +86,9 @@ def with_chunks(
     positions in the table, and no group is gathered.
     """
     numbered = row_numbers(df, order_by, tie_break, out="_position", rows_per_range=rows_per_range)
-    starts = numbered.groupBy(group).agg(F.min("_position").alias("_start"), F.count("*").alias("_size"))
-    # one row per period of the calendar
+    sizes = df.groupBy(group).agg(F.count("*").alias("_size"))
+    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per period of the calendar
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
     placed = numbered.join(starts, group)
     size = F.greatest(F.lit(smallest), F.least(F.col("_size"), F.lit(largest)))
     chunk = F.floor((F.col("_position") - F.col("_start")) / size).cast("int")

@@ -36,6 +36,39 @@ def exact_medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
     return {r.feature: r.median for r in exact_quantiles(long, "value", {"median": 0.5}, ["feature"]).collect()}
 
 
+def numeric_statistics(train: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """feature, median, and the mean and population deviation once missing values have the median. One row per feature."""
+    pairs = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in numeric]
+    long = train.select(F.inline(F.array(*pairs)))
+    medians = exact_quantiles(long, "value", {"median": 0.5}, ["feature"])
+    present, rows = F.count("value"), F.count("*")
+    sums = long.groupBy("feature").agg(
+        (rows - present).alias("_missing"), rows.alias("_n"), present.alias("_present"), F.avg("value").alias("_mean"), F.var_pop("value").alias("_var")
+    )
+    # the missing rows enter as so many copies of the median
+    known = sums.join(medians, "feature")
+    share = F.col("_present") / F.col("_n")
+    mean = share * F.col("_mean") + (1 - share) * F.col("median")
+    spread = share * (F.col("_var") + F.pow(F.col("_mean") - mean, 2)) + (1 - share) * F.pow(F.col("median") - mean, 2)
+    return known.select("feature", "median", mean.alias("mean"), F.sqrt(spread).alias("deviation"))
+
+
+def level_states(
+    train: DataFrame, rows: DataFrame, features: Sequence[str], min_frequency: int = MIN_FREQUENCY
+) -> DataFrame:
+    """feature, level, rows, and what training makes of the level: frequent, rare (shares a column) or unseen (no column)."""
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        pairs = [
+            F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f).cast("string"), F.lit(MISSING)).alias("level")) for f in features
+        ]
+        return df.select(F.inline(F.array(*pairs))).groupBy("feature", "level").agg(F.count("*").alias(name))
+
+    joined = counted(rows, "n_rows").join(counted(train, "n_train"), ["feature", "level"], "left")
+    state = F.when(F.col("n_train") >= min_frequency, "frequent").when(F.col("n_train") > 0, "rare").otherwise("unseen")
+    return joined.select("feature", "level", "n_rows", state.alias("state"))
+
+
 def level_counts(df: DataFrame, features: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
     """Levels and their counts per categorical feature. Raises when there are too many to keep."""
     pairs = [
@@ -60,16 +93,11 @@ def preprocessing_stages(
     Levels seen fewer than ``min_frequency`` times share one column; a level not seen at
     all gets no column. Deviations are of the population.
     """
-    medians = exact_medians(train, numeric)
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c, 0.0))) for c in numeric}
-    moments = train.agg(
-        *[F.avg(v).alias(f"mean_{c}") for c, v in filled.items()],
-        *[F.stddev_pop(v).alias(f"std_{c}") for c, v in filled.items()],
-    ).first()
+    known = {r.feature: r for r in numeric_statistics(train, numeric).collect()}  # a row per feature
     scaled = []
     for c in numeric:
-        mean, deviation = moments[f"mean_{c}"] or 0.0, moments[f"std_{c}"] or 1.0
-        value = f"coalesce(double(`{c}`), double({medians.get(c, 0.0)!r}))"
+        median, mean, deviation = (known[c].median, known[c].mean, known[c].deviation or 1.0) if c in known else (0.0, 0.0, 1.0)
+        value = f"coalesce(double(`{c}`), double({median!r}))"
         scaled.append(f"({value} - double({mean!r})) / double({deviation!r}) AS `{c}_num`")
     texts = [f"coalesce(string(`{c}`), '{MISSING}') AS `{c}_txt`" for c in categorical]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(scaled + texts)} FROM __THIS__")]
@@ -147,9 +175,19 @@ def standard_experiments(n_rows: int, trees: int = 300, rounds: int = 500) -> di
 
 
 def fit_classifier(
-    train: DataFrame, classifier: Estimator, numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None
+    train: DataFrame,
+    classifier: Estimator,
+    numeric: Sequence[str] | None = None,
+    categorical: Sequence[str] | None = None,
+    prepared: PipelineModel | None = None,
 ) -> PipelineModel:
-    """Preprocessing and classifier as one model that can be saved and loaded."""
+    """Preprocessing and classifier as one model that can be saved and loaded.
+
+    ``prepared`` is preprocessing already fitted on ``train``, for several classifiers of one table.
+    """
+    if prepared is not None:
+        fitted = classifier.fit(prepared.transform(train))
+        return PipelineModel(stages=[*prepared.stages, fitted])
     if numeric is None or categorical is None:
         numeric, categorical = feature_lists(train.columns)
     check_no_leakage(train.select(*numeric, *categorical))
@@ -195,15 +233,19 @@ class CalibratedModel:
             raise
 
 
-def calibrate(classifier: PipelineModel, validation: DataFrame, label: str = schema.TARGET) -> CalibratedModel:
-    """Fit the monotone map on validation rows only. Equal scores are pooled before the fit."""
-    scored = add_probability(classifier, validation, "p_raw").select("p_raw", label)
-    pooled = score_table(scored, label, "p_raw")
+def monotone_map(scored: DataFrame, label: str = schema.TARGET, score: str = "p_raw") -> IsotonicRegressionModel:
+    """The increasing map from scores to label rates with the least squared error. Equal scores are pooled first."""
+    pooled = score_table(scored, label, score)
     weighted = pooled.select(
         F.col("p").alias("p_raw"), (F.col("pos") / F.col("n")).alias("_rate"), F.col("n").cast("double").alias("_n")
     )
-    fitted = IsotonicRegression(featuresCol="p_raw", labelCol="_rate", weightCol="_n", isotonic=True).fit(weighted)
-    return CalibratedModel(classifier, fitted)
+    return IsotonicRegression(featuresCol="p_raw", labelCol="_rate", weightCol="_n", isotonic=True).fit(weighted)
+
+
+def calibrate(classifier: PipelineModel, validation: DataFrame, label: str = schema.TARGET) -> CalibratedModel:
+    """Fit the monotone map on validation rows only."""
+    scored = add_probability(classifier, validation, "p_raw").select("p_raw", label)
+    return CalibratedModel(classifier, monotone_map(scored, label))
 
 
 def calibration_effect(model: CalibratedModel, test: DataFrame, label: str = schema.TARGET) -> DataFrame:
@@ -222,8 +264,11 @@ def run_experiments(
     mark = fingerprint(train).first()
     train_mark = f"{mark.n_rows}:{mark.hash_sum}:{mark.hash_xor}"
     models, tables = {}, []
+    numeric, categorical = feature_lists(train.columns)
+    check_no_leakage(train.select(*numeric, *categorical))
+    prepared = Pipeline(stages=preprocessing_stages(train, numeric, categorical)).fit(train)
     for name, classifier in classifiers.items():
-        models[name] = fit_classifier(train, classifier)
+        models[name] = fit_classifier(train, classifier, prepared=prepared)
         settings = {p.name: v for p, v in classifier.extractParamMap().items()}
         scored = add_probability(models[name], validation, "p").select(F.col(label).alias("y"), "p")
         tables.append(

@@ -736,6 +736,23 @@ SQL: dict[str, str] = {
         round(shows, 1) AS expected_show_ups FROM best""",
 }
 
+SQL["table_fingerprint"] = """WITH h AS (SELECT l_returnflag, CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_linenumber,
+    CAST(round(l_extendedprice * 100) AS BIGINT), CAST(l_shipdate AS DATE), l_linestatus)), 1, 15) AS BIGINT) AS v FROM lineitem)
+    SELECT l_returnflag, count(*) AS n_rows, CAST(sum(v) AS VARCHAR) AS hash_sum, bit_xor(v) AS hash_xor FROM h GROUP BY 1"""
+SQL["preprocess_numeric"] = f"WITH {RAW} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round(m, 4) AS median, round((SELECT avg(coalesce({c}, m)) FROM raw), 4) AS mean,
+    round((SELECT stddev_pop(coalesce({c}, m)) FROM raw), 4) AS deviation FROM (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m FROM raw)"""
+    for c in ["lead_time", "adr", "children", "agent", "company", "adults"]
+)
+SQL["preprocess_levels"] = f"""WITH {SPLIT}, lv AS (
+    {' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, split = 'train' AS t FROM sp" for c in ['segment', 'deposit_type', 'property', 'lead_time'])}),
+    c AS (SELECT feature, level, count(*) FILTER (WHERE t) AS n_train, count(*) FILTER (WHERE NOT t) AS n_rows FROM lv GROUP BY 1, 2)
+    SELECT feature, level, n_rows, CASE WHEN n_train >= 5 THEN 'frequent' WHEN n_train > 0 THEN 'rare' ELSE 'unseen' END AS state FROM c WHERE n_rows > 0"""
+SQL["isotonic_calibration"] = f"""WITH {SCORED}, v AS (SELECT round(p_cancel, 6) AS p, count(*) AS n, sum(is_canceled) AS y FROM sc WHERE split = 'validation' GROUP BY 1),
+    o AS (SELECT p, row_number() OVER (ORDER BY p) AS i, sum(n) OVER (ORDER BY p) AS cn, sum(y) OVER (ORDER BY p) AS cy, n, y FROM v),
+    s AS (SELECT a.i AS a, b.i AS b, (b.cy - a.cy + a.y)::DOUBLE / (b.cn - a.cn + a.n) AS r FROM o a JOIN o b ON b.i >= a.i),
+    w AS (SELECT o.i, s.a, min(s.r) AS r FROM o JOIN s ON s.a <= o.i AND s.b >= o.i GROUP BY 1, 2)
+    SELECT p AS p_raw, round((SELECT max(r) FROM w WHERE w.i = o.i), 6) AS calibrated FROM o"""
 SQL["csv_two_headers"] = f"""WITH {RAW} SELECT hotel, meal, count(*) AS n, CAST(sum(adults) AS BIGINT) AS adults, CAST(sum(babies) AS BIGINT) AS babies,
     CAST(sum(lead_time) AS BIGINT) AS lead_time, count(company) FILTER (WHERE lead_time % 3 <> 2) AS n_company, max(reservation_status_date) AS last_day
     FROM raw GROUP BY 1, 2"""

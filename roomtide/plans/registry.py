@@ -150,7 +150,10 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = hashes.fingerprint(table(spark, sf_dir, "lineitem"), by=["l_returnflag"])
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents")
+    day = F.col("l_shipdate").cast("date").alias("day")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", cents, day, "l_linestatus", "l_returnflag")
+    found = hashes.fingerprint(lines, by=["l_returnflag"], portable=True)
     return found.withColumn("hash_sum", F.col("hash_sum").cast("string"))
 
 
@@ -910,6 +913,30 @@ def model_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(rows.filter(F.col("split") != "production"), "model", ["split"])
 
 
+@query
+def preprocess_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median, mean and population deviation of number columns with gaps, missing values filled with the median."""
+    found = models.numeric_statistics(raw_bookings(spark, sf_dir), ["lead_time", "adr", "children", "agent", "company", "adults"])
+    return rounded(found, 4, "median", "mean", "deviation")
+
+
+@query
+def preprocess_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the levels of later rows are to a model of the training rows."""
+    rows = split_bookings(spark, sf_dir)
+    train, later = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") != "train")
+    return models.level_states(train, later, ["segment", "deposit_type", "property", "lead_time"], min_frequency=5)
+
+
+@query
+def isotonic_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated value of every distinct baseline score of the validation rows."""
+    rows = scored_bookings(spark, sf_dir).filter(F.col("split") == "validation")
+    scored = cut_lineage(rows.select(F.round("p_cancel", 6).alias("p_raw"), "is_canceled"), "validation")
+    mapped = models.monotone_map(scored, "is_canceled").transform(scored.select("p_raw").distinct())
+    return rounded(mapped.select("p_raw", F.col("prediction").alias("calibrated")), 6, "calibrated")
+
+
 @query
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuned forest on train, calibrated on validation: metrics on test before and after."""

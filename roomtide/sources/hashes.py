@@ -28,9 +28,15 @@ def verify_checksum(spark: SparkSession, path: str, expected: str) -> str:
     return found.sha256
 
 
-def fingerprint_columns(columns: Sequence[str]) -> list[Column]:
+def md5_number(*columns: str | Column) -> Column:
+    """The first 15 hex digits of the md5 of the columns as text, joined by a bar: a number any engine can make."""
+    text = F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def fingerprint_columns(columns: Sequence[str], portable: bool = False) -> list[Column]:
     """Aggregates that change with any row, but not with row order or partitioning."""
-    row = F.xxhash64(*columns)
+    row = md5_number(*columns) if portable else F.xxhash64(*columns)
     return [
         F.count("*").alias("n_rows"),
         F.sum(row.cast("decimal(38,0)")).alias("hash_sum"),
@@ -38,7 +44,9 @@ def fingerprint_columns(columns: Sequence[str]) -> list[Column]:
     ]
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Order-free fingerprint of a table, or of every group of it."""
+def fingerprint(
+    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), portable: bool = False
+) -> DataFrame:
+    """Order-free fingerprint of a table, or of every group of it. The portable form can be made again elsewhere."""
     columns = list(columns or [c for c in df.columns if c not in by])
-    return df.groupBy(*by).agg(*fingerprint_columns(columns))
+    return df.groupBy(*by).agg(*fingerprint_columns(columns, portable))
