@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions.binning import calibration_error_bin, reliability_bin
+from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, value_ranges, with_range
 
-EDGE_BANDS = 128
-EVEN_BANDS = 1 << 14
 EPSILON = 2.220446049250313e-16
 METRICS = ["pr_auc", "roc_auc", "log_loss", "brier", "ece"]
 
@@ -28,43 +27,32 @@ def score_table(df: DataFrame, label: str = "y", score: str = "p", keys: Sequenc
     return grouped.agg(F.count("*").alias("n"), F.sum(label).cast("bigint").alias("pos"))
 
 
-def _bands(p: Column) -> dict[str, Column]:
-    """Two band numbers that both grow with the score; in this order they sort like the score.
-
-    The first is fine near 0 and near 1, where confident models put most scores, the
-    second is fine in between. Together they number some 30,000 at most.
-    """
-    tiny = F.lit(EPSILON)
-    low = F.floor(F.log2(F.greatest(p, tiny)) * EDGE_BANDS)
-    high = -F.floor(F.log2(F.greatest(1 - p, tiny)) * EDGE_BANDS)
-    return {"_edge": F.when(p < 0.5, low).otherwise(high), "_even": F.floor(p * EVEN_BANDS)}
-
-
-def cumulative(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def cumulative(scores: DataFrame, keys: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add rows and positives at or above each score.
 
-    Running sums are taken inside narrow bands of the score; a table with one row per
-    group and band carries the totals of all higher bands. No group runs in one task.
+    The distinct scores are cut into ranges of about equal numbers of them, wherever they lie;
+    running sums are taken inside a range, and a table with one row per group and range carries
+    the totals of all higher ones. A larger table has more ranges, and no group runs in one task.
     """
     keys = list(keys)
-    banded = scores.withColumns(_bands(F.col("p")))
-    band = ["_edge", "_even"]
-    downwards = [F.col(c).desc() for c in band]
-    above = Window.partitionBy(*keys).orderBy(*downwards).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges_for(scores.count(), rows_per_range)
+    limits = value_ranges(scores, "p", ranges)[0] if ranges > 1 else []
+    banded = with_range(scores, "p", limits, "_band")
+    above = Window.partitionBy(*keys).orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    bands = banded.groupBy(*keys, *band).agg(F.sum("n").alias("_n"), F.sum("pos").alias("_pos"))
+    bands = banded.groupBy(*keys, "_band").agg(F.sum("n").alias("_n"), F.sum("pos").alias("_pos"))
     carried = bands.select(
         *keys,
-        *band,
+        "_band",
         F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"),
         F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_pos_above"),
         F.sum("_n").over(whole).alias("n_total"),
         F.sum("_pos").over(whole).alias("pos_total"),
     )
-    inside = Window.partitionBy(*keys, *band).orderBy(F.col("p").desc())
+    inside = Window.partitionBy(*keys, "_band").orderBy(F.col("p").desc())
     running = banded.withColumns({"_n_in": F.sum("n").over(inside), "_pos_in": F.sum("pos").over(inside)})
     # a left join adds no null filter to one side only, so both sides share the shuffle of the score table
-    joined = running.join(carried, [*keys, *band], "left")
+    joined = running.join(carried, [*keys, "_band"], "left")
     return joined.select(
         *keys,
         "p",
@@ -106,7 +94,12 @@ def _gap_sums(n_bins: int) -> dict[str, Column]:
 
 
 def compute_metrics(
-    df: DataFrame, label: str = "y", score: str = "p", keys: Sequence[str] = (), n_bins: int = 10
+    df: DataFrame,
+    label: str = "y",
+    score: str = "p",
+    keys: Sequence[str] = (),
+    n_bins: int = 10,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Average precision, ROC AUC, log loss, Brier score and calibration error per group.
 
@@ -116,7 +109,7 @@ def compute_metrics(
     negatives the AUC is null.
     """
     keys = list(keys)
-    scores = cumulative(score_table(df, label, score, keys), keys)
+    scores = cumulative(score_table(df, label, score, keys), keys, rows_per_range)
     sums = {**_ranking_sums(), **_loss_sums(), **_gap_sums(n_bins)}
     totals = scores.groupBy(*keys).agg(*[column.alias(name) for name, column in sums.items()])
     gaps = F.lit(0.0)

@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from roomtide.operators import metrics
+from roomtide.operators import metrics, ranking
 
 
 def scored(spark, p, y, **more):
@@ -63,3 +64,18 @@ def test_reliability_skips_empty_bins(spark):
 def test_threshold(spark):
     found = metrics.with_label(scored(spark, [0.49, 0.5], [0, 1])).orderBy("p").collect()
     assert [r.will_cancel for r in found] == [False, True]
+
+
+def test_ranges_follow_the_scores(spark):
+    rows = spark.range(20_000).select(
+        (F.lit(0.33) + F.col("id") * 5e-9).alias("p"), (F.xxhash64("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 2).alias("g")
+    )
+    scores = metrics.score_table(rows)
+    for rows_per_range, least in ((2_000, 8), (200, 80)):
+        ranges = ranking.ranges_for(scores.count(), rows_per_range)
+        limits = ranking.value_ranges(scores, "p", ranges)[0]
+        used = ranking.with_range(scores, "p", limits, "r").groupBy("r").count()
+        assert used.count() >= least and used.agg(F.max("count")).first()[0] <= 3 * rows_per_range
+    one, many = (metrics.compute_metrics(rows, keys=["g"], rows_per_range=n).orderBy("g").collect() for n in (10**6, 200))
+    for a, b in zip(one, many):
+        assert [a[c] for c in a.__fields__] == pytest.approx([b[c] for c in b.__fields__])
