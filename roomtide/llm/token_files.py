@@ -41,21 +41,37 @@ HEADER = "<8sII"  # magic, bytes per id, unused
 HEADER_BYTES = struct.calcsize(HEADER)
 CACHE_PIECES = 1_000_000
 SEGMENT_KEYS = 50_000
+# ASCII marks; an apostrophe may belong to what follows.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # White space other than single spaces and line feeds between words, and the controls that libraries class differently.
 ODD = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|[\x1c-\x1f\x85]")
 
 
 class Pieces(dict):
-    """Encoded pieces, filled on demand."""
+    """Encoded pieces, filled on demand: a young and an old half, so that frequent pieces outlive a full table."""
 
     def __init__(self, encode, lead: str):
         super().__init__()
-        self.encode, self.lead = encode, lead
+        self.encode, self.lead, self.old, self.runs = encode, lead, {}, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= CACHE_PIECES // 2:
+            self.old = dict(self)
             self.clear()
-        made = self[piece] = self.encode(self.lead + piece)
+        made = self.old.get(piece)
+        if made is None:
+            stem = piece.rstrip(MARKS)
+            if stem and stem != piece and stem[-1].isalnum():
+                # marks after a letter or digit and before a blank are a piece of their own
+                run = piece[len(stem) :]
+                if run not in self.runs:
+                    self.runs[run] = self.encode(run)
+                made = self[stem] + self.runs[run]
+                if len(self.runs) > CACHE_PIECES // 10:
+                    self.runs.clear()
+            else:
+                made = self.encode(self.lead + piece)
+        self[piece] = made
         return made
 
 

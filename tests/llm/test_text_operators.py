@@ -174,7 +174,7 @@ def test_pieces_equal_the_library(vocabulary):
     from tokenizers import Tokenizer
 
     made, library = token_files.Encoder(vocabulary), Tokenizer.from_file(vocabulary)
-    for text in [*ODD_TEXTS, *(t or "" for t in AWKWARD), "Foo, bar.\nBaz!! it's 12%%% (x) _y_ – “q”"]:
+    for text in [*ODD_TEXTS, *(t or "" for t in AWKWARD), "Foo, bar.\nBaz!! it's 12%%% (x) _y_ – “q”", "rock'n' it's, x'., a'!! ½. ²; é.. 中。 _. ., a_", prose(5, 2000)]:
         assert np.frombuffer(made.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
