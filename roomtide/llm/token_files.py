@@ -39,12 +39,19 @@ from roomtide.llm.common import mix, new_folder, open_folder, shared, worker_sto
 MAGIC = b"RTIDS\x01\x00\x00"
 HEADER = "<8sII"  # magic, bytes per id, unused
 HEADER_BYTES = struct.calcsize(HEADER)
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 1_500_000
 SEGMENT_KEYS = 50_000
 # ASCII marks; an apostrophe may belong to what follows.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-# White space other than single spaces and line feeds between words, and the controls that libraries class differently.
-ODD = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|[\x1c-\x1f\x85]")
+# White space other than a space and a line feed, and the controls that libraries class differently.
+OTHER_WHITE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+
+
+def single_spaced(text: str) -> bool:
+    """Whether all white space of a text that is not empty is single spaces and line feeds between words."""
+    if text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return False
+    return OTHER_WHITE.search(text) is None
 
 
 class Pieces(dict):
@@ -93,7 +100,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if ODD.search(text) or any(mark in text for mark in self.special):
+        if not single_spaced(text) or any(mark in text for mark in self.special):
             return self.whole(text)
         parts = []
         for line in text.split("\n"):

@@ -178,6 +178,12 @@ def test_pieces_equal_the_library(vocabulary):
         assert np.frombuffer(made.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_all_white_space_is_known():
+    for c in map(chr, range(0x110000)):
+        if c.isspace():
+            assert token_files.single_spaced(f"a{c}b") == (c in " \n") and not token_files.single_spaced(f"a{c}")
+
+
 def test_token_files_round_trip(spark, vocabulary):
     from tokenizers import Tokenizer
 
