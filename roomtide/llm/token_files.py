@@ -39,7 +39,7 @@ from roomtide.llm.common import mix, new_folder, open_folder, shared, worker_sto
 MAGIC = b"RTIDS\x01\x00\x00"
 HEADER = "<8sII"  # magic, bytes per id, unused
 HEADER_BYTES = struct.calcsize(HEADER)
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 1_200_000
 SEGMENT_KEYS = 50_000
 # ASCII marks; an apostrophe may belong to what follows.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
