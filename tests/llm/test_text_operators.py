@@ -324,6 +324,47 @@ def test_near_groups_keep_one_of_each(spark):
     assert near_groups.keep_one(docs.limit(0)).count() == 0
 
 
+def crowd(twins, seed=5):
+    """Pairs of likeness 0.9 or more among texts that share five sixths of their words."""
+    pick = random.Random(seed)
+    common = prose(seed, 300)
+    texts = []
+    for i in range(twins):
+        own = " ".join(f"own{i}x{k}" for k in range(60))
+        texts += [f"{common} {own}", f"{common} {own} {pick.randint(0, 10**9)} end{i}"]
+    pick.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("twins", [30, 300])
+def test_near_groups_find_every_twin_of_a_crowd(spark, twins):
+    texts = crowd(twins)
+    kept = {r["doc_id"] for r in near_groups.keep_one(as_docs(spark, texts)).collect()}
+    first = {}
+    for i, text in enumerate(texts):
+        first.setdefault(next(w for w in text.split() if w.startswith("own")), i)
+    assert kept == set(first.values()) and len(kept) == twins
+
+
+def test_near_groups_of_several_hundred_and_chains_equal_brute_force(spark):
+    base = prose(3, 120).split()
+    slid = [" ".join(base[k : k + 60] + [f"w{k}"]) for k in range(0, 60, 3)]  # each is alike to its neighbours only
+    texts = slid[::2] + slid[1::2] + [edited(prose(4, 300), s, 0.004) for s in range(200)]
+    kept = {r["doc_id"] for r in near_groups.keep_one(as_docs(spark, texts)).collect()}
+    assert kept == set(brute_groups(texts, 5, 0.8))
+
+
+def test_near_groups_decide_by_the_sets(spark):
+    texts = []
+    for s in range(60):
+        words = [f"t{s}n{k}" for k in range(300)]
+        # one changed run spoils its shingles only: likeness from 0.75 to 0.85 in steps below 0.002
+        gone = 25 + s
+        texts += [" ".join(words), " ".join(words[: 300 - gone] + ([f"u{s}n{k}" for k in range(gone)] if s % 2 else []))]
+    kept = {r["doc_id"] for r in near_groups.keep_one(as_docs(spark, texts)).collect()}
+    assert kept == set(brute_groups(texts, 5, 0.8))
+
+
 # --- op8 ---------------------------------------------------------------------
 
 
