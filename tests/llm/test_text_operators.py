@@ -365,6 +365,17 @@ def test_near_groups_decide_by_the_sets(spark):
     assert kept == set(brute_groups(texts, 5, 0.8))
 
 
+def test_near_groups_decide_by_the_sets(spark):
+    texts = []
+    for s in range(60):
+        words = [f"t{s}n{k}" for k in range(300)]
+        # one changed run spoils its shingles only: likeness from 0.75 to 0.85 in steps below 0.002
+        gone = 25 + s
+        texts += [" ".join(words), " ".join(words[: 300 - gone] + ([f"u{s}n{k}" for k in range(gone)] if s % 2 else []))]
+    kept = {r["doc_id"] for r in near_groups.keep_one(as_docs(spark, texts)).collect()}
+    assert kept == set(brute_groups(texts, 5, 0.8))
+
+
 # --- op8 ---------------------------------------------------------------------
 
 
