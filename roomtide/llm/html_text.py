@@ -51,6 +51,8 @@ NAMED = frozenset(
     "contentinfo complementary search searchbox login signup disclaimer".split()
 )
 HEADER_NAMES = frozenset("header topbar branding".split())
+ABOUT_ANOTHER = frozenset("with has no not without is".split())  # "with-sidebar" tells what is beside the element
+PLACES = frozenset("left right top bottom main primary secondary wrapper wrap container area box bar block section inner outer list slot".split())
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rawattrs>(?:\"[^\"]*\"|'[^']*'|[^'\">]++)*+)>(?:.*?)(?:</(?P=raw)\s*>|\Z)"
@@ -69,6 +71,7 @@ class Element:
     drop: bool
     path: str
     depth: int
+    named: bool = False  # class, id or role say that it is no main text
 
 
 @dataclass
@@ -78,24 +81,29 @@ class Block:
     linked: int = 0  # characters inside links
 
 
-def declared_away(name: str, attributes: str, article: bool) -> bool:
-    """Whether the markup names a part that is no main text."""
-    if name in DROPPED:
-        return True
-    if name == "header" and not article:
-        return True
-    if not attributes:
-        return False
-    for key, value in ATTRIBUTE.findall(attributes):
+def head_word(token: str) -> str:
+    """What a class, id or role calls its element: the last word, places aside; nothing where it tells of another element."""
+    words = WORDS.findall(token)
+    if not words or words[0] in ABOUT_ANOTHER:
+        return ""
+    while len(words) > 1 and words[-1] in PLACES:
+        words.pop()
+    return words[-1]
+
+
+def declared_away(name: str, attributes: str, article: bool) -> tuple[bool, bool]:
+    """Whether the markup hides a part or its element is no main text, and whether a class, id or role says so."""
+    if name in DROPPED or name == "header" and not article:
+        return True, False
+    named = False
+    for key, value in ATTRIBUTE.findall(attributes or ""):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
-            return True
+            return True, False
         if key in ("class", "id", "role"):
-            for token in value.split():
-                words = WORDS.findall(token)
-                if any(w in NAMED for w in words) or (not article and any(w in HEADER_NAMES for w in words)):
-                    return name not in ("body", "html", "article", "main")
-    return False
+            words = [head_word(token) for token in value.split()]
+            named = named or any(w in NAMED or (not article and w in HEADER_NAMES) for w in words)
+    return False, named and name not in ("body", "html", "article", "main")
 
 
 def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
@@ -142,7 +150,7 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
                 if closing:
                     if hidden and hidden[-1] == name:
                         hidden.pop()
-                elif hidden and hidden[-1] == name or tag["attrs"] and declared_away(name, tag["attrs"], True):
+                elif hidden and hidden[-1] == name or tag["attrs"] and any(declared_away(name, tag["attrs"], True)):
                     hidden.append(name)
             continue
         if closing:
@@ -169,8 +177,9 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
         flush()
         top = stack[-1]
         article = any(e.name in ("article", "main") for e in stack)
-        drop = top.drop or declared_away(name, tag["attrs"], article)
-        element = Element(name, top, drop, f"{top.path}/{name}", top.depth + 1)
+        away, named = declared_away(name, tag["attrs"], article)
+        drop = top.drop or away
+        element = Element(name, top, drop, f"{top.path}/{name}", top.depth + 1, named)
         if name in ("article", "main") and not drop:
             bodies.append(element)
         if not tag["attrs"].endswith("/"):
@@ -182,6 +191,27 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
     return blocks, bodies
 
 
+def without_named(found: list[tuple[Block, str]], bodies: list[Element]) -> tuple[list[tuple[Block, str]], list[Element]]:
+    """Blocks and bodies outside named elements. One with most of the text outside links is kept, unless an article or main lies elsewhere."""
+    sizes: dict[int, list] = {}
+    total = 0
+    for block, text in found:
+        own = max(0, len(text) - block.linked)
+        total += own
+        for element in lineage(block.owner):
+            if element.named:
+                sizes.setdefault(id(element), [element, 0])[1] += own
+    apart = [e for e in bodies if not any(o.named for o in lineage(e)) and any(inside(b.owner, e) for b, _ in found)] if sizes else []
+    for element, own in sizes.values():
+        if 2 * own > total and all(inside(e, element) or inside(element, e) for e in apart):
+            element.named = False
+    out = {id(e) for e, _ in sizes.values() if e.named}
+    return (
+        [(b, t) for b, t in found if not any(id(e) in out for e in lineage(b.owner))],
+        [e for e in bodies if not any(id(o) in out for o in lineage(e))],
+    )
+
+
 def chosen_paths(blocks: list[Block], texts: list[str]) -> set[str]:
     """Paths whose smoothed, fused ratio of text and punctuation reaches the threshold."""
     paths: dict[str, list[float]] = {}
@@ -202,6 +232,12 @@ def chosen_paths(blocks: list[Block], texts: list[str]) -> set[str]:
     return {p for p, v in mean.items() if sum(v) / len(v) >= limit}
 
 
+def lineage(element: Element | None) -> Iterator[Element]:
+    while element is not None:
+        yield element
+        element = element.parent
+
+
 def inside(element: Element | None, holder: Element) -> bool:
     while element is not None and element.depth >= holder.depth:
         if element is holder:
@@ -215,7 +251,7 @@ def main_text(page: str | None) -> str:
         return ""
     blocks, bodies = read_blocks(page)
     texts = [" ".join("".join(b.parts).split()) for b in blocks]
-    found = [(b, t) for b, t in zip(blocks, texts) if t]
+    found, bodies = without_named([(b, t) for b, t in zip(blocks, texts) if t], bodies)
     if not found:
         return ""
     blocks, texts = [b for b, _ in found], [t for _, t in found]
@@ -234,8 +270,7 @@ def main_text(page: str | None) -> str:
             sizes.setdefault(id(element), [element, 0])[1] += len(t)
             element = element.parent
     holder = max((e for e, n in sizes.values() if 10 * n >= 9 * weight), key=lambda e: e.depth)
-    kept = [(b, t) for b, t in found if inside(b.owner, holder)]
-    return "\n".join(t for b, t in kept if b.owner.path in paths or 2 * b.linked < len(t))
+    return "\n".join(t for b, t in found if b.owner.path in paths or 2 * b.linked < len(t) and inside(b.owner, holder))
 
 
 def extract(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -466,6 +466,21 @@ def test_main_text():
     assert html_text.main_text('<p a="' * 2000) is not None  # an open quote must not cost quadratic time
 
 
+def test_names_that_tell_of_other_parts_keep_the_text():
+    body = "<p>A long text, with marks. And more, yes, of it.</p><p>Then more of it, as long, with marks. So it ends.</p>"
+    want = "A long text, with marks. And more, yes, of it.\nThen more of it, as long, with marks. So it ends."
+    for name in ("content with-sidebar", "has-comments", "search-results", "no-widget", "sidebar", "widget content"):
+        assert html_text.main_text(f'<body><div class="{name}">{body}</div><div class="sidebar-left">Other things.</div></body>') == want
+    talk = '<div class="comments">' + "<p>Somebody says this, and that. And more.</p>" * 9 + "</div>"
+    assert html_text.main_text(f"<body><article>{body}</article>{talk}</body>") == want
+
+
+def test_closing_section_beside_the_holder_stays():
+    line = "<p>A long line of text, with marks, that goes on. And on, as it should.</p>"
+    page = f"<body><div><div>{line * 19}</div></div><div><div><p>The end, closing it all, with marks, that goes on. And on.</p></div></div></body>"
+    assert html_text.main_text(page).endswith("\nThe end, closing it all, with marks, that goes on. And on.")
+
+
 def test_extract_keeps_rows(spark):
     rows = [(1, "u", PAGE, 5), (1, "u", PAGE, 5), (2, None, None, 6), (None, "v", "<p>é</p>", 7)]
     got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")).collect()
