@@ -47,7 +47,6 @@ DAY_CONFIG = CostConfig(capacity={}, default_capacity=6, fixed_overbook_pct=0.20
 THREE_POLICIES = ["no_overbook", "fixed", "avg_rate"]
 CUTOFF = date(2000, 5, 31)
 DRIFT_COLUMNS = ["lead_time", "adr", "length_of_stay"]
-MODEL_TREES = 20
 # Stored tables come in no order of time: rows may be as late as the table is long.
 WHOLE_SPAN = "7300 days"
 
@@ -941,7 +940,7 @@ def isotonic_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuned forest on train, calibrated on validation: metrics on test before and after."""
     splits = model_splits(spark, sf_dir)
-    _, effect = models.train_calibrated(splits, models.random_forest(MODEL_TREES, 8, 50))
+    _, effect = models.train_calibrated(splits)
     return effect
 
 
@@ -953,22 +952,21 @@ def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = features.baseline_predict(train, validation)
     baseline = metrics.compute_metrics(base, schema.TARGET, "p_cancel").withColumn("run", F.lit("baseline"))
     parts = [features.build_features(part.drop("split"), keep=[schema.TARGET]) for part in (train, validation)]
-    chosen = models.standard_experiments(parts[0].count(), trees=MODEL_TREES, rounds=5)
+    chosen = models.standard_experiments(parts[0].count())
     table_, _ = models.run_experiments(*parts, chosen)
     return table_.unionByName(baseline, allowMissingColumns=True)
 
 
 @query
 def scored_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calibrated probabilities and labels of the test rows."""
-    splits = model_splits(spark, sf_dir)
+    """Calibrated probabilities and labels of all cleaned bookings."""
+    splits = cut_lineage(splitting.temporal_split(cleaned_bookings(spark, sf_dir)), "model", ["split"])
     train = splits.filter(F.col("split") == "train").drop("split")
     fitted = models.fit_classifier(
         features.build_features(features.drop_duplicates_from_train(train), keep=[schema.TARGET]),
-        models.logistic_regression(train.count(), max_iter=50),
+        models.logistic_regression(train.count()),
     )
     validation = splits.filter(F.col("split") == "validation").drop("split")
     model = models.calibrate(fitted, features.build_features(validation, keep=[schema.TARGET]))
-    test = splits.filter(F.col("split") == "test").drop("split")
-    scored = models.score_bookings(model, test, lambda rows: features.build_features(rows, keep=["row_id"]))
+    scored = models.score_bookings(model, splits.drop("split"), lambda rows: features.build_features(rows, keep=["row_id"]))
     return scored.select("row_id", "p_cancel", "will_cancel")
