@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomtide.llm import context_tree, html_text, minhash, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
+from roomtide.llm import (
+    context_tree, html_text, minhash, packing, quality, repair, simhash, snapshots, spaced_seeds, spelling, suffix_dedup, token_files, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -166,3 +168,18 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damage_and_repair(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, read(spark, sf_dir, "documents"))

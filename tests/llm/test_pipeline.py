@@ -18,8 +18,8 @@ def test_query_equals_sql(spark, name):
     assert compare(queries.QUERIES[name](spark, SF_DIR), connect(SF_DIR), queries.SQL[name]) == ""
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):
