@@ -45,6 +45,11 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, declared)
 
 
+def fast_list(column: pa.Array) -> list:
+    """The values of a column of texts, or of numbers without nulls; many times faster than a scalar each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE^i and BASE^-i for i <= n, kept by the worker."""
     store = worker_store()

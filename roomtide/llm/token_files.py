@@ -12,8 +12,9 @@ a lost executor or a repeated task leaves nothing wrong behind.
 
 Encoding runs the tokenizers library on the pieces that its own splitting rule cuts at single
 spaces and line feeds, and remembers them: a space followed by a word starts a new piece in
-any text. Texts with other runs of white space, or with a special token, go to the library
-whole. The remembered pieces are bounded and belong to the worker.
+any text. The new pieces of a few hundred texts go to the library in one call and are parted by
+the ids that begin with a blank. Texts with other runs of white space, or with a special token,
+go to the library whole. The remembered pieces are bounded and belong to the worker.
 
 Cases: a null text is empty and has the end id only; repeated ids are separate keys
 (id, occurrence), ordered by text; null ids come first; an empty table gives no shards and an
@@ -30,16 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roomtide.llm.common import mix, new_folder, open_folder, shared, worker_store
+from roomtide.llm.common import fast_list, mix, new_folder, open_folder, shared, worker_store
 
 MAGIC = b"RTIDS\x01\x00\x00"
 HEADER = "<8sII"  # magic, bytes per id, unused
 HEADER_BYTES = struct.calcsize(HEADER)
 CACHE_PIECES = 1_200_000
+CHARACTERS_AT_ONCE = 4 << 20
+LEARN_AT_ONCE = 4_096
 SEGMENT_KEYS = 50_000
 # ASCII marks; an apostrophe may belong to what follows.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -54,59 +58,132 @@ def single_spaced(text: str) -> bool:
     return OTHER_WHITE.search(text) is None
 
 
-class Pieces(dict):
-    """Encoded pieces, filled on demand: a young and an old half, so that frequent pieces outlive a full table."""
-
-    def __init__(self, encode, lead: str):
-        super().__init__()
-        self.encode, self.lead, self.old, self.runs = encode, lead, {}, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_PIECES // 2:
-            self.old = dict(self)
-            self.clear()
-        made = self.old.get(piece)
-        if made is None:
-            stem = piece.rstrip(MARKS)
-            if stem and stem != piece and stem[-1].isalnum():
-                # marks after a letter or digit and before a blank are a piece of their own
-                run = piece[len(stem) :]
-                if run not in self.runs:
-                    self.runs[run] = self.encode(run)
-                made = self[stem] + self.runs[run]
-                if len(self.runs) > CACHE_PIECES // 10:
-                    self.runs.clear()
-            else:
-                made = self.encode(self.lead + piece)
-        self[piece] = made
-        return made
-
-
 class Encoder:
-    """Texts to packed ids, equal to encoding each whole text with the library."""
+    """Texts to ids, equal to encoding each whole text with the library.
+
+    A piece is what stands between two blanks; the first of a line has its line feed before it. The
+    pieces of many texts are numbered by Arrow, only the different ones are looked up or encoded, and
+    the ids of all texts are gathered by number. The table has a young and an old half, so that
+    frequent pieces outlive a full one.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size(True) <= 1 << 16 else "<u4")
+        size = self.library.get_vocab_size(True)
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.first, self.later = Pieces(self.whole, ""), Pieces(self.whole, " ")
-        self.line = self.whole("\n")
+        self.feed, self.blank = self.ids("\n"), self.ids(" ")
+        lead = self.library.id_to_token(int(self.blank[0]))
+        self.begins = np.array([(self.library.id_to_token(i) or "").startswith(lead) for i in range(size)])
+        self.begins[self.feed[-1]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encode new pieces, thousands in one call: joined by blanks or line feeds, they are parted by the ids that begin one."""
+        if len(self.young) + len(pieces) > CACHE_PIECES // 2:
+            self.old, self.young = self.young, {}
+        width = self.dtype.itemsize
+        for low in range(0, len(pieces), LEARN_AT_ONCE):
+            part = pieces[low : low + LEARN_AT_ONCE]
+            # the blank before a line feed goes again
+            joined = " ".join(part).replace(" \n", "\n")
+            ids = self.ids(joined if joined[0] == "\n" else " " + joined)
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) == len(part):
+                raw, cuts = ids.tobytes(), (np.append(starts, len(ids)) * width).tolist()
+                made = list(map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])))
+            else:
+                made = [self.ids(p if p[0] == "\n" else " " + p).tobytes() for p in part]
+            self.young.update(zip(part, made))
+
+    def known(self, pieces: list[str]) -> list[bytes]:
+        made = list(map(self.young.get, pieces))
+        missing = [i for i, m in enumerate(made) if m is None]
+        for i in missing:
+            made[i] = self.old.get(pieces[i])
+            if made[i] is not None:
+                self.young[pieces[i]] = made[i]
+        missing = [i for i in missing if made[i] is None]
+        if missing:
+            self.learn([pieces[i] for i in missing])
+            for i in missing:
+                made[i] = self.young[pieces[i]]
+        return made
+
+    def table_of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of different pieces in one array, with their starts and sizes.
+
+        Marks after a letter or digit and before a blank are a piece of their own, so they are cut off and encoded apart.
+        """
+        stems = pc.utf8_rtrim(pieces, MARKS)
+        length, whole = (pc.utf8_length(c).to_numpy(zero_copy_only=False) for c in (stems, pieces))
+        marked = (length < whole) & pc.utf8_is_alnum(pc.utf8_slice_codeunits(stems, -1)).to_numpy(zero_copy_only=False)
+        keys = pc.if_else(pa.array(marked), stems, pieces).dictionary_encode()
+        made = self.known(fast_list(keys.dictionary))
+        key = keys.indices.to_numpy(zero_copy_only=False)
+        run = np.full(len(pieces), len(made))
+        extra: dict[str, int] = {}
+        for k in np.unique((whole - length)[marked]).tolist():
+            at = np.flatnonzero(marked & (whole - length == k))
+            tails = pc.utf8_slice_codeunits(pieces.take(pa.array(at)), -k).dictionary_encode()
+            named = [extra.setdefault(t, len(made) + 1 + len(extra)) for t in tails.dictionary.to_pylist()]
+            run[at] = np.array(named)[tails.indices.to_numpy(zero_copy_only=False)]
+        if len(self.runs) > CACHE_PIECES // 10:
+            self.runs.clear()
+        for t in extra:
+            if t not in self.runs:
+                self.runs[t] = self.ids(t).tobytes()
+        made = [*made, b"", *(self.runs[t] for t in extra)]
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        both = np.stack((key, run), axis=1).ravel()
+        table = gather(np.frombuffer(b"".join(made), self.dtype), starts[both], sizes[both])
+        sizes = sizes[key] + sizes[run]
+        return table, np.cumsum(sizes) - sizes, sizes
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The packed ids of the texts, in order."""
+        low = 0
+        while low < len(texts):
+            high, size = low, 0
+            while high < len(texts) and size < CHARACTERS_AT_ONCE:
+                size += len(texts[high] or "") + 1
+                high += 1
+            yield from self.encode_some(texts[low:high])
+            low = high
+
+    def encode_some(self, texts: list[str | None]) -> Iterator[bytes]:
+        plain = [bool(t) and single_spaced(t) and not any(mark in t for mark in self.special) for t in texts]
+        spaced = pa.array(["\n" + t.replace("\n", " \n") for t, good in zip(texts, plain) if good], pa.large_string())
+        split = pc.split_pattern(spaced, " ")
+        numbered = split.flatten().dictionary_encode()
+        table, starts, sizes = self.table_of(numbered.dictionary)
+        number = numbered.indices.to_numpy(zero_copy_only=False)
+        size = sizes[number]
+        ends = np.cumsum(size)
+        raw = gather(table, starts[number], size).tobytes()
+        after = np.append(0, ends)[split.offsets.to_numpy()] * self.dtype.itemsize
+        lead = len(self.feed) * self.dtype.itemsize  # the line feed before the first line
+        cuts = zip(after[:-1].tolist(), after[1:].tolist())
+        for text, good in zip(texts, plain):
+            if good:
+                start, end = next(cuts)
+                yield raw[start + lead : end]
+            else:
+                yield self.ids(text).tobytes() if text else b""
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not single_spaced(text) or any(mark in text for mark in self.special):
-            return self.whole(text)
-        parts = []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            parts.append(self.first[head] + b"".join(map(self.later.__getitem__, rest)))
-        return self.line.join(parts)
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices of ``values`` one after the other."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 def encoder(path: str) -> Encoder:
@@ -131,7 +208,7 @@ def write_shards(df: DataFrame, tokenizer: str, end_id: int, folder: str, text:
         try:
             for batch in batches:
                 rows = []
-                for doc, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for doc, packed in zip(batch.column(0).to_pylist(), encode.encode_all(batch.column(1).to_pylist())):
                     if sink is None:
                         files, path = open_folder(name)
                         files.create_dir(path.rpartition("/")[0], recursive=True)
@@ -140,7 +217,7 @@ def write_shards(df: DataFrame, tokenizer: str, end_id: int, folder: str, text:
                         last = (doc,)
                     seen = seen + 1 if (doc,) == last and offset else 0
                     last = (doc,)
-                    ids = encode.encode(words or "") + end
+                    ids = packed + end
                     sink.write(ids)
                     rows.append((doc, seen, name, offset, len(ids) // width))
                     offset += len(ids) // width
