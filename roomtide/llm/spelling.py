@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomtide.llm.common import shared
+from roomtide.llm.common import fast_list, shared
 
 RUNS = re.compile("[A-Za-zÀ-ÿ]+")
 FLUSH_WORDS = 300_000
 SAMPLE_WORDS = 200_000
-CELL_WORDS = 16_384
-LEAF_WORDS = 48
+CELL_WORDS = 32_768
+LEAF_WORDS = 128
 AXES = 26 + 64  # a to z, then U+00C0 to U+00FF
 PAIRS_AT_ONCE = 1 << 18
 
@@ -66,11 +66,9 @@ def count_words(df: DataFrame, settings: Settings, text: str = "text", doc_id: s
             return made
 
         for batch in batches:
-            for doc, words in zip(batch.column(0), batch.column(1)):
-                words = words.as_py()
+            for doc, words in zip(batch.column(0).to_pylist(), fast_list(batch.column(1))):
                 if not words:
                     continue
-                doc = doc.as_py()
                 start = zlib.crc32(f"{'' if doc is None else doc}:".encode())
                 lowered = words.encode("utf-8", "replace").lower().decode()
                 for run_, n in Counter(w for w in RUNS.findall(lowered) if len(w) >= least).items():
@@ -206,9 +204,9 @@ class Cell:
             step = max(1, PAIRS_AT_ONCE // len(points))
             for low in range(0, len(rows), step):
                 part = rows[low : low + step]
-                q, p = np.nonzero(np.bitwise_count(signs[part][:, None] ^ self.signs[points][None, :]) <= radius)
-                if len(q):
-                    found.append((part[q], points[p]))
+                hit = np.flatnonzero(np.bitwise_count(signs[part][:, None] ^ self.signs[points][None, :]) <= radius)
+                if len(hit):
+                    found.append((part[hit // len(points)], points[hit % len(points)]))
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         q, p = (np.concatenate(c) for c in zip(*found))
@@ -260,7 +258,7 @@ def route(words: DataFrame, trees: dict[int, tuple[Node, int]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_length: dict[int, list[int]] = {}
-            names = batch.column(0).to_pylist()
+            names = fast_list(batch.column(0))
             for i, word in enumerate(names):
                 by_length.setdefault(len(word), []).append(i)
             cells, points, rows = [], [], []
@@ -301,7 +299,7 @@ def search(routed: DataFrame) -> DataFrame:
                         out.extend(cell.answers(part))
                 asked.clear()
 
-            for number, is_point, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+            for number, is_point, word, n in zip(*map(fast_list, batch.columns)):
                 if number != last:
                     answer()
                     last, cell, held = number, None, ([], [])
