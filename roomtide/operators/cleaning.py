@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roomtide import schema
 from roomtide.functions.columns import arrival_date, truthy
-from roomtide.operators.ranking import row_numbers
+from roomtide.operators.ranking import free_names, row_numbers
 from roomtide.operators.validation import guest_total
 
 MAX_REMOVAL_PERCENT = 1.0
@@ -130,7 +130,8 @@ def flip_first_labels(
     df: DataFrame, order_by: str, label: str = schema.TARGET, share: float = 0.40
 ) -> DataFrame:
     """Turn the label around in the first ``share`` of the rows by a declared order."""
-    numbered = row_numbers(df, order_by, out="_position")
-    n_flip = int(numbered.count() * share)
-    flipped = F.when(F.col("_position") < n_flip, 1 - F.col(label)).otherwise(F.col(label))
-    return numbered.withColumn(label, flipped).drop("_position")
+    (position,) = free_names(df, "_position")
+    numbered = row_numbers(df, order_by, out=position)
+    n_flip = int(df.count() * share)
+    flipped = F.when(F.col(position) < n_flip, 1 - F.col(label)).otherwise(F.col(label))
+    return numbered.withColumn(label, flipped).drop(position)

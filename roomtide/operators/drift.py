@@ -15,7 +15,7 @@ from roomtide import schema
 from roomtide.functions.columns import no_nan
 from roomtide.operators.metrics import compute_metrics
 from roomtide.operators.quantiles import exact_quantiles
-from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, row_numbers, value_ranges, with_range
+from roomtide.operators.ranking import ROWS_PER_RANGE, free_names, ranges_for, row_numbers, with_value_ranges
 
 # Limits of the drift checks.
 PRIOR_SHIFT_LIMIT = 0.05
@@ -85,14 +85,15 @@ def with_chunks(
     the order, as weeks follow days; the position in a group is then a difference of
     positions in the table, and no group is gathered.
     """
-    numbered = row_numbers(df, order_by, tie_break, out="_position", rows_per_range=rows_per_range)
-    sizes = df.groupBy(group).agg(F.count("*").alias("_size"))
+    position, rows, start = free_names(df, "_position", "_size", "_start")
+    numbered = row_numbers(df, order_by, tie_break, out=position, rows_per_range=rows_per_range)
+    sizes = df.groupBy(group).agg(F.count("*").alias(rows))
     before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per period of the calendar
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    starts = sizes.withColumn(start, F.coalesce(F.sum(rows).over(before), F.lit(0)))
     placed = numbered.join(starts, group)
-    size = F.greatest(F.lit(smallest), F.least(F.col("_size"), F.lit(largest)))
-    chunk = F.floor((F.col("_position") - F.col("_start")) / size).cast("int")
-    return placed.withColumn(out, chunk).drop("_position", "_start", "_size")
+    size = F.greatest(F.lit(smallest), F.least(F.col(rows), F.lit(largest)))
+    chunk = F.floor((F.col(position) - F.col(start)) / size).cast("int")
+    return placed.withColumn(out, chunk).drop(position, start, rows)
 
 
 def reference_edges(
@@ -201,8 +202,7 @@ def distribution_gaps(
     ]
     both = marked[0].unionAll(marked[1])
     ranges = ranges_for(both.count(), rows_per_range)
-    limits = value_ranges(both, "value", ranges)[0] if ranges > 1 else []
-    counted = with_range(both, "value", limits, "_range").groupBy("feature", "_range", "value")
+    counted = with_value_ranges(both, "value", ranges, "_range").groupBy("feature", "_range", "value")
     counted = counted.agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
 
     feature = Window.partitionBy("feature")

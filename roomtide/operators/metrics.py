@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions.binning import calibration_error_bin, reliability_bin
-from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, value_ranges, with_range
+from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, with_value_ranges
 
 EPSILON = 2.220446049250313e-16
 METRICS = ["pr_auc", "roc_auc", "log_loss", "brier", "ece"]
@@ -36,8 +36,7 @@ def cumulative(scores: DataFrame, keys: Sequence[str] = (), rows_per_range: int
     """
     keys = list(keys)
     ranges = ranges_for(scores.count(), rows_per_range)
-    limits = value_ranges(scores, "p", ranges)[0] if ranges > 1 else []
-    banded = with_range(scores, "p", limits, "_band")
+    banded = with_value_ranges(scores, "p", ranges, "_band")
     above = Window.partitionBy(*keys).orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     bands = banded.groupBy(*keys, "_band").agg(F.sum("n").alias("_n"), F.sum("pos").alias("_pos"))

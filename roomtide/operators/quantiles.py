@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions.columns import no_nan
-from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, value_ranges, with_range
+from roomtide.operators.ranking import ROWS_PER_RANGE, ranges_for, with_value_ranges
 
 
 def exact_quantiles(
@@ -32,9 +32,8 @@ def exact_quantiles(
     for name in [*keys, "_v"]:
         present = present.filter(F.col(name).isNotNull())
     ranges = ranges_for(present.count(), rows_per_range)
-    limits = value_ranges(present, "_v", ranges)[0] if ranges > 1 else []
-    counted = with_range(present, "_v", limits, "_slot").groupBy(*keys, "_slot", "_v").agg(F.count("*").alias("_n"))
-    ordered = _placed(counted, keys) if not limits else _placed_in_ranges(counted, keys, quantiles)
+    counted = with_value_ranges(present, "_v", ranges, "_slot").groupBy(*keys, "_slot", "_v").agg(F.count("*").alias("_n"))
+    ordered = _placed(counted, keys) if ranges == 1 else _placed_in_ranges(counted, keys, quantiles)
     picks = []
     for name, level in quantiles.items():
         at = F.lit(float(level)) * (F.col("_total") - 1)

@@ -2,7 +2,8 @@
 
 A plain window puts a whole group, or a whole table, into one task. These forms cut
 the order into ranges first, number the rows inside every range and add the count
-of all earlier ranges. Only the counts, a bounded table, go through one place.
+of all earlier ranges. Only the counts, a row per range, go through one place. The number
+of ranges follows the number of rows: beyond LIMITS of them, ranges are cut in two levels.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions.columns import as_column
+from roomtide.session import cut_lineage
 
 ROWS_PER_RANGE = 1_000_000
 PIECES = 64
-MAX_RANGES = 10_000
+LIMITS = 1_000  # limits of one level of ranges
+BROADCAST_RANGES = LIMITS * 1_024  # eight megabytes of limits
 
 
 def value_ranges(df: DataFrame, name: str, ranges: int) -> tuple[list[float], dict[float, int]]:
@@ -38,7 +41,51 @@ def value_ranges(df: DataFrame, name: str, ranges: int) -> tuple[list[float], di
 
 
 def ranges_for(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
-    return max(1, min(MAX_RANGES, math.ceil(rows / rows_per_range)))
+    return max(1, math.ceil(rows / rows_per_range))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def with_value_ranges(df: DataFrame, name: str, ranges: int, out: str, limits_per_level: int = LIMITS) -> DataFrame:
+    """Add the number of the range that the value of ``name`` falls into, about ``ranges`` of equal share, in order of the value.
+
+    Up to ``limits_per_level`` ranges are cut by one list of limits. For more, every range is cut again by
+    limits of its own, which one job finds for all ranges and which are searched by halving.
+    """
+    df = df.drop(out)
+    if ranges <= 1:
+        return df.withColumn(out, F.lit(0.0))
+    if ranges <= limits_per_level:
+        return with_range(df, name, value_ranges(df, name, ranges)[0], out)
+    coarse, cuts, key = free_names(df, "_coarse", "_cuts", "_key")
+    first = with_range(df, name, value_ranges(df, name, limits_per_level)[0], coarse)
+    inner = math.ceil(ranges / limits_per_level)
+    shares = F.array(*[F.lit(i / inner) for i in range(1, inner)]) if inner > 1 else F.array(F.lit(0.5))
+    value = F.col(name).cast("double")
+    fine = first.groupBy(F.col(coarse).alias(key)).agg(F.array_distinct(F.approx_percentile(value, shares, 4 * inner)).alias(cuts))
+    fine = F.broadcast(fine) if ranges <= BROADCAST_RANGES else fine
+    joined = first.join(fine, F.col(coarse).eqNullSafe(F.col(key)), "left")
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        right = F.get(F.col(cuts), middle) <= value
+        narrowed = F.struct(F.when(right, middle + 1).otherwise(span["low"]).alias("low"), F.when(right, span["high"]).otherwise(middle).alias("high"))
+        return F.when(span["low"] < span["high"], narrowed).otherwise(span)
+
+    steps = F.array(*[F.lit(0)] * (inner.bit_length() + 1))
+    whole = F.struct(F.lit(0).alias("low"), F.coalesce(F.size(cuts), F.lit(0)).alias("high"))
+    place = F.coalesce(F.aggregate(steps, whole, halve)["low"], F.lit(0))
+    return joined.withColumn(out, F.col(coarse) * (inner + 1) + place).drop(coarse, cuts, key)
 
 
 def with_range(df: DataFrame, name: str, limits: Sequence[float], out: str) -> DataFrame:
@@ -59,48 +106,27 @@ def row_numbers(
 ) -> DataFrame:
     """Numbers 0..n-1 over a declared order, without a one-task window.
 
-    ``order_by`` is numeric, a date or a timestamp; ``tie_break`` (numeric) makes the
-    order total. A value of ``order_by`` that fills a range alone is cut further along
-    ``tie_break``, so even an order key with one dominant value spreads out.
+    ``tie_break`` makes the order total. Spark deals the rows to ranges of both keys, so a value of
+    ``order_by`` that would fill a range alone is cut further along ``tie_break``.
     """
     first = as_column(order_by)
     second = as_column(tie_break) if tie_break is not None else F.lit(0)
-    key1 = _numeric(df, first)
-    key2 = _numeric(df, second)
-    keyed = df.withColumns({"_k1": key1, "_k2": key2})
     ranges = ranges_for(df.count(), rows_per_range)
-    keyed = keyed.withColumns({"_b1": F.lit(0.0), "_b2": F.lit(0.0)})
-    if ranges > 1:
-        limits, frequent = value_ranges(keyed, "_k1", ranges)
-        keyed = with_range(keyed, "_k1", limits, "_b1")
-        if frequent and tie_break is not None:
-            # one set of tie-break limits serves all frequent values: few of them, cut finely enough for the largest
-            is_frequent = F.col("_k1").isin(list(frequent))
-            inner, _ = value_ranges(keyed.filter(is_frequent), "_k2", max(frequent.values()))
-            keyed = with_range(keyed, "_k2", inner, "_b2")
-            keyed = keyed.withColumn("_b2", F.when(is_frequent, F.col("_b2")).otherwise(0.0))
-
-    within = Window.partitionBy("_b1", "_b2").orderBy(first, second)
-    numbered = keyed.withColumn("_local", F.row_number().over(within) - 1)
-    if ranges > 1:
-        counts = keyed.groupBy("_b1", "_b2").count()
-        before = Window.orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
-        # one row per range, a bounded number however large the table is
-        offsets = counts.select("_b1", "_b2", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-        numbered = numbered.join(offsets, ["_b1", "_b2"], "left")
+    # The row stays in one struct, so that no helper meets a column of the caller.
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), first.alias("k1"), second.alias("k2"))
+    if ranges == 1:
+        numbered = keyed.withColumn("n", F.row_number().over(Window.orderBy("k1", "k2")) - 1)
     else:
-        numbered = numbered.withColumn("_before", F.lit(0))
-    position = (F.col("_before") + F.col("_local")).cast("long").alias(out)
-    return numbered.select(*df.columns, position)
-
-
-def _numeric(df: DataFrame, key: Column) -> Column:
-    kind = df.select(key.alias("k")).schema["k"].dataType.typeName()
-    if kind == "date":
-        return F.unix_date(key).cast("double")
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(key.cast("timestamp")).cast("double")
-    return key.cast("double")
+        dealt = keyed.repartitionByRange(ranges, "k1", "k2").sortWithinPartitions("k1", "k2")
+        # The lower 33 bits count the rows of a partition; written once, so that counts and rows belong together.
+        placed = dealt.select("row", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("local"))
+        placed = cut_lineage(placed, "ranges")
+        before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+        starts = placed.groupBy("range").agg(F.count("*").alias("n_rows"))
+        starts = starts.select("range", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("start"))
+        numbered = placed.join(starts, "range").withColumn("n", F.col("start") + F.col("local"))
+    columns = [F.col("row").getField(c).alias(c) for c in df.columns if c != out]
+    return numbered.select(*columns, F.col("n").cast("long").alias(out))
 
 
 def top_rows(
@@ -120,9 +146,10 @@ def top_rows(
     """
     salts = (1 if limit < 1_000 else PIECES) if salts is None else salts
     if salts > 1:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(unique), F.lit(salts)))
-        piece = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = salted.withColumn("_piece", F.row_number().over(piece)).filter(F.col("_piece") <= limit)
-        df = df.drop("_salt", "_piece")
+        salt, place = free_names(df, "_salt", "_piece")
+        salted = df.withColumn(salt, F.pmod(F.xxhash64(unique), F.lit(salts)))
+        piece = Window.partitionBy(*keys, salt).orderBy(*order)
+        df = salted.withColumn(place, F.row_number().over(piece)).filter(F.col(place) <= limit)
+        df = df.drop(salt, place)
     whole = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= limit)
