@@ -784,6 +784,10 @@ SQL["text_validation_report"] = _text_report()
 SQL["stream_quarantine"] = SQL["quarantine"]
 SQL["stream_cooldown"] = SQL["cooldown_actions"]
 SQL["stream_occupancy"] = f"SELECT * FROM ({SQL['nightly_occupancy']}) WHERE occupancy > 0"
+SQL["stream_active_list"] = (
+    f"WITH {BOOKINGS}, stayed AS (SELECT * REPLACE (property AS hotel) FROM bk WHERE is_canceled = 0),"
+    f"{OCCUPANCY.format(rows='stayed')} SELECT * FROM occ"
+)
 SQL["stream_weekly_stats"] = f"""WITH {EVENTS} SELECT week, count(*) AS n_rows,
     round(avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 6) AS cancel_rate FROM ev GROUP BY week"""
 SQL["stream_service_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) AS day, count(*) AS requests,

@@ -47,8 +47,9 @@ DAY_CONFIG = CostConfig(capacity={}, default_capacity=6, fixed_overbook_pct=0.20
 THREE_POLICIES = ["no_overbook", "fixed", "avg_rate"]
 CUTOFF = date(2000, 5, 31)
 DRIFT_COLUMNS = ["lead_time", "adr", "length_of_stay"]
-# Stored tables come in no order of time: rows may be as late as the table is long.
-WHOLE_SPAN = "7300 days"
+# Streams are fed in order of time, over several triggers; a delay of days is enough and old state is dropped.
+ORDERED_DELAY = "2 days"
+FEED_FILES = 4
 
 
 def query(run: Query) -> Query:
@@ -821,15 +822,15 @@ def slo_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return streams.read_table_stream(spark, sf_dir, events.schema, "events.parquet")
+    """The events as a feed: files in order of time, one a trigger, so that a short delay is enough and state is dropped."""
+    return streams.feed_in_order(table(spark, sf_dir, "events"), shared_path(spark, "events"), "ts", FEED_FILES)
 
 
 @query
 def stream_weekly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = table(spark, sf_dir, "events").agg(F.min(F.col("ts").cast("date"))).first()[0]
     stream = _event_stream(spark, sf_dir).withColumn("is_error", (F.col("event_type") == "error").cast("int"))
-    weekly = streams.weekly_stats_stream(stream, first, WHOLE_SPAN, label="is_error")
+    weekly = streams.weekly_stats_stream(stream, first, ORDERED_DELAY, label="is_error")
     return rounded(streams.run_available(weekly, "weekly", ["week"]), 6, "cancel_rate")
 
 
@@ -839,7 +840,7 @@ def stream_service_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _event_stream(spark, sf_dir).select(
         "ts", F.col("event_type").alias("path"), status.alias("status"), F.col("value").alias("latency_ms")
     )
-    levels = streams.run_available(streams.service_levels_stream(log, WHOLE_SPAN), "slo", ["path", "window_start"])
+    levels = streams.run_available(streams.service_levels_stream(log, ORDERED_DELAY), "slo", ["path", "window_start"])
     day = F.col("window_start").cast("date").alias("day")
     return levels.select("path", day, "requests", "server_errors_5xx", "p50_ms", "p95_ms", "max_ms")
 
@@ -849,7 +850,7 @@ def stream_sliding_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _event_stream(spark, sf_dir).select(
         "ts", F.col("event_type").alias("path"), F.lit(200).alias("status"), F.col("value").alias("latency_ms")
     )
-    sliding = streams.service_levels_stream(log, WHOLE_SPAN, "2 days", "1 day")
+    sliding = streams.service_levels_stream(log, ORDERED_DELAY, "2 days", "1 day")
     levels = streams.run_available(sliding, "slo-sliding", ["path", "window_start"])
     return levels.select("path", F.col("window_start").cast("date").alias("day"), "requests", "max_ms")
 
@@ -867,14 +868,31 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_path(spark, "stays")
     rows = bookings(spark, sf_dir).select("hotel", "stay_date", "length_of_stay", "is_canceled")
-    rows.write.parquet(folder)
-    stream = streams.occupancy_stream(streams.read_table_stream(spark, folder, rows.schema), WHOLE_SPAN)
+    feed = streams.feed_in_order(rows, shared_path(spark, "stays"), "stay_date", FEED_FILES)
+    # nights run ahead of the arrivals by the longest stay
+    stream = streams.occupancy_stream(feed, "60 days")
     found = streams.run_available(stream, "occupancy", ["hotel", "night"])
     return found.select("hotel", F.col("night").cast("date").alias("date"), "occupancy")
 
 
+@query
+def stream_active_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rooms taken per property and night from the guests held as state; bookings come in order, days at a time."""
+    rows = bookings(spark, sf_dir).select(F.col("property").alias("hotel"), "stay_date", "length_of_stay", "is_canceled")
+    folder = shared_path(spark, "arrivals")
+    stream = streams.feed_in_order(rows, folder, "stay_date")
+    # a canceled booking after the last checkout closes the feed
+    last = rows.agg(F.date_add(F.max(F.date_add("stay_date", F.col("length_of_stay"))), 30).alias("stay_date"))
+    closing = last.select(F.lit(None).cast("string").alias("hotel"), "stay_date", F.lit(0).alias("length_of_stay"), F.lit(1).alias("is_canceled"))
+    closing.select([F.col(f.name).cast(f.dataType) for f in rows.schema]).coalesce(1).write.mode("append").parquet(folder)
+    found = streams.active_list_stream(stream, ORDERED_DELAY)
+    # every state partition has a Python worker in every batch: one for each core
+    parts = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    settings = {"spark.sql.streaming.stateStore.providerClass": streams.ROCKSDB, "spark.sql.shuffle.partitions": str(parts)}
+    return streams.run_available(found, "active", settings=settings)
+
+
 @query
 def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scored_bookings(spark, sf_dir, stays=True)
@@ -882,11 +900,9 @@ def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.date_add("stay_date", F.col("length_of_stay")).cast("timestamp")
     outcomes = rows.select("row_id", "is_canceled", known.alias("outcome_ts"))
     sides = []
-    for name, frame in (("scores", scores), ("outcomes", outcomes)):
-        folder = shared_path(spark, name)
-        frame.write.parquet(folder)
-        sides.append(streams.read_table_stream(spark, folder, frame.schema))
-    joined = streams.run_available(streams.late_labels_stream(*sides, WHOLE_SPAN), "labelled")
+    for name, frame, ts in (("scores", scores, "score_ts"), ("outcomes", outcomes, "outcome_ts")):
+        sides.append(streams.feed_in_order(frame, shared_path(spark, name), ts, FEED_FILES))
+    joined = streams.run_available(streams.late_labels_stream(*sides, ORDERED_DELAY), "labelled")
     found = metrics.compute_metrics(joined, "is_canceled", "p_cancel", ["hotel"])
     return rounded(found.select("hotel", "n_rows", "pr_auc", "ece"), 6, "pr_auc", "ece")
 

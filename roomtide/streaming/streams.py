@@ -7,19 +7,20 @@ its own output.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from roomtide.operators.models import CalibratedModel
 from roomtide.operators.monitoring import COOLDOWN_WEEKS, DRY_RUN, NO_ACTION
 from roomtide.operators.records import find_problems, rejected_rows, valid_rows
-from roomtide.session import shared_path
+from roomtide.session import cut_lineage, shared_path
 
 
 def read_table_stream(
@@ -32,6 +33,25 @@ def read_table_stream(
     return reader.parquet(folder)
 
 
+def feed_in_order(df: DataFrame, folder: str, ts: str, files: int = 8, rows_per_file: int = 1_000_000) -> DataFrame:
+    """Write ``df`` as files that follow one another in event time, as a feed delivers them, and return them as a stream.
+
+    No value of ``ts`` is split between files, and every trigger takes one file; more rows make more files.
+    """
+    spark = df.sparkSession
+    rows = cut_lineage(df, "feed")
+    at = F.col(ts).cast("timestamp")
+    files = max(files, -(-rows.count() // rows_per_file))
+    shares = [i / files for i in range(1, files)]
+    cuts = rows.select(F.approx_percentile(F.unix_micros(at), shares, 100 * files).alias("cuts")).first().cuts or []
+    edges = [None, *sorted(set(cuts)), None]
+    for low, high in zip(edges, edges[1:]):
+        part = rows if low is None else rows.filter(F.unix_micros(at) > low)
+        part = part if high is None else part.filter(F.unix_micros(at) <= high)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return read_table_stream(spark, folder, rows.schema, files_per_trigger=1)
+
+
 # --- Windowed aggregates ----------------------------------------------------
 
 
@@ -99,6 +119,76 @@ def occupancy_stream(
     return timed.groupBy("hotel", "night").agg(F.count("*").alias("occupancy"))
 
 
+DAY_MS = 86_400_000
+
+
+class ActiveList(StatefulProcessor):
+    """Guests of a property between check-in and checkout.
+
+    The state is a map from day to the change of guests on it, and the level reached so far. The timer
+    of a day fires when the watermark has passed it: nobody else can arrive then, the nights before
+    it are returned, and its guests leave the state. What stays is the span of the longest stay.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.moves = handle.getMapState("moves", "day int", "net int")
+        self.level = handle.getValueState("level", "day int, guests bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        change: dict[int, int] = {}
+        for part in rows:
+            part = part[part["guests"] > 0]
+            for day, nights, guests in zip(part["day"].tolist(), part["nights"].tolist(), part["guests"].tolist()):
+                change[day] = change.get(day, 0) + guests
+                change[day + nights] = change.get(day + nights, 0) - guests
+        for day, net in change.items():
+            if self.moves.containsKey((day,)):
+                net += self.moves.getValue((day,))[0]
+            else:
+                self.handle.registerTimer(day * DAY_MS)
+            self.moves.updateValue((day,), (net,))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS
+        net = self.moves.getValue((day,))[0]
+        self.moves.removeKey((day,))
+        before, guests = self.level.get() if self.level.exists() else (day, 0)
+        self.level.update((day, guests + net))
+        if day > before:
+            dates = [date.fromordinal(EPOCH_DAY + d) for d in range(before, day)]
+            yield pd.DataFrame({"hotel": key[0], "date": dates, "occupancy": guests})
+
+
+EPOCH_DAY = date(1970, 1, 1).toordinal()
+
+
+def active_list_stream(
+    stream: DataFrame,
+    delay: str,
+    hotel: str = "hotel",
+    stay: str = "stay_date",
+    nights: str = "length_of_stay",
+    canceled: str = "is_canceled",
+) -> DataFrame:
+    """Rooms taken per hotel and night, returned once per night when the watermark has passed it.
+
+    Needs the RocksDB state store; a row behind the watermark is late, see :func:`run_available`.
+    Canceled bookings move the watermark on but never enter the state.
+    """
+    guests = F.when((F.col(canceled) == 0) & (F.col(nights) > 0), 1).otherwise(0)
+    day = F.col(stay).cast("date")
+    slim = stream.select(
+        F.col(hotel).alias("hotel"), day.cast("timestamp").alias("ts"), F.unix_date(day).alias("day"),
+        F.col(nights).cast("int").alias("nights"), guests.alias("guests"),
+    )
+    keyed = slim.withWatermark("ts", delay).groupBy("hotel")
+    return keyed.transformWithStateInPandas(
+        ActiveList(), "hotel string, date date, occupancy bigint", outputMode="append", timeMode="eventTime"
+    )
+
+
 # --- Records, scores and late labels ----------------------------------------
 
 
@@ -178,9 +268,21 @@ class RowsTooLate(RuntimeError):
     """Rows came later than the watermark allows, so the result would lack them."""
 
 
-def run_available(stream: DataFrame, label: str, keys: Sequence[str] = (), mode: str | None = None) -> DataFrame:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_available(
+    stream: DataFrame,
+    label: str,
+    keys: Sequence[str] = (),
+    mode: str | None = None,
+    settings: Mapping[str, str] | None = None,
+    reports: list | None = None,
+) -> DataFrame:
     """Process what is there and return the resulting table from the shared folder.
 
+    ``settings`` hold for this stream only; ``reports`` takes the progress report of every batch.
+
     With ``keys`` the stream emits updates and the newest row per key counts. Raises
     :class:`RowsTooLate` when a batch reports rows behind the watermark: nothing is lost silently.
     """
@@ -191,15 +293,19 @@ def run_available(stream: DataFrame, label: str, keys: Sequence[str] = (), mode:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(store).outputMode(mode or ("update" if keys else "append"))
-    kept = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(kept)
-    spark.conf.set(kept, "1000000")  # the report of every batch
+    wanted = {"spark.sql.streaming.numRecentProgressUpdates": "1000000", **(settings or {})}  # the report of every batch
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         run = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         run.awaitTermination()
         late = sum(state.numRowsDroppedByWatermark for report in run.recentProgress for state in report.stateOperators)
     finally:
-        spark.conf.set(kept, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    if reports is not None:
+        reports.extend(run.recentProgress)
     if late:
         raise RowsTooLate(f"{late} rows or partial sums of {label} came behind the watermark; allow a longer delay")
     declared = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])

@@ -109,3 +109,38 @@ def test_files_in_many_triggers_lose_nothing_or_raise(spark, tmp_path):
     for run in (weekly, levels):
         with pytest.raises(streams.RowsTooLate):
             run("1 hour")
+
+
+def stays_in_order(spark, n=120):
+    rows = [("AB"[i % 2], date(2020, 1, 1) + timedelta(i // 3), 1 + i % 4, int(i % 5 == 0)) for i in range(n)]
+    return spark.createDataFrame(rows, "hotel string, stay_date date, length_of_stay int, is_canceled int")
+
+
+def test_active_list_equals_batch_and_forgets_guests(spark, tmp_path):
+    rows = stays_in_order(spark)
+    path = str(tmp_path / "in")
+    stream = streams.feed_in_order(rows, path, "stay_date", files=4)
+    for day in (date(2020, 6, 1), date(2020, 7, 1)):  # closes the feed; a second quiet day shows what is left
+        spark.createDataFrame([(None, day, 0, 1)], rows.schema).coalesce(1).write.mode("append").parquet(path)
+    reports = []
+    found = streams.run_available(
+        streams.active_list_stream(stream, "1 day"), "a", settings={"spark.sql.streaming.stateStore.providerClass": streams.ROCKSDB}, reports=reports
+    )
+    batch = occupancy.nightly_occupancy(rows)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, batch.select("hotel", "date", "occupancy").collect()))
+    held = [sum(s.numRowsTotal for s in r.stateOperators) for r in reports if r.stateOperators]
+    assert held[-1] < max(held) and held[-1] <= 6  # a level for each hotel is all that stays
+
+
+def test_feed_comes_in_order_and_late_rows_raise(spark, tmp_path):
+    rows = stays_in_order(spark)
+    stream = streams.feed_in_order(rows, str(tmp_path / "in"), "stay_date", files=5)
+    seen = []
+    run = stream.writeStream.foreachBatch(lambda part, _: seen.append([r.stay_date for r in part.collect()])).trigger(availableNow=True)
+    run.option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    assert len(seen) == 5 and all(max(a) < min(b) for a, b in zip(seen, seen[1:])) and sum(map(len, seen)) == 120
+    late = spark.createDataFrame([("A", date(2020, 1, 1), 1, 0)], rows.schema)
+    late.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    weekly = streams.weekly_stats_stream(stream, date(2020, 1, 1), "1 day", "stay_date")
+    with pytest.raises(streams.RowsTooLate):
+        streams.run_available(weekly, "w", ["week"])
