@@ -38,6 +38,7 @@ DAY_CYCLE = 86_400 * 366
 RANGE_ROWS = 50_000
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 5
+RECORDS_AT_ONCE = 10_000
 
 
 def url_key(url: str | Column) -> Column:
@@ -222,6 +223,11 @@ def page_of(uri: str | None) -> int | None:
     return int(number) if number.lstrip("-").isdigit() else None
 
 
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=RECORD)
+
+
 def read_archives(archives: DataFrame) -> DataFrame:
     """A row per record of the archives named in the column ``archive``."""
 
@@ -241,11 +247,17 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         if kind == "response" and (size != len(payload) or digest != base64.b32encode(hashlib.sha1(payload).digest()).decode()):
                             raise ValueError(f"{name} is damaged at {offset}")
                         rows.append((page_of(header["warc-record-id"]), size, digest, kind, page_of(header.get("warc-refers-to")), name, offset))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=RECORD)
+                        if len(rows) == RECORDS_AT_ONCE:
+                            yield batch_of(rows)
+                            rows = []
+                if rows:
+                    yield batch_of(rows)
 
     made = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, archive string, offset bigint"
-    return archives.select("archive").distinct().mapInArrow(run, made)
+    # A name is a few bytes and an archive is large, so the number of tasks is given: one for each archive.
+    # What they read is written, because its size cannot be told from the names.
+    names = shared(archives.select("archive").distinct(), "archive-names")
+    return shared(names.repartitionByRange(max(1, names.count()), "archive").mapInArrow(run, made), "records")
 
 
 RECORD = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset"]
