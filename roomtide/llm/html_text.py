@@ -29,13 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names by role, and words that name such parts in class, id or role.
-RAW = "script style noscript template iframe textarea title xmp svg math object canvas audio video".split()
+RAW = "script style noscript template iframe textarea title xmp svg annotation annotation-xml object canvas audio video".split()
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong "
-    "sub sup time tt u var wbr img br input meta link area base col embed hr param source track nobr center".split()
+    "sub sup time tt u var wbr img br input meta link area base col embed hr param source track nobr center "
+    "math mi mo mn ms mtext mspace mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mpadded mphantom mfenced "
+    "mtable mtr mtd semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("nav footer aside form button select menu dialog head datalist fieldset".split())
+DROPPED = frozenset("nav footer aside button select menu head datalist".split())
+AROUND = frozenset("form fieldset dialog".split())  # some pages have all of their text inside one
+UNCLOSED = ("nav", "header", "aside", "menu", "footer")  # an article or main ends them if nothing else does
+PARAGRAPH_SCOPE = ("td", "th", "button", "caption", "object")
 CLOSES_PARAGRAPH = frozenset(
     "address article aside blockquote details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup "
     "li main menu nav ol p pre section table ul".split()
@@ -54,9 +59,9 @@ HEADER_NAMES = frozenset("header topbar branding".split())
 ABOUT_ANOTHER = frozenset("with has no not without is".split())  # "with-sidebar" tells what is beside the element
 PLACES = frozenset("left right top bottom main primary secondary wrapper wrap container area box bar block section inner outer list slot".split())
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rawattrs>(?:\"[^\"]*\"|'[^']*'|[^'\">]++)*+)>(?:.*?)(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">]++)*+)>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^<>]*+>"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rawattrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>]++)*+)>(?:.*?)(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>]++)*+)>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
@@ -69,9 +74,11 @@ class Element:
     name: str
     parent: Element | None
     drop: bool
-    path: str
+    path: int  # number of the names from the root to it
     depth: int
     named: bool = False  # class, id or role say that it is no main text
+    place: int = 0  # in page order; those below an element follow it,
+    last: int = 0  # up to this one
 
 
 @dataclass
@@ -95,7 +102,7 @@ def declared_away(name: str, attributes: str, article: bool) -> tuple[bool, bool
     """Whether the markup hides a part or its element is no main text, and whether a class, id or role says so."""
     if name in DROPPED or name == "header" and not article:
         return True, False
-    named = False
+    named = name in AROUND
     for key, value in ATTRIBUTE.findall(attributes or ""):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
@@ -107,10 +114,13 @@ def declared_away(name: str, attributes: str, article: bool) -> tuple[bool, bool
 
 
 def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
-    """Blocks with text in page order, and the articles and mains."""
-    root = Element("", None, False, "", 0)
-    stack, hidden, links, blocks, bodies = [root], [], 0, [], []
+    """Blocks with text in page order, and all elements in page order, the root first."""
+    root = Element("", None, False, 0, 0)
+    stack, elements, hidden, links, blocks = [root], [root], [], 0, []
     block = Block(root)
+    paths: dict[tuple[int, str], int] = {}
+    opened: dict[str, list[int]] = {}  # places in the stack of the open elements of a name
+    last_close: dict[str, int] = {}
 
     def flush() -> None:
         nonlocal block, links
@@ -127,9 +137,26 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
 
     def pop_to(position: int) -> None:
         flush()
+        for element in stack[position:]:
+            opened[element.name].pop()
         del stack[position:]
         block.owner = stack[-1]
 
+    def nearest(names) -> int:
+        return max((opened[n][-1] for n in names if opened.get(n)), default=0)
+
+    def close_nearest(own, scope) -> None:
+        """End the nearest of ``own``, unless one of ``scope`` lies between."""
+        position = nearest(own)
+        if position > nearest(scope):
+            pop_to(position)
+
+    def unclosed(name: str, at: int) -> bool:
+        if name not in last_close:
+            found = list(re.finditer(f"</{name}\\b", page, re.I))
+            last_close[name] = found[-1].start() if found else -1
+        return last_close[name] < at
+
     at = 0
     for tag in TAG.finditer(page):
         if tag.start() > at:
@@ -154,67 +181,80 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
                     hidden.append(name)
             continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    pop_to(k)
-                    break
+            if opened.get(name):
+                pop_to(opened[name][-1])
             continue
         if name in CLOSES_PARAGRAPH:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == "p":
-                    pop_to(k)
-                    break
-                if stack[k].name in ("td", "th", "button", "caption", "object"):
-                    break
+            close_nearest(("p",), PARAGRAPH_SCOPE)
         if name in ITEM_SCOPES:
             own, scope = ITEM_SCOPES[name]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in scope:
-                    break
-                if stack[k].name in own.split():
-                    pop_to(k)
-                    break
+            close_nearest(own.split(), scope)
+        if name in ("article", "main"):
+            for outer in UNCLOSED:
+                if opened.get(outer) and not nearest(("article", "main")) and unclosed(outer, at):
+                    pop_to(opened[outer][0])
         flush()
         top = stack[-1]
-        article = any(e.name in ("article", "main") for e in stack)
+        article = bool(opened.get("article") or opened.get("main"))
         away, named = declared_away(name, tag["attrs"], article)
-        drop = top.drop or away
-        element = Element(name, top, drop, f"{top.path}/{name}", top.depth + 1, named)
-        if name in ("article", "main") and not drop:
-            bodies.append(element)
+        path = paths.setdefault((top.path, name), len(paths) + 1)
+        element = Element(name, top, top.drop or away, path, top.depth + 1, named, len(elements))
+        elements.append(element)
         if not tag["attrs"].endswith("/"):
+            opened.setdefault(name, []).append(len(stack))
             stack.append(element)
         block.owner = stack[-1]
     if at < len(page):
         add(references.unescape(page[at:]))
     flush()
-    return blocks, bodies
-
-
-def without_named(found: list[tuple[Block, str]], bodies: list[Element]) -> tuple[list[tuple[Block, str]], list[Element]]:
-    """Blocks and bodies outside named elements. One with most of the text outside links is kept, unless an article or main lies elsewhere."""
-    sizes: dict[int, list] = {}
-    total = 0
-    for block, text in found:
-        own = max(0, len(text) - block.linked)
-        total += own
-        for element in lineage(block.owner):
-            if element.named:
-                sizes.setdefault(id(element), [element, 0])[1] += own
-    apart = [e for e in bodies if not any(o.named for o in lineage(e)) and any(inside(b.owner, e) for b, _ in found)] if sizes else []
-    for element, own in sizes.values():
-        if 2 * own > total and all(inside(e, element) or inside(element, e) for e in apart):
-            element.named = False
-    out = {id(e) for e, _ in sizes.values() if e.named}
-    return (
-        [(b, t) for b, t in found if not any(id(e) in out for e in lineage(b.owner))],
-        [e for e in bodies if not any(id(o) in out for o in lineage(e))],
-    )
-
-
-def chosen_paths(blocks: list[Block], texts: list[str]) -> set[str]:
+    for element in reversed(elements):
+        element.last = max(element.last, element.place)
+        if element.parent is not None:
+            element.parent.last = max(element.parent.last, element.last)
+    return blocks, elements
+
+
+def sums_below(elements: list[Element], amounts) -> list[int]:
+    """For every element the sum of (owner, amount) over the elements below it, itself included."""
+    total = [0] * len(elements)
+    for owner, amount in amounts:
+        total[owner.place] += amount
+    for element in reversed(elements[1:]):
+        total[element.parent.place] += total[element.place]
+    return total
+
+
+def below_any(elements: list[Element], marked) -> list[bool]:
+    """For every element whether it or one above it is marked."""
+    found = [False] * len(elements)
+    for element in elements:
+        found[element.place] = marked(element) or element.parent is not None and found[element.parent.place]
+    return found
+
+
+def without_named(found: list[tuple[Block, str]], elements: list[Element]) -> tuple[list[tuple[Block, str]], list[Element]]:
+    """Blocks outside named elements, and the articles and mains there.
+
+    A named element with most of the text outside links is kept, unless an article or main lies elsewhere.
+    """
+    bodies = [e for e in elements if e.name in ("article", "main") and not e.drop]
+    if any(e.named for e in elements):
+        own = sums_below(elements, [(b.owner, max(0, len(t) - b.linked)) for b, t in found])
+        held = sums_below(elements, [(b.owner, 1) for b, _ in found])
+        away = below_any(elements, lambda e: e.named)
+        apart = [e for e in bodies if not away[e.place] and held[e.place]]
+        for element in elements:
+            if element.named and 2 * own[element.place] > own[0] and all(inside(e, element) or inside(element, e) for e in apart):
+                element.named = False
+        out = below_any(elements, lambda e: e.named and held[e.place] > 0)
+        found = [(b, t) for b, t in found if not out[b.owner.place]]
+        bodies = [e for e in bodies if not out[e.place]]
+    return found, bodies
+
+
+def chosen_paths(blocks: list[Block], texts: list[str]) -> set[int]:
     """Paths whose smoothed, fused ratio of text and punctuation reaches the threshold."""
-    paths: dict[str, list[float]] = {}
+    paths: dict[int, list[float]] = {}
     for block, text in zip(blocks, texts):
         total = paths.setdefault(block.owner.path, [0.0, 0.0, 0.0])
         own = max(0, len(text) - block.linked)
@@ -225,51 +265,45 @@ def chosen_paths(blocks: list[Block], texts: list[str]) -> set[str]:
     values = np.array([fused[b.owner.path] for b in blocks])
     padded = np.concatenate((values[:1], values, values[-1:]))
     smooth = (padded[:-2] + 2 * padded[1:-1] + padded[2:]) / 4
-    mean: dict[str, list[float]] = {}
+    mean: dict[int, list[float]] = {}
     for block, value in zip(blocks, smooth):
         mean.setdefault(block.owner.path, []).append(value)
     limit = min(float(smooth.std()), float(smooth.max()))
     return {p for p, v in mean.items() if sum(v) / len(v) >= limit}
 
 
-def lineage(element: Element | None) -> Iterator[Element]:
-    while element is not None:
-        yield element
-        element = element.parent
-
-
-def inside(element: Element | None, holder: Element) -> bool:
-    while element is not None and element.depth >= holder.depth:
-        if element is holder:
-            return True
-        element = element.parent
-    return False
+def inside(element: Element, holder: Element) -> bool:
+    return holder.place <= element.place <= holder.last
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    blocks, bodies = read_blocks(page)
+    blocks, elements = read_blocks(page)
     texts = [" ".join("".join(b.parts).split()) for b in blocks]
-    found, bodies = without_named([(b, t) for b, t in zip(blocks, texts) if t], bodies)
+    found, bodies = without_named([(b, t) for b, t in zip(blocks, texts) if t], elements)
     if not found:
         return ""
-    blocks, texts = [b for b, _ in found], [t for _, t in found]
-    paths = chosen_paths(blocks, texts)
+    paths = chosen_paths([b for b, _ in found], [t for _, t in found])
     content = [(b, t) for b, t in found if b.owner.path in paths]
-    weight = sum(len(t) for _, t in content)
-    outer = [e for e in bodies if not any(e is not o and inside(e, o) for o in bodies)]
-    holders = [e for e in outer if any(inside(b.owner, e) for b, _ in content)]
-    if holders and 2 * sum(len(t) for b, t in content if any(inside(b.owner, e) for e in holders)) >= weight:
-        return "\n".join(t for b, t in found if any(inside(b.owner, e) for e in holders))
-    # No article says where the text is: the deepest element that holds nine tenths of the content.
-    sizes: dict[int, list] = {}
-    for b, t in content:
-        element = b.owner.parent or b.owner
-        while element is not None:
-            sizes.setdefault(id(element), [element, 0])[1] += len(t)
-            element = element.parent
-    holder = max((e for e, n in sizes.values() if 10 * n >= 9 * weight), key=lambda e: e.depth)
+    weights = sums_below(elements, [(b.owner, len(t)) for b, t in content])
+    outer: list[Element] = []
+    for e in bodies:  # in page order, so an outer one comes first
+        if not outer or not inside(e, outer[-1]):
+            outer.append(e)
+    holders = [e for e in outer if weights[e.place]]
+    if holders and 2 * sum(weights[e.place] for e in holders) >= weights[0]:
+        held = below_any(elements, lambda e, ids=frozenset(map(id, holders)): id(e) in ids)
+        return "\n".join(t for b, t in found if held[b.owner.place])
+    # No article says where the text is: the deepest element around blocks that holds nine tenths of the content.
+    around = {id(b.owner.parent or b.owner) for b, _ in content}
+    reached = [False] * len(elements)
+    for element in reversed(elements):
+        reached[element.place] |= id(element) in around
+        if element.parent is not None:
+            reached[element.parent.place] |= reached[element.place]
+    inner = sums_below(elements, [(b.owner.parent or b.owner, len(t)) for b, t in content])
+    holder = max((e for e in elements if reached[e.place] and 10 * inner[e.place] >= 9 * weights[0]), key=lambda e: e.depth)
     return "\n".join(t for b, t in found if b.owner.path in paths or 2 * b.linked < len(t) and inside(b.owner, holder))
 
 
