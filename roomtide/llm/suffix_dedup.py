@@ -31,14 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm.common import mix, new_folder, open_folder, powers, shared
+from roomtide.llm.common import fast_list, mix, new_folder, open_folder, powers, shared
 
 GRAM = 32  # bytes of an anchor
 BLOCK = 1 << 20  # string starts looked at together
 TEXT_BYTES = 1 << 20  # a transform takes whole anchors until it has that many bytes
 REGIONS_IN_TEXT = 4_096  # anchors with more different regions are counted string by string
+READ_BYTES = 8 << 20  # packed texts that one task reads back
 SENTINEL = 256
-EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
 # --- anchors -------------------------------------------------------------------
@@ -283,14 +283,14 @@ def repeated_starts(parts: list[bytes], weights: np.ndarray, length: int) -> lis
 # --- passes ----------------------------------------------------------------------
 
 
-def region_bytes(regions: DataFrame, places: DataFrame, folder: str, length: int) -> DataFrame:
+def region_bytes(regions: DataFrame, folder: str, length: int, parts: int) -> DataFrame:
     """anchor, digest, weight and content of the regions, read at one of their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, last, body = TextFiles(folder), None, b""
         for batch in batches:
             out = []
-            for shard, offset, size, start, number in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for shard, offset, size, start, number in zip(*map(fast_list, batch.columns[:5])):
                 if (shard, offset) != last:
                     last, body = (shard, offset), texts.read(shard, offset, size)
                 out.append(body[start : start + number + length - 1])
@@ -298,7 +298,7 @@ def region_bytes(regions: DataFrame, places: DataFrame, folder: str, length: int
 
     rows = regions.select("place.*", "anchor", "digest", "weight", "hot")
     rows = rows.select("shard", "offset", "size", "start", "number", "anchor", "digest", "weight", "hot")
-    dealt = rows.repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
+    dealt = rows.repartitionByRange(parts, "shard", "offset").sortWithinPartitions("shard", "offset")
     made = "anchor bigint, digest bigint, weight bigint, hot boolean, content binary"
     return shared(dealt.mapInArrow(run, made), "region-bytes")
 
@@ -319,7 +319,7 @@ def expand(contents: DataFrame, length: int) -> DataFrame:
 
         size = 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in zip(*map(fast_list, batch.columns)):
                 if size >= TEXT_BYTES and row[0] != held[-1][0]:
                     yield solve(held)
                     held, size = [], 0
@@ -342,7 +342,7 @@ def count_strings(contents: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for low in range(0, len(batch), 1_000):
                 made = []
-                for anchor, digest, weight, content in zip(*(c.slice(low, 1_000).to_pylist() for c in batch.columns)):
+                for anchor, digest, weight, content in zip(*(fast_list(c.slice(low, 1_000)) for c in batch.columns)):
                     number = len(content) - length + 1
                     made += [(anchor, digest, number, k, xxhash.xxh3_128_digest(content[k : k + length]), weight) for k in range(number)]
                 kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
@@ -364,7 +364,7 @@ def count_strings(contents: DataFrame, length: int) -> DataFrame:
     return hits.mapInArrow(pack, "anchor bigint, digest bigint, mask binary")
 
 
-def cut(marks: DataFrame, folder: str, length: int) -> DataFrame:
+def cut(marks: DataFrame, folder: str, length: int, parts: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of documents with repeated strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,8 +376,8 @@ def cut(marks: DataFrame, folder: str, length: int) -> DataFrame:
                 change = np.zeros(len(body) + 1, np.int32)
                 for s, n, m in zip(start, number, mask):
                     at = np.arange(s, s + n) if m is None else s + np.flatnonzero(np.unpackbits(np.frombuffer(m, np.uint8), count=n))
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + length, -1)
+                    change[at] += 1  # no start twice in a region
+                    change[at + length] -= 1
                 gone = np.cumsum(change[:-1]) > 0
                 kept = np.frombuffer(body, np.uint8)[~gone].tobytes()
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
@@ -386,7 +386,7 @@ def cut(marks: DataFrame, folder: str, length: int) -> DataFrame:
             made = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    dealt = marks.repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
+    dealt = marks.repartitionByRange(parts, "shard", "offset").sortWithinPartitions("shard", "offset")
     return dealt.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -403,6 +403,8 @@ def remove_repeats(
     gram = min(gram, length)
     folder = new_folder(spark, "texts")
     places = write_texts(df, folder, text, doc_id, length, gram)
+    # Places are few bytes a document; the texts behind them say how many tasks there should be.
+    parts = max(1, (places.agg(F.sum("size")).first()[0] or 0) // READ_BYTES)
     zipped = F.arrays_zip("anchors", "digests", "starts", "numbers")
     found = places.select("doc_id", "shard", "offset", "size", F.explode(zipped).alias("z")).select(
         "shard", "offset", "size", F.col("z.anchors").alias("anchor"), F.col("z.digests").alias("digest"),
@@ -417,7 +419,7 @@ def remove_repeats(
     regions = shared(regions, "regions")
     variants = regions.groupBy("anchor").agg(F.count("*").alias("variants")).where("variants > 1")
     mixed = regions.join(variants, "anchor").withColumn("hot", F.col("variants") > regions_in_text)
-    contents = region_bytes(mixed, places, folder, length)
+    contents = region_bytes(mixed, folder, length, parts)
     masks = expand(contents.where("not hot"), length).unionByName(count_strings(contents.where("hot"), length))
     # A region whose anchor has no other region repeats as a whole.
     whole = regions.join(variants, "anchor", "left_anti").select("anchor", "digest", F.lit(None).cast("binary").alias("mask"))
@@ -434,4 +436,4 @@ def remove_repeats(
     dirty = joined.where("marks is not null").select(
         "doc_id", "shard", "offset", "size", F.col("marks.start").alias("start"), F.col("marks.number").alias("number"), F.col("marks.mask").alias("mask")
     )
-    return clean.unionByName(cut(dirty, folder, length))
+    return clean.unionByName(cut(dirty, folder, length, parts))
