@@ -349,7 +349,7 @@ def count_strings(contents: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), kinds)], names=[c.split()[0] for c in by.split(", ")])
 
     strings = shared(contents.select("anchor", "digest", "weight", "content").mapInArrow(run, by), "hot-strings")
-    often = strings.groupBy("string").agg(F.sum("weight").alias("n")).where("n > 1").select("string")
+    often = shared(strings.groupBy("string").agg(F.sum("weight").alias("n")).where("n > 1").select("string"), "common-strings")
     hits = strings.join(often, "string").groupBy("anchor", "digest", "number").agg(F.collect_list("place").alias("places"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,14 +410,15 @@ def remove_repeats(
         "shard", "offset", "size", F.col("z.anchors").alias("anchor"), F.col("z.digests").alias("digest"),
         F.col("z.starts").alias("start"), F.col("z.numbers").alias("number"),
     )
-    common = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Sums are written before they are joined: Spark can then split an anchor that very many texts share.
+    common = shared(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "common-anchors")
     found = shared(found.join(common, "anchor"), "shared-regions")
 
     regions = found.groupBy("anchor", "digest").agg(
         F.count("*").alias("weight"), F.min(F.struct("shard", "offset", "size", "start", "number")).alias("place")
     )
     regions = shared(regions, "regions")
-    variants = regions.groupBy("anchor").agg(F.count("*").alias("variants")).where("variants > 1")
+    variants = shared(regions.groupBy("anchor").agg(F.count("*").alias("variants")).where("variants > 1"), "variants")
     mixed = regions.join(variants, "anchor").withColumn("hot", F.col("variants") > regions_in_text)
     contents = region_bytes(mixed, folder, length, parts)
     masks = expand(contents.where("not hot"), length).unionByName(count_strings(contents.where("hot"), length))
