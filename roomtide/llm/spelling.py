@@ -36,6 +36,7 @@ from roomtide.llm.common import fast_list, shared
 RUNS = re.compile("[A-Za-zÀ-ÿ]+")
 FLUSH_WORDS = 300_000
 SAMPLE_WORDS = 200_000
+HASHES = 1 << 30
 CELL_WORDS = 32_768
 LEAF_WORDS = 128
 AXES = 26 + 64  # a to z, then U+00C0 to U+00FF
@@ -235,8 +236,10 @@ class Cell:
 def lay_out(words: DataFrame, cell_words: int) -> dict[int, tuple[Node, int]]:
     """The upper tree of every length and the number of its first cell; as many cells as the words need."""
     totals = {r["length"]: r["n"] for r in words.groupBy(F.length("word").alias("length")).agg(F.count("*").alias("n")).collect()}
+    # Words with the smallest hashes, about SAMPLE_WORDS of them: every task sends only its own share.
+    share = -(-SAMPLE_WORDS * HASHES // max(SAMPLE_WORDS, sum(totals.values())))
     sample: dict[int, list[str]] = {}
-    for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS).collect():
+    for r in words.select("word").where(F.pmod(F.xxhash64("word"), F.lit(HASHES)) < share).collect():
         sample.setdefault(len(r["word"]), []).append(r["word"])
     made, first = {}, 0
     for length, n in sorted(totals.items()):
