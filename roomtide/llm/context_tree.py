@@ -1,26 +1,28 @@
 """Language-model scores by context-tree weighting.
 
 A text is read as its words (A-Z in lower case), each followed by a blank, and one line feed at
-the end. Every byte is eight binary decisions; the context of a byte is the up to seven bytes
-before it inside its word (before the word begins the context is filled with zeros). For every
-context of zero to seven bytes and every place in the byte's binary tree there are two counts,
-a Krichevsky-Trofimov estimate Pe from them, and the weighted probability
+the end. Every byte is eight binary decisions; the context of a byte is the six bytes before it
+in this stream, whichever words they belong to (before the text begins they are zeros). For every
+context of zero to six bytes and every place in the byte's binary tree there are two counts, a
+Krichevsky-Trofimov estimate Pe from them, and the weighted probability
 
     Pw = Pe at full depth,   Pw = Pe / 2 + (product of the Pw of the longer contexts) / 2 above.
 
 The probability of a decision mixes the estimates along the path by the share of Pe in Pw, so
 all depths count, each as much as the training data supports it.
 
-Since contexts end at the word, a word has one probability and training needs counts of
-distinct words only. The counts of the whole corpus are gathered as (word, count), then as
-(eight-byte window, count): Spark sums them, and every table grows with the corpus. The tree
-below each two-byte context is independent, so windows are dealt by those two bytes and each
-task works on its trees in numpy; what lies above them (at most 256 contexts of one byte and
-the root) has a fixed size and goes to all tasks.
+Training reads every byte of the corpus. Each task counts its seven-byte windows (context and
+byte), packs those of a three-byte context into one row and deals the rows by that context. The
+trees below different three-byte contexts are independent: a task walks its contexts in order and
+keeps a bounded number of windows at a time, however often they occur. What lies above (contexts
+of two bytes, of one and of none) has at most 2^24 places whatever the corpus, and goes to all
+tasks. Windows that only held-out texts have are counted zero times, so every window has a score.
 
-Scoring sends no text around: the ``TOP_WORDS`` most frequent words (of at most 64 bytes, so
-their table has a size bound) are known to every task; of the other words a document sends its
-(64-bit word hash, count) to meet the word table.
+Scoring sends no text around: the most frequent windows (at most ``TOP_WINDOWS``, chosen by a
+threshold on their counts) are known to every task, and a document sends its other windows to
+meet the table of all. The add-one base works on words in the same way: the ``TOP_WORDS`` most
+frequent words (of at most 64 bytes, so their table has a size bound) are known, of the others a
+document sends (64-bit word hash, count).
 
 Cases: a null text is empty and has the end token only; documents without an id have the
 checksum of an empty id; repeated rows are scored each and all teach; without training tokens
@@ -42,11 +44,15 @@ from pyspark.sql import functions as F
 from roomtide.llm.common import LOWER, shared
 from roomtide.llm.quality import fold
 
-DEPTH = 7
+DEPTH = 6
+SPLIT = 3  # trees are dealt by that many bytes of context
+TOP_WINDOWS = 2_000_000
 TOP_WORDS = 100_000
 TOP_BYTES = 64
 HELD_WORDS = 1_000_000  # distinct words a task counts before it hands them on
-HELD_BYTES = 4 << 20  # bytes of words whose windows are made at once
+HELD_BYTES = 4 << 20  # bytes of text whose windows are made at once
+HELD_WINDOWS = 2_000_000  # distinct windows a task counts before it hands them on
+GROWN_WINDOWS = 100_000  # windows whose trees are grown at once
 END = b"\n"  # no word holds it; it stands for the end token
 
 
@@ -91,47 +97,94 @@ def count_words(docs: DataFrame) -> DataFrame:
     return shared(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
-def windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, code) of every byte: seven bytes of context and the byte itself, packed in 64 bits."""
+def stream_of(words: list[bytes]) -> bytes:
+    """The bytes that are coded: words, each followed by a blank, and the end."""
+    return b" ".join(words)
+
+
+def windows(streams: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number of the stream, code) of every byte, ``HELD_BYTES`` of a stream at a time.
+
+    A code holds the three nearest bytes of context, then the three before them, then the byte
+    itself, so that codes in order keep a three-byte context together.
+    """
     pad = b"\0" * DEPTH
-    data = np.frombuffer(b"".join(pad + w + (b"" if w == END else b" ") for w in words), np.uint8)
-    sizes = np.array([len(w) + (w != END) for w in words], np.int64)
-    owner = np.repeat(np.arange(len(words)), sizes)
-    at = np.arange(len(owner)) + DEPTH * (owner + 1)
-    codes = np.zeros(len(at), np.uint64)
-    for k in range(DEPTH + 1):
-        codes = (codes << np.uint64(8)) | data[at - DEPTH + k].astype(np.uint64)
-    return owner, codes
-
-
-def window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-    """Words with their counts and windows, a few megabytes at a time."""
-    words, counts, size = [], [], 0
-    for batch in batches:
-        for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words.append(word)
-            counts.append(n)
-            size += len(word) + 1
+    parts, owners, size = [], [], 0
+
+    def made() -> tuple[np.ndarray, np.ndarray]:
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        sizes = np.array([len(p) - DEPTH for p in parts], np.int64)
+        codes = np.zeros(len(data) - DEPTH, np.uint64)
+        for back in (3, 2, 1, 6, 5, 4, 0):
+            codes <<= np.uint64(8)
+            codes |= data[DEPTH - back : len(data) - back]
+        at = np.arange(sizes.sum()) + DEPTH * np.repeat(np.arange(len(parts)), sizes)  # less those that end in the padding of the next part
+        return np.repeat(np.array(owners, np.int64), sizes), codes[at]
+
+    for owner, stream in enumerate(streams):
+        whole = pad + stream
+        for lo in range(0, len(stream), HELD_BYTES):
+            parts.append(whole[lo : lo + HELD_BYTES + DEPTH])
+            owners.append(owner)
+            size += len(parts[-1]) - DEPTH
             if size >= HELD_BYTES:
-                yield words, np.array(counts, np.int64), *windows(words)
-                words, counts, size = [], [], 0
-    if words:
-        yield words, np.array(counts, np.int64), *windows(words)
+                yield made()
+                parts, owners, size = [], [], 0
+    if parts:
+        yield made()
+
+
+def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order and the sums of their counts."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+    return codes[first], np.add.reduceat(counts[order], first) if len(codes) else counts
 
 
-def count_windows(words: DataFrame) -> DataFrame:
-    """near (the last two context bytes), code and n of every window of every word."""
+def packed_rows(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """near (three bytes of context) and the rest of the codes with their counts, four bytes each, of ordered codes."""
+    near = (codes >> np.uint64(32)).astype(np.int32)
+    first = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+    data = np.empty((len(codes), 2), np.uint32)
+    data[:, 0], data[:, 1] = codes & np.uint64(0xFFFFFFFF), counts
+    ends = np.append(first, len(codes)).astype(np.int32) * 8
+    blobs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(near[first]), blobs], names=["near", "packed"])
+
+
+def unpacked(near: pa.Array, packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    if not len(packed):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    data = np.frombuffer(packed.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(np.uint32).reshape(-1, 2)
+    upper = np.repeat(near.to_numpy(zero_copy_only=False).astype(np.uint64), np.diff(ends) // 8)
+    return (upper << np.uint64(32)) | data[:, 0], data[:, 1].astype(np.int64)
+
+
+def count_windows(docs: DataFrame) -> DataFrame:
+    """near and packed: the windows of all texts, several rows a context; held-out texts count zero times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, counts, owner, codes in window_batches(batches):
-            each, back = np.unique(codes, return_inverse=True)
-            n = np.zeros(len(each), np.int64)
-            np.add.at(n, back, counts[owner])
-            near = ((each >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(near), pa.array(each.view(np.int64)), pa.array(n)], names=["near", "code", "n"])
+        codes, counts, read = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        for batch in batches:
+            by_fold: dict[bool, list[bytes]] = {False: [], True: []}
+            for text, out in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = words_of(text.as_py())
+                words.append(END)
+                by_fold[bool(out)].append(stream_of(words))
+            for out, streams in by_fold.items():
+                for _, made in windows(streams):
+                    each, n = np.unique(made, return_counts=True)
+                    codes, counts = summed(np.concatenate([codes, each]), np.concatenate([counts, n * (not out)]))
+                    read += len(made)
+                    if len(codes) >= HELD_WINDOWS or read >= 1 << 31:  # a count fits in four bytes
+                        yield packed_rows(codes, counts)
+                        codes, counts, read = codes[:0], counts[:0], 0
+        if len(codes):
+            yield packed_rows(codes, counts)
 
-    parts = words.select("word", "n").mapInArrow(run, "near bigint, code bigint, n bigint")
-    return parts.groupBy("near", "code").agg(F.sum("n").alias("n"))
+    return docs.select("text", "held_out").mapInArrow(run, "near int, packed binary")
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -158,13 +211,13 @@ def decisions(byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def subtrees(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Of windows that hold whole two-byte contexts: the eight mixed probabilities of each, and the nodes at depth two."""
+    """Of windows that hold whole three-byte contexts: the eight mixed probabilities of each, and the nodes at depth three."""
     places, bits = decisions(codes & np.uint64(0xFF))
     weights = np.repeat(counts.astype(np.float64), 8)
     bits, places = bits.ravel(), places.ravel().astype(np.uint64)
-    context = np.repeat(codes >> np.uint64(8), 8)
+    context = np.repeat((codes >> np.uint64(32)) | (((codes >> np.uint64(8)) & np.uint64(0xFFFFFF)) << np.uint64(24)), 8)
     mixed = below = parent_of = None
-    for depth in range(DEPTH, 1, -1):
+    for depth in range(DEPTH, SPLIT - 1, -1):
         key = ((context & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8)) | places
         nodes, first, back = np.unique(key, return_index=True, return_inverse=True)
         n1 = np.bincount(back, weights * bits, len(nodes))
@@ -182,35 +235,80 @@ def subtrees(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, dict[st
     return mixed.reshape(-1, 8), {"node": nodes, "n0": n0, "n1": n1, "total": total}
 
 
-TREES = "code bigint, chances array<double>, node bigint, n0 double, n1 double, total double"
+TREES = "code bigint, n bigint, chances array<double>, node bigint, n0 double, n1 double, total double"
+
+
+def tree_rows(codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    mixed, nodes = subtrees(codes, counts)
+    names = ["code", "n", "chances", "node", "n0", "n1", "total"]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    ends = np.arange(0, mixed.size + 1, 8, dtype=np.int32)
+    rows = [pa.array(codes.view(np.int64)), pa.array(counts), pa.ListArray.from_arrays(ends, pa.array(mixed.ravel()))]
+    yield pa.RecordBatch.from_arrays([*rows, *(pa.nulls(len(codes), t) for t in kinds[3:])], names=names)
+    made = [pa.array(nodes["node"].view(np.int64)), *(pa.array(nodes[c]) for c in names[4:])]
+    yield pa.RecordBatch.from_arrays([*(pa.nulls(len(nodes["node"]), t) for t in kinds[:3]), *made], names=names)
 
 
 def grow_trees(counted: DataFrame) -> DataFrame:
-    """Rows of two kinds: code and chances of a window, or node, n0, n1 and total of a place under a two-byte context."""
+    """Rows of two kinds: code, n and chances of a window, or node, n0, n1 and total of a place under a three-byte context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
-        if not sum(len(c) for c, _ in parts):
-            return
-        codes = np.concatenate([c for c, _ in parts])
-        mixed, nodes = subtrees(codes.view(np.uint64), np.concatenate([n for _, n in parts]))
-        ends = np.arange(0, mixed.size + 1, 8, dtype=np.int32)
-        kinds = [pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        names = ["code", "chances", "node", "n0", "n1", "total"]
-        rows = [pa.array(codes), pa.ListArray.from_arrays(ends, pa.array(mixed.ravel()))]
-        yield pa.RecordBatch.from_arrays([*rows, *(pa.nulls(len(codes), t) for t in kinds[2:])], names=names)
-        size = len(nodes["node"])
-        made = [pa.array(nodes["node"].view(np.int64)), *(pa.array(nodes[c]) for c in names[3:])]
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(size, t) for t in kinds[:2]), *made], names=names)
-
-    return shared(counted.repartition("near").select("code", "n").mapInArrow(run, TREES), "trees")
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size, limit = 0, GROWN_WINDOWS
+        for batch in batches:
+            held.append(unpacked(batch.column(0), batch.column(1)))
+            size += len(held[-1][0])
+            if size < limit:
+                continue
+            codes, counts = summed(*(np.concatenate(c) for c in zip(*held)))
+            near = codes >> np.uint64(32)
+            whole = int(np.searchsorted(near, near[-1])) if len(near) else 0  # the last context may go on
+            for lo, hi in slices(near[:whole]):
+                yield from tree_rows(codes[lo:hi], counts[lo:hi])
+            held = [(codes[whole:], counts[whole:])]
+            size = len(codes) - whole
+            limit = max(GROWN_WINDOWS, 2 * size)  # a context is summed up anew only when it has doubled
+        if size:
+            codes, counts = summed(*(np.concatenate(c) for c in zip(*held)))
+            for lo, hi in slices(codes >> np.uint64(32)):
+                yield from tree_rows(codes[lo:hi], counts[lo:hi])
+
+    ordered = counted.repartition("near").sortWithinPartitions("near")
+    return shared(ordered.mapInArrow(run, TREES), "trees")
+
+
+def slices(near: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``GROWN_WINDOWS`` rows that hold whole contexts."""
+    lo = 0
+    while lo < len(near):
+        hi = min(len(near), lo + GROWN_WINDOWS)
+        hi = int(np.searchsorted(near, near[hi - 1], "right"))
+        yield lo, hi
+        lo = hi
+
+
+def upper_nodes(trees: DataFrame) -> DataFrame:
+    """at (two context bytes and place), share of the estimate, chance of a one, n0, n1 and total."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, n0, n1, longer = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            known = estimate(n0, n1)
+            total = np.logaddexp(known, longer) - np.log(2)
+            made = [at, np.exp(known - np.log(2) - total), (n1 + 0.5) / (n0 + n1 + 1), n0, n1, total]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], names=["at", "share", "one", "n0", "n1", "total"])
+
+    # a node is (three context bytes, place); the two nearer bytes and the place remain
+    above = trees.where("node is not null").groupBy(F.expr("node & 16777215").alias("at"))
+    above = above.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("total").alias("longer"))
+    return shared(above.mapInArrow(run, "at bigint, share double, one double, n0 double, n1 double, total double"), "upper")
 
 
 def top_of_tree(trees: DataFrame) -> dict[str, np.ndarray]:
-    """For one byte of context (256 x 256) and none (256): the share of the estimate, and the chance of a one."""
-    nodes = trees.where("node is not null")
-    # a node is (two context bytes, place); the nearer byte and the place remain
-    above = nodes.groupBy(F.expr("node & 65535").alias("at")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("total").alias("longer"))
+    """For two bytes of context (in order of ``at``), one (256 x 256) and none (256): the share of the estimate, and the chance of a one."""
+    upper = upper_nodes(trees)
+    two = upper.select("at", "share", "one").toArrow().sort_by("at")  # at most 2^24 rows
+    above = upper.groupBy(F.expr("at & 65535").alias("at")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("total").alias("longer"))
     found = above.toArrow()
     at = found.column("at").to_numpy().astype(np.int64)
     n0, n1, longer = (np.zeros(1 << 16) for _ in range(3))
@@ -222,79 +320,124 @@ def top_of_tree(trees: DataFrame) -> dict[str, np.ndarray]:
     root = estimate(r0, r1)
     root_total = np.logaddexp(root, total.reshape(256, 256).sum(0)) - np.log(2)
     return {
+        "at2": two.column("at").to_numpy(), "share2": two.column("share").to_numpy(), "one2": two.column("one").to_numpy(),
         "share1": np.exp(known - np.log(2) - total), "one1": (n1 + 0.5) / (n0 + n1 + 1),
         "share0": np.exp(root - np.log(2) - root_total), "one0": (r1 + 0.5) / (r0 + r1 + 1),
     }
 
 
 def window_scores(trees: DataFrame, top: dict[str, np.ndarray]) -> DataFrame:
-    """code and log10 of the probability of its byte."""
+    """code, n and log10 of the probability of its byte."""
     given = trees.sparkSession.sparkContext.broadcast(top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = given.value
         for batch in batches:
             codes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            chance = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, 8)
+            chance = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, 8)
             places, bits = decisions(codes & np.uint64(0xFF))
-            at = (((codes >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)[:, None] << 8) | places
-            for share, one in ((t["share1"][at], t["one1"][at]), (t["share0"][places], t["one0"][places])):
-                chance = share * np.where(bits == 1, one, 1 - one) + (1 - share) * chance
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.log10(chance).sum(1))], names=["code", "log_p"])
-
-    return trees.where("code is not null").select("code", "chances").mapInArrow(run, "code bigint, log_p double")
-
-
-def word_scores(words: DataFrame, scores: DataFrame) -> DataFrame:
-    """word_key (hash), word, n and log_p of every word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, owner, codes in window_batches(batches):
-            keys = np.array([word_hash(w) for w in part], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[owner]), pa.array(codes.view(np.int64))], names=["word_key", "code"])
-
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [word_hash(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *batch.columns], names=["word_key", "word", "n"])
-
-    spelled = words.select("word", "n").mapInArrow(run, "word_key bigint, code bigint")
-    scored = spelled.join(scores, "code").groupBy("word_key").agg(F.sum("log_p").alias("log_p"))
-    return shared(words.select("word", "n").mapInArrow(key, "word_key bigint, word binary, n bigint").join(scored, "word_key"), "word-scores")
+            near = (codes >> np.uint64(32)).astype(np.int64)[:, None]
+            two = np.searchsorted(t["at2"], ((near & 0xFFFF) << 8) | places)
+            one = ((near & 0xFF) << 8) | places
+            for share, up in ((t["share2"][two], t["one2"][two]), (t["share1"][one], t["one1"][one]), (t["share0"][places], t["one0"][places])):
+                chance = share * np.where(bits == 1, up, 1 - up) + (1 - share) * chance
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.log10(chance).sum(1))], names=["code", "n", "log_p"])
+
+    windows = trees.where("code is not null").select("code", "n", "chances")
+    return shared(windows.mapInArrow(run, "code bigint, n bigint, log_p double"), "window-scores")
+
+
+def frequent_windows(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and scores of at most ``TOP_WINDOWS`` windows, the most frequent first: all whose count reaches a threshold."""
+    step = F.floor(F.log2("n") * 8)
+    steps = scores.where("n > 0").groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()  # under 512
+    lowest, size = None, 0
+    for row in steps:
+        size += row.rows
+        if size > TOP_WINDOWS:
+            break
+        lowest = row.step
+    found = scores.where((F.col("n") > 0) & (step >= lowest) if lowest is not None else F.lit(False)).toArrow()
+    order = np.lexsort([found.column("code").to_numpy(), -found.column("n").to_numpy()])
+    return found.column("code").to_numpy().view(np.uint64)[order], found.column("log_p").to_numpy()[order]
+
+
+class KnownWindows:
+    """Scores of the frequent windows: tables with one window a slot, the more frequent one where two meet."""
+
+    EMPTY = np.uint64((1 << 64) - 1)  # no code has 64 bits
+    FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)  # any odd numbers
+
+    def __init__(self, codes: np.ndarray, scores: np.ndarray):
+        self.tables = []
+        for factor in self.FACTORS:
+            if not len(codes):
+                break
+            shift = np.uint64(64 - max(4, int(2 * len(codes) - 1).bit_length()))
+            factor = np.uint64(factor)
+            slot = (codes * factor) >> shift
+            keys = np.full(1 << int(64 - shift), self.EMPTY, np.uint64)
+            keys[slot[::-1]] = codes[::-1]
+            values = np.zeros(len(keys))
+            mine = keys[slot] == codes
+            values[slot[mine]] = scores[mine]
+            self.tables.append((factor, shift, keys, values))
+            codes, scores = codes[~mine], scores[~mine]
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores (zero where not known) and the places of the codes that are not known."""
+        out, left = np.zeros(len(codes)), np.arange(len(codes))
+        for factor, shift, keys, values in self.tables:
+            slot = (codes[left] * factor) >> shift
+            met = keys[slot] == codes[left]
+            out[left[met]] = values[slot[met]]
+            left = left[~met]
+        return out, left
 
 
 DOCS = (
     "row_key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, n_bytes bigint, base double, score double, "
-    "rare array<bigint>, times array<bigint>"
+    "rare array<bigint>, times array<bigint>, far array<bigint>"
 )
 
 
-def read_documents(docs: DataFrame, frequent: dict[bytes, tuple[int, float]]) -> DataFrame:
-    """Sums over the frequent words of every document, and its other words as hashes and counts."""
-    given = docs.sparkSession.sparkContext.broadcast(frequent)
+def read_documents(docs: DataFrame, words: dict[bytes, int], frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Sums over the frequent words and windows of every document, its other words as hashes and counts, its other windows as codes."""
+    given = docs.sparkSession.sparkContext.broadcast((words, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
-        known = {w: (n, np.log10(n + 1.0), p) for w, (n, p) in given.value.items()}
+        known, seen_windows = {w: (n, np.log10(n + 1.0)) for w, n in given.value[0].items()}, KnownWindows(*given.value[1])
         for batch in batches:
-            rows = []
+            rows, streams = [], []
             for doc, text, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                words = words_of(text.as_py())
-                words.append(END)
-                seen, base, score, rare, times = 0, 0.0, 0.0, [], []
-                for word, n in Counter(words).items():
-                    found = known.get(word)
-                    if found is None:
+                found = words_of(text.as_py())
+                found.append(END)
+                streams.append(stream_of(found))
+                seen, base, rare, times = 0, 0.0, [], []
+                for word, n in Counter(found).items():
+                    met = known.get(word)
+                    if met is None:
                         rare.append(word_hash(word))
                         times.append(n)
                     else:
-                        seen += n * (found[0] > 0)
-                        base += n * found[1]
-                        score += n * found[2]
-                rows.append((number, doc, held, len(words), seen, sum(map(len, words)) + len(words) - 1, base, score, rare, times))
+                        seen += n * (met[0] > 0)
+                        base += n * met[1]
+                rows.append((number, doc, held, len(found), seen, len(streams[-1]), base, rare, times))
                 number += 1
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+            if not rows:
+                continue
+            scores, far, owners = np.zeros(len(rows)), [], []
+            for owner, codes in windows(streams):
+                found, left = seen_windows.find(codes)
+                scores += np.bincount(owner, found, len(rows))
+                far.append(codes[left])
+                owners.append(owner[left])
+            ends = np.append(0, np.cumsum(np.bincount(np.concatenate(owners), minlength=len(rows)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(far).view(np.int64)))
+            made = list(zip(*rows))
+            made.insert(7, scores)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(made, arrow)), lists.cast(arrow.field("far").type)], schema=arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -303,24 +446,34 @@ def read_documents(docs: DataFrame, frequent: dict[bytes, tuple[int, float]]) ->
     return shared(docs.select("doc_id", "text", "held_out").mapInArrow(run, DOCS), "document-words")
 
 
+def word_keys(words: DataFrame) -> DataFrame:
+    """word_key (hash) and n of every word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [word_hash(w) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column(1)], names=["word_key", "n"])
+
+    return words.select("word", "n").mapInArrow(run, "word_key bigint, n bigint")
+
+
 def score_documents(df: DataFrame, text: str = "text", doc_id: str = "doc_id", folds: int = 7, held: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every document."""
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), (fold(doc_id, folds) == held).alias("held_out"))
     words = count_words(docs)
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
-    trees = grow_trees(count_windows(words))
-    scored = word_scores(words, window_scores(trees, top_of_tree(trees)))
-    best = scored.where(F.octet_length("word") <= TOP_BYTES).orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word", "n", "log_p").toArrow()
-    frequent = {w: (n, p) for w, n, p in zip(*(best.column(i).to_pylist() for i in range(3)))}
-    rows = read_documents(docs, frequent)
+    trees = grow_trees(count_windows(docs))
+    scores = window_scores(trees, top_of_tree(trees))
+    best = words.where(F.octet_length("word") <= TOP_BYTES).orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word", "n").toArrow()
+    rows = read_documents(docs, dict(zip(best.column(0).to_pylist(), best.column(1).to_pylist())), frequent_windows(scores))
     rare = rows.select("row_key", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row_key", F.col("r.rare").alias("word_key"), F.col("r.times").alias("times"))
-    met = rare.join(scored.select("word_key", "n", "log_p"), "word_key")
-    sums = met.groupBy("row_key").agg(
+    sums = rare.join(word_keys(words), "word_key").groupBy("row_key").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("r_known"),
         F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("r_base"),
-        F.sum(F.col("times") * F.col("log_p")).alias("r_score"),
     )
-    every = rows.drop("rare", "times").join(sums, "row_key", "left")
+    far = rows.select("row_key", F.explode("far").alias("code")).join(scores.select("code", "log_p"), "code")
+    far = far.groupBy("row_key").agg(F.sum("log_p").alias("r_score"))
+    every = rows.drop("rare", "times", "far").join(sums, "row_key", "left").join(far, "row_key", "left")
     space = float(np.log10(totals["n"] + totals["v"] + 1))
     score = F.col("score") + F.coalesce("r_score", F.lit(0.0))
     return every.select(

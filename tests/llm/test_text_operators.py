@@ -379,13 +379,13 @@ def test_near_groups_decide_by_the_sets(spark):
 # --- op8 ---------------------------------------------------------------------
 
 
-def plain_tree(words, depth=context_tree.DEPTH):
-    """Counts and weighted probabilities of every node, by recursion over dictionaries."""
+def plain_tree(streams, depth=context_tree.DEPTH):
+    """Counts and weighted probabilities of every node over the running bytes of (text, weight), by dictionaries."""
     from math import lgamma, log, pi
 
     counts = {}
-    for word, n in words.items():
-        data = b"\0" * depth + word + (b"" if word == b"\n" else b" ")
+    for stream, n in streams:
+        data = b"\0" * depth + stream
         for j in range(depth, len(data)):
             for d in range(depth + 1):
                 for k in range(8):
@@ -402,9 +402,9 @@ def plain_tree(words, depth=context_tree.DEPTH):
     return counts, pe, pw
 
 
-def plain_log10(word, tree, depth=context_tree.DEPTH):
+def plain_log10(stream, tree, depth=context_tree.DEPTH):
     counts, pe, pw = tree
-    data, total = b"\0" * depth + word + (b"" if word == b"\n" else b" "), 0.0
+    data, total = b"\0" * depth + stream, 0.0
     for j in range(depth, len(data)):
         for k in range(8):
             place, bit, chance = 1 << k | data[j] >> (8 - k), data[j] >> (7 - k) & 1, None
@@ -418,31 +418,64 @@ def plain_log10(word, tree, depth=context_tree.DEPTH):
     return total
 
 
-def test_context_tree_scores_equal_brute_force(spark, monkeypatch):
-    texts = ["the cat sat on the mat", "The dog sat", None, "", "a zebra é", "the the the cat " * 5, "unknownword the", "cat"]
+@pytest.mark.parametrize("small", [False, True])
+def test_context_tree_scores_equal_brute_force(spark, monkeypatch, small):
+    texts = ["the cat sat on the mat", "The dog sat", None, "", "a zebra é\0", "the the the cat " * 5, "unknownword the", "cat", "so the cat sat"]
     train = Counter()
     held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
-    assert any(held)
+    assert any(held) and not all(held)
     spelled = [context_tree.words_of(t) + [b"\n"] for t in texts]
     for words, out in zip(spelled, held):
         if not out:
             train.update(words)
-    seen = {w: train.get(w, 0) for words in spelled for w in words}
-    tree, n, v = plain_tree(seen), sum(train.values()), len(train)
+    tree = plain_tree([(b" ".join(words), int(not out)) for words, out in zip(spelled, held)])
+    n, v = sum(train.values()), len(train)
     monkeypatch.setattr(context_tree, "TOP_WORDS", 3)
+    monkeypatch.setattr(context_tree, "TOP_WINDOWS", 30)  # most windows meet the table of all
+    if small:  # texts cut into slices, windows handed on early, trees grown a context at a time
+        for name, size in (("HELD_BYTES", 7), ("HELD_WINDOWS", 5), ("GROWN_WINDOWS", 2)):
+            monkeypatch.setattr(context_tree, name, size)
     got = {r["doc_id"]: r for r in context_tree.score_documents(as_docs(spark, texts)).collect()}
     for i, words in enumerate(spelled):
         r = got[i]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(words), sum(train[w] > 0 for w in words), n)
         assert r["base_score"] == pytest.approx(sum(np.log10((train[w] + 1) / (n + v + 1)) for w in words))
-        assert r["score"] == pytest.approx(sum(plain_log10(w, tree) for w in words))
+        assert r["score"] == pytest.approx(plain_log10(b" ".join(words), tree))
     assert context_tree.score_documents(as_docs(spark, texts).limit(0)).count() == 0
 
 
-def test_word_probabilities_sum_below_one():
-    words = {b"ab": 5, b"a": 3, b"\n": 2}
-    tree = plain_tree(words)
-    assert sum(10 ** plain_log10(bytes(w), tree) for w in [b"\n", b"a", b"b", b"ab", b"ba", b"aa", b"bb"]) < 1
+def test_known_windows_find_all_or_say_so():
+    codes = np.random.default_rng(1).choice(1 << 40, 5000, replace=False).astype(np.uint64)
+    scores = np.arange(1, 5001, dtype=np.float64)
+    known = context_tree.KnownWindows(codes[:4000], scores[:4000])
+    found, left = known.find(codes)
+    met = np.setdiff1d(np.arange(5000), left)
+    assert (found[met] == scores[met]).all() and (found[left] == 0).all() and (left >= 4000).sum() == 1000 and len(met) > 3800
+
+
+def test_shuffled_texts_score_lower(spark):
+    """The context crosses blanks: the same words in another order are less likely."""
+    import random
+
+    rng = random.Random(5)
+    nouns, verbs = ["cat", "dog", "bird", "horse", "mouse"], ["sees", "hears", "likes", "finds"]
+    phrase = lambda: f"the {rng.choice(nouns)} {rng.choice(verbs)} a {rng.choice(nouns)} in the old garden"
+    texts = [" and ".join(phrase() for _ in range(12)) for _ in range(60)]
+    mixed = [" ".join(rng.sample(t.split(), len(t.split()))) for t in texts]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    other = [k for k in range(1000, 9000) if zlib.crc32(str(k).encode()) % 7 == 2][: len(held)]
+    rows += [(k, mixed[i]) for k, i in zip(other, held)]
+    got = {r["doc_id"]: r for r in context_tree.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(held) > 3
+    for k, i in zip(other, held):
+        assert got[i]["base_score"] == pytest.approx(got[k]["base_score"])  # the base does not see the order
+        assert got[i]["score"] > got[k]["score"] + 50
+
+
+def test_probabilities_of_the_next_byte_sum_to_one():
+    tree = plain_tree([(b"ab a\n", 5), (b"b ab\n", 2)])
+    assert sum(10 ** (plain_log10(b"ab" + bytes([c]), tree) - plain_log10(b"ab", tree)) for c in range(256)) == pytest.approx(1)
 
 
 # --- op9 ---------------------------------------------------------------------
