@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
@@ -16,14 +16,13 @@ from pyspark.sql import functions as F
 
 from roomtide import schema
 from roomtide.operators.features import build_features, check_no_leakage, feature_lists
+from roomtide.operators.levels import LevelEncoder, long_levels
 from roomtide.operators.metrics import compute_metrics, metrics_by_column, score_table, with_label
 from roomtide.operators.quantiles import exact_quantiles
 from roomtide.sources.hashes import fingerprint
 
 SEED = 42
 MIN_FREQUENCY = 20
-MAX_LEVELS = 200_000
-MISSING = "missing"
 
 
 # --- Preprocessing ----------------------------------------------------------
@@ -59,32 +58,13 @@ def level_states(
     """feature, level, rows, and what training makes of the level: frequent, rare (shares a column) or unseen (no column)."""
 
     def counted(df: DataFrame, name: str) -> DataFrame:
-        pairs = [
-            F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f).cast("string"), F.lit(MISSING)).alias("level")) for f in features
-        ]
-        return df.select(F.inline(F.array(*pairs))).groupBy("feature", "level").agg(F.count("*").alias(name))
+        return long_levels(df, features).groupBy("feature", "level").agg(F.count("*").alias(name))
 
     joined = counted(rows, "n_rows").join(counted(train, "n_train"), ["feature", "level"], "left")
     state = F.when(F.col("n_train") >= min_frequency, "frequent").when(F.col("n_train") > 0, "rare").otherwise("unseen")
     return joined.select("feature", "level", "n_rows", state.alias("state"))
 
 
-def level_counts(df: DataFrame, features: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
-    """Levels and their counts per categorical feature. Raises when there are too many to keep."""
-    pairs = [
-        F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f).cast("string"), F.lit(MISSING)).alias("level"))
-        for f in features
-    ]
-    counts = df.select(F.inline(F.array(*pairs))).groupBy("feature", "level").count()
-    rows = counts.limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} category levels; leave out identifier-like columns")
-    found: dict[str, list[tuple[str, int]]] = {f: [] for f in features}
-    for row in rows:
-        found[row.feature].append((row.level, row["count"]))
-    return {f: sorted(levels) for f, levels in found.items()}
-
-
 def preprocessing_stages(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], min_frequency: int = MIN_FREQUENCY
 ) -> list:
@@ -99,29 +79,8 @@ def preprocessing_stages(
         median, mean, deviation = (known[c].median, known[c].mean, known[c].deviation or 1.0) if c in known else (0.0, 0.0, 1.0)
         value = f"coalesce(double(`{c}`), double({median!r}))"
         scaled.append(f"({value} - double({mean!r})) / double({deviation!r}) AS `{c}_num`")
-    texts = [f"coalesce(string(`{c}`), '{MISSING}') AS `{c}_txt`" for c in categorical]
-    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(scaled + texts)} FROM __THIS__")]
-
-    levels = level_counts(train, categorical)
-    frequent = {c: [name for name, n in levels[c] if n >= min_frequency] for c in categorical}
-    rare = {c: [name for name, n in levels[c] if n < min_frequency] for c in categorical}
-    stages.append(
-        StringIndexerModel.from_arrays_of_labels(
-            [frequent[c] + rare[c] for c in categorical],
-            inputCols=[f"{c}_txt" for c in categorical],
-            outputCols=[f"{c}_at" for c in categorical],
-            handleInvalid="keep",
-        )
-    )
-    grouped = []
-    for c in categorical:
-        first_rare, seen = len(frequent[c]), len(frequent[c]) + len(rare[c])
-        beyond = first_rare + 1 if rare[c] else first_rare
-        grouped.append(
-            f"double(CASE WHEN `{c}_at` < {first_rare} THEN `{c}_at` "
-            f"WHEN `{c}_at` < {seen} THEN {first_rare} ELSE {beyond} END) AS `{c}_level`"
-        )
-    stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(grouped)} FROM __THIS__"))
+    stages = [SQLTransformer(statement=f"SELECT {', '.join(['*', *scaled])} FROM __THIS__")]
+    stages.append(LevelEncoder.fitted(train, categorical, min_frequency))
     stages.append(
         OneHotEncoder(
             inputCols=[f"{c}_level" for c in categorical],
@@ -180,6 +139,7 @@ def fit_classifier(
     numeric: Sequence[str] | None = None,
     categorical: Sequence[str] | None = None,
     prepared: PipelineModel | None = None,
+    min_frequency: int = MIN_FREQUENCY,
 ) -> PipelineModel:
     """Preprocessing and classifier as one model that can be saved and loaded.
 
@@ -191,7 +151,7 @@ def fit_classifier(
     if numeric is None or categorical is None:
         numeric, categorical = feature_lists(train.columns)
     check_no_leakage(train.select(*numeric, *categorical))
-    stages = preprocessing_stages(train, numeric, categorical)
+    stages = preprocessing_stages(train, numeric, categorical, min_frequency)
     return Pipeline(stages=[*stages, classifier]).fit(train)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import booking, three_bookings
 from roomtide import schema
-from roomtide.operators import cleaning, features, models
+from roomtide.operators import cleaning, features, levels, models
 from roomtide.streaming import streams
 
 
@@ -101,7 +101,41 @@ def test_experiments(cleaned):
     assert "stepSize" in rows["boosted_trees"].params and rows["boosted_trees"].train_fingerprint.startswith("450:")
 
 
-def test_too_many_levels(spark, monkeypatch):
-    monkeypatch.setattr(models, "MAX_LEVELS", 5)
-    with pytest.raises(ValueError, match="more than 5"):
-        models.level_counts(spark.range(10), ["id"])
+def test_level_table(spark):
+    rows = [("b", 1), ("b", 2), ("a", 1), ("a", 1), ("c", None), (None, 3), (None, 3), ("B", 3)]
+    train = spark.createDataFrame(rows, "g string, `h.x` int")
+    table = levels.level_table(train, ["g", "h.x"], 2, rows_per_range=1)
+    found = {(r.feature, r.level): (r.n, r["index"]) for r in table.collect()}
+    assert found == {
+        ("g", "a"): (2, 0), ("g", "b"): (2, 1), ("g", "missing"): (2, 2), ("g", "B"): (1, 3), ("g", "c"): (1, 3),
+        ("h.x", "1"): (3, 0), ("h.x", "3"): (3, 1), ("h.x", "2"): (1, 2), ("h.x", "missing"): (1, 2),
+    }
+    assert levels.level_widths(table, ["g", "h.x", "none"]) == {"g": 4, "h.x": 3, "none": 0}
+    new = spark.createDataFrame([(1, "a", "x"), (2, "z", "y"), (3, None, "y"), (3, None, "y")], "id int, g string, _level string")
+    got = sorted(tuple(r) for r in levels.join_levels(new, table, {"g": "g"}, {"g": "g_at"}).collect() if r.g_at is not None)
+    assert got == [(1, "a", "x", 0)] + [(3, None, "y", 2)] * 2 or [r[3] for r in got] == [0, 2, 2]
+    empty = levels.level_table(train.limit(0), ["g"], 2)
+    assert empty.count() == 0 and levels.join_levels(new, empty, {"g": "g"}, {"g": "g_at"}).where("g_at is null").count() == 4
+
+
+def test_all_levels_rare_or_frequent(spark):
+    train = spark.createDataFrame([(i, f"u{i}", "same", float(i % 2)) for i in range(50)], "x int, g string, h string, is_canceled double")
+    stages = models.preprocessing_stages(train, ["x"], ["g", "h"], min_frequency=2)
+    from pyspark.ml import Pipeline
+
+    out = Pipeline(stages=stages).fit(train).transform(train).select("features").collect()
+    assert {tuple(r.features.toArray()[1:]) for r in out} == {(1.0, 1.0)}
+
+
+def test_a_model_of_very_many_levels(spark, tmp_path):
+    """More levels than a driver list should hold; the label follows the level, so the weights must be those of the right columns."""
+    n = 250_000
+    train = spark.range(2 * n).select(
+        F.concat(F.lit("g"), F.col("id") % n).alias("g"), F.lit(1.0).alias("x"), (F.col("id") % n % 2).cast("double").alias("is_canceled")
+    )
+    model = models.fit_classifier(train, models.logistic_regression(2 * n, c=1000.0, max_iter=5), ["x"], ["g"], min_frequency=2)
+    assert model.stages[-1].numFeatures == n + 1
+    model.write().save(str(tmp_path / "wide"))
+    again = type(model).load(str(tmp_path / "wide"))
+    scored = models.add_probability(again, train.limit(1000))
+    assert scored.where((F.col("p_raw") > 0.5) != (F.col("is_canceled") == 1)).count() == 0
