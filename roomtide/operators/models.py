@@ -6,11 +6,13 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,6 +163,47 @@ def add_probability(model: PipelineModel, rows: DataFrame, out: str = "p_raw") -
     return scored.select(*rows.columns, vector_to_array("probability")[1].alias(out))
 
 
+# --- Optimality of a linear model -------------------------------------------
+
+
+def logistic_gradient(
+    rows: DataFrame, weights: Mapping[str, float], intercept: float = 0.0, label: str = schema.TARGET, penalty: float = 0.0
+) -> DataFrame:
+    """feature and gradient of the penalised mean log loss at given weights, in one aggregate; ``(intercept)`` has no penalty.
+
+    Rows with a null in the label or a feature are left out. At the best weights every value is zero.
+    """
+    known = rows.dropna(subset=[*weights, label])
+    x = {f: F.col(f"`{f}`").cast("double") for f in weights}
+    margin = sum((F.lit(float(w)) * x[f] for f, w in weights.items()), F.lit(float(intercept)))
+    error = 1 / (1 + F.exp(-margin)) - F.col(f"`{label}`")
+    names = [*weights, "(intercept)"]
+    sums = known.agg(*[F.avg(error * x.get(f, F.lit(1.0))).alias(f"_{i}") for i, f in enumerate(names)])
+    parts = [
+        F.struct(F.lit(f).alias("feature"), (F.col(f"_{i}") + penalty * float(weights.get(f, 0.0))).alias("gradient")) for i, f in enumerate(names)
+    ]
+    return sums.select(F.inline(F.array(*parts)))
+
+
+def fitted_gradient(model: PipelineModel, train: DataFrame, label: str = schema.TARGET) -> np.ndarray:
+    """Gradient of a fitted logistic model's own loss over ``train``: one value per weight, the intercept last.
+
+    Spark sums the feature vectors of each label, weighted by the error of the row; two vectors as wide as
+    the model come back. A norm near zero certifies that the fit ended at the optimum.
+    """
+    fitted = model.stages[-1]
+    p = vector_to_array("probability")[1]
+    positive = F.col(label) == 1
+    scored = model.transform(train).where(F.col(label).isNotNull())
+    scored = scored.select("features", positive.alias("_y"), F.when(positive, 1 - p).otherwise(p).alias("_w"))
+    sums = scored.groupBy("_y").agg(Summarizer.sum(F.col("features"), F.col("_w")).alias("s"), F.sum("_w").alias("w"), F.count("*").alias("n")).collect()
+    total, n = np.zeros(fitted.numFeatures + 1), 0
+    for row in sums:  # one row per label
+        total += (-1 if row._y else 1) * np.append(row.s.toArray(), row.w)
+        n += row.n
+    return total / max(1, n) + fitted.getRegParam() * np.append(fitted.coefficients.toArray(), 0.0)
+
+
 # --- Calibration ------------------------------------------------------------
 
 

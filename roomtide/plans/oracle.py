@@ -748,6 +748,30 @@ SQL["preprocess_levels"] = f"""WITH {SPLIT}, lv AS (
     {' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, split = 'train' AS t FROM sp" for c in ['segment', 'deposit_type', 'property', 'lead_time'])}),
     c AS (SELECT feature, level, count(*) FILTER (WHERE t) AS n_train, count(*) FILTER (WHERE NOT t) AS n_rows FROM lv GROUP BY 1, 2)
     SELECT feature, level, n_rows, CASE WHEN n_train >= 5 THEN 'frequent' WHEN n_train > 0 THEN 'rare' ELSE 'unseen' END AS state FROM c WHERE n_rows > 0"""
+_LEVEL_COLUMNS = {"segment": "segment", "property": "property", "lead_time": "CAST(lead_time AS VARCHAR)", "guest": "property || '-' || lead_time"}
+SQL["encoded_levels"] = f"""WITH {SPLIT}, lv AS (
+    {' UNION ALL '.join(f"SELECT '{f}' AS feature, {c} AS level, count(*) AS n FROM sp WHERE split = 'train' GROUP BY 2" for f, c in _LEVEL_COLUMNS.items())}),
+    t AS (SELECT feature, level, CASE WHEN n >= 5 THEN row_number() OVER (PARTITION BY feature, n >= 5 ORDER BY level) - 1
+                                 ELSE count(*) FILTER (WHERE n >= 5) OVER (PARTITION BY feature) END AS at FROM lv)
+    SELECT row_id, {', '.join(f"{f}.at AS {f}_at" for f in _LEVEL_COLUMNS)} FROM sp
+    {' '.join(f"LEFT JOIN t AS {f} ON {f}.feature = '{f}' AND {f}.level = {c.replace('property', 'sp.property').replace('lead_time', 'sp.lead_time') if f != 'segment' else 'sp.segment'}" for f, c in _LEVEL_COLUMNS.items())}
+    WHERE split <> 'train'"""
+_FOREST = f"""WITH {SPLIT}, nodes(tree, node, feature, threshold, lft, rgt, value, weight) AS (VALUES
+    (0, 0, 0, 150000.0, 1, 2, 0.4, 1.0), (0, 1, 1, 90.0, 3, 4, 0.3, 1.0), (0, 2, -1, NULL, -1, -1, 0.7, 1.0), (0, 3, -1, NULL, -1, -1, 0.125, 1.0),
+    (0, 4, 2, 6.0, 5, 6, 0.5, 1.0), (0, 5, -1, NULL, -1, -1, 0.375, 1.0), (0, 6, -1, NULL, -1, -1, 0.625, 1.0),
+    (1, 0, 2, 3.0, 1, 2, 0.45, 2.0), (1, 1, -1, NULL, -1, -1, 0.25, 2.0), (1, 2, 0, 60000.0, 3, 4, 0.5, 2.0),
+    (1, 3, -1, NULL, -1, -1, 0.0625, 2.0), (1, 4, -1, NULL, -1, -1, 0.875, 2.0)),
+    w0 AS (SELECT row_id, is_canceled, [adr, lead_time, month(stay_date)] AS x, tree, 0 AS node FROM sp, (SELECT DISTINCT tree FROM nodes)),
+    {', '.join(f"w{i + 1} AS (SELECT row_id, is_canceled, x, tree, CASE WHEN lft < 0 THEN node WHEN x[feature + 1] <= threshold THEN lft ELSE rgt END AS node FROM w{i} JOIN nodes USING (tree, node))" for i in range(3))}"""
+SQL["forest_scores"] = f"{_FOREST} SELECT row_id, round(CAST(sum(value * weight) / sum(weight) AS DOUBLE), 6) AS p FROM w3 JOIN nodes USING (tree, node) GROUP BY 1"
+SQL["forest_leaf_rates"] = f"""{_FOREST} SELECT tree, node, CAST(value AS DOUBLE) AS value, count(*) AS n_rows, round(avg(is_canceled), 6) AS rate
+    FROM w3 JOIN nodes USING (tree, node) GROUP BY 1, 2, 3"""
+SQL["logistic_gradient"] = f"""WITH {SPLIT}, g AS (SELECT is_canceled AS y, CAST(adr AS DOUBLE) / 100000 AS price, lead_time / 100.0::DOUBLE AS lead, month(stay_date) AS month FROM sp WHERE split = 'train'),
+    e AS (SELECT *, 1 / (1 + exp(-(-0.4::DOUBLE + 0.2::DOUBLE * price - 0.1::DOUBLE * lead + 0.03::DOUBLE * month))) - y AS err FROM g)
+    SELECT 'price' AS feature, round(avg(err * price) + 0.01 * 0.2::DOUBLE, 6) AS gradient FROM e
+    UNION ALL SELECT 'lead', round(avg(err * lead) - 0.01 * 0.1::DOUBLE, 6) FROM e
+    UNION ALL SELECT 'month', round(avg(err * month) + 0.01 * 0.03::DOUBLE, 6) FROM e
+    UNION ALL SELECT '(intercept)', round(avg(err), 6) FROM e"""
 SQL["isotonic_calibration"] = f"""WITH {SCORED}, v AS (SELECT round(p_cancel, 6) AS p, count(*) AS n, sum(is_canceled) AS y FROM sc WHERE split = 'validation' GROUP BY 1),
     o AS (SELECT p, row_number() OVER (ORDER BY p) AS i, sum(n) OVER (ORDER BY p) AS cn, sum(y) OVER (ORDER BY p) AS cy, n, y FROM v),
     s AS (SELECT a.i AS a, b.i AS b, (b.cy - a.cy + a.y)::DOUBLE / (b.cn - a.cn + a.n) AS r FROM o a JOIN o b ON b.i >= a.i),

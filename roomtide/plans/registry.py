@@ -20,6 +20,8 @@ from roomtide.operators import (
     cleaning,
     drift,
     features,
+    forests,
+    levels,
     metrics,
     models,
     monitoring,
@@ -943,6 +945,56 @@ def preprocess_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.level_states(train, later, ["segment", "deposit_type", "property", "lead_time"], min_frequency=5)
 
 
+@query
+def encoded_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level numbers of all later rows, from a table of the training rows' levels; one feature has very many."""
+    rows = split_bookings(spark, sf_dir).withColumn("guest", F.concat_ws("-", "property", "lead_time"))
+    names = ["segment", "property", "lead_time", "guest"]
+    table_ = levels.level_table(rows.filter(F.col("split") == "train"), names, 5)
+    later = rows.filter(F.col("split") != "train")
+    found = levels.join_levels(later, table_, {f: f for f in names}, {f: f"{f}_at" for f in names})
+    return found.select("row_id", *[f"{f}_at" for f in names])
+
+
+# A small forest: tree, node, feature (adr, lead_time, month), threshold, left, right, value, weight of the tree.
+SMALL_FOREST = [
+    (0, 0, 0, 150000.0, 1, 2, 0.4, 1.0), (0, 1, 1, 90.0, 3, 4, 0.3, 1.0), (0, 2, -1, None, -1, -1, 0.7, 1.0), (0, 3, -1, None, -1, -1, 0.125, 1.0),
+    (0, 4, 2, 6.0, 5, 6, 0.5, 1.0), (0, 5, -1, None, -1, -1, 0.375, 1.0), (0, 6, -1, None, -1, -1, 0.625, 1.0),
+    (1, 0, 2, 3.0, 1, 2, 0.45, 2.0), (1, 1, -1, None, -1, -1, 0.25, 2.0), (1, 2, 0, 60000.0, 3, 4, 0.5, 2.0),
+    (1, 3, -1, None, -1, -1, 0.0625, 2.0), (1, 4, -1, None, -1, -1, 0.875, 2.0),
+]
+NODE_COLUMNS = "tree int, node int, feature int, threshold double, lft int, rgt int, value double, weight double"
+
+
+def forest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_bookings(spark, sf_dir).select("row_id", F.array(F.col("adr"), F.col("lead_time").cast("double"), F.month("stay_date").cast("double")).alias("x"))
+
+
+@query
+def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all bookings by a stored forest."""
+    nodes = spark.createDataFrame(SMALL_FOREST, NODE_COLUMNS).withColumn("categories", F.lit(None).cast("array<double>"))
+    return rounded(forests.forest_scores(forest_rows(spark, sf_dir), nodes, 3), 6, "p")
+
+
+@query
+def forest_leaf_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What really happened in every leaf of a stored forest: bookings and cancellations against the leaf's value."""
+    nodes = spark.createDataFrame(SMALL_FOREST, NODE_COLUMNS).withColumn("categories", F.lit(None).cast("array<double>"))
+    ends = forests.leaves(forest_rows(spark, sf_dir), nodes, 3)
+    labels = split_bookings(spark, sf_dir).select("row_id", "is_canceled")
+    found = ends.join(labels, "row_id").groupBy("tree", "node", "value").agg(F.count("*").alias("n_rows"), F.avg("is_canceled").alias("rate"))
+    return rounded(found, 6, "rate")
+
+
+@query
+def logistic_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gradient of the penalised loss over the training bookings at fixed weights."""
+    rows = split_bookings(spark, sf_dir).filter(F.col("split") == "train")
+    rows = rows.select("is_canceled", (F.col("adr") / 100000).alias("price"), (F.col("lead_time") / 100).alias("lead"), F.month("stay_date").alias("month"))
+    return rounded(models.logistic_gradient(rows, {"price": 0.2, "lead": -0.1, "month": 0.03}, -0.4, penalty=0.01), 6, "gradient")
+
+
 @query
 def isotonic_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated value of every distinct baseline score of the validation rows."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import booking, three_bookings
 from roomtide import schema
-from roomtide.operators import cleaning, features, levels, models
+from roomtide.operators import cleaning, features, forests, levels, models
 from roomtide.streaming import streams
 
 
@@ -112,8 +112,8 @@ def test_level_table(spark):
     }
     assert levels.level_widths(table, ["g", "h.x", "none"]) == {"g": 4, "h.x": 3, "none": 0}
     new = spark.createDataFrame([(1, "a", "x"), (2, "z", "y"), (3, None, "y"), (3, None, "y")], "id int, g string, _level string")
-    got = sorted(tuple(r) for r in levels.join_levels(new, table, {"g": "g"}, {"g": "g_at"}).collect() if r.g_at is not None)
-    assert got == [(1, "a", "x", 0)] + [(3, None, "y", 2)] * 2 or [r[3] for r in got] == [0, 2, 2]
+    got = sorted((r.id, r.g_at) for r in levels.join_levels(new, table, {"g": "g"}, {"g": "g_at"}).collect() if r.g_at is not None)
+    assert got == [(1, 0), (3, 2), (3, 2)]
     empty = levels.level_table(train.limit(0), ["g"], 2)
     assert empty.count() == 0 and levels.join_levels(new, empty, {"g": "g"}, {"g": "g_at"}).where("g_at is null").count() == 4
 
@@ -139,3 +139,40 @@ def test_a_model_of_very_many_levels(spark, tmp_path):
     again = type(model).load(str(tmp_path / "wide"))
     scored = models.add_probability(again, train.limit(1000))
     assert scored.where((F.col("p_raw") > 0.5) != (F.col("is_canceled") == 1)).count() == 0
+
+
+@pytest.mark.parametrize("boosted", [False, True])
+def test_a_walk_over_the_node_table_scores_like_the_model(spark, boosted, monkeypatch):
+    rows = spark.range(600).select(
+        F.col("id").alias("row_id"), (F.col("id") * 37 % 101).cast("double").alias("a"), F.concat(F.lit("g"), F.col("id") % 7).alias("g"),
+        ((F.col("id") * 37 % 101 + F.col("id") % 7 * 9) > 75).cast("double").alias("is_canceled"),
+    )
+    classifier = models.boosted_trees(6, depth=4) if boosted else models.random_forest(8, 5, 3)
+    model = models.fit_classifier(rows, classifier, ["a"], ["g"])
+    nodes = forests.node_table(model.stages[-1]).cache()
+    assert nodes.select("tree").distinct().count() == (6 if boosted else 8) and nodes.where("categories is not null").count() > 0
+    given = model.transform(rows).select("row_id", vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("want"))
+    for sent in (forests.SENT_BYTES, 0):  # with the nodes at all tasks, and joined
+        monkeypatch.setattr(forests, "SENT_BYTES", sent)
+        got = forests.forest_scores(given, nodes, 5, boosted).join(given, "row_id").select("p", "want").toPandas()
+        assert len(got) == 600 and np.allclose(got["p"], got["want"], atol=1e-12)
+    assert forests.split_counts(nodes).agg(F.sum("n_splits")).first()[0] == nodes.where("lft >= 0").count()
+    assert forests.forest_scores(given.limit(0), nodes, 5, boosted).count() == 0
+
+
+def test_gradient_vanishes_at_the_fitted_weights(spark):
+    rows = spark.range(2000).select(
+        (F.col("id") * 37 % 101 / 10).alias("a"), (F.col("id") % 3).cast("string").alias("g"),
+        ((F.col("id") * 7919 % 997) < 200 + F.col("id") * 37 % 101 * 5).cast("double").alias("is_canceled"),
+    )
+    best = models.fit_classifier(rows, models.logistic_regression(2000).setTol(1e-12), ["a"], ["g"])
+    assert np.linalg.norm(models.fitted_gradient(best, rows)) < 1e-4
+    early = models.fit_classifier(rows, models.logistic_regression(2000, max_iter=1), ["a"], ["g"])
+    found = models.fitted_gradient(early, rows)
+    assert np.linalg.norm(found) > 1e-3
+    # the same from columns
+    flat = early.transform(rows).select("is_canceled", *[vector_to_array("features")[i].alias(f"x{i}") for i in range(len(found) - 1)])
+    fitted = early.stages[-1]
+    weights = {f"x{i}": w for i, w in enumerate(fitted.coefficients.toArray())}
+    table = {r.feature: r.gradient for r in models.logistic_gradient(flat, weights, fitted.intercept, penalty=fitted.getRegParam()).collect()}
+    assert np.allclose([table[f] for f in [*weights, "(intercept)"]], found, atol=1e-9)
