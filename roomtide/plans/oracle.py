@@ -814,6 +814,7 @@ SQL["stream_active_list"] = (
 )
 SQL["stream_weekly_stats"] = f"""WITH {EVENTS} SELECT week, count(*) AS n_rows,
     round(avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 6) AS cancel_rate FROM ev GROUP BY week"""
+SQL["stream_late_repaired"] = SQL["stream_weekly_stats"]
 SQL["stream_service_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) AS day, count(*) AS requests,
     count(*) FILTER (WHERE status >= 500) AS server_errors_5xx, quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms,
     max(ms) AS max_ms FROM log GROUP BY 1, 2"""

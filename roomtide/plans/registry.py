@@ -836,6 +836,27 @@ def stream_weekly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(streams.run_available(weekly, "weekly", ["week"]), 6, "cancel_rate")
 
 
+def shuffled_weeks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, date]:
+    """Weekly statistics of a stream whose files are in no order, with a delay far too short, and its late rows."""
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", (F.col("event_type") == "error").cast("int").alias("is_error"))
+    first = rows.agg(F.min(F.col("ts").cast("date"))).first()[0]
+    source, folder = shared_path(spark, "shuffled"), shared_path(spark, "dealt")
+    span = F.pmod(F.xxhash64(F.col("ts").cast("date").cast("string")), F.lit(FEED_FILES))  # whole days come out of order
+    rows.repartition(FEED_FILES, span).write.parquet(source)
+    stream = streams.read_table_stream(spark, source, rows.schema, files_per_trigger=1)
+    streams.split_late(stream, folder, "ts", "1 day", shared_path(spark, "dealt-state")).awaitTermination()
+    on_time = streams.on_time_stream(spark, folder, rows.schema)
+    weekly = streams.run_available(streams.weekly_stats_stream(on_time, first, "1 day", label="is_error"), "weekly", ["week"])
+    return weekly, streams.late_rows(spark, folder, rows.schema), first
+
+
+@query
+def stream_late_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly statistics of a stream with late rows, after the late rows were added."""
+    weekly, late, first = shuffled_weeks(spark, sf_dir)
+    return rounded(streams.repair_weeks(weekly, late, first, label="is_error"), 6, "cancel_rate")
+
+
 @query
 def stream_service_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("event_type") == "error", 500).otherwise(200)

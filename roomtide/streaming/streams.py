@@ -230,6 +230,74 @@ def late_labels_stream(
     return left.join(right, (F.col(key) == F.col("_key")) & in_time).drop("_key")
 
 
+# --- Rows behind the watermark ------------------------------------------------
+
+
+def split_late(stream: DataFrame, folder: str, ts: str, delay: str, checkpoint: str, once: bool = True):
+    """Deal the rows of a stream to ``folder/on_time`` and ``folder/late``, so that a later stream loses none.
+
+    The watermark of a batch is the newest event time of all earlier batches less ``delay``. It comes
+    from ``folder/marks``, where every batch leaves its newest time, so a batch that is replayed
+    after a failure decides alike and overwrites its own output. Late rows have two more columns:
+    ``watermark`` and ``batch``; rows without an event time are late rows too, as no window takes them.
+
+    On-time rows of a batch are one file (a batch is as large as a trigger allows): a stream that
+    takes a file a trigger then has a watermark no later than that of the batch.
+    """
+    spark = stream.sparkSession
+    at = F.col(ts).cast("timestamp")
+    marks = T.StructType([T.StructField("newest", T.TimestampType()), T.StructField("batch", T.LongType())])
+
+    def deal(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        try:
+            held.agg(F.max(at).alias("newest")).write.mode("overwrite").parquet(f"{folder}/marks/batch={number}")
+            before = spark.read.schema(marks).parquet(f"{folder}/marks").where(F.col("batch") < number)
+            limit = before.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).cast("string").alias("w")).first().w  # one value
+            watermark = F.lit(limit).cast("timestamp")
+            late = at.isNull() | F.coalesce(at < watermark, F.lit(False))
+            held.where(~late).coalesce(1).write.mode("overwrite").parquet(f"{folder}/on_time/batch={number}")
+            held.where(late).withColumn("watermark", watermark).write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+        finally:
+            held.unpersist()
+
+    writer = stream.writeStream.foreachBatch(deal).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def on_time_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    return read_table_stream(spark, f"{folder}/on_time/*", schema, files_per_trigger=1)
+
+
+def late_rows(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """The side table: late rows with the watermark they met and the number of their batch."""
+    more = [T.StructField("watermark", T.TimestampType()), T.StructField("batch", T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *more])).parquet(f"{folder}/late")
+
+
+def late_counts(late: DataFrame, ts: str = "ts") -> DataFrame:
+    """batch, rows_late, rows_without_time and the seconds by which the latest row came too late."""
+    behind = F.unix_seconds("watermark") - F.unix_seconds(F.col(ts).cast("timestamp"))
+    return late.groupBy("batch").agg(
+        F.count("*").alias("rows_late"), F.count_if(F.col(ts).isNull()).alias("rows_without_time"), F.max(behind).alias("seconds_behind")
+    )
+
+
+def repair_weeks(weekly: DataFrame, late: DataFrame, first_day: date, ts: str = "ts", label: str = "is_canceled") -> DataFrame:
+    """Weekly statistics of a stream with the late rows added, as if every row had come in time.
+
+    Only late rows are read again; weeks that had none stay as they are. A label that is null does
+    not count in the rate, so the table of the stream must have ``n_labels`` where labels can be null.
+    """
+    number = F.floor(F.datediff(F.col(ts).cast("date"), F.lit(first_day)) / 7) + 1
+    more = late.where(F.col(ts).isNotNull()).groupBy(number.cast("int").alias("week"))
+    more = more.agg(F.count("*").alias("n_rows"), F.count(label).alias("n_labels"), F.sum(F.col(label).cast("double")).alias("total"))
+    known = F.col("n_labels") if "n_labels" in weekly.columns else F.col("n_rows")
+    have = weekly.select("week", "n_rows", known.alias("n_labels"), (F.col("cancel_rate") * known).alias("total"))
+    merged = have.unionByName(more).groupBy("week").agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_labels", "total")])
+    return merged.select("week", "n_rows", F.when(F.col("n_labels") > 0, F.col("total") / F.col("n_labels")).alias("cancel_rate"))
+
+
 # --- Cooldown ---------------------------------------------------------------
 
 ACTION_SCHEMA = "model string, week int, action string"

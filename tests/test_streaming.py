@@ -144,3 +144,32 @@ def test_feed_comes_in_order_and_late_rows_raise(spark, tmp_path):
     weekly = streams.weekly_stats_stream(stream, date(2020, 1, 1), "1 day", "stay_date")
     with pytest.raises(streams.RowsTooLate):
         streams.run_available(weekly, "w", ["week"])
+
+
+def test_late_rows_are_kept_and_repaired(spark, tmp_path):
+    day = datetime(2020, 1, 6)
+    files = [[10, 11, 12], [1, 2, 30], [3, 29, 5, None], [31, 31, 10]]
+    schema = "ts timestamp, is_canceled int, watermark_ string"
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = []
+    for k, days in enumerate(files):
+        part = [(None if d is None else day + timedelta(days=d), (d or 0) % 2, "x") for d in days]
+        rows += part
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+    declared = spark.createDataFrame(rows, schema)
+    stream = lambda: streams.read_table_stream(spark, source, declared.schema, files_per_trigger=1)
+    streams.split_late(stream(), folder, "ts", "2 days", str(tmp_path / "state")).awaitTermination()
+    late = streams.late_rows(spark, folder, declared.schema)
+    got = sorted((r.batch, (r.ts - day).days if r.ts else None) for r in late.where("ts is not null").collect())
+    assert got == [(1, 1), (1, 2), (2, 3), (2, 5), (3, 10)]
+    counts = {r.batch: (r.rows_late, r.rows_without_time, r.seconds_behind) for r in streams.late_counts(late).collect()}
+    assert counts == {1: (2, 0, 9 * 86400), 2: (3, 1, 25 * 86400), 3: (1, 0, 18 * 86400)}
+    weekly = streams.weekly_stats_stream(streams.on_time_stream(spark, folder, declared.schema), day.date(), "2 days")
+    found = streams.run_available(weekly, "weekly", ["week"])  # raises if it dropped a row
+    batch = declared.where("ts is not null").groupBy((F.floor(F.datediff("ts", F.lit(day.date())) / 7) + 1).cast("int").alias("week"))
+    want = {r.week: (r.n, pytest.approx(r.rate)) for r in batch.agg(F.count("*").alias("n"), F.avg("is_canceled").alias("rate")).collect()}
+    repaired = {r.week: (r.n_rows, r.cancel_rate) for r in streams.repair_weeks(found, late, day.date()).collect()}
+    assert repaired == want and len(found.collect()) < len(want)
+    # nothing new: nothing is written again
+    streams.split_late(stream(), folder, "ts", "2 days", str(tmp_path / "state")).awaitTermination()
+    assert late.count() == 6
