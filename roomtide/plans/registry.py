@@ -161,7 +161,7 @@ def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = hashes.file_checksums(spark, f"{sf_dir}/orders.parquet")
+    found = hashes.file_checksums(spark, f"{sf_dir}/*.parquet")
     return found.withColumn("path", F.element_at(F.split("path", "/"), -1))
 
 

@@ -104,3 +104,24 @@ def test_blank_text_is_a_value(spark, tmp_path):
     (tmp_path / "d.csv").write_text("a,b\n   ,NA\n")
     found = readers.read_csv_text(spark, str(tmp_path / "d.csv")).first()
     assert (found.a, found.b) == ("   ", None)
+
+
+def test_checksums_of_files_of_any_size(spark, tmp_path):
+    data = bytes(range(256)) * 5000
+    (tmp_path / "a b.bin").write_bytes(data)
+    (tmp_path / "empty.bin").write_bytes(b"")
+    with open(tmp_path / "huge.bin", "wb") as file:  # more than an array of Java holds; sparse, so it takes no disk
+        file.truncate((2 << 30) + (64 << 20))
+        file.seek(1 << 30)
+        file.write(b"x")
+    want = {}
+    for name in ("a b.bin", "huge.bin"):  # Spark lists no empty file
+        with open(tmp_path / name, "rb") as file:
+            want[name] = hashlib.file_digest(file, "sha256").hexdigest()
+    for whole in (hashes.WHOLE_BYTES, 0):
+        got = {r.path.split("/")[-1]: (r.bytes, r.sha256) for r in hashes.file_checksums(spark, str(tmp_path), whole).collect()}
+        assert got == {n: ((tmp_path / n).stat().st_size, h) for n, h in want.items()}
+    blocks = hashes.block_digests(spark, str(tmp_path / "a*"), 1000_000).orderBy("block").collect()
+    assert [(r.block, r.start, r.bytes) for r in blocks] == [(0, 0, 1_000_000), (1, 1_000_000, 280_000)]
+    assert [r.sha256 for r in blocks] == [hashlib.sha256(data[:1_000_000]).hexdigest(), hashlib.sha256(data[1_000_000:]).hexdigest()]
+    assert hashes.verify_checksum(spark, str(tmp_path / "huge.bin"), want["huge.bin"].upper()) == want["huge.bin"]
