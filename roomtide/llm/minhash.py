@@ -6,18 +6,23 @@ smallest value each. A fingerprint is one byte of every minimum; likeness is the
 bytes, corrected for chance agreement.
 
 Comparing a document to the next one and to its edited text needs neighbours in id order only.
-Documents are dealt to ranges of the id once, in descending order; each task walks its range
-with one row of lookahead. The last row of a range meets the first of the next one through a
-small table with one row per range.
-
-:func:`near_duplicates` is the other form: equal texts are one document, bands of the
-fingerprints are joined, and candidates are linked where the exact Jaccard likeness of their
-shingle sets is 0.8 or more.
+Documents are dealt to ranges of the id once, in descending order, with compressed texts; each task
+walks its range with one row of lookahead. The last row of a range meets the first of the next one
+through a small table with one row per range.
+
+Classes of near-equal texts come from the bands of the fingerprints: texts that share one are
+joined, and linked where the exact Jaccard likeness of their shingle sets is 0.8 or more. Classes are
+connected components. First every text meets the most alike of the smallest ones of its buckets; a
+bucket that is not one class then lets its members meet those of other classes, a share of them at a
+time, until every one had its turn. No bucket is capped, none is kept in one task.
+A link can only be missed where no band is equal (5e-8 at likeness 0.8) or where fingerprints differ
+in 0.4 of their bytes (below 2e-6 there).
 
 Cases: a null text is empty and has the fingerprint of no shingles; equal texts have equal
-fingerprints and two empty ones likeness 1; repeated ids are ordered by text and are each
-other's neighbours; null ids come last; a single row is its own next row; an empty table gives
-an empty result; other columns are ignored.
+fingerprints, one class, and two empty ones likeness 1; texts without words are alike; repeated ids
+are ordered by the digest of the text and are each other's neighbours; null ids come last and take
+part in classes, whose id is the smallest of the ids there are (null if none); a single row is its own
+next row; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,9 +40,10 @@ from roomtide.llm.common import LOWER, components, mix, shared, white, word_hash
 
 PERMUTATIONS = 128
 SHINGLE = 5
-BANDS = 32  # of four bytes: likeness 0.8 shares one with all but 5e-8
-LIKENESS = 0.8
-BEFORE = 16
+BANDS = 32  # of four minima: likeness 0.8 shares one with all but 5e-8
+BAND_BYTES = 6
+SIFT = 0.6  # least share of equal bytes for the shingle sets to be compared
+STEP = 4  # members of a bucket that take their turn in the first round; each later round takes so many times as many
 
 
 def permutations(count: int = PERMUTATIONS) -> tuple[np.ndarray, np.ndarray]:
@@ -71,6 +77,13 @@ def fingerprint(lowest: np.ndarray) -> np.ndarray:
     return (mix(lowest) >> np.uint64(56)).astype(np.uint8)
 
 
+def band_hashes(lowest: np.ndarray) -> bytes:
+    """Six bytes of a hash of the four whole minima of every band: unlike texts hardly ever share one, whatever the corpus."""
+    four = lowest.reshape(BANDS, -1)
+    factors = np.arange(1, 2 * four.shape[1], 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mix((four * factors).sum(axis=1, dtype=np.uint64)).view(np.uint8).reshape(BANDS, 8)[:, :BAND_BYTES].tobytes()
+
+
 def likeness(left: np.ndarray, right: np.ndarray) -> float:
     """Estimated Jaccard likeness: equal bytes, less those that agree by chance."""
     share = float((left == right).mean())
@@ -97,11 +110,11 @@ class Texts:
         return len(text), digest, own.tobytes(), changed.tobytes(), likeness(own, changed), likeness(own, other)
 
 
-COLUMNS = ["range_no", "doc_id", "n_chars", "edited_sha256", "own", "changed", "near_edited", "near_next", "first_text", "last_text"]
-TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.string()]
+COLUMNS = ["range_no", "doc_id", "n_chars", "edited_sha256", "own", "changed", "near_edited", "near_next", "first_text", "last_text", "digest", "bands"]
+TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.binary(), pa.binary()]
 MADE = (
     "range_no bigint, doc_id bigint, n_chars bigint, edited_sha256 string, own binary, changed binary, "
-    "near_edited double, near_next double, first_text string, last_text string"
+    "near_edited double, near_next double, first_text string, last_text string, digest binary, bands binary"
 )
 
 
@@ -109,38 +122,59 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], names=COLUMNS)
 
 
-def fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every row."""
+def content(text: str):
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, texts, compressed: a third of the bytes to move."""
+    codec = pa.Codec("zstd", 1)
+    for batch in batches:
+        texts = [(t.as_py() or "").encode("utf-8", "replace") for t in batch.column(batch.num_columns - 1)]
+        sizes = pa.array([len(t) for t in texts], pa.int64())
+        packed = pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes, packed], names=[*batch.schema.names[:-1], "size", "packed"])
+
+
+def unpack(packed: bytes, size: int) -> str:
+    return pa.Codec("zstd").decompress(packed, size, asbytes=True).decode("utf-8") if size else ""
+
+
+def compared(df: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """The columns of ``MADE`` of every row, and node, digest, print and bands of every row."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, texts, before, first = TaskContext.get().partitionId(), Texts(), None, None
         for batch in batches:
             rows = []
-            ids, words = batch.column(0).to_pylist(), batch.column(1)
-            for i, doc in enumerate(ids):
-                now = words[i].as_py() or ""
+            ids, digests, sizes, packed = (batch.column(i) for i in range(4))
+            for doc, digest, size, small in zip(ids.to_pylist(), digests.to_pylist(), sizes.to_pylist(), packed):
+                now = unpack(small.as_py(), size)
                 hashes, lowest = texts.of(now)
                 if before is None:
                     first = now
                 else:
-                    rows.append((number, before[0], *texts.compare(*before[1:], now, lowest), None, None))
-                before = (doc, now, hashes, lowest)
+                    rows.append((number, before[0], *texts.compare(*before[2:], now, lowest), None, None, before[1], band_hashes(before[4])))
+                before = (doc, digest, now, hashes, lowest)
             if rows:
                 yield batch_of(rows)
         if before is not None:  # the last row waits for the first of the next range
-            yield batch_of([(number, before[0], None, None, None, None, None, None, first, before[1])])
+            own, bands = fingerprint(before[4]).tobytes(), band_hashes(before[4])
+            yield batch_of([(number, before[0], None, None, own, None, None, None, first, before[2], before[1], bands)])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Texts()
         for batch in batches:
             rows = []
-            for number, doc, last, following in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                rows.append((number, doc, *texts.compare(last, *texts.of(last), following, texts.of(following)[1]), None, None))
+            for number, doc, last, following, digest in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                rows.append((number, doc, *texts.compare(last, *texts.of(last), following, texts.of(following)[1]), None, None, digest, None))
             if rows:
                 yield batch_of(rows)
 
-    dealt = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    dealt = dealt.repartitionByRange(F.desc_nulls_last("doc_id")).sortWithinPartitions(F.desc_nulls_last("doc_id"), F.desc_nulls_last("text"))
+    dealt = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), content(text).alias("digest"), F.col(text).alias("text"))
+    dealt = dealt.mapInArrow(pack, "doc_id bigint, digest binary, size bigint, packed binary")
+    order_by = F.desc_nulls_last("doc_id"), F.asc("digest")
+    dealt = dealt.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     rows = shared(dealt.mapInArrow(walk, MADE), "fingerprints")
     edges = rows.where("last_text is not null")
     numbers = edges.select("range_no")
@@ -148,61 +182,144 @@ def fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     after = numbers.select(F.col("range_no").alias("here"), F.lead("range_no").over(order).alias("there"))
     after = after.crossJoin(numbers.agg(F.min("range_no").alias("lowest"))).select("here", F.coalesce("there", "lowest").alias("there"))
     heads = edges.select(F.col("range_no").alias("there"), F.col("first_text").alias("following"))
-    tails = edges.select(F.col("range_no").alias("here"), "doc_id", "last_text")
-    pairs = tails.join(after, "here").join(heads, "there").select("here", "doc_id", "last_text", "following")
+    tails = edges.select(F.col("range_no").alias("here"), "doc_id", "last_text", "digest")
+    pairs = tails.join(after, "here").join(heads, "there").select("here", "doc_id", "last_text", "following", "digest")
     whole = rows.where("last_text is null").unionByName(pairs.mapInArrow(finish, MADE))
-    return whole.select(
-        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("own")).alias("fingerprint"), F.lower(F.hex("changed")).alias("edited_fingerprint"),
-        "near_edited", "near_next",
-    )
+    return whole, rows.select(F.col("doc_id").alias("node"), "digest", F.col("own").alias("print"), "bands")
+
+
+FINGERPRINT_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
+def spelled(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"fingerprint": F.lower(F.hex("own")), "edited_fingerprint": F.lower(F.hex("changed"))})
+
+
+def fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every row."""
+    return spelled(compared(df, text, doc_id)[0]).select(FINGERPRINT_COLUMNS)
+
+
+def fingerprints_and_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The columns of :func:`fingerprints`, and class_id and class_texts of :func:`near_duplicates`."""
+    rows, signed = compared(df, text, doc_id)
+    return spelled(rows).join(classes(df, signed, text, doc_id), "digest").select(*FINGERPRINT_COLUMNS, "class_id", "class_texts")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, class_id (smallest id of the group) and n_links (verified links of the text) of every row with an id."""
+    """doc_id, class_id (smallest id of the class) and class_texts (its different texts) of every row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Texts()
         for batch in batches:
-            prints, sets = [], []
-            for words in batch.column(2):
-                hashes, lowest = texts.of(words.as_py() or "")
-                prints.append(fingerprint(lowest).tobytes())
-                sets.append(np.unique(hashes).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], names=SIGNED)
-
-    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    rows = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("node"), digest.alias("digest"), F.col(text).alias("text"))
-    signed = shared(rows.mapInArrow(sign, "node bigint, digest string, print binary, shingles binary"), "signatures")
-    texts = shared(signed.groupBy("digest").agg(F.min("node").alias("node")), "texts")
-    spoken = shared(signed.join(texts, ["digest", "node"], "left_semi").dropDuplicates(["node"]), "speakers")
-    width = PERMUTATIONS // BANDS
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(k.alias("band"), F.hex(F.substring("print", k * width + 1, F.lit(width))).alias("bytes"))
+            lowest = [texts.of(words.as_py() or "")[1] for words in batch.column(2)]
+            prints = pa.array([fingerprint(one).tobytes() for one in lowest], pa.binary())
+            bands = pa.array([band_hashes(one) for one in lowest], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints, bands], names=["node", "digest", "print", "bands"])
+
+    rows = df.select(F.col(doc_id).cast("bigint").alias("node"), content(text).alias("digest"), F.col(text).alias("text"))
+    signed = shared(rows.mapInArrow(sign, "node bigint, digest binary, print binary, bands binary"), "signatures")
+    found = signed.join(classes(df, signed, text, doc_id), "digest")
+    return found.select(F.col("node").alias("doc_id"), "class_id", "class_texts")
+
+
+def classes(df: DataFrame, signed: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """digest, class_id and class_texts of every different text; ``signed`` has node, digest, print and bands of every row."""
+    texts = signed.groupBy("digest").agg(F.min("node").alias("node"), F.min("print").alias("print"), F.min("bands").alias("bands"))
+    texts = shared(texts.withColumn("id", F.monotonically_increasing_id()), "texts")  # short numbers, fixed by the table
+    labels = texts.select("digest", "node", "id").join(linked(df, texts, text, doc_id), "id", "left")
+    labels = labels.withColumn("label", F.coalesce("label", "id"))
+    sizes = labels.groupBy("label").agg(F.min("node").alias("class_id"), F.count("*").alias("class_texts"))
+    return labels.join(sizes, "label").select("digest", "class_id", "class_texts")
+
+
+def band_keys(texts: DataFrame) -> DataFrame:
+    """id and key of every band of every text."""
+    keys = F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        lambda k: F.shiftrightunsigned(F.xxhash64(k, F.substring("bands", k * BAND_BYTES + 1, F.lit(BAND_BYTES))), 8),
     )
-    keys = spoken.select("node", F.explode(bands).alias("key"))
-    bucket = Window.partitionBy("key").orderBy("node")
-    near = [F.lag("node", k).over(bucket) for k in range(1, BEFORE + 1)]
-    met = keys.select(F.array_distinct(F.array(F.first("node").over(bucket), *near)).alias("before"), F.col("node").alias("b"))
-    met = met.select(F.explode("before").alias("a"), "b").where("a < b").distinct()
+    return texts.select("id", F.explode(keys).alias("key"))
+
+
+def sifted(pairs: DataFrame) -> DataFrame:
+    """Pairs a, b with the share of equal bytes of their fingerprints, where that leaves a link possible."""
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PERMUTATIONS) for i in (2, 3))
+            share = (left == right).mean(axis=1)
+            kept = pa.array(share >= SIFT)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(share).filter(kept)], names=["a", "b", "share"]
+            )
+
+    return pairs.select("a", "b", "left", "right").mapInArrow(sift, "a bigint, b bigint, share double")
+
+
+def verified(pairs: DataFrame, df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The pairs a, b whose shingle sets are alike; only texts of pairs are read into the join."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = shared(texts.select("id", "digest", "node").join(wanted, "id"), "wanted").select(F.col("id"), F.col("digest").alias("_d"), F.col("node").alias("_n"))
+    rows = df.select(content(text).alias("digest"), F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
+    spoken = rows.join(wanted, (F.col("digest") == F.col("_d")) & F.col("node").eqNullSafe(F.col("_n")))
+    packed = spoken.select("id", "text").mapInArrow(pack, "id bigint, size bigint, packed binary")
+    packed = shared(packed.dropDuplicates(["id"]), "packed")  # rows may be repeated
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart = white()
         for batch in batches:
-            good = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+            good, last, one = [], None, None
+            columns = [batch.column(i) for i in (0, 2, 3, 4, 5)]
+            for a, size, left, other, right in zip(*columns):
+                if a.as_py() != last:
+                    last, one = a.as_py(), np.unique(shingle_hashes(unpack(left.as_py(), size.as_py()), apart))
+                two = np.unique(shingle_hashes(unpack(right.as_py(), other.as_py()), apart))
                 both = len(np.intersect1d(one, two, assume_unique=True))
-                good.append(both >= LIKENESS * (len(one) + len(two) - both))
+                good.append(5 * both >= 4 * (len(one) + len(two) - both))
             kept = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
 
-    sets = spoken.select("node", "shingles")
-    pairs = met.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-    pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b").select("a", "b", "left", "right")
-    links = shared(pairs.mapInArrow(verify, "a bigint, b bigint"), "links")
-    counts = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    classes = texts.join(components(links), "node", "left").join(counts, "node", "left")
-    classes = classes.select("digest", F.coalesce("label", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signed.select("node", "digest").join(classes, "digest").select(F.col("node").alias("doc_id"), "class_id", "n_links")
-
-
-SIGNED = ["node", "digest", "print", "shingles"]
+    sides = [packed.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("packed").alias(f"text_{c}")) for c in "ab"]
+    both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "text_a", "size_b", "text_b")
+    return both.mapInArrow(verify, "a bigint, b bigint")
+
+
+def linked(df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(id, label) of the texts linked to one with a smaller id."""
+    keys = band_keys(texts)
+    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    met = shared(keys.join(hubs, "key"), "buckets")
+    prints = texts.select("id", "print")
+    sides = [prints.select(F.col("id").alias(c), F.col("print").alias(name)) for c, name in (("a", "left"), ("b", "right"))]
+    pairs = met.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = sifted(pairs.join(sides[0], "a").join(sides[1], "b"))
+    best = pairs.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
+    links = shared(verified(shared(best, "best"), df, texts, text, doc_id), "links")
+    groups = components(links).withColumnRenamed("node", "id")
+    # Every member has a slot below the size of its bucket; it takes its turn when the round comes to it.
+    slot = F.pmod(F.xxhash64("key", "id"), F.col("n"))
+    more = met.select("key", "id", "n", slot.alias("slot"))
+    done, now, many = 0, STEP, False
+    while True:
+        named = more.join(groups, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        ends = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+        left = named.join(ends.where("l0 <> l1").select("key"), "key", "left_semi").where(f"n > {done}")
+        left = shared(left if many else left.join(prints, "id"), "undecided")
+        if left.isEmpty():
+            return groups
+        many = True
+        x, y = left.alias("x"), left.where(f"slot >= {done} and slot < {done + now}").alias("y")
+        # two members whose turns come in the same round meet once
+        once = F.expr(f"x.key = y.key and x.label <> y.label and (x.slot < {done} or x.slot >= {done + now} or x.id > y.id)")
+        pairs = x.join(y, once).select(F.col("y.id").alias("a"), F.col("x.id").alias("b"), F.col("y.print").alias("left"), F.col("x.print").alias("right"))
+        pairs = sifted(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = shared(pairs, "pairs")
+        if not pairs.isEmpty():
+            links = shared(links.unionByName(verified(pairs, df, texts, text, doc_id)), "links")
+            groups = components(links).withColumnRenamed("node", "id")
+        # a bucket that one class holds, or whose members all had their turn, needs no more
+        more = left.drop("label")
+        done, now = done + now, now * STEP

@@ -162,7 +162,7 @@ def op9_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.fingerprints(read(spark, sf_dir, "documents"))
+    return minhash.fingerprints_and_classes(read(spark, sf_dir, "documents"))
 
 
 @query

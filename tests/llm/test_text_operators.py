@@ -225,8 +225,7 @@ def test_fingerprints_of_neighbours(spark, mixed):
     docs, texts = mixed
     ids = [*range(len(texts) - 1), 10]
     got = minhash.fingerprints(docs.repartition(5)).collect()
-    order = sorted(zip(ids, texts), key=lambda r: (-r[0], [-ord(c) for c in (r[1] or "")] or [0]))
-    order = sorted(zip(ids, texts), key=lambda r: (r[0], r[1] is not None, r[1] or ""), reverse=True)
+    order = sorted(zip(ids, texts), key=lambda r: (-r[0], hashlib.md5((r[1] or "").encode()).digest()))
     want, seen = Counter(), {}
     for k, (i, text) in enumerate(order):
         text, after = text or "", order[(k + 1) % len(order)][1] or ""
@@ -261,6 +260,38 @@ def test_minhash_classes_equal_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_groups(texts, 5, 0.8)
 
 
+def test_minhash_classes_of_hundreds_of_texts_and_chains(spark):
+    base = prose(3, 120).split()
+    slid = [" ".join(base[k : k + 60] + [f"w{k}"]) for k in range(0, 60, 3)]  # each is alike to its neighbours only
+    texts = slid[::2] + slid[1::2] + [edited(prose(4, 300), s, 0.004) for s in range(400)] + ["", " \t", None]
+    want = brute_groups(texts, 5, 0.8)
+    got = {r["doc_id"]: r for r in minhash.fingerprints_and_classes(as_docs(spark, texts)).collect()}
+    assert [got[i]["class_id"] for i in range(len(texts))] == want
+    for label, members in itertools.groupby(sorted(range(len(texts)), key=want.__getitem__), want.__getitem__):
+        members = list(members)
+        assert {got[i]["class_texts"] for i in members} == {len({texts[i] or "" for i in members})}
+
+
+def test_minhash_finds_every_twin_of_a_crowd(spark, twins=40):
+    texts = crowd(twins)  # all share a long passage, each has one near copy
+    first = {}
+    for i, text in enumerate(texts):
+        first.setdefault(next(w for w in text.split() if w.startswith("own")), i)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(as_docs(spark, texts)).collect()}
+    assert set(got.values()) == set(first.values()) and len(set(got.values())) == twins
+
+
+def test_minhash_classes_without_ids_and_of_repeated_ids(spark):
+    long = prose(5, 200)
+    docs = as_docs(spark, [long, edited(long, 1, 0.005), long, "else", "other words", "other words"], [None, 7, 7, 7, None, None])
+    docs = docs.withColumns({"digest": F.lit("x"), "id": F.lit("y"), "class_id": F.lit("z"), "size": F.lit(1.5), "print": F.lit(0)})
+    got = sorted((r["doc_id"] is None, r["n_chars"], r["class_id"], r["class_texts"]) for r in minhash.fingerprints_and_classes(docs).where("n_chars > 20").collect())
+    assert {g[2:] for g in got} == {(7, 2)} and len(got) == 3
+    rest = minhash.fingerprints_and_classes(docs).where("n_chars < 20").collect()
+    assert sorted((r["doc_id"] or 0, r["class_id"] or 0, r["class_texts"]) for r in rest) == [(0, 0, 1), (0, 0, 1), (7, 7, 1)]
+    assert minhash.fingerprints_and_classes(docs.limit(0)).count() == 0
+
+
 # --- op7 ---------------------------------------------------------------------
 
 
@@ -365,17 +396,6 @@ def test_near_groups_decide_by_the_sets(spark):
     assert kept == set(brute_groups(texts, 5, 0.8))
 
 
-def test_near_groups_decide_by_the_sets(spark):
-    texts = []
-    for s in range(60):
-        words = [f"t{s}n{k}" for k in range(300)]
-        # one changed run spoils its shingles only: likeness from 0.75 to 0.85 in steps below 0.002
-        gone = 25 + s
-        texts += [" ".join(words), " ".join(words[: 300 - gone] + ([f"u{s}n{k}" for k in range(gone)] if s % 2 else []))]
-    kept = {r["doc_id"] for r in near_groups.keep_one(as_docs(spark, texts)).collect()}
-    assert kept == set(brute_groups(texts, 5, 0.8))
-
-
 # --- op8 ---------------------------------------------------------------------
 
 
