@@ -143,20 +143,16 @@ def promotion_gate(
     """
     metrics = compute_metrics(scored, label, score, [alias])
     rounded = metrics.select(F.col(alias).alias("alias"), *[F.round(m, 4).alias(m) for m in METRICS])
+    if profits is not None:
+        rounded = rounded.join(profits.select(F.col(alias).alias("alias"), F.col("profit").cast("double").alias("profit")), "alias", "left")
+    else:
+        rounded = rounded.withColumn("profit", F.lit(None).cast("double"))
     values = F.struct(*METRICS)
     sides = rounded.agg(
-        F.max(F.when(F.col("alias") == "candidate", values)).alias("candidate"),
-        F.max(F.when(F.col("alias") == "champion", values)).alias("champion"),
+        *[F.max(F.when(F.col("alias") == side, values)).alias(side) for side in ("candidate", "champion")],
+        *[F.max(F.when(F.col("alias") == side, F.col("profit"))).alias(f"profit_{side}") for side in ("candidate", "champion")],
     )
-    empty = F.lit(None).cast("double")
-    if profits is not None:
-        sums = profits.agg(
-            F.max(F.when(F.col(alias) == "candidate", F.col("profit"))).alias("candidate"),
-            F.max(F.when(F.col(alias) == "champion", F.col("profit"))).alias("champion"),
-        ).first()
-        mine, theirs = F.lit(sums.candidate).cast("double"), F.lit(sums.champion).cast("double")
-    else:
-        mine, theirs = empty, empty
+    mine, theirs = F.col("profit_candidate"), F.col("profit_champion")
     has_champion = F.col("champion").isNotNull()
     checked = F.when(F.col("candidate").isNull(), F.raise_error(F.lit("no candidate to check")).cast("boolean")).otherwise(has_champion)
     profit = F.when(

@@ -24,8 +24,11 @@ def file_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length")
 
 
-def reading(blocks: Callable) -> Callable:
-    """A task function that opens the files of its rows one after another; ``blocks`` makes rows from (file, row)."""
+def reading(blocks: Callable, stream: bool = False) -> Callable:
+    """A task function that opens the files of its rows one after another; ``blocks`` makes rows from (file, row).
+
+    As a stream a compressed file is read decompressed, by its name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -37,7 +40,7 @@ def reading(blocks: Callable) -> Callable:
                     system, inner = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
                 else:
                     system, inner = fs.FileSystem.from_uri(path)
-                with system.open_input_file(inner) as file:
+                with system.open_input_stream(inner) if stream else system.open_input_file(inner) as file:
                     yield pa.RecordBatch.from_pylist([blocks(file, row)])
 
     return run

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from roomtide import schema
 from roomtide.functions.columns import null_texts_to_null, to_integer
+from roomtide.sources.hashes import file_list, reading, scattered
 
 DRIFT_RESULT_KEYS = ["week", "retrain", "reasons"]
 
@@ -24,15 +25,28 @@ def csv_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     return spark.read.options(**CSV_QUOTING).option("header", True).csv(path).columns
 
 
+HEADER_BLOCK = 64 << 10
+
+
+def first_line(file, row: dict) -> dict:
+    """The header of an open file: its bytes up to the first line break, in blocks."""
+    parts = []
+    while block := file.read(HEADER_BLOCK):
+        ends = [at for at in (block.find(b"\n"), block.find(b"\r")) if at >= 0]
+        parts.append(block[: min(ends)] if ends else block)
+        if ends:
+            break
+    return {"file_path": row["path"], "header": b"".join(parts).decode("utf-8", "replace")}
+
+
 def csv_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
     """The files of ``path`` by header: (column names, files), most files first.
 
-    The first line of every file is found by Spark in one pass over the lines of the files'
-    first blocks; what comes back is a row per file, as in Spark's own file listing.
+    A task opens each file of the listing and reads its first line, so the data are not scanned; what
+    comes back is a row per file, as in Spark's own file listing. The files must be in a store that
+    Arrow can open; empty files are in no listing.
     """
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    lines = lines.where("file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
-    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    first = scattered(file_list(spark, path)).mapInArrow(reading(first_line, stream=True), "file_path string, header string")
     files: dict[str, list[str]] = {}
     for row in first.select("header", "file_path").orderBy("file_path").toLocalIterator():
         files.setdefault(row.header, []).append(row.file_path)

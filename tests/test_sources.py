@@ -125,3 +125,18 @@ def test_checksums_of_files_of_any_size(spark, tmp_path):
     assert [(r.block, r.start, r.bytes) for r in blocks] == [(0, 0, 1_000_000), (1, 1_000_000, 280_000)]
     assert [r.sha256 for r in blocks] == [hashlib.sha256(data[:1_000_000]).hexdigest(), hashlib.sha256(data[1_000_000:]).hexdigest()]
     assert hashes.verify_checksum(spark, str(tmp_path / "huge.bin"), want["huge.bin"].upper()) == want["huge.bin"]
+
+
+def test_headers_come_from_the_first_lines_only(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv").write_text("x,y\n" + "1,2\n" * 50_000)
+    (tmp_path / "b.csv").write_bytes(b"x,y\r\n3,4\r\n")
+    (tmp_path / "c.csv").write_text("y,z")  # a header alone, without a line break
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv.gz").write_bytes(gzip.compress(b"z,x\n5,6\n"))
+    wide = ",".join(f"column_{k}" for k in range(20_000))  # longer than a block
+    (tmp_path / "f.csv").write_text(wide + "\n")
+    found = {tuple(names): [f.rsplit("/", 1)[1] for f in files] for names, files in readers.csv_headers(spark, str(tmp_path))}
+    assert found[("x", "y")] == ["a.csv", "b.csv"] and found[("y", "z")] == ["c.csv"] and found[("z", "x")] == ["e.csv.gz"]
+    assert found[tuple(wide.split(","))] == ["f.csv"] and len(found) == 4
