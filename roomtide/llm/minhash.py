@@ -42,6 +42,7 @@ PERMUTATIONS = 128
 SHINGLE = 5
 BANDS = 32  # of four minima: likeness 0.8 shares one with all but 5e-8
 BAND_BYTES = 6
+BROADCAST_TEXTS = 500_000  # rows of 32 bytes; more of them are joined by a shuffle
 SIFT = 0.6  # least share of equal bytes for the shingle sets to be compared
 STEP = 4  # members of a bucket that take their turn in the first round; each later round takes so many times as many
 
@@ -263,6 +264,8 @@ def verified(pairs: DataFrame, df: DataFrame, texts: DataFrame, text: str, doc_i
     """The pairs a, b whose shingle sets are alike; only texts of pairs are read into the join."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = shared(texts.select("id", "digest", "node").join(wanted, "id"), "wanted").select(F.col("id"), F.col("digest").alias("_d"), F.col("node").alias("_n"))
+    if wanted.count() <= BROADCAST_TEXTS:  # their keys go to all tasks, so that the other texts stay where they are
+        wanted = F.broadcast(wanted)
     rows = df.select(content(text).alias("digest"), F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
     spoken = rows.join(wanted, (F.col("digest") == F.col("_d")) & F.col("node").eqNullSafe(F.col("_n")))
     packed = spoken.select("id", "text").mapInArrow(pack, "id bigint, size bigint, packed binary")
