@@ -818,8 +818,9 @@ SQL["stream_late_repaired"] = SQL["stream_weekly_stats"]
 SQL["stream_service_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) AS day, count(*) AS requests,
     count(*) FILTER (WHERE status >= 500) AS server_errors_5xx, quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms,
     max(ms) AS max_ms FROM log GROUP BY 1, 2"""
-SQL["stream_sliding_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) - back AS day, count(*) AS requests, max(ms) AS max_ms
-    FROM log, (VALUES (0), (1)) t(back) GROUP BY 1, 2"""
+SQL["stream_sliding_levels"] = f"""WITH {LOG} SELECT path, CAST(ts AS DATE) - back AS day, count(*) AS requests,
+    count(*) FILTER (WHERE status >= 500) AS server_errors_5xx, quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms,
+    max(ms) AS max_ms FROM log, (VALUES (0), (1)) t(back) GROUP BY 1, 2"""
 SQL["stream_late_labels"] = f"""WITH {SCORED}{_metrics('sc', 'hotel', 'is_canceled', 'p_cancel')}
     SELECT g AS hotel, n_rows, round(pr_auc, 6) AS pr_auc, round(ece, 6) AS ece FROM m"""
 
