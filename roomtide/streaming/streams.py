@@ -19,6 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from roomtide.operators.models import CalibratedModel
 from roomtide.operators.monitoring import COOLDOWN_WEEKS, DRY_RUN, NO_ACTION
+from roomtide.operators.ranking import free_names
 from roomtide.operators.records import find_problems, rejected_rows, valid_rows
 from roomtide.session import cut_lineage, shared_path
 
@@ -37,19 +38,25 @@ def feed_in_order(df: DataFrame, folder: str, ts: str, files: int = 8, rows_per_
     """Write ``df`` as files that follow one another in event time, as a feed delivers them, and return them as a stream.
 
     No value of ``ts`` is split between files, and every trigger takes one file; more rows make more files.
+    The rows are dealt to the files in one pass, so each is read as often whatever the number of files.
     """
     spark = df.sparkSession
     rows = cut_lineage(df, "feed")
-    at = F.col(ts).cast("timestamp")
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
     files = max(files, -(-rows.count() // rows_per_file))
     shares = [i / files for i in range(1, files)]
-    cuts = rows.select(F.approx_percentile(F.unix_micros(at), shares, 100 * files).alias("cuts")).first().cuts or []
-    edges = [None, *sorted(set(cuts)), None]
-    for low, high in zip(edges, edges[1:]):
-        part = rows if low is None else rows.filter(F.unix_micros(at) > low)
-        part = part if high is None else part.filter(F.unix_micros(at) <= high)
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return read_table_stream(spark, folder, rows.schema, files_per_trigger=1)
+    cuts = rows.select(F.approx_percentile(at, shares, 100 * files).alias("cuts")).first().cuts or []
+    edges = sorted(set(cuts))
+    (number,) = free_names(rows, "_file")
+    if edges:  # the file of a row: how many edges lie before its time; rows without a time are in none
+        before = F.filter(F.array(*[F.lit(e) for e in edges]), lambda edge: edge < F.col(number))
+        rows = rows.withColumn(number, at).where(F.col(number).isNotNull()).withColumn(number, F.size(before))
+    else:
+        rows = rows.withColumn(number, F.lit(0))
+    dealt = cut_lineage(rows, "dealt", [number])
+    for k in range(len(edges) + 1):
+        dealt.where(F.col(number) == k).drop(number).coalesce(1).write.mode("append").parquet(folder)
+    return read_table_stream(spark, folder, df.schema, files_per_trigger=1)
 
 
 # --- Windowed aggregates ----------------------------------------------------
@@ -125,14 +132,16 @@ DAY_MS = 86_400_000
 class ActiveList(StatefulProcessor):
     """Guests of a property between check-in and checkout.
 
-    The state is a map from day to the change of guests on it, and the level reached so far. The timer
-    of a day fires when the watermark has passed it: nobody else can arrive then, the nights before
-    it are returned, and its guests leave the state. What stays is the span of the longest stay.
+    The state is the level reached so far and, in one value, the change of guests on each of the days to
+    come, which goes when there are none. One timer stands at the earliest of them. When the watermark has passed it nobody
+    else can arrive on the days behind: the nights before them are returned together and their guests
+    leave the state. What stays is the span of the longest stay, and a property is read and written
+    once or twice a batch, whatever the number of its days.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.moves = handle.getMapState("moves", "day int", "net int")
+        self.moves = handle.getValueState("moves", "days array<int>, nets array<bigint>")  # in order of the day
         self.level = handle.getValueState("level", "day int, guests bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -142,23 +151,38 @@ class ActiveList(StatefulProcessor):
             for day, nights, guests in zip(part["day"].tolist(), part["nights"].tolist(), part["guests"].tolist()):
                 change[day] = change.get(day, 0) + guests
                 change[day + nights] = change.get(day + nights, 0) - guests
-        for day, net in change.items():
-            if self.moves.containsKey((day,)):
-                net += self.moves.getValue((day,))[0]
-            else:
-                self.handle.registerTimer(day * DAY_MS)
-            self.moves.updateValue((day,), (net,))
+        if change:
+            days, nets = self.moves.get() if self.moves.exists() else ([], [])
+            for day, net in zip(days, nets):
+                change[day] = change.get(day, 0) + net
+            order = sorted(change)
+            self.moves.update((order, [change[day] for day in order]))
+            if not days or order[0] != days[0]:
+                if days:
+                    self.handle.deleteTimer(days[0] * DAY_MS)
+                self.handle.registerTimer(order[0] * DAY_MS)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS
-        net = self.moves.getValue((day,))[0]
-        self.moves.removeKey((day,))
-        before, guests = self.level.get() if self.level.exists() else (day, 0)
-        self.level.update((day, guests + net))
-        if day > before:
-            dates = [date.fromordinal(EPOCH_DAY + d) for d in range(before, day)]
-            yield pd.DataFrame({"hotel": key[0], "date": dates, "occupancy": guests})
+        fired, watermark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        days, nets = self.moves.get()
+        before, guests = self.level.get() if self.level.exists() else (days[0], 0)
+        nights, counts, passed = [], [], 0
+        for day, net in zip(days, nets):
+            if day * DAY_MS > fired and day * DAY_MS >= watermark:
+                break
+            nights += range(before, day)
+            counts += [guests] * (day - before)
+            before, guests, passed = day, guests + net, passed + 1
+        self.level.update((before, guests))
+        if passed < len(days):
+            self.moves.update((list(days[passed:]), list(nets[passed:])))
+            self.handle.registerTimer(days[passed] * DAY_MS)
+        else:
+            self.moves.clear()
+        if nights:
+            dates = [date.fromordinal(EPOCH_DAY + d) for d in nights]
+            yield pd.DataFrame({"hotel": key[0], "date": dates, "occupancy": counts})
 
 
 EPOCH_DAY = date(1970, 1, 1).toordinal()

@@ -1,5 +1,6 @@
 from datetime import date, datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,62 @@ def test_active_list_equals_batch_and_forgets_guests(spark, tmp_path):
     assert held[-1] < max(held) and held[-1] <= 6  # a level for each hotel is all that stays
 
 
+def test_active_list_touches_its_state_once_a_batch_and_not_once_a_day():
+    """One property, a year of stays: the calls of the state do not follow the number of days."""
+    calls, held, timers = [], {}, set()
+
+    class Value:
+        def __init__(self, name):
+            self.name = name
+
+        exists = lambda self: calls.append("exists") or self.name in held
+        get = lambda self: calls.append("get") or held[self.name]
+        update = lambda self, row: calls.append("update") or held.update({self.name: row})
+        clear = lambda self: calls.append("clear") or held.pop(self.name)
+
+    class Handle:
+        getValueState = lambda self, name, schema: Value(name)
+        getMapState = lambda self, name, key, value: pytest.fail("an entry for every day")
+        registerTimer = lambda self, at: calls.append("register") or timers.add(at)
+        deleteTimer = lambda self, at: calls.append("delete") or timers.discard(at)
+
+    class Times:
+        def __init__(self, at):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: at
+
+    lister = streams.ActiveList()
+    lister.init(Handle())
+    rows = pd.DataFrame({"day": [100 + i // 2 for i in range(700)], "nights": [1 + i % 5 for i in range(700)], "guests": [int(i % 7 > 0) for i in range(700)]})
+    found = []
+    for part, days, mark in ((rows[350:], 175, 150), (rows[:350], 175, 300), (rows[:0], 0, 1000)):  # the later half comes first
+        list(lister.handleInputRows(("A",), iter([part]), Times(0)))
+        while timers and min(timers) < mark * streams.DAY_MS:
+            timers.discard(first := min(timers))
+            times = Times(first)
+            mark_at = Times(mark * streams.DAY_MS)
+            for out in lister.handleExpiredTimer(("A",), mark_at, times):
+                found += zip(out["date"], out["occupancy"])
+    want = {}
+    for day, nights, guests in rows[rows["guests"] > 0].itertuples(index=False):
+        for d in range(day, day + nights):
+            want[date(1970, 1, 1) + timedelta(d)] = want.get(date(1970, 1, 1) + timedelta(d), 0) + guests
+    assert dict(found) == want and len(found) == len(want)
+    assert len(calls) < 40 and not timers
+
+
+def test_feed_reads_its_rows_as_often_however_many_files(spark, tmp_path, monkeypatch):
+    """The files together hold every row with a time once, and are made from one dealt table."""
+    rows = stays_in_order(spark).unionByName(spark.createDataFrame([("A", None, 1, 0)], stays_in_order(spark).schema))
+    dealt = []
+    monkeypatch.setattr(streams, "cut_lineage", lambda df, label="cut", by=None, plain=streams.cut_lineage: dealt.append(by) or plain(df, label, by))
+    path = str(tmp_path / "in")
+    streams.feed_in_order(rows.withColumn("_file", F.lit(7)), path, "stay_date", files=6)
+    assert dealt == [None, ["_file_"]]
+    back = spark.read.parquet(path)
+    assert back.columns == [*rows.columns, "_file"] and back.where("_file = 7").count() == 120
+    assert sorted(map(tuple, back.drop("_file").collect())) == sorted(tuple(r) for r in rows.collect() if r.stay_date)
+
+
 def test_feed_comes_in_order_and_late_rows_raise(spark, tmp_path):
     rows = stays_in_order(spark)
     stream = streams.feed_in_order(rows, str(tmp_path / "in"), "stay_date", files=5)
