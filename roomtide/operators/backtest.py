@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,68 +122,115 @@ SEQUENTIAL_SCHEMA = (
 )
 
 
-def _walk_nights(nights: pd.DataFrame, choices: list[tuple[str, float]], ks: list[float], fixed_pct: float) -> pd.DataFrame:
-    """Walk one hotel's calendar once, all (policy, k) side by side.
+ROWS_AT_ONCE = 100_000  # nights of whole hotels that are walked side by side
+CARRIED_COLUMNS = [column.split() for column in SEQUENTIAL_SCHEMA.split(", ")]
 
-    ``rooms[r]`` and ``money[r]`` hold the guests with ``r`` nights to go and what they
-    pay per night, so the state is bounded by the longest stay.
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where the list of every row starts among all values, and the values; no list is an empty one."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))), column.flatten()
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def _walk_nights(nights: pa.RecordBatch, choices: list[tuple[str, float]], ks: list[float], fixed_pct: float) -> pa.RecordBatch:
+    """Walk the calendars of several hotels at once, night by night, all (policy, k) side by side.
+
+    Rows are in order of hotel and night, and each hotel has all its nights. ``rooms[r]`` and ``money[r]``
+    hold the guests with ``r`` nights to go and what they pay per night, so the state is bounded by the
+    longest stay.
     """
-    nights = nights.sort_values("stay_date")
-    capacity = int(nights["capacity"].iloc[0])
-    usual_price = float(nights["adr_sum"].sum() / nights["n_bookings"].sum())
-    longest, wide = int(nights["max_los"].max()), len(choices)
+    column = {name: nights.column(name) for name in nights.schema.names}
+    number = {name: column[name].to_numpy(zero_copy_only=False) for name in ("capacity", "n_bookings", "adr_ref", "adr_sum", "max_los", "rate_level")}
+    ends = pc.run_end_encode(column["hotel"]).run_ends.to_numpy()
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+    usual = np.array([np.nansum(number["adr_sum"][a:b]) / number["n_bookings"][a:b].sum() for a, b in zip(starts, ends)])
+    order = np.argsort(starts - ends, kind="stable")  # long calendars first: those that still run are the first ones
+    starts, days, usual = starts[order], (ends - starts)[order], usual[order]
+    capacity = number["capacity"][starts].astype(np.int64)
+    fixed = np.rint(capacity * fixed_pct).astype(np.int64)
+    wide, longest = len(choices), int(np.nanmax(number["max_los"]))
     factor = np.array([k for _, k in choices])
-    rooms, money = np.zeros((longest + 1, wide), dtype=np.int64), np.zeros((longest + 1, wide))
-    days: list[dict[str, np.ndarray]] = []
 
-    for night in nights.itertuples(index=False):
+    begins, shows = _lists(column["shows"])
+    prices, stays = _lists(column["prices"])[1].to_numpy(zero_copy_only=False), _lists(column["stays"])[1].to_numpy()
+    place = np.arange(len(shows)) - np.repeat(begins[:-1], np.diff(begins))
+    came = np.flatnonzero(shows.to_numpy())  # only guests who show take a room
+    begins = np.searchsorted(came, begins)
+    prices, stays, place = prices[came], stays[came].astype(np.int64), place[came]
+    table_of, tables = _lists(column["levels"])
+    level_of, levels = _lists(tables) if any(policy == "model" for policy, _ in choices) else (None, None)
+    levels = None if levels is None else levels.to_numpy()
+
+    rooms, money = np.zeros((longest + 1, len(starts), wide), np.int64), np.zeros((longest + 1, len(starts), wide))
+    whole = ("o", "effective_capacity", "carryover_occupancy", "accepted_n", "arrivals_actual", "empty_rooms", "moved_customers")
+    made = {name: np.zeros((nights.num_rows, wide), np.int32) for name in whole}
+    made |= {name: np.zeros((nights.num_rows, wide)) for name in ("revenue", "cost")}
+    for t in range(int(days[0])):
+        live = int(np.searchsorted(-days, -t))  # hotels whose calendar has a night t
+        at = starts[:live] + t
+        rooms, money = rooms[:, :live], money[:, :live]
         for state in (rooms, money):
             state[:-1] = state[1:].copy()
             state[[0, -1]] = 0
         carried, carried_money = rooms.sum(axis=0), money.sum(axis=0)
-        free = np.maximum(0, capacity - carried)
-        booked = night.n_bookings > 0
-        level = {"no_overbook": 0, "fixed": round(capacity * fixed_pct), "avg_rate": night.rate_level}
-        o = np.array(
-            [
-                level[policy] if policy != "model" else int(night.levels[ks.index(k)][f]) if booked else 0
-                for (policy, k), f in zip(choices, free)
-            ],
-            dtype=np.int64,
-        )
-        accepted = np.minimum(night.n_bookings, np.maximum(0, free + o))
+        free = np.maximum(0, capacity[:live, None] - carried)
+        n = number["n_bookings"][at]
+        booked = np.flatnonzero(n > 0)
+        o = np.zeros((live, wide), np.int64)
+        for i, (policy, k) in enumerate(choices):
+            if policy == "fixed":
+                o[:, i] = fixed[:live]
+            elif policy == "avg_rate":
+                o[:, i] = number["rate_level"][at]
+            elif policy == "model" and len(booked):
+                o[booked, i] = levels[level_of[table_of[at[booked]] + ks.index(k)] + free[booked, i]]
+        accepted = np.minimum(n[:, None], np.maximum(0, free + o))
         arrived, revenue = carried.copy(), carried_money.copy()
-        if booked:
-            show, paid, stay = (np.asarray(x) for x in (night.shows, night.prices, night.stays))
-            for i, count in enumerate(accepted):
-                came = np.flatnonzero(show[:count])
-                np.add.at(rooms[:, i], stay[came], 1)
-                np.add.at(money[:, i], stay[came], paid[came])
-                arrived[i] += len(came)
-                revenue[i] += paid[came].sum()
-        price = float(night.adr_ref) if booked else usual_price
-        empty, moved = np.maximum(0, capacity - arrived), np.maximum(0, arrived - capacity)
-        days.append(
-            {
-                "o": o,
-                "effective_capacity": free,
-                "carryover_occupancy": carried,
-                "accepted_n": accepted,
-                "arrivals_actual": arrived,
-                "empty_rooms": empty,
-                "moved_customers": moved,
-                "revenue": revenue,
-                "cost": price * (empty + factor * moved),
-            }
-        )
-
-    out = pd.DataFrame({name: np.concatenate([day[name] for day in days]) for name in days[0]})
-    out["profit"] = out["revenue"] - out["cost"]
-    out["hotel"] = nights["hotel"].iloc[0]
-    out["stay_date"] = np.repeat(nights["stay_date"].to_numpy(), wide)
-    out["policy"] = [policy for policy, _ in choices] * len(days)
-    out["k"] = np.tile(factor, len(days))
-    return out[[name.split()[0] for name in SEQUENTIAL_SCHEMA.split(", ")]]
+        sizes = begins[at + 1] - begins[at]
+        if sizes.any():
+            guest, hotel = _ranges(begins[at], sizes), np.repeat(np.arange(live), sizes)
+            which, choice = np.nonzero(place[guest][:, None] < accepted[hotel])
+            guest, hotel = guest[which], hotel[which]
+            np.add.at(rooms, (stays[guest], hotel, choice), 1)
+            np.add.at(money, (stays[guest], hotel, choice), prices[guest])
+            cell = hotel * wide + choice
+            arrived += np.bincount(cell, minlength=live * wide).reshape(live, wide)
+            revenue += np.bincount(cell, prices[guest], minlength=live * wide).reshape(live, wide)
+        price = np.where(n > 0, number["adr_ref"][at], usual[:live])[:, None]
+        empty, moved = np.maximum(0, capacity[:live, None] - arrived), np.maximum(0, arrived - capacity[:live, None])
+        cost = price * (empty + factor * moved)
+        for name, value in zip(made, (o, free, carried, accepted, arrived, empty, moved, revenue, cost)):
+            made[name][at] = value
+
+    rows = pa.array(np.repeat(np.arange(nights.num_rows), wide))
+    out = {name: pa.array(value.ravel()) for name, value in made.items()}
+    out["profit"] = pa.array((made["revenue"] - made["cost"]).ravel())
+    out |= {name: column[name].take(rows) for name in ("hotel", "stay_date")}
+    out["policy"] = pa.array([policy for policy, _ in choices]).take(pa.array(np.tile(np.arange(wide), nights.num_rows)))
+    out["k"] = pa.array(np.tile(factor, nights.num_rows))
+    return pa.RecordBatch.from_pydict({name: out[name] for name, _ in CARRIED_COLUMNS})
+
+
+def _whole_hotels(batches: Iterator[pa.RecordBatch], rows_at_once: int) -> Iterator[pa.RecordBatch]:
+    """Rows in order of hotel as batches that never cut a hotel, of about ``rows_at_once`` rows or one hotel."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = batch if held is None else pa.concat_batches([held, batch])
+        if held.num_rows >= rows_at_once:
+            ends = pc.run_end_encode(held.column("hotel")).run_ends.to_numpy()
+            if len(ends) > 1:
+                yield held.slice(0, int(ends[-2]))
+                held = held.slice(int(ends[-2]))
+    if held is not None:
+        yield held
 
 
 def _whole_calendar(nights: DataFrame) -> DataFrame:
@@ -215,7 +263,8 @@ def backtest_sequential(
 
     The heavy parts run per night, spread over the cluster: the books and, for the model
     policy, the best level for every number of free rooms. What is walked in order per
-    hotel is bounded by nights times rooms, not by the number of bookings.
+    hotel is bounded by nights times rooms, not by the number of bookings. A task walks many
+    hotels side by side, a night of all of them in one step.
     """
     policies = check_policies(policies)
     ks = [config.default_k] if ks is None else [float(k) for k in ks]
@@ -244,8 +293,10 @@ def backtest_sequential(
     nights = nights.withColumn("rate_level", policy_level("avg_rate", F.col("capacity"), F.col("rate"), config)).drop("rate")
     fixed_pct = config.fixed_overbook_pct
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _walk_nights(pdf, choices, ks, fixed_pct)
-
-    return nights.groupBy("hotel").applyInPandas(walk, SEQUENTIAL_SCHEMA)
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_hotels(batches, ROWS_AT_ONCE):
+            walked = _walk_nights(pa.concat_batches([part]), choices, ks, fixed_pct)
+            for k in range(0, walked.num_rows, 20_000):
+                yield walked.slice(k, 20_000)
 
+    return nights.repartition("hotel").sortWithinPartitions("hotel", "stay_date").mapInArrow(walk, SEQUENTIAL_SCHEMA)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,6 +177,20 @@ def expected_gaps(p_cancel: np.ndarray, rooms: np.ndarray) -> tuple[np.ndarray,
     return empty, np.maximum(guests[:, None] - rooms + empty, 0.0)
 
 
+def expected_gaps_of_nights(p_cancel: np.ndarray, rooms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`expected_gaps` of many nights with equally many bookings, a row of ``p_cancel`` each."""
+    nights, bookings = p_cancel.shape
+    state = np.tile(np.arange(rooms.max(initial=0) + 1.0), (nights, 1))
+    empty = np.empty((nights, bookings + 1, len(rooms)))
+    empty[:, 0] = rooms
+    for m in range(bookings):
+        p = p_cancel[:, m, None]
+        state[:, 1:] = p * state[:, 1:] + (1.0 - p) * state[:, :-1]
+        empty[:, m + 1] = state[:, rooms]
+    guests = np.pad(np.cumsum(1.0 - p_cancel, axis=1), ((0, 0), (1, 0)))
+    return empty, np.maximum(guests[:, :, None] - rooms + empty, 0.0)
+
+
 def highest_level(capacity: int, o_max_pct: float) -> int:
     return max(1, int(o_max_pct * capacity))
 
@@ -191,6 +207,7 @@ def first_lowest(costs: np.ndarray) -> np.ndarray:
     return np.argmax(costs <= lowest + 1e-9 * np.maximum(1.0, np.abs(lowest)), axis=-1)
 
 
+CELLS_AT_ONCE = 1 << 19  # numbers in one array of gaps or costs
 LEVEL_SCHEMA = "o_star int, expected_cost double, cost_curve array<double>"
 
 
@@ -235,23 +252,37 @@ def best_levels_by_room(p_cancel: Column, capacity: Column, ks: Sequence[float],
     """
     share, factors = config.o_max_pct, [float(k) for k in ks]
 
-    def solve(p, rooms):
-        p = np.asarray(p if p is not None else [], dtype=float)
-        if len(p) == 0:
-            return [[0] * (rooms + 1) for _ in factors]
-        p = p[: rooms + highest_level(rooms, share)]
-        free = np.arange(1, rooms + 1)
-        empty, over = expected_gaps(p, free)
-        level = np.arange(highest_level(rooms, share) + 1)
-        accepted = np.minimum(len(p), free[:, None] + level)
-        allowed = level <= np.array([highest_level(int(c), share) for c in free])[:, None]
-        idle, excess = empty[accepted, free[:, None] - 1], over[accepted, free[:, None] - 1]
+    def solve(p: np.ndarray, rooms: int) -> np.ndarray:
+        """Nights with as many rooms and bookings as one another: level by night, factor and free rooms."""
+        free, top = np.arange(1, rooms + 1), highest_level(rooms, share)
+        empty, over = expected_gaps_of_nights(p[:, : rooms + top], free)
+        level = np.arange(top + 1)
+        accepted = np.minimum(empty.shape[1] - 1, free[:, None] + level)
+        allowed = level <= np.array([highest_level(int(c), share) for c in free], np.int64)[:, None]
+        idle, excess = empty[:, accepted, free[:, None] - 1], over[:, accepted, free[:, None] - 1]
         best = [first_lowest(np.where(allowed, idle + k * excess, np.inf)) for k in factors]
-        return [[0, *row.tolist()] for row in best]
-
-    @F.pandas_udf("array<array<int>>")
-    def run(p: pd.Series, rooms: pd.Series) -> pd.Series:
-        return pd.Series([solve(a, int(b)) for a, b in zip(p, rooms)])
+        return np.stack([np.pad(levels, ((0, 0), (1, 0))) for levels in best], axis=1)
+
+    @F.arrow_udf("array<array<int>>")
+    def run(p: pa.Array, rooms: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(p), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts, flat = np.cumsum(lengths) - lengths, p.flatten().to_numpy(zero_copy_only=False).astype(float)
+        capacity = rooms.to_numpy().astype(np.int64)
+        width = np.repeat(capacity + 1, len(factors))
+        ends = np.concatenate(([0], np.cumsum(width)))
+        found, first = np.zeros(ends[-1], np.int32), ends[:-1].reshape(-1, len(factors))[:, 0] if len(factors) else ends[:-1]
+        kinds, kind = np.unique(np.stack([capacity, lengths]), axis=1, return_inverse=True)
+        by_kind = np.argsort(kind.ravel(), kind="stable")
+        for (room, length), nights in zip(kinds.T.tolist(), np.split(by_kind, np.cumsum(np.bincount(kind.ravel()))[:-1])):
+            if not length or not room:  # no booking or no room: level 0
+                continue
+            step = max(1, CELLS_AT_ONCE // (room * (length + highest_level(room, share) + 2)))
+            for k in range(0, len(nights), step):
+                some = nights[k : k + step]
+                levels = solve(flat[starts[some][:, None] + np.arange(length)], room)
+                found[first[some][:, None] + np.arange(len(factors) * (room + 1))] = levels.reshape(len(some), -1)
+        inner = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * len(factors), pa.int32()), inner)
 
     return run(p_cancel, capacity)
 

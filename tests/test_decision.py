@@ -3,6 +3,7 @@ from datetime import date, timedelta
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,6 +179,63 @@ def test_sequential_against_a_plain_walk(spark):
         assert [g[4] for g in got] == pytest.approx([e[4] for e in expected])
 
 
+def many_hotels(n, nights=60):
+    rng = np.random.default_rng(4)
+    return [
+        (f"H{h:03}", D0 + timedelta(int(rng.integers(0, nights + h % 9))), float(rng.integers(50, 200)), int(rng.random() < 0.3), float(rng.random() * 0.6), int(rng.integers(0, 99)), int(rng.integers(1, 6)))
+        for h in range(n)
+        for _ in range(40 + h % 7)
+    ]
+
+
+def test_hotels_walked_together_equal_hotels_walked_alone(spark, monkeypatch):
+    rows = many_hotels(12)
+    capacities = spark.createDataFrame([(f"H{h:03}", h % 5) for h in range(11)], "hotel string, capacity int")
+    config = CostConfig(capacity={}, default_capacity=4, fixed_overbook_pct=0.4)
+    run = lambda frame: sorted(map(tuple, backtest.backtest_sequential(frame, config, [1.5, 3.0], capacities=capacities).collect()))
+    frame = stays(spark, rows).cache()
+    together = run(frame)
+    alone = sorted(row for h in range(12) for row in run(frame.where(F.col("hotel") == f"H{h:03}")))
+    assert together == alone and len({row[0] for row in together}) == 12
+    monkeypatch.setattr(backtest, "ROWS_AT_ONCE", 1)  # a hotel at a time, cut from the same stream of rows
+    assert run(frame) == together
+
+
+def test_walk_takes_a_step_for_a_night_and_not_for_a_night_of_a_hotel(spark, monkeypatch):
+    """The steps of the walk are as many as the nights of the longest calendar, whatever the number of hotels."""
+    steps = []
+    monkeypatch.setattr(backtest, "_ranges", lambda *given, plain=backtest._ranges: steps.append(1) or plain(*given))
+    day, n, hotels = 18_000, 30, 50
+    rows = pa.RecordBatch.from_pydict(
+        {
+            "hotel": [f"H{h}" for h in range(hotels) for _ in range(n)],
+            "stay_date": pa.array([day + d for _ in range(hotels) for d in range(n)], pa.date32()),
+            **{name: pa.array([value] * (hotels * n)) for name, value in [("capacity", 2), ("n_bookings", 1), ("adr_ref", 9.0), ("adr_sum", 9.0), ("max_los", 2), ("rate_level", 0)]},
+            "levels": pa.array([None] * (hotels * n), pa.list_(pa.list_(pa.int32()))),
+            "shows": [[1]] * (hotels * n), "prices": [[9.0]] * (hotels * n), "stays": [[2]] * (hotels * n),
+        }
+    )
+    out = backtest._walk_nights(rows, [("fixed", 2.0), ("no_overbook", 2.0)], [2.0], 0.5).to_pandas()
+    assert len(out) == 2 * hotels * n and len(steps) == n
+    assert out[out.policy == "fixed"].arrivals_actual.tolist() == ([1] + [2] * (n - 1)) * hotels
+
+
+def test_levels_of_many_nights_equal_levels_of_one(spark):
+    rng = np.random.default_rng(3)
+    rows = [(rng.random(int(rng.integers(0, 9))).tolist() if i % 9 else None, i % 6) for i in range(200)]
+    frame = spark.createDataFrame(rows, "p array<double>, rooms int").coalesce(1)
+    made = overbooking.best_levels_by_room(F.col("p"), F.col("rooms"), [1.5, 3.0], CostConfig())
+    for r in frame.select("p", "rooms", made.alias("t")).collect():
+        p = np.array(r.p or [])
+        for row, k in zip(r.t, [1.5, 3.0]):
+            want = [0]
+            for free in range(1, r.rooms + 1):
+                empty, over = (g[:, 0] for g in overbooking.expected_gaps(p, np.array([free])))
+                costs = overbooking.level_costs(empty, over, free, 1.0, k, overbooking.highest_level(free, 0.3))
+                want.append(int(overbooking.first_lowest(costs)) if len(p) else 0)
+            assert row == want
+
+
 def test_hot_night_is_cut_the_same_way(spark):
     rows = stays(spark, [("X", D0, float(i % 90), int(i % 4 == 0), 0.25, i % 7, 1) for i in range(3000)])
     config = CostConfig(capacity={"X": 20}, default_capacity=20)
