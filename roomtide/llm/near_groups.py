@@ -1,7 +1,8 @@
 """Near-duplicate groups for filtering: rare shingles find pairs, the shingle sets decide.
 
 Two texts are linked if the Jaccard likeness of their sets of five-word shingles is 0.8 or more;
-groups are connected components. Every link counts, whatever the size of a group.
+groups are connected components. Every link counts, whatever the size of a group. The pipeline asks for the groups of
+the SimHash operator first; what it has linked is not compared again.
 
 Shingles have one order everywhere, seldom ones first. If two sets are that alike, their first
 common shingle is among the first fifth of the larger and the first ninth of the smaller one, and
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roomtide.llm import simhash
 from roomtide.llm.common import LOWER, components, mix, shared, white, word_hashes, word_spans
 
 SHINGLE = 5
@@ -101,11 +103,21 @@ def beginnings(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return rows.mapInArrow(run, "node bigint, digest string, size bigint, begins array<bigint>")
 
 
+def tied(spoken: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, label) of the texts whose fingerprint is in the group of one with a smaller id.
+
+    ``prints`` has digest and fp of every row, ``groups`` fp and label, as :func:`simhash.grouped` finds them.
+    """
+    named = spoken.select("digest", "node").join(prints.select("digest", "fp").distinct(), "digest").join(groups.select("fp", F.col("label").alias("group")), "fp")
+    lowest = named.groupBy("group").agg(F.min("node").alias("label"))
+    return named.join(lowest, "group").where("node > label").select("node", "label")
+
+
 def meetings(spoken: DataFrame) -> DataFrame:
-    """key, node, size, at and leads of every beginning shared with another text, and hub, the smallest that leads there."""
-    rows = spoken.select("node", "size", F.posexplode("begins").alias("at", "key"))
+    """key, node, size, label, at and leads of every beginning shared with another text, and hub, the smallest that leads there."""
+    rows = spoken.select("node", "size", "label", F.posexplode("begins").alias("at", "key"))
     rows = rows.withColumn("leads", F.expr("at < size - (8 * size + 8) div 9 + 1"))
-    least = F.min(F.when(F.col("leads"), F.struct("size", "node", "at"))).alias("hub")
+    least = F.min(F.when(F.col("leads"), F.struct("size", "node", "at", "label"))).alias("hub")
     hubs = rows.groupBy("key").agg(least, F.count("*").alias("n")).where("n > 1 and hub is not null")
     return rows.join(hubs, "key")
 
@@ -151,12 +163,14 @@ def alike(pairs: DataFrame, docs: DataFrame, spoken: DataFrame, text: str, doc_i
     return both.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint")
 
 
-def linked_texts(docs: DataFrame, spoken: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(node, label) of the texts linked to one with a smaller id."""
-    met = shared(meetings(spoken), "meetings")
-    hub = met.alias("x").withColumn("y", F.col("hub")).where(MAY_LINK)
+def linked_texts(docs: DataFrame, spoken: DataFrame, text: str, doc_id: str, known: DataFrame | None = None) -> DataFrame:
+    """(node, label) of the texts linked to one with a smaller id; ``known`` has such links that need no comparison."""
+    known = known if known is not None else spoken.select("node", F.col("node").alias("label")).limit(0)
+    met = shared(meetings(spoken.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))), "meetings")
+    hub = met.alias("x").withColumn("y", F.col("hub")).where(f"x.label <> y.label and {MAY_LINK}")
     pairs = shared(hub.select(F.col("y.node").alias("a"), "x.node").toDF("a", "b").distinct(), "pairs")
-    groups = components(alike(pairs, docs, spoken, text, doc_id))
+    links = alike(pairs, docs, spoken, text, doc_id)
+    groups = components(links.unionByName(known.select(F.col("label").alias("a"), F.col("node").alias("b"))))
     order = Window.partitionBy("key", "leads").orderBy("size", "node")
     more = met.where("n > 2").select("key", "node", "size", "at", "leads", F.when(F.col("leads"), F.row_number().over(order)).alias("turn"))
     more = shared(more, "more")
@@ -179,15 +193,23 @@ def linked_texts(docs: DataFrame, spoken: DataFrame, text: str, doc_id: str) ->
         done, now = done + now, now * STEP
 
 
-def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without those that copy, or nearly copy, one with a smaller id."""
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fingerprints: bool = False) -> DataFrame:
+    """The rows of ``docs`` without those that copy, or nearly copy, one with a smaller id.
+
+    With ``fingerprints`` the groups of the SimHash operator come first: their texts are linked, and the
+    comparison of shingle sets adds the links that fingerprints miss.
+    """
     rows = shared(beginnings(docs, text, doc_id), "beginnings")
     texts = rows.groupBy("digest").agg(F.min("node").alias("node"))
     texts = shared(texts, "texts")
     # The first row of each text speaks for it; a null id takes no part.
     speaks = texts.where("node is not null")
     spoken = shared(rows.join(speaks, ["digest", "node"], "left_semi").dropDuplicates(["node"]), "speakers")
-    groups = linked_texts(docs, spoken, text, doc_id)
+    known = None
+    if fingerprints:
+        prints, found = simhash.grouped(docs.withColumn("digest", content(text)), text, doc_id, keep=["digest"])
+        known = shared(tied(spoken, prints, found), "tied")
+    groups = linked_texts(docs, spoken, text, doc_id, known)
     later = groups.where("node > label").select("node")
     stay = texts.join(later, "node", "left_anti").select(F.col("node").alias("__node"), F.col("digest").alias("__stay"))
     marked = docs.withColumn("__digest", content(text))

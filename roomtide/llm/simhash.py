@@ -20,6 +20,7 @@ empty table gives an empty result. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import repeat
 
 import numpy as np
@@ -159,9 +160,9 @@ def golay_tables_once():
     return store.golay
 
 
-def grouped(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Fingerprint of every row (doc_id, fp), and of every distinct one its group (fp, label, component_id)."""
-    rows = shared(with_fingerprints(df, text, [doc_id], width).withColumnRenamed(doc_id, "doc_id"), "fingerprints")
+def grouped(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Fingerprint of every row (doc_id, the columns ``keep``, fp), and of every distinct one its group (fp, label, component_id)."""
+    rows = shared(with_fingerprints(df, text, [doc_id, *keep], width).withColumnRenamed(doc_id, "doc_id"), "fingerprints")
     prints = shared(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
     tied = linked_fingerprints(prints)
     named = prints.join(tied, prints.fp == tied.node, "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))

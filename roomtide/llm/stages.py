@@ -21,7 +21,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_groups.keep_one(docs)
+    """One of each group of the SimHash operator, and of texts whose shingle sets are alike beyond it."""
+    return near_groups.keep_one(docs, fingerprints=True)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from oracle_check import compare, connect
-from roomtide.llm import quality, queries, spaced_seeds
+from roomtide.llm import near_groups, quality, queries, simhash, spaced_seeds, stages
 from roomtide.llm.common import shared
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -38,3 +38,26 @@ def test_stages(spark):
     texts = [r["text"] for r in kept[2].collect()]
     assert len(texts) == len(set(texts))
     assert corpus_pipeline.run(spark, SF_DIR).count() == kept[4].count()
+
+
+def test_near_duplicates_are_the_groups_of_the_simhash_operator_and_more(spark):
+    """Of every group that op7 links one document stays; so it does where only the shingle sets are alike."""
+    words = [f"w{i}" for i in range(400)]
+    # two fingerprints of texts with repeats agree in 62 bits while their sets of shingles are far from alike
+    base = " ".join(words[:40] * 30)
+    near = base + " " + " ".join(words[60:100])
+    alike = " ".join(words[100:300]), " ".join([*words[100:299], "other"])
+    texts = [near, base, *alike, "quite something else here", None, ""]
+    docs = spark.createDataFrame([(10 + i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int")
+    groups = {r.doc_id: r.component_id for r in simhash.simhash_components(docs).collect()}
+    assert groups[11] == 10 and near_groups.keep_one(docs).where("doc_id in (10, 11)").count() == 2
+    kept = {r.doc_id for r in stages.keep_one_of_each_group(spark, docs, SF_DIR).collect()}
+    assert kept == {10, 12, 14, 15}
+
+
+def test_every_group_of_the_simhash_operator_keeps_one(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {r.doc_id for r in stages.keep_one_of_each_group(spark, docs, SF_DIR).collect()}
+    groups = simhash.simhash_components(docs).collect()
+    assert not [r for r in groups if r.doc_id in kept and r.component_id != r.doc_id]
+    assert kept <= {r.doc_id for r in near_groups.keep_one(docs).collect()}
