@@ -21,10 +21,12 @@ from roomtide.operators.features import build_features, check_no_leakage, featur
 from roomtide.operators.levels import LevelEncoder, long_levels
 from roomtide.operators.metrics import compute_metrics, metrics_by_column, score_table, with_label
 from roomtide.operators.quantiles import exact_quantiles
+from roomtide.session import cut_lineage
 from roomtide.sources.hashes import fingerprint
 
 SEED = 42
 MIN_FREQUENCY = 20
+ROWS_PER_TASK = 250_000  # rows of a table to fit or score, at most, in one task
 
 
 # --- Preprocessing ----------------------------------------------------------
@@ -99,6 +101,16 @@ def preprocessing_stages(
 # --- Classifiers ------------------------------------------------------------
 
 
+def spread(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``rows`` dealt evenly to all cores, in as many parts a core as ``rows_per_task`` asks for.
+
+    A table that is small on disk is read by one task or a few, however long each row takes to fit or score.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores * max(1, -(-rows.count() // (cores * rows_per_task))))
+
+
+
 def logistic_regression(n_rows: int, label: str = schema.TARGET, c: float = 1.0, max_iter: int = 1000) -> Estimator:
     return LogisticRegression(
         labelCol=label, maxIter=max_iter, regParam=1.0 / (c * max(1, n_rows)), elasticNetParam=0.0, standardization=False
@@ -135,6 +147,14 @@ def standard_experiments(n_rows: int, trees: int = 300, rounds: int = 500) -> di
     }
 
 
+def fitting_rows(prepared: PipelineModel, train: DataFrame, *classifiers: Estimator) -> DataFrame:
+    """What classifiers read of ``train``, prepared once, written, and dealt to all cores."""
+    columns = {"features"}
+    for c in classifiers:
+        columns |= {c.getOrDefault(p) for p in ("labelCol", "weightCol", "featuresCol") if c.hasParam(p) and c.isDefined(p) and c.getOrDefault(p)}
+    return spread(cut_lineage(prepared.transform(train).select(*sorted(columns)), "fitting"))
+
+
 def fit_classifier(
     train: DataFrame,
     classifier: Estimator,
@@ -148,13 +168,13 @@ def fit_classifier(
     ``prepared`` is preprocessing already fitted on ``train``, for several classifiers of one table.
     """
     if prepared is not None:
-        fitted = classifier.fit(prepared.transform(train))
+        fitted = classifier.fit(fitting_rows(prepared, train, classifier))
         return PipelineModel(stages=[*prepared.stages, fitted])
     if numeric is None or categorical is None:
         numeric, categorical = feature_lists(train.columns)
     check_no_leakage(train.select(*numeric, *categorical))
     stages = preprocessing_stages(train, numeric, categorical, min_frequency)
-    return Pipeline(stages=[*stages, classifier]).fit(train)
+    return fit_classifier(train, classifier, prepared=Pipeline(stages=stages).fit(train))
 
 
 def add_probability(model: PipelineModel, rows: DataFrame, out: str = "p_raw") -> DataFrame:
@@ -247,13 +267,14 @@ def monotone_map(scored: DataFrame, label: str = schema.TARGET, score: str = "p_
 
 def calibrate(classifier: PipelineModel, validation: DataFrame, label: str = schema.TARGET) -> CalibratedModel:
     """Fit the monotone map on validation rows only."""
-    scored = add_probability(classifier, validation, "p_raw").select("p_raw", label)
+    scored = cut_lineage(add_probability(classifier, spread(validation), "p_raw").select("p_raw", label), "calibration")
     return CalibratedModel(classifier, monotone_map(scored, label))
 
 
 def calibration_effect(model: CalibratedModel, test: DataFrame, label: str = schema.TARGET) -> DataFrame:
     """Metrics of the same untouched rows before and after calibration."""
-    scored = model.score(test, "p_cancel", keep_raw=True)
+    scored = model.score(spread(test), "p_cancel", keep_raw=True).select("p_raw", "p_cancel", label)
+    scored = cut_lineage(scored, "tested")
     return metrics_by_column(scored, {"before": "p_raw", "after": "p_cancel"}, label)
 
 
@@ -270,10 +291,12 @@ def run_experiments(
     numeric, categorical = feature_lists(train.columns)
     check_no_leakage(train.select(*numeric, *categorical))
     prepared = Pipeline(stages=preprocessing_stages(train, numeric, categorical)).fit(train)
+    ready = fitting_rows(prepared, train, *classifiers.values())
     for name, classifier in classifiers.items():
-        models[name] = fit_classifier(train, classifier, prepared=prepared)
+        models[name] = PipelineModel(stages=[*prepared.stages, classifier.fit(ready)])
         settings = {p.name: v for p, v in classifier.extractParamMap().items()}
-        scored = add_probability(models[name], validation, "p").select(F.col(label).alias("y"), "p")
+        scored = add_probability(models[name], spread(validation), "p").select(F.col(label).alias("y"), "p")
+        scored = cut_lineage(scored, "validated")  # the metrics read the scores in several jobs
         tables.append(
             compute_metrics(scored).select(
                 F.lit(name).alias("run"),
