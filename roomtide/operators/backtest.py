@@ -209,8 +209,8 @@ def _walk_nights(nights: pa.RecordBatch, choices: list[tuple[str, float]], ks: l
             made[name][at] = value
 
     rows = pa.array(np.repeat(np.arange(nights.num_rows), wide))
-    out = {name: pa.array(value.ravel()) for name, value in made.items()}
-    out["profit"] = pa.array((made["revenue"] - made["cost"]).ravel())
+    made["profit"] = made["revenue"] - made["cost"]
+    out = {name: pa.array(value.ravel(), from_pandas=True) for name, value in made.items()}  # an amount without a price is null
     out |= {name: column[name].take(rows) for name in ("hotel", "stay_date")}
     out["policy"] = pa.array([policy for policy, _ in choices]).take(pa.array(np.tile(np.arange(wide), nights.num_rows)))
     out["k"] = pa.array(np.tile(factor, nights.num_rows))

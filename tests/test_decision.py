@@ -220,6 +220,16 @@ def test_walk_takes_a_step_for_a_night_and_not_for_a_night_of_a_hotel(spark, mon
     assert out[out.policy == "fixed"].arrivals_actual.tolist() == ([1] + [2] * (n - 1)) * hotels
 
 
+def test_amounts_of_guests_without_a_price_are_null():
+    nights = {
+        "hotel": ["A"] * 3, "stay_date": pa.array([18_000, 18_001, 18_002], pa.date32()), "capacity": [2] * 3, "n_bookings": [1, 1, 1],
+        "adr_ref": pa.array([None, 9.0, 9.0]), "adr_sum": pa.array([None, 9.0, 9.0]), "max_los": [2, 1, 1], "rate_level": [0] * 3,
+        "levels": pa.array([None] * 3, pa.list_(pa.list_(pa.int32()))), "shows": [[1], [1], [1]], "prices": [[None], [9.0], [9.0]], "stays": [[2], [1], [1]],
+    }
+    out = backtest._walk_nights(pa.RecordBatch.from_pydict(nights), [("no_overbook", 2.0)], [2.0], 0.5).to_pydict()
+    assert out["revenue"] == [None, None, 9.0] and out["cost"] == [None, 0.0, 9.0] and out["profit"] == [None, None, 0.0]
+
+
 def test_levels_of_many_nights_equal_levels_of_one(spark):
     rng = np.random.default_rng(3)
     rows = [(rng.random(int(rng.integers(0, 9))).tolist() if i % 9 else None, i % 6) for i in range(200)]
