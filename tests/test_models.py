@@ -176,3 +176,11 @@ def test_gradient_vanishes_at_the_fitted_weights(spark):
     weights = {f"x{i}": w for i, w in enumerate(fitted.coefficients.toArray())}
     table = {r.feature: r.gradient for r in models.logistic_gradient(flat, weights, fitted.intercept, penalty=fitted.getRegParam()).collect()}
     assert np.allclose([table[f] for f in [*weights, "(intercept)"]], found, atol=1e-9)
+
+
+def test_rows_to_fit_are_dealt_to_all_cores(spark):
+    rows = spark.range(400).coalesce(1).selectExpr("id % 3 as a", "cast(id % 2 as int) as is_canceled")
+    cores = spark.sparkContext.defaultParallelism
+    assert models.spread(rows).rdd.getNumPartitions() == cores and models.spread(rows, 20).rdd.getNumPartitions() >= 20
+    sizes = models.spread(rows).rdd.glom().map(len).collect()
+    assert sum(sizes) == 400 and max(sizes) <= 2 * 400 // cores
