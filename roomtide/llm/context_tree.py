@@ -49,10 +49,11 @@ SPLIT = 3  # trees are dealt by that many bytes of context
 TOP_WINDOWS = 2_000_000
 TOP_WORDS = 100_000
 TOP_BYTES = 64
-HELD_WORDS = 1_000_000  # distinct words a task counts before it hands them on
-HELD_BYTES = 4 << 20  # bytes of text whose windows are made at once
-HELD_WINDOWS = 2_000_000  # distinct windows a task counts before it hands them on
-GROWN_WINDOWS = 100_000  # windows whose trees are grown at once
+HELD_WORDS = 250_000  # distinct words a task counts before it hands them on
+HELD_BYTES = 2 << 20  # bytes of text whose windows are made at once
+SCORED_BYTES = 1 << 19  # bytes of text, but one text at least, that are scored at once; most arrays of that have eight bytes a byte
+HELD_WINDOWS = 1_000_000  # distinct windows a task counts before it hands them on
+GROWN_WINDOWS = 50_000  # windows whose trees are grown at once
 END = b"\n"  # no word holds it; it stands for the end token
 
 
@@ -102,13 +103,13 @@ def stream_of(words: list[bytes]) -> bytes:
     return b" ".join(words)
 
 
-def windows(streams: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(number of the stream, code) of every byte, ``HELD_BYTES`` of a stream at a time.
+def windows(streams: list[bytes], held: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number of the stream, code) of every byte, about ``held`` (``HELD_BYTES``) bytes at a time.
 
     A code holds the three nearest bytes of context, then the three before them, then the byte
     itself, so that codes in order keep a three-byte context together.
     """
-    pad = b"\0" * DEPTH
+    pad, held = b"\0" * DEPTH, held or HELD_BYTES
     parts, owners, size = [], [], 0
 
     def made() -> tuple[np.ndarray, np.ndarray]:
@@ -118,16 +119,17 @@ def windows(streams: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for back in (3, 2, 1, 6, 5, 4, 0):
             codes <<= np.uint64(8)
             codes |= data[DEPTH - back : len(data) - back]
-        at = np.arange(sizes.sum()) + DEPTH * np.repeat(np.arange(len(parts)), sizes)  # less those that end in the padding of the next part
-        return np.repeat(np.array(owners, np.int64), sizes), codes[at]
+        inside = np.ones(len(codes), bool)  # not those that end in the padding of the next part
+        inside[(np.cumsum(sizes + DEPTH)[:-1, None] - np.arange(1, DEPTH + 1)).ravel()] = False
+        return np.repeat(np.array(owners, np.int64), sizes), codes[inside]
 
     for owner, stream in enumerate(streams):
         whole = pad + stream
-        for lo in range(0, len(stream), HELD_BYTES):
-            parts.append(whole[lo : lo + HELD_BYTES + DEPTH])
+        for lo in range(0, len(stream), held):
+            parts.append(whole[lo : lo + held + DEPTH])
             owners.append(owner)
             size += len(parts[-1]) - DEPTH
-            if size >= HELD_BYTES:
+            if size >= held:
                 yield made()
                 parts, owners, size = [], [], 0
     if parts:
@@ -408,8 +410,25 @@ def read_documents(docs: DataFrame, words: dict[bytes, int], frequent: tuple[np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
         known, seen_windows = {w: (n, np.log10(n + 1.0)) for w, n in given.value[0].items()}, KnownWindows(*given.value[1])
+        rows, streams = [], []
+
+        def scored() -> pa.RecordBatch:
+            scores, far, owners = np.zeros(len(rows)), [], []
+            for owner, codes in windows(streams, SCORED_BYTES):
+                found, left = seen_windows.find(codes)
+                scores += np.bincount(owner, found, len(rows))
+                far.append(codes[left])
+                owners.append(owner[left])
+            ends = np.append(0, np.cumsum(np.bincount(np.concatenate(owners), minlength=len(rows)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(far).view(np.int64)))
+            made = list(zip(*rows))
+            made.insert(7, scores)
+            rows.clear()
+            streams.clear()
+            return pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(made, arrow)), lists.cast(arrow.field("far").type)], schema=arrow)
+
+        size = 0
         for batch in batches:
-            rows, streams = [], []
             for doc, text, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 found = words_of(text.as_py())
                 found.append(END)
@@ -425,19 +444,12 @@ def read_documents(docs: DataFrame, words: dict[bytes, int], frequent: tuple[np.
                         base += n * met[1]
                 rows.append((number, doc, held, len(found), seen, len(streams[-1]), base, rare, times))
                 number += 1
-            if not rows:
-                continue
-            scores, far, owners = np.zeros(len(rows)), [], []
-            for owner, codes in windows(streams):
-                found, left = seen_windows.find(codes)
-                scores += np.bincount(owner, found, len(rows))
-                far.append(codes[left])
-                owners.append(owner[left])
-            ends = np.append(0, np.cumsum(np.bincount(np.concatenate(owners), minlength=len(rows)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(far).view(np.int64)))
-            made = list(zip(*rows))
-            made.insert(7, scores)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(made, arrow)), lists.cast(arrow.field("far").type)], schema=arrow)
+                size += len(streams[-1])
+                if size >= SCORED_BYTES:
+                    yield scored()
+                    size = 0
+        if rows:
+            yield scored()
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

@@ -438,6 +438,21 @@ def plain_log10(stream, tree, depth=context_tree.DEPTH):
     return total
 
 
+def test_windows_of_long_texts_need_little_memory():
+    import tracemalloc
+
+    stream = np.random.default_rng(3).bytes(6 << 20)
+    tracemalloc.start()
+    sizes = [len(codes) for _, codes in context_tree.windows([b"ab", stream, b"", b"c"])]
+    counting = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    sizes_scored = [len(codes) for _, codes in context_tree.windows([b"ab", stream], context_tree.SCORED_BYTES)]
+    scoring = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == len(stream) + 3 and sum(sizes_scored) == len(stream) + 2
+    assert counting < 100 << 20 and scoring < 40 << 20
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_context_tree_scores_equal_brute_force(spark, monkeypatch, small):
     texts = ["the cat sat on the mat", "The dog sat", None, "", "a zebra é\0", "the the the cat " * 5, "unknownword the", "cat", "so the cat sat"]
