@@ -85,6 +85,10 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
+    def encode(self, text: str) -> bytes:
+        """The packed ids of one text."""
+        return b"".join(self.encode_some([text]))
+
     def learn(self, pieces: list[str]) -> None:
         """Encode new pieces, thousands in one call: joined by blanks or line feeds, they are parted by the ids that begin one."""
         if len(self.young) + len(pieces) > CACHE_PIECES // 2:
