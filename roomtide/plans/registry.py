@@ -920,7 +920,7 @@ def stream_active_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scored_bookings(spark, sf_dir, stays=True)
+    rows = decision_table(spark, sf_dir, stays=True)  # both streams are fed from it
     scores = rows.select("row_id", "hotel", "p_cancel", F.col("stay_date").cast("timestamp").alias("score_ts"))
     known = F.date_add("stay_date", F.col("length_of_stay")).cast("timestamp")
     outcomes = rows.select("row_id", "is_canceled", known.alias("outcome_ts"))
