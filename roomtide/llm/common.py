@@ -90,6 +90,23 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((running[ends] - running[starts]) * down[starts])
 
 
+def parity(own: np.ndarray) -> bytes:
+    """Which slots of the hash an odd number of the different values ``own`` falls into, as bits; at least two slots a value."""
+    slots = 1 << max(9, int(2 * len(own)).bit_length())
+    odd = np.bincount((own & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(left: bytes, right: bytes) -> int:
+    """A number of values that two sets cannot share at least, from their parities: each of them turns one bit."""
+    one, two = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
+    while len(one) > len(two):  # half as many slots
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    while len(two) > len(one):
+        two = two[: len(two) // 2] ^ two[len(two) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
 def white() -> np.ndarray:
     flags = np.zeros(256, bool)
     flags[list(WHITE_BYTES)] = True

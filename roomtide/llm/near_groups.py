@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.llm import simhash
-from roomtide.llm.common import LOWER, components, mix, shared, white, word_hashes, word_spans
+from roomtide.llm.common import LOWER, components, least_difference, mix, parity, shared, white, word_hashes, word_spans
 
 SHINGLE = 5
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
+BLOCK = 1 << 12  # slots whose counts move in one row
 NODE_SLOTS = 1 << 22
 STEP = 4  # each round takes so many times the representatives of the one before
 
@@ -68,27 +69,43 @@ def slot_counts(docs: DataFrame, text: str) -> np.ndarray:
         for batch in batches:
             for words in batch.column(0):
                 counts += np.bincount((shingle_set(words.as_py(), apart) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=SLOTS)
-        slot = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], names=["slot", "n"])
+        yield from packed(counts)
 
-    found = docs.select(text).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(SLOTS, np.int64)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    def packed(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        codec, blocks = pa.Codec("zstd", 1), counts.reshape(-1, BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        rows = [codec.compress(blocks[k].astype("<i8").tobytes(), asbytes=True) for k in used]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(rows, pa.binary())], names=["block", "packed"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, counts = pa.Codec("zstd"), np.zeros(SLOTS, np.int64)
+        blocks = counts.reshape(-1, BLOCK)
+        for batch in batches:
+            for k, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+                blocks[k] += np.frombuffer(codec.decompress(row.as_py(), BLOCK * 8, asbytes=True), "<i8")
+        yield from packed(counts)
+
+    form = "block bigint, packed binary"
+    found = docs.select(text).mapInArrow(run, form).repartition("block").mapInArrow(added, form).toArrow()
+    codec, counts = pa.Codec("zstd"), np.zeros(SLOTS, np.int64)
+    for k, row in zip(found.column("block").to_pylist(), found.column("packed").to_pylist()):
+        counts.reshape(-1, BLOCK)[k] += np.frombuffer(codec.decompress(row, BLOCK * 8, asbytes=True), "<i8")
     return counts
 
 
 def beginnings(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """node, digest, size of the shingle set and its first fifth, seldom ones first, of every row."""
+    """node, digest, size of the shingle set, its first fifth, seldom ones first, and its parity, of every row."""
     given = docs.sparkSession.sparkContext.broadcast(slot_counts(docs, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apart, counts = white(), given.value
         for batch in batches:
-            sizes, ends, first = [], [0], []
+            sizes, ends, first, odd = [], [0], [], []
             for words in batch.column(2):
                 own = shingle_set(words.as_py(), apart)
                 size = len(own)
                 sizes.append(size)
+                odd.append(parity(own))
                 if size:
                     order = np.argsort(counts[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")  # ties by hash
                     first.append(own[order[: size - (4 * size + 4) // 5 + 1]])
@@ -97,10 +114,11 @@ def beginnings(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                 ends.append(ends[-1] + len(first[-1]))
             flat = np.concatenate(first).view(np.int64) if first else np.zeros(0, np.int64)
             begins = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), begins], names=["node", "digest", "size", "begins"])
+            made = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), begins, pa.array(odd, pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, names=["node", "digest", "size", "begins", "parity"])
 
     rows = docs.select(F.col(doc_id).alias("node"), content(text).alias("digest"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "node bigint, digest string, size bigint, begins array<bigint>")
+    return rows.mapInArrow(run, "node bigint, digest string, size bigint, begins array<bigint>, parity binary")
 
 
 def tied(spoken: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFrame:
@@ -113,10 +131,14 @@ def tied(spoken: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFrame:
     return named.join(lowest, "group").where("node > label").select("node", "label")
 
 
-def meetings(spoken: DataFrame) -> DataFrame:
+def meetings(spoken: DataFrame, known: DataFrame) -> DataFrame:
     """key, node, size, label, at and leads of every beginning shared with another text, and hub, the smallest that leads there."""
-    rows = spoken.select("node", "size", "label", F.posexplode("begins").alias("at", "key"))
-    rows = rows.withColumn("leads", F.expr("at < size - (8 * size + 8) div 9 + 1"))
+    every = spoken.select("node", F.posexplode("begins").alias("at", "key")).repartition("key")
+    # most beginnings are of one text; all columns are read, so that both sides of the join are one exchange
+    several = every.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("at").alias("last")).where("lo <> hi and last >= 0")
+    labels = spoken.select("node", "size").join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = shared(every.join(several.select("key"), "key"), "beginnings").join(labels, "node")
+    rows = rows.withColumn("leads", F.expr("at < size - (8 * size + 8) div 9 + 1")).repartition("key")
     least = F.min(F.when(F.col("leads"), F.struct("size", "node", "at", "label"))).alias("hub")
     hubs = rows.groupBy("key").agg(least, F.count("*").alias("n")).where("n > 1 and hub is not null")
     return rows.join(hubs, "key")
@@ -129,8 +151,23 @@ MAY_LINK = (
 )
 
 
+def possible(pairs: DataFrame, spoken: DataFrame) -> DataFrame:
+    """The pairs that the parities of their shingle sets allow to be alike: no other can be."""
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist())
+            kept = pa.array([9 * least_difference(left, right) <= size for left, right, size in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
+
+    sides = [spoken.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("parity").alias(f"odd_{c}")) for c in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "odd_a", "odd_b", (F.col("size_a") + F.col("size_b")).alias("size"))
+    return both.mapInArrow(sift, "a bigint, b bigint")
+
+
 def alike(pairs: DataFrame, docs: DataFrame, spoken: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """The pairs whose shingle sets are alike."""
+    """The pairs whose shingle sets are alike; the sets of those that may be are compared."""
+    pairs = shared(possible(pairs, spoken), "possible")
     slot = F.pmod(F.xxhash64("node"), F.lit(NODE_SLOTS))
     found = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(slot.alias("slot")).distinct().toArrow()
     wanted = np.zeros(NODE_SLOTS, bool)  # spares the sets of most texts without a partner
@@ -156,7 +193,7 @@ def alike(pairs: DataFrame, docs: DataFrame, spoken: DataFrame, text: str, doc_i
 
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("bigint").alias("node"), content(text).alias("digest"), F.col(text).alias("text"))
     signed = rows.withColumn("slot", slot).mapInArrow(sign, "node bigint, digest string, shingles binary")
-    sets = signed.join(spoken.select("node", "digest"), ["node", "digest"], "left_semi").dropDuplicates(["node"])
+    sets = signed.join(spoken.select("node", F.col("digest").alias("said")), "node").where("digest = said").dropDuplicates(["node"])
     sets = shared(sets.select("node", "shingles"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
@@ -166,7 +203,7 @@ def alike(pairs: DataFrame, docs: DataFrame, spoken: DataFrame, text: str, doc_i
 def linked_texts(docs: DataFrame, spoken: DataFrame, text: str, doc_id: str, known: DataFrame | None = None) -> DataFrame:
     """(node, label) of the texts linked to one with a smaller id; ``known`` has such links that need no comparison."""
     known = known if known is not None else spoken.select("node", F.col("node").alias("label")).limit(0)
-    met = shared(meetings(spoken.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))), "meetings")
+    met = shared(meetings(spoken, known), "meetings")
     hub = met.alias("x").withColumn("y", F.col("hub")).where(f"x.label <> y.label and {MAY_LINK}")
     pairs = shared(hub.select(F.col("y.node").alias("a"), "x.node").toDF("a", "b").distinct(), "pairs")
     links = alike(pairs, docs, spoken, text, doc_id)
@@ -199,19 +236,23 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", finger
     With ``fingerprints`` the groups of the SimHash operator come first: their texts are linked, and the
     comparison of shingle sets adds the links that fingerprints miss.
     """
-    rows = shared(beginnings(docs, text, doc_id), "beginnings")
-    texts = rows.groupBy("digest").agg(F.min("node").alias("node"))
+    texts = docs.select(content(text).alias("digest"), F.col(doc_id).alias("node")).groupBy("digest").agg(F.min("node").alias("node"))
     texts = shared(texts, "texts")
     # The first row of each text speaks for it; a null id takes no part.
-    speaks = texts.where("node is not null")
-    spoken = shared(rows.join(speaks, ["digest", "node"], "left_semi").dropDuplicates(["node"]), "speakers")
+    rows = beginnings(docs, text, doc_id).where("node is not null")
+    first = rows.groupBy("digest").agg(F.min(F.struct("node", "size", "begins", "parity")).alias("first"))
+    spoken = shared(first.select("first.node", "digest", "first.size", "first.begins", "first.parity"), "speakers")
+    again = spoken.groupBy("node").agg(F.min("digest").alias("said"), F.max("digest").alias("other")).where("said <> other")
+    again = shared(again.select("node", "said"), "again")
+    if not again.isEmpty():  # an id of several texts speaks for one of them
+        spoken = shared(spoken.join(again, "node", "left").where("said is null or said = digest").drop("said"), "speakers")
     known = None
     if fingerprints:
         prints, found = simhash.grouped(docs.withColumn("digest", content(text)), text, doc_id, keep=["digest"])
         known = shared(tied(spoken, prints, found), "tied")
     groups = linked_texts(docs, spoken, text, doc_id, known)
     later = groups.where("node > label").select("node")
-    stay = texts.join(later, "node", "left_anti").select(F.col("node").alias("__node"), F.col("digest").alias("__stay"))
-    marked = docs.withColumn("__digest", content(text))
-    kept = marked.join(stay, (F.col("__digest") == F.col("__stay")) & F.col(doc_id).eqNullSafe(F.col("__node")), "left_semi")
-    return kept.dropDuplicates([doc_id, "__digest"]).drop("__digest")
+    # digest and id as one key (a null id is left out of it), so that the texts move once
+    stay = texts.join(later, "node", "left_anti").select(F.concat_ws(":", "digest", F.col("node").cast("string")).alias("__key"))
+    marked = docs.withColumn("__key", F.concat_ws(":", content(text), F.col(doc_id).cast("string")))
+    return marked.join(stay, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

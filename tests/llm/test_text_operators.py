@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roomtide.llm import context_tree, html_text, minhash, near_groups, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
+from roomtide.llm.common import least_difference, parity
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, node string, fp string, key int"
 
@@ -438,6 +439,19 @@ def plain_log10(stream, tree, depth=context_tree.DEPTH):
     return total
 
 
+def test_parities_never_refute_sets_that_are_alike():
+    pick = np.random.default_rng(5)
+    for n in (0, 1, 5, 300, 5000):
+        one = pick.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in (0, n // 20, n // 10, n // 3, n):
+            two = np.concatenate([one[changed:], pick.integers(0, 1 << 63, changed + n // 8, dtype=np.uint64)])
+            left, right = set(one.tolist()), set(two.tolist())
+            bound = least_difference(parity(np.array(sorted(left), np.uint64)), parity(np.array(sorted(right), np.uint64)))
+            assert bound <= len(left ^ right) and bound == least_difference(parity(two), parity(one))
+    far = [pick.integers(0, 1 << 63, 300, dtype=np.uint64) for _ in range(2)]
+    assert 9 * least_difference(*map(parity, far)) > 600  # unlike ones are refuted
+
+
 def test_windows_of_long_texts_need_little_memory():
     import tracemalloc
 
