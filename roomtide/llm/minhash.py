@@ -12,11 +12,12 @@ through a small table with one row per range.
 
 Classes of near-equal texts come from the bands of the fingerprints: texts that share one are
 joined, and linked where the exact Jaccard likeness of their shingle sets is 0.8 or more. Classes are
-connected components. First every text meets the most alike of the smallest ones of its buckets; a
-bucket that is not one class then lets its members meet those of other classes, a share of them at a
-time, until every one had its turn. No bucket is capped, none is kept in one task.
-A link can only be missed where no band is equal (5e-8 at likeness 0.8) or where fingerprints differ
-in 0.4 of their bytes (below 2e-6 there).
+connected components. First every text meets one of the smallest ones of its buckets, that with which it
+shares most bands; a bucket that is not one class then lets its members meet those of other classes, a share
+of them at a time, until every one had its turn. No bucket is capped, none is kept in one task.
+The parities of two shingle sets (see ``common.parity``) bound from below in how many shingles they
+differ, so most pairs are refuted without their texts and none that is alike. A link can only be
+missed where no band is equal (5e-8 at likeness 0.8).
 
 Cases: a null text is empty and has the fingerprint of no shingles; equal texts have equal
 fingerprints, one class, and two empty ones likeness 1; texts without words are alike; repeated ids
@@ -36,14 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomtide.llm.common import LOWER, components, mix, shared, white, word_hashes, word_spans
+from roomtide.llm.common import LOWER, components, least_difference, mix, parity, shared, white, word_hashes, word_spans
 
 PERMUTATIONS = 128
 SHINGLE = 5
 BANDS = 32  # of four minima: likeness 0.8 shares one with all but 5e-8
 BAND_BYTES = 6
 BROADCAST_TEXTS = 500_000  # rows of 32 bytes; more of them are joined by a shuffle
-SIFT = 0.6  # least share of equal bytes for the shingle sets to be compared
 STEP = 4  # members of a bucket that take their turn in the first round; each later round takes so many times as many
 
 
@@ -85,6 +85,12 @@ def band_hashes(lowest: np.ndarray) -> bytes:
     return mix((four * factors).sum(axis=1, dtype=np.uint64)).view(np.uint8).reshape(BANDS, 8)[:, :BAND_BYTES].tobytes()
 
 
+def sketch(hashes: np.ndarray) -> tuple[int, bytes]:
+    """The number of different shingles and their parity."""
+    own = np.unique(hashes)
+    return len(own), parity(own)
+
+
 def likeness(left: np.ndarray, right: np.ndarray) -> float:
     """Estimated Jaccard likeness: equal bytes, less those that agree by chance."""
     share = float((left == right).mean())
@@ -111,11 +117,11 @@ class Texts:
         return len(text), digest, own.tobytes(), changed.tobytes(), likeness(own, changed), likeness(own, other)
 
 
-COLUMNS = ["range_no", "doc_id", "n_chars", "edited_sha256", "own", "changed", "near_edited", "near_next", "first_text", "last_text", "digest", "bands"]
-TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.binary(), pa.binary()]
+COLUMNS = ["range_no", "doc_id", "n_chars", "edited_sha256", "own", "changed", "near_edited", "near_next", "first_text", "last_text", "digest", "bands", "shingles", "odd"]
+TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
 MADE = (
     "range_no bigint, doc_id bigint, n_chars bigint, edited_sha256 string, own binary, changed binary, "
-    "near_edited double, near_next double, first_text string, last_text string, digest binary, bands binary"
+    "near_edited double, near_next double, first_text string, last_text string, digest binary, bands binary, shingles bigint, odd binary"
 )
 
 
@@ -142,7 +148,7 @@ def unpack(packed: bytes, size: int) -> str:
 
 
 def compared(df: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
-    """The columns of ``MADE`` of every row, and node, digest, print and bands of every row."""
+    """The columns of ``MADE`` of every row, and node, digest, bands, shingles and odd (parity) of every row."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, texts, before, first = TaskContext.get().partitionId(), Texts(), None, None
@@ -155,20 +161,20 @@ def compared(df: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFram
                 if before is None:
                     first = now
                 else:
-                    rows.append((number, before[0], *texts.compare(*before[2:], now, lowest), None, None, before[1], band_hashes(before[4])))
+                    rows.append((number, before[0], *texts.compare(*before[2:], now, lowest), None, None, before[1], band_hashes(before[4]), *sketch(before[3])))
                 before = (doc, digest, now, hashes, lowest)
             if rows:
                 yield batch_of(rows)
         if before is not None:  # the last row waits for the first of the next range
             own, bands = fingerprint(before[4]).tobytes(), band_hashes(before[4])
-            yield batch_of([(number, before[0], None, None, own, None, None, None, first, before[2], before[1], bands)])
+            yield batch_of([(number, before[0], None, None, own, None, None, None, first, before[2], before[1], bands, *sketch(before[3]))])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Texts()
         for batch in batches:
             rows = []
             for number, doc, last, following, digest in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                rows.append((number, doc, *texts.compare(last, *texts.of(last), following, texts.of(following)[1]), None, None, digest, None))
+                rows.append((number, doc, *texts.compare(last, *texts.of(last), following, texts.of(following)[1]), None, None, digest, None, None, None))
             if rows:
                 yield batch_of(rows)
 
@@ -186,7 +192,7 @@ def compared(df: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFram
     tails = edges.select(F.col("range_no").alias("here"), "doc_id", "last_text", "digest")
     pairs = tails.join(after, "here").join(heads, "there").select("here", "doc_id", "last_text", "following", "digest")
     whole = rows.where("last_text is null").unionByName(pairs.mapInArrow(finish, MADE))
-    return whole, rows.select(F.col("doc_id").alias("node"), "digest", F.col("own").alias("print"), "bands")
+    return whole, rows.select(F.col("doc_id").alias("node"), "digest", "bands", "shingles", "odd")
 
 
 FINGERPRINT_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -213,20 +219,21 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Texts()
         for batch in batches:
-            lowest = [texts.of(words.as_py() or "")[1] for words in batch.column(2)]
-            prints = pa.array([fingerprint(one).tobytes() for one in lowest], pa.binary())
-            bands = pa.array([band_hashes(one) for one in lowest], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints, bands], names=["node", "digest", "print", "bands"])
+            found = [texts.of(words.as_py() or "") for words in batch.column(2)]
+            bands = pa.array([band_hashes(lowest) for _, lowest in found], pa.binary())
+            sketches = [sketch(hashes) for hashes, _ in found]
+            made = [bands, pa.array([n for n, _ in sketches], pa.int64()), pa.array([odd for _, odd in sketches], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["node", "digest", "bands", "shingles", "odd"])
 
     rows = df.select(F.col(doc_id).cast("bigint").alias("node"), content(text).alias("digest"), F.col(text).alias("text"))
-    signed = shared(rows.mapInArrow(sign, "node bigint, digest binary, print binary, bands binary"), "signatures")
+    signed = shared(rows.mapInArrow(sign, "node bigint, digest binary, bands binary, shingles bigint, odd binary"), "signatures")
     found = signed.join(classes(df, signed, text, doc_id), "digest")
     return found.select(F.col("node").alias("doc_id"), "class_id", "class_texts")
 
 
 def classes(df: DataFrame, signed: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """digest, class_id and class_texts of every different text; ``signed`` has node, digest, print and bands of every row."""
-    texts = signed.groupBy("digest").agg(F.min("node").alias("node"), F.min("print").alias("print"), F.min("bands").alias("bands"))
+    """digest, class_id and class_texts of every different text; ``signed`` has node, digest, bands, shingles and odd of every row."""
+    texts = signed.groupBy("digest").agg(F.min("node").alias("node"), *(F.min(c).alias(c) for c in ("bands", "shingles", "odd")))
     texts = shared(texts.withColumn("id", F.monotonically_increasing_id()), "texts")  # short numbers, fixed by the table
     labels = texts.select("digest", "node", "id").join(linked(df, texts, text, doc_id), "id", "left")
     labels = labels.withColumn("label", F.coalesce("label", "id"))
@@ -244,20 +251,17 @@ def band_keys(texts: DataFrame) -> DataFrame:
 
 
 def sifted(pairs: DataFrame) -> DataFrame:
-    """Pairs a, b with the share of equal bytes of their fingerprints, where that leaves a link possible."""
+    """The pairs a, b (once each) whose parities leave a link possible; ``n`` is the number of shingles of both."""
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PERMUTATIONS) for i in (2, 3))
-            share = (left == right).mean(axis=1)
-            kept = pa.array(share >= SIFT)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(share).filter(kept)], names=["a", "b", "share"]
-            )
+            both = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
+            kept = pa.array([9 * least_difference(left, right) <= n for left, right, n in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
 
-    return pairs.select("a", "b", "left", "right").mapInArrow(sift, "a bigint, b bigint, share double")
+    return pairs.select("a", "b", "left", "right", "n").mapInArrow(sift, "a bigint, b bigint").distinct()
 
 
 def verified(pairs: DataFrame, df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -295,12 +299,12 @@ def linked(df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame
     keys = band_keys(texts)
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
     met = shared(keys.join(hubs, "key"), "buckets")
-    prints = texts.select("id", "print")
-    sides = [prints.select(F.col("id").alias(c), F.col("print").alias(name)) for c, name in (("a", "left"), ("b", "right"))]
-    pairs = met.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = sifted(pairs.join(sides[0], "a").join(sides[1], "b"))
-    best = pairs.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
-    links = shared(verified(shared(best, "best"), df, texts, text, doc_id), "links")
+    prints = texts.select("id", "shingles", "odd")
+    sides = [prints.select(F.col("id").alias(c), F.col("shingles").alias(f"n_{c}"), F.col("odd").alias(name)) for c, name in (("a", "left"), ("b", "right"))]
+    shares = met.where("id <> hub").groupBy(F.col("id").alias("b"), F.col("hub").alias("a")).agg(F.count("*").alias("bands"))
+    pairs = shares.groupBy("b").agg(F.max(F.struct("bands", "a")).alias("best")).select("best.a", "b")  # one a text
+    pairs = sifted(pairs.join(sides[0], "a").join(sides[1], "b").withColumn("n", F.col("n_a") + F.col("n_b")))
+    links = shared(verified(shared(pairs, "best"), df, texts, text, doc_id), "links")
     groups = components(links).withColumnRenamed("node", "id")
     # Every member has a slot below the size of its bucket; it takes its turn when the round comes to it.
     slot = F.pmod(F.xxhash64("key", "id"), F.col("n"))
@@ -317,9 +321,9 @@ def linked(df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame
         x, y = left.alias("x"), left.where(f"slot >= {done} and slot < {done + now}").alias("y")
         # two members whose turns come in the same round meet once
         once = F.expr(f"x.key = y.key and x.label <> y.label and (x.slot < {done} or x.slot >= {done + now} or x.id > y.id)")
-        pairs = x.join(y, once).select(F.col("y.id").alias("a"), F.col("x.id").alias("b"), F.col("y.print").alias("left"), F.col("x.print").alias("right"))
-        pairs = sifted(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = shared(pairs, "pairs")
+        pairs = x.join(y, once).select(F.col("y.id").alias("a"), F.col("x.id").alias("b"), F.col("y.odd").alias("left"), F.col("x.odd").alias("right"), (F.col("x.shingles") + F.col("y.shingles")).alias("n"))
+        pairs = pairs.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
+        pairs = shared(sifted(pairs), "pairs")
         if not pairs.isEmpty():
             links = shared(links.unionByName(verified(pairs, df, texts, text, doc_id)), "links")
             groups = components(links).withColumnRenamed("node", "id")
