@@ -12,12 +12,11 @@ through a small table with one row per range.
 
 Classes of near-equal texts come from the bands of the fingerprints: texts that share one are
 joined, and linked where the exact Jaccard likeness of their shingle sets is 0.8 or more. Classes are
-connected components. First every text meets one of the smallest ones of its buckets, that with which it
-shares most bands; a bucket that is not one class then lets its members meet those of other classes, a share
-of them at a time, until every one had its turn. No bucket is capped, none is kept in one task.
-The parities of two shingle sets (see ``common.parity``) bound from below in how many shingles they
-differ, so most pairs are refuted without their texts and none that is alike. A link can only be
-missed where no band is equal (5e-8 at likeness 0.8).
+connected components. The hub of a bucket is the text that shares bands most often; every text meets
+one hub, that with which it shares most bands. The texts of buckets that are not one class after this are
+compared by the seldom shingles that two sets so alike must share (see ``near_groups``), which finds every
+link that is left and lists no pairs of texts that share only what is common. No bucket is capped, none is
+kept in one task. A link can only be missed where no band is equal (5e-8 at likeness 0.8).
 
 Cases: a null text is empty and has the fingerprint of no shingles; equal texts have equal
 fingerprints, one class, and two empty ones likeness 1; texts without words are alike; repeated ids
@@ -37,14 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomtide.llm.common import LOWER, components, least_difference, mix, parity, shared, white, word_hashes, word_spans
+from roomtide.llm import near_groups
+from roomtide.llm.common import LOWER, components, mix, shared, white, word_hashes, word_spans
 
 PERMUTATIONS = 128
 SHINGLE = 5
 BANDS = 32  # of four minima: likeness 0.8 shares one with all but 5e-8
 BAND_BYTES = 6
 BROADCAST_TEXTS = 500_000  # rows of 32 bytes; more of them are joined by a shuffle
-STEP = 4  # members of a bucket that take their turn in the first round; each later round takes so many times as many
+HUB_SETS = 64  # shingle sets of hubs that a task keeps
 
 
 def permutations(count: int = PERMUTATIONS) -> tuple[np.ndarray, np.ndarray]:
@@ -85,12 +85,6 @@ def band_hashes(lowest: np.ndarray) -> bytes:
     return mix((four * factors).sum(axis=1, dtype=np.uint64)).view(np.uint8).reshape(BANDS, 8)[:, :BAND_BYTES].tobytes()
 
 
-def sketch(hashes: np.ndarray) -> tuple[int, bytes]:
-    """The number of different shingles and their parity."""
-    own = np.unique(hashes)
-    return len(own), parity(own)
-
-
 def likeness(left: np.ndarray, right: np.ndarray) -> float:
     """Estimated Jaccard likeness: equal bytes, less those that agree by chance."""
     share = float((left == right).mean())
@@ -113,15 +107,15 @@ class Texts:
         edited = text[: len(text) - cut] + following[:cut]
         own, other = fingerprint(lowest), fingerprint(next_lowest)
         changed = fingerprint(minima(shingle_hashes(edited, self.apart), self.given)) if edited != text else own
-        digest = hashlib.sha256(edited.encode("utf-8", "replace")).hexdigest()
+        digest = hashlib.sha256(edited.encode("utf-8", "replace")).digest()
         return len(text), digest, own.tobytes(), changed.tobytes(), likeness(own, changed), likeness(own, other)
 
 
-COLUMNS = ["range_no", "doc_id", "n_chars", "edited_sha256", "own", "changed", "near_edited", "near_next", "first_text", "last_text", "digest", "bands", "shingles", "odd"]
-TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+COLUMNS = ["range_no", "doc_id", "n_chars", "edited_sha256", "own", "changed", "near_edited", "near_next", "first_text", "last_text", "digest", "bands"]
+TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.binary(), pa.binary()]
 MADE = (
-    "range_no bigint, doc_id bigint, n_chars bigint, edited_sha256 string, own binary, changed binary, "
-    "near_edited double, near_next double, first_text string, last_text string, digest binary, bands binary, shingles bigint, odd binary"
+    "range_no bigint, doc_id bigint, n_chars bigint, edited_sha256 binary, own binary, changed binary, "
+    "near_edited double, near_next double, first_text string, last_text string, digest binary, bands binary"
 )
 
 
@@ -148,7 +142,7 @@ def unpack(packed: bytes, size: int) -> str:
 
 
 def compared(df: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
-    """The columns of ``MADE`` of every row, and node, digest, bands, shingles and odd (parity) of every row."""
+    """The columns of ``MADE`` of every row, and node, digest and bands of every row."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, texts, before, first = TaskContext.get().partitionId(), Texts(), None, None
@@ -161,20 +155,20 @@ def compared(df: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFram
                 if before is None:
                     first = now
                 else:
-                    rows.append((number, before[0], *texts.compare(*before[2:], now, lowest), None, None, before[1], band_hashes(before[4]), *sketch(before[3])))
+                    rows.append((number, before[0], *texts.compare(*before[2:], now, lowest), None, None, before[1], band_hashes(before[4])))
                 before = (doc, digest, now, hashes, lowest)
             if rows:
                 yield batch_of(rows)
         if before is not None:  # the last row waits for the first of the next range
             own, bands = fingerprint(before[4]).tobytes(), band_hashes(before[4])
-            yield batch_of([(number, before[0], None, None, own, None, None, None, first, before[2], before[1], bands, *sketch(before[3]))])
+            yield batch_of([(number, before[0], None, None, own, None, None, None, first, before[2], before[1], bands)])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Texts()
         for batch in batches:
             rows = []
             for number, doc, last, following, digest in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                rows.append((number, doc, *texts.compare(last, *texts.of(last), following, texts.of(following)[1]), None, None, digest, None, None, None))
+                rows.append((number, doc, *texts.compare(last, *texts.of(last), following, texts.of(following)[1]), None, None, digest, None))
             if rows:
                 yield batch_of(rows)
 
@@ -192,14 +186,15 @@ def compared(df: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFram
     tails = edges.select(F.col("range_no").alias("here"), "doc_id", "last_text", "digest")
     pairs = tails.join(after, "here").join(heads, "there").select("here", "doc_id", "last_text", "following", "digest")
     whole = rows.where("last_text is null").unionByName(pairs.mapInArrow(finish, MADE))
-    return whole, rows.select(F.col("doc_id").alias("node"), "digest", "bands", "shingles", "odd")
+    return whole, rows.select(F.col("doc_id").alias("node"), "digest", "bands")
 
 
 FINGERPRINT_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
 def spelled(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"fingerprint": F.lower(F.hex("own")), "edited_fingerprint": F.lower(F.hex("changed"))})
+    named = {"edited_sha256": "edited_sha256", "fingerprint": "own", "edited_fingerprint": "changed"}
+    return rows.withColumns({name: F.lower(F.hex(made)) for name, made in named.items()})
 
 
 def fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -210,7 +205,8 @@ def fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 def fingerprints_and_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The columns of :func:`fingerprints`, and class_id and class_texts of :func:`near_duplicates`."""
     rows, signed = compared(df, text, doc_id)
-    return spelled(rows).join(classes(df, signed, text, doc_id), "digest").select(*FINGERPRINT_COLUMNS, "class_id", "class_texts")
+    rows = rows.drop("range_no", "first_text", "last_text", "bands")
+    return spelled(rows.join(classes(df, signed, text, doc_id), "digest")).select(*FINGERPRINT_COLUMNS, "class_id", "class_texts")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -219,21 +215,18 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Texts()
         for batch in batches:
-            found = [texts.of(words.as_py() or "") for words in batch.column(2)]
-            bands = pa.array([band_hashes(lowest) for _, lowest in found], pa.binary())
-            sketches = [sketch(hashes) for hashes, _ in found]
-            made = [bands, pa.array([n for n, _ in sketches], pa.int64()), pa.array([odd for _, odd in sketches], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["node", "digest", "bands", "shingles", "odd"])
+            bands = pa.array([band_hashes(texts.of(words.as_py() or "")[1]) for words in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands], names=["node", "digest", "bands"])
 
     rows = df.select(F.col(doc_id).cast("bigint").alias("node"), content(text).alias("digest"), F.col(text).alias("text"))
-    signed = shared(rows.mapInArrow(sign, "node bigint, digest binary, bands binary, shingles bigint, odd binary"), "signatures")
+    signed = shared(rows.mapInArrow(sign, "node bigint, digest binary, bands binary"), "signatures")
     found = signed.join(classes(df, signed, text, doc_id), "digest")
     return found.select(F.col("node").alias("doc_id"), "class_id", "class_texts")
 
 
 def classes(df: DataFrame, signed: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """digest, class_id and class_texts of every different text; ``signed`` has node, digest, bands, shingles and odd of every row."""
-    texts = signed.groupBy("digest").agg(F.min("node").alias("node"), *(F.min(c).alias(c) for c in ("bands", "shingles", "odd")))
+    """digest, class_id and class_texts of every different text; ``signed`` has node, digest and bands of every row."""
+    texts = signed.groupBy("digest").agg(F.min("node").alias("node"), F.min("bands").alias("bands"))
     texts = shared(texts.withColumn("id", F.monotonically_increasing_id()), "texts")  # short numbers, fixed by the table
     labels = texts.select("digest", "node", "id").join(linked(df, texts, text, doc_id), "id", "left")
     labels = labels.withColumn("label", F.coalesce("label", "id"))
@@ -250,39 +243,59 @@ def band_keys(texts: DataFrame) -> DataFrame:
     return texts.select("id", F.explode(keys).alias("key"))
 
 
-def sifted(pairs: DataFrame) -> DataFrame:
-    """The pairs a, b (once each) whose parities leave a link possible; ``n`` is the number of shingles of both."""
+def buckets(texts: DataFrame) -> DataFrame:
+    """key, id and n (its texts) of every band that several texts share."""
+    keys = band_keys(texts).repartition("key")
+    # most bands are of one text; both columns are read, so that both sides of the join are one exchange
+    several = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    return keys.join(several.select("key", "n"), "key")
 
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            both = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
-            kept = pa.array([9 * least_difference(left, right) <= n for left, right, n in both], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
 
-    return pairs.select("a", "b", "left", "right", "n").mapInArrow(sift, "a bigint, b bigint").distinct()
+def hub_pairs(met: DataFrame) -> DataFrame:
+    """b, each text of a bucket that is not its hub, and a, the hub with which it shares most bands; ``met`` as of :func:`buckets`."""
+    weights = met.groupBy("id").agg(F.sum("n").alias("weight"))  # the text that others were made from has most
+    most = F.max(F.struct("weight", (-F.col("id")).alias("least")))
+    hubs = met.join(weights, "id").groupBy("key").agg(most.alias("hub")).select("key", (-F.col("hub.least")).alias("hub"))
+    shares = met.join(hubs, "key").where("id <> hub").groupBy(F.col("id").alias("b"), F.col("hub").alias("a")).agg(F.count("*").alias("bands"))
+    return shares.groupBy("b").agg(F.max(F.struct("bands", "a")).alias("best")).select("best.a", "b")
 
 
-def verified(pairs: DataFrame, df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """The pairs a, b whose shingle sets are alike; only texts of pairs are read into the join."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def packed_texts(wanted: DataFrame, df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """id, size and packed (compressed) of the texts with the ids ``wanted``; only these are read into the join."""
     wanted = shared(texts.select("id", "digest", "node").join(wanted, "id"), "wanted").select(F.col("id"), F.col("digest").alias("_d"), F.col("node").alias("_n"))
     if wanted.count() <= BROADCAST_TEXTS:  # their keys go to all tasks, so that the other texts stay where they are
         wanted = F.broadcast(wanted)
     rows = df.select(content(text).alias("digest"), F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
     spoken = rows.join(wanted, (F.col("digest") == F.col("_d")) & F.col("node").eqNullSafe(F.col("_n")))
     packed = spoken.select("id", "text").mapInArrow(pack, "id bigint, size bigint, packed binary")
-    packed = shared(packed.dropDuplicates(["id"]), "packed")  # rows may be repeated
+    return shared(packed.dropDuplicates(["id"]), "packed")  # rows may be repeated
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """id and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [unpack(small.as_py(), size) for size, small in zip(batch.column(1).to_pylist(), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+
+    return packed.select("id", "size", "packed").mapInArrow(run, "id bigint, text string")
+
+
+def verified(pairs: DataFrame, packed: DataFrame) -> DataFrame:
+    """The pairs a, b whose shingle sets are alike; ``packed`` as of :func:`packed_texts`."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apart = white()
+        apart, kept_sets = white(), {}
         for batch in batches:
-            good, last, one = [], None, None
-            columns = [batch.column(i) for i in (0, 2, 3, 4, 5)]
-            for a, size, left, other, right in zip(*columns):
-                if a.as_py() != last:
-                    last, one = a.as_py(), np.unique(shingle_hashes(unpack(left.as_py(), size.as_py()), apart))
+            good = []
+            for a, size, left, other, right in zip(*(batch.column(i) for i in (0, 2, 3, 4, 5))):
+                a = a.as_py()
+                one = kept_sets.get(a)
+                if one is None:
+                    if len(kept_sets) >= HUB_SETS:
+                        kept_sets.clear()
+                    one = kept_sets[a] = np.unique(shingle_hashes(unpack(left.as_py(), size.as_py()), apart))
                 two = np.unique(shingle_hashes(unpack(right.as_py(), other.as_py()), apart))
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 good.append(5 * both >= 4 * (len(one) + len(two) - both))
@@ -296,37 +309,16 @@ def verified(pairs: DataFrame, df: DataFrame, texts: DataFrame, text: str, doc_i
 
 def linked(df: DataFrame, texts: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(id, label) of the texts linked to one with a smaller id."""
-    keys = band_keys(texts)
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    met = shared(keys.join(hubs, "key"), "buckets")
-    prints = texts.select("id", "shingles", "odd")
-    sides = [prints.select(F.col("id").alias(c), F.col("shingles").alias(f"n_{c}"), F.col("odd").alias(name)) for c, name in (("a", "left"), ("b", "right"))]
-    shares = met.where("id <> hub").groupBy(F.col("id").alias("b"), F.col("hub").alias("a")).agg(F.count("*").alias("bands"))
-    pairs = shares.groupBy("b").agg(F.max(F.struct("bands", "a")).alias("best")).select("best.a", "b")  # one a text
-    pairs = sifted(pairs.join(sides[0], "a").join(sides[1], "b").withColumn("n", F.col("n_a") + F.col("n_b")))
-    links = shared(verified(shared(pairs, "best"), df, texts, text, doc_id), "links")
-    groups = components(links).withColumnRenamed("node", "id")
-    # Every member has a slot below the size of its bucket; it takes its turn when the round comes to it.
-    slot = F.pmod(F.xxhash64("key", "id"), F.col("n"))
-    more = met.select("key", "id", "n", slot.alias("slot"))
-    done, now, many = 0, STEP, False
-    while True:
-        named = more.join(groups, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        ends = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
-        left = named.join(ends.where("l0 <> l1").select("key"), "key", "left_semi").where(f"n > {done}")
-        left = shared(left if many else left.join(prints, "id"), "undecided")
-        if left.isEmpty():
-            return groups
-        many = True
-        x, y = left.alias("x"), left.where(f"slot >= {done} and slot < {done + now}").alias("y")
-        # two members whose turns come in the same round meet once
-        once = F.expr(f"x.key = y.key and x.label <> y.label and (x.slot < {done} or x.slot >= {done + now} or x.id > y.id)")
-        pairs = x.join(y, once).select(F.col("y.id").alias("a"), F.col("x.id").alias("b"), F.col("y.odd").alias("left"), F.col("x.odd").alias("right"), (F.col("x.shingles") + F.col("y.shingles")).alias("n"))
-        pairs = pairs.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
-        pairs = shared(sifted(pairs), "pairs")
-        if not pairs.isEmpty():
-            links = shared(links.unionByName(verified(pairs, df, texts, text, doc_id)), "links")
-            groups = components(links).withColumnRenamed("node", "id")
-        # a bucket that one class holds, or whose members all had their turn, needs no more
-        more = left.drop("label")
-        done, now = done + now, now * STEP
+    met = shared(buckets(texts), "buckets")
+    packed = packed_texts(met.select("id").distinct(), df, texts, text, doc_id)
+    links = verified(shared(hub_pairs(met), "pairs"), packed)
+    known = components(links)
+    named = met.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    ends = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
+    ids = met.join(ends.select("key"), "key", "left_semi").select("id").distinct()
+    rest = shared(packed.join(ids, "id", "left_semi"), "undecided")
+    if rest.isEmpty():
+        return known.withColumnRenamed("node", "id")
+    rest = unpacked(rest)
+    spoken = shared(near_groups.beginnings(rest, "text", "id"), "speakers")
+    return near_groups.linked_texts(rest, spoken, "text", "id", known).withColumnRenamed("node", "id")

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from roomtide.llm import context_tree, html_text, minhash, near_groups, packing, quality, simhash, snapshots, spaced_seeds, token_files, warc
@@ -282,6 +283,24 @@ def test_minhash_finds_every_twin_of_a_crowd(spark, twins=40):
     assert set(got.values()) == set(first.values()) and len(set(got.values())) == twins
 
 
+def test_minhash_meets_few_pairs_in_a_group_of_near_copies(spark, monkeypatch):
+    # copies are alike to what they were made from, hardly any two of them to each other
+    base, met, docs = prose(6, 300), [], as_docs(spark, [])
+    texts = [edited(base, s, 0.02) for s in range(120)] + [edited(base, s, 0.06) for s in range(500, 530)] + [base]
+    join = type(docs).join
+
+    def counted(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if isinstance(on, Column):  # pairs that meet, before any is refuted; other joins are by names
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(docs), "join", counted)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(as_docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_groups(texts, 5, 0.8)
+    assert sum(met) <= 5 * len(texts), met
+
+
 def test_minhash_classes_without_ids_and_of_repeated_ids(spark):
     long = prose(5, 200)
     docs = as_docs(spark, [long, edited(long, 1, 0.005), long, "else", "other words", "other words"], [None, 7, 7, 7, None, None])
