@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomtide import schema
+from roomtide.operators.boosting import BoostedTrees
 from roomtide.operators.features import build_features, check_no_leakage, feature_lists
 from roomtide.operators.levels import LevelEncoder, long_levels
 from roomtide.operators.metrics import compute_metrics, metrics_by_column, score_table, with_label
@@ -27,6 +29,7 @@ from roomtide.sources.hashes import fingerprint
 SEED = 42
 MIN_FREQUENCY = 20
 ROWS_PER_TASK = 250_000  # rows of a table to fit or score, at most, in one task
+NODE_IDS_BYTES = 2 << 30  # a forest's fit keeps up to so much beside the rows: the node of each row in each tree
 
 
 # --- Preprocessing ----------------------------------------------------------
@@ -132,7 +135,7 @@ def random_forest(
 
 
 def boosted_trees(rounds: int = 500, step: float = 0.05, depth: int = 6, label: str = schema.TARGET, seed: int = SEED) -> Estimator:
-    return GBTClassifier(
+    return BoostedTrees(
         labelCol=label, maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed, checkpointInterval=10, maxMemoryInMB=1024
     )
 
@@ -155,6 +158,17 @@ def fitting_rows(prepared: PipelineModel, train: DataFrame, *classifiers: Estima
     return spread(cut_lineage(prepared.transform(train).select(*sorted(columns)), "fitting"))
 
 
+def fit_prepared(classifier: Estimator, rows: DataFrame, n_rows: int) -> Model:
+    """The classifier fitted on ``rows``; a forest keeps the node of each row, rather than walk from the root at every level.
+
+    The trees are the same, and the model carries the settings of ``classifier``.
+    """
+    if not isinstance(classifier, RandomForestClassifier) or n_rows * classifier.getNumTrees() * 4 > NODE_IDS_BYTES:
+        return classifier.fit(rows)
+    fitted = classifier.copy({classifier.cacheNodeIds: True}).fit(rows)
+    return fitted._set(cacheNodeIds=classifier.getCacheNodeIds())
+
+
 def fit_classifier(
     train: DataFrame,
     classifier: Estimator,
@@ -292,19 +306,23 @@ def run_experiments(
     check_no_leakage(train.select(*numeric, *categorical))
     prepared = Pipeline(stages=preprocessing_stages(train, numeric, categorical)).fit(train)
     ready = fitting_rows(prepared, train, *classifiers.values())
-    for name, classifier in classifiers.items():
-        models[name] = PipelineModel(stages=[*prepared.stages, classifier.fit(ready)])
-        settings = {p.name: v for p, v in classifier.extractParamMap().items()}
-        scored = add_probability(models[name], spread(validation), "p").select(F.col(label).alias("y"), "p")
-        scored = cut_lineage(scored, "validated")  # the metrics read the scores in several jobs
-        tables.append(
-            compute_metrics(scored).select(
-                F.lit(name).alias("run"),
-                "*",
-                F.lit(json.dumps(settings, default=str, sort_keys=True)).alias("params"),
-                F.lit(train_mark).alias("train_fingerprint"),
+    # a fit that takes one task goes beside the others, which have the other cores meanwhile
+    with ThreadPoolExecutor(1) as beside:
+        begun = {n: beside.submit(c.fit, ready) for n, c in classifiers.items() if isinstance(c, BoostedTrees) and c.in_one_task(ready)}
+        for name, classifier in classifiers.items():
+            fitted = begun[name].result() if name in begun else fit_prepared(classifier, ready, mark.n_rows)
+            models[name] = PipelineModel(stages=[*prepared.stages, fitted])
+            settings = {p.name: v for p, v in classifier.extractParamMap().items()}
+            scored = add_probability(models[name], spread(validation), "p").select(F.col(label).alias("y"), "p")
+            scored = cut_lineage(scored, "validated")  # the metrics read the scores in several jobs
+            tables.append(
+                compute_metrics(scored).select(
+                    F.lit(name).alias("run"),
+                    "*",
+                    F.lit(json.dumps(settings, default=str, sort_keys=True)).alias("params"),
+                    F.lit(train_mark).alias("train_fingerprint"),
+                )
             )
-        )
     result = tables[0]
     for table in tables[1:]:
         result = result.unionByName(table)
